@@ -1,0 +1,9 @@
+"""No streaming operators.
+
+The reference is a batch pipeline: no stream source, watermark, window or
+state appears in it, so nothing is built here.  The column expressions in
+``hiremart.functions`` are plain Catalyst expressions and apply unchanged to
+a streaming DataFrame (for example ``spark.readStream.text(...)``) should a
+stream of postings ever need the same parsing; the global dense ids and the
+rollup totals are batch-only by nature.
+"""
