@@ -26,6 +26,7 @@ from hiremart.functions import text as TX  # noqa: E402
 from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED  # noqa: E402
 from hiremart.operators import aggregates as AG  # noqa: E402
 from hiremart.operators.classify import label_table, location_flags, province_code, province_of  # noqa: E402
+from hiremart.operators.materialize import materialize, spread  # noqa: E402
 from hiremart.operators.numbering import dense_index  # noqa: E402
 from hiremart.plans import features as FT  # noqa: E402
 from hiremart.plans import industry as IN  # noqa: E402
@@ -49,8 +50,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _texts(spark, sf_dir, name):
+    """A text table for row-wise regex work, spread over the cores."""
+    return spread(_t(spark, sf_dir, name))
+
+
 def _postings(spark, sf_dir):
-    return postings_view(_t(spark, sf_dir, "orders"))
+    return postings_view(spread(_t(spark, sf_dir, "orders")))
 
 
 def _enriched(spark, sf_dir):
@@ -69,7 +75,7 @@ def q_industry_total(spark, sf_dir):
 
 def q_extract_or_null(spark, sf_dir):
     """Regex field extraction, NULL when absent."""
-    pages = _t(spark, sf_dir, "pages")
+    pages = _texts(spark, sf_dir, "pages")
     return pages.select(
         "page_id",
         TX.extract_or_null(F.col("html"), "<title>([^<]*)").alias("title"),
@@ -141,7 +147,7 @@ TX_HIDDEN = "Không hiển thị"
 
 def q_ragged_width_profile(spark, sf_dir):
     """S5 + T20 + A8: every text line split on spaces; lines per field count."""
-    docs = _t(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents")
     lines = docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("line"))
     r = ragged_fields(lines, "line", ["first", "second"], sep=" ")
     return r.groupBy("_ncols").agg(
@@ -152,7 +158,7 @@ def q_ragged_width_profile(spark, sf_dir):
 
 def q_normalize_text(spark, sf_dir):
     """T3 + T4 + T5 on whole documents: collapse whitespace, Java trim, upper."""
-    docs = _t(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents")
     return docs.select("doc_id", F.upper(TX.java_trim(TX.collapse_ws(F.col("text")))).alias("norm_text"))
 
 
@@ -175,13 +181,13 @@ def q_industry_slug(spark, sf_dir):
 
 def q_fold_accents(spark, sf_dir):
     """T8 + T9 on whole documents."""
-    docs = _t(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents")
     return docs.select("doc_id", TX.clean_location(F.col("text")).alias("folded"))
 
 
 def q_fold_accents_conversations(spark, sf_dir):
     """T8 + T9 on every conversation turn."""
-    c = _t(spark, sf_dir, "conversations")
+    c = _texts(spark, sf_dir, "conversations")
     return c.select("conv_id", "turn", TX.clean_location(F.col("text")).alias("folded"))
 
 
@@ -221,7 +227,7 @@ def q_code_lookup(spark, sf_dir):
 
 def q_left_join_default(spark, sf_dir):
     """Left join with a default for unmatched rows."""
-    docs = _t(spark, sf_dir, "documents").select("doc_id", "lang")
+    docs = _texts(spark, sf_dir, "documents").select("doc_id", "lang")
     labels = _t(spark, sf_dir, "labels")
     j = docs.join(labels, "doc_id", "left")
     return j.select(
@@ -336,8 +342,9 @@ def q_distinct_lookup(spark, sf_dir):
 
 
 def _merged(spark, sf_dir):
+    """The merged feature rows (an aggregate), computed once for its three readers."""
     e, labels = _labelled(spark, sf_dir)
-    return FT.merged_features(RQ.requirement_long(e), IN.industry_by_location(e, labels))
+    return materialize(FT.merged_features(RQ.requirement_long(e), IN.industry_by_location(e, labels)))
 
 
 def q_industry_index(spark, sf_dir):

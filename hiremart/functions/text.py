@@ -110,8 +110,20 @@ def json_string_pattern(key: str) -> str:
 
 
 def extract_json_string(c, key: str) -> Column:
-    """String value of ``key`` in a JSON text line; numbers etc. -> NULL."""
-    return extract_last_or_null(c, json_string_pattern(key))
+    """String value of ``key`` in a JSON text line; NULL when absent.
+
+    Same answer as ``REGEX_EXTRACT(line, '.*"key"\\s*:\\s*"([^"]*)".*', 1)``:
+    the greedy prefix makes the last occurrence win, the value stops at
+    the first quote (even an escaped one), and numbers or nested values do
+    not match.  Java's ``.`` cannot cross a line terminator, so the match
+    starts at a line start, which ``(?m)^`` pins; the greedy ``.*`` then
+    backtracks once, a single linear scan per key.  The value is the text
+    between the last two quotes of the match.
+    """
+    body = '"' + key + '"' + WS + "*:" + WS + '*"[^"]*"'
+    json_string_pattern(key)   # validates the key
+    m = F.regexp_substr(col_(c), F.lit("(?m)^.*" + body))
+    return F.substring_index(F.substring_index(m, '"', -2), '"', 1)
 
 
 def _class_escape(ch: str) -> str:

@@ -69,14 +69,17 @@ def label_table(
     """Distinct ``key_col`` values with their label, computed once.
 
     ``prepare`` (for example the accent folding) runs once per key in its
-    own projection, so the rule chain reads a plain column.
+    own projection, so the rule chain reads a plain column.  The table is
+    materialized and measured once; it comes back with a broadcast hint
+    when it is within the size limits, so every later join reuses that
+    decision without another measuring job.
     """
     distinct = df.select(key_col).distinct()
     src = F.col(key_col)
     if prepare is not None:
         distinct = distinct.withColumn("_hm_prepared", prepare(src))
         src = F.col("_hm_prepared")
-    return materialize(distinct.select(key_col, classify(src).alias(out_col)))
+    return broadcast_if_small(materialize(distinct.select(key_col, classify(src).alias(out_col))))
 
 
 def classify_distinct(
@@ -92,7 +95,7 @@ def classify_distinct(
     reuse one label table for several frames.
     """
     labels = labels if labels is not None else label_table(df, key_col, classify, out_col)
-    return df.join(broadcast_if_small(labels), key_col, "left")
+    return df.join(labels, key_col, "left")
 
 
 def location_key(raw_loc) -> Column:

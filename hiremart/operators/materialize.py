@@ -80,3 +80,22 @@ def broadcast_if_small(
     if rows <= max_rows and nbytes <= max_bytes:
         return F.broadcast(df)
     return df
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Give CPU-heavy row-wise stages at least ``min_partitions`` tasks.
+
+    A large input already has one task per file split and is returned
+    unchanged.  A frame with fewer partitions than the cluster's
+    parallelism (one row group, one small file) is small by that very
+    fact; it is spread round-robin and kept (MEMORY_AND_DISK), so regex
+    work does not run on a single core.  Keeping the copy also stops
+    Catalyst from pushing filters on derived text columns below the
+    redistribution, where they would be evaluated, expensive expressions
+    inlined, on the single input task.  Round-robin repartitioning sorts
+    rows first, so a lost partition is recomputed identically.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)

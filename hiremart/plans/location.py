@@ -15,17 +15,19 @@ from ..functions.provinces import TOTAL_LABEL
 from ..operators.aggregates import with_grand_total
 from ..functions.text import clean_location
 from ..operators.classify import label_table, location_flags, province_code, rule_chain
-from ..operators.materialize import broadcast_if_small
 
 
 def location_labels(enriched: DataFrame) -> DataFrame:
-    """(loc_key, province_name) for every distinct location key."""
+    """(loc_key, province_name) for every distinct location key.
+
+    Materialized, measured once, broadcast-hinted when small (label_table).
+    """
     return label_table(enriched.select("loc_key"), "loc_key", rule_chain, "province_name", prepare=clean_location)
 
 
 def classify_postings(enriched: DataFrame, labels: DataFrame) -> DataFrame:
     """Row-level province for each posting."""
-    return enriched.join(broadcast_if_small(labels), "loc_key", "left")
+    return enriched.join(labels, "loc_key", "left")
 
 
 def log_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
@@ -49,14 +51,14 @@ def counts_by_province(enriched: DataFrame, labels: DataFrame, extra_keys: list[
     """Pre-aggregate per raw location (and ``extra_keys``), then map to provinces."""
     keys = ["loc_key"] + list(extra_keys or [])
     per_key = enriched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
-    mapped = per_key.join(broadcast_if_small(labels), "loc_key", "left")
+    mapped = per_key.join(labels, "loc_key", "left")
     return mapped.groupBy("province_name", *(extra_keys or [])).agg(F.sum("_n").cast("long").alias("total_jobs"))
 
 
 def province_totals(enriched: DataFrame, labels: DataFrame) -> DataFrame:
     """city_name, job_count, is_total: grand total first, then count desc."""
     per_key = enriched.groupBy("loc_key").agg(F.count(F.lit(1)).alias("_n"))
-    mapped = per_key.join(broadcast_if_small(labels), "loc_key", "left").select(
+    mapped = per_key.join(labels, "loc_key", "left").select(
         F.col("province_name").alias("city_name"), "_n"
     )
     return with_grand_total(mapped, "city_name", "job_count", TOTAL_LABEL, total_first=True, value_expr=F.sum("_n"))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from ..functions.predicates import NOT_DISPLAYED
 from ..functions.text import UNKNOWN, col_, collapse_ws, empty_to_unknown, head_segments, java_trim, slug
 from ..operators.classify import location_key
+from ..operators.materialize import spread
 
 HIDDEN_RAW = "Không hiển thị"   # fixed value: the raw "not displayed" marker
 
@@ -48,8 +49,12 @@ def job_title(raw_title) -> Column:
 
 
 def enrich(postings: DataFrame) -> DataFrame:
-    """Columns every downstream mart needs, in one narrow projection."""
-    df = postings.select(
+    """Columns every downstream mart needs, in one narrow projection.
+
+    The text cleaning is the CPU-heavy part of the job, so an input with
+    fewer partitions than cores is spread first (no-op at scale).
+    """
+    df = spread(postings).select(
         "*",
         industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"),
         industry_name("raw_ind", hidden_is_unknown=False).alias("req_industry_name"),
