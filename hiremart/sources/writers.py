@@ -8,22 +8,24 @@ from pyspark.sql import functions as F
 EXPORT_FORMATS = ("csv", "parquet")
 
 
+def tsv_line(df: DataFrame, cols: list[str] | None = None) -> F.Column:
+    """One tab-separated text line per row: fields as text, NULL as empty.
+
+    No quoting or escaping, as the reference's store writes them; a tab
+    inside a field therefore shifts the following fields, exactly as it
+    does there.
+    """
+    cols = cols or df.columns
+    return F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in cols])
+
+
 def write_tsv(df: DataFrame, path: str, mode: str = "errorifexists") -> None:
     """K1/K2: tab-separated text, NULL as an empty field, no quoting.
 
     ``mode="errorifexists"`` refuses an existing target (K1);
     ``mode="overwrite"`` replaces it (K2).
     """
-    (
-        df.write.mode(mode)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("escape", "")
-        .option("nullValue", "")
-        .option("emptyValue", "")
-        .option("header", "false")
-        .csv(path)
-    )
+    df.select(tsv_line(df).alias("value")).write.mode(mode).text(path)
 
 
 def write_per_key(
@@ -38,24 +40,25 @@ def write_per_key(
 ) -> None:
     """K3: one folder per value of ``key_col``, keeping the column in the data.
 
-    ``partitionBy`` drops the partition column from the files, so a copy
-    names the folders.  Rows are spread over ``salts`` tasks per key, so a
-    key holding a third of all rows is written by several tasks, and
-    ``maxRecordsPerFile`` bounds each file.
+    ``partitionBy`` takes the partition column out of the files, so a copy
+    of the key names the folders while the lines keep every column.  Rows
+    are spread over ``salts`` tasks per key, so a key holding a third of
+    all rows is written by several tasks, and ``maxRecordsPerFile`` bounds
+    each file.
     """
     salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
-    keyed = df.withColumn(folder_col, F.coalesce(F.col(key_col).cast("string"), F.lit("__NULL__")))
+    keyed = df.select(
+        tsv_line(df).alias("value"),
+        F.coalesce(F.col(key_col).cast("string"), F.lit("__NULL__")).alias(folder_col),
+        salt.alias("_salt"),
+    )
     (
-        keyed.repartition(F.col(folder_col), salt)
+        keyed.repartition(F.col(folder_col), F.col("_salt"))
+        .drop("_salt")
         .write.mode(mode)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("escape", "")
-        .option("nullValue", "")
-        .option("emptyValue", "")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(folder_col)
-        .csv(path)
+        .text(path)
     )
 
 
