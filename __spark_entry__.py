@@ -26,6 +26,7 @@ from hiremart.functions import text as TX  # noqa: E402
 from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED  # noqa: E402
 from hiremart.operators import aggregates as AG  # noqa: E402
 from hiremart.operators.classify import label_table, location_flags, province_code, province_of  # noqa: E402
+from hiremart.operators.joins import left_join_default  # noqa: E402
 from hiremart.operators.materialize import materialize, spread  # noqa: E402
 from hiremart.operators.numbering import dense_index  # noqa: E402
 from hiremart.plans import features as FT  # noqa: E402
@@ -56,7 +57,8 @@ def _texts(spark, sf_dir, name):
 
 
 def _postings(spark, sf_dir):
-    return postings_view(spread(_t(spark, sf_dir, "orders")))
+    orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return postings_view(spread(orders))
 
 
 def _enriched(spark, sf_dir):
@@ -156,6 +158,22 @@ def q_ragged_width_profile(spark, sf_dir):
     )
 
 
+def q_ragged_tsv_roundtrip(spark, sf_dir):
+    """S5 + T20: postings rendered as tab-separated lines, some short (9
+    fields), some long (an extra field), some with a non-numeric id, read
+    back by position with the ragged reader."""
+    p = _postings(spark, sf_dir)
+    jid = F.col("job_id")
+    fields = [F.when(jid % 6 == 0, F.concat(F.lit("#"), jid.cast("string"))).otherwise(jid.cast("string"))]
+    fields += [F.coalesce(F.col(c), F.lit("")) for c in RAW_TEXT_COLUMNS[:-1]]
+    last = F.when(jid % 4 == 0, F.lit(None)).otherwise(F.coalesce(F.col(RAW_TEXT_COLUMNS[-1]), F.lit("")))
+    extra = F.when(jid % 5 == 0, F.lit("EXTRA"))
+    line = F.concat_ws("\t", *fields, last, extra)      # concat_ws skips the NULL pieces
+    lines = p.select(jid.alias("src_id"), line.alias("line"))
+    r = ragged_fields(lines, "line", ["job_id"] + RAW_TEXT_COLUMNS, id_col="job_id")
+    return r.select("job_id", *RAW_TEXT_COLUMNS, "_ncols")
+
+
 def q_normalize_text(spark, sf_dir):
     """T3 + T4 + T5 on whole documents: collapse whitespace, Java trim, upper."""
     docs = _texts(spark, sf_dir, "documents")
@@ -229,12 +247,12 @@ def q_left_join_default(spark, sf_dir):
     """Left join with a default for unmatched rows."""
     docs = _texts(spark, sf_dir, "documents").select("doc_id", "lang")
     labels = _t(spark, sf_dir, "labels")
-    j = docs.join(labels, "doc_id", "left")
+    j = left_join_default(docs, labels, ["doc_id"], {"quality": -1, "toxic": -1})
     return j.select(
         "doc_id", "lang",
-        F.coalesce(F.col("quality"), F.lit(-1)).cast("int").alias("quality"),
-        F.coalesce(F.col("toxic"), F.lit(-1)).cast("int").alias("toxic"),
-        F.when(F.col("quality").isNull(), F.lit("UNKNOWN")).when(F.col("quality") == 1, F.lit("GOOD")).otherwise(F.lit("POOR")).alias("quality_label"),
+        F.col("quality").cast("int").alias("quality"),
+        F.col("toxic").cast("int").alias("toxic"),
+        F.when(F.col("quality") == -1, F.lit("UNKNOWN")).when(F.col("quality") == 1, F.lit("GOOD")).otherwise(F.lit("POOR")).alias("quality_label"),
     )
 
 
@@ -391,6 +409,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "dense_row_id_lineitem": q_dense_row_id_lineitem,
     "data_quality_report": q_data_quality_report,
     "ragged_width_profile": q_ragged_width_profile,
+    "ragged_tsv_roundtrip": q_ragged_tsv_roundtrip,
     "normalize_text": q_normalize_text,
     "head_segment": q_head_segment,
     "slug": q_slug,
@@ -666,6 +685,15 @@ def oracle_sql() -> dict[str, str]:
             "CAST(count(parts[2]) AS BIGINT) AS n_with_second FROM f GROUP BY len(parts)"
         ),
         # Java's toUpperCase maps ß to "SS"; DuckDB's upper keeps one letter.
+        "ragged_tsv_roundtrip": (
+            _with(P_CTE)
+            + "SELECT CASE WHEN job_id % 6 = 0 THEN NULL ELSE job_id END AS job_id, "
+            + ", ".join(f"coalesce({c}, '') AS {c}" for c in RAW_TEXT_COLUMNS[:-1])
+            + ", CASE WHEN job_id % 4 = 0 THEN (CASE WHEN job_id % 5 = 0 THEN 'EXTRA' END) "
+            "ELSE coalesce(raw_type, '') END AS raw_type, "
+            "CAST(10 - CASE WHEN job_id % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN job_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS _ncols "
+            "FROM p"
+        ),
         "normalize_text": f"SELECT doc_id, upper(replace({s_jtrim(s_collapse('text'))}, 'ß', 'SS')) AS norm_text FROM documents",
         "head_segment": _with(P_CTE, E_CTE) + "SELECT job_id, industry_name, req_industry_name FROM e",
         "slug": f"SELECT p_partkey, {s_slug_or_unknown('p_name')} AS name_slug, {s_slug_or_unknown('p_type')} AS type_slug FROM part",

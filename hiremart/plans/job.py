@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..sources.postings import read_postings_jsonl, valid_postings
-from ..sources.tables import read_tsv
+from ..sources.tables import read_ragged_tsv, read_tsv
 from ..sources.writers import export, write_per_key, write_tsv
 from . import features as FT
 from . import industry as IN
@@ -154,6 +154,31 @@ def stage_presentation(store: Store, export_dir: str, export_format: str) -> dic
     return {name: export(df, export_dir, name, export_format) for name, df in marts.items()}
 
 
+def print_profiles(store: Store, n: int) -> None:
+    """The console profiles of the presentation job.
+
+    Industry totals, a sample of industry by location, the top 3 industries
+    of each province, the field-count distribution of job_base_clean read
+    as raw text lines (TSV tables only), and the most frequent raw
+    locations.  Each is a small aggregate; only ``n`` rows reach the driver.
+    """
+    totals = _industry_totals_from_store(store)
+    print("\n== industry_total (top by job count) ==")
+    totals.orderBy(F.desc("total_jobs"), F.asc("industry_name")).show(n, truncate=False)
+    by_loc = _by_location_from_store(store)
+    print("\n== industry_by_location (sample) ==")
+    by_loc.show(n, truncate=False)
+    print("\n== top industries by province (top 3 each) ==")
+    MA.top_industries_by_province(MA.industry_by_location_viz(by_loc), 3).show(n, truncate=False)
+    base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
+    if store.fmt == "tsv":
+        ragged = read_ragged_tsv(store.spark, store.path("job_base_clean"), ["job_id"] + S.RAW_TEXT_COLUMNS, id_col="job_id")
+        print("\n== job_base_clean: column count distribution ==")
+        MA.width_profile(ragged).show(50, truncate=False)
+    print("\n== job_base_clean: top locations (raw) ==")
+    MA.top_raw_locations(base, n).show(n, truncate=False)
+
+
 def run(
     spark: SparkSession,
     input_path,
@@ -165,6 +190,7 @@ def run(
     parser: str = "regex",
     pig_null_case: bool = True,
     overwrite: bool = False,
+    show: int = 0,
 ) -> dict[str, str]:
     """Run every stage; returns the exported mart paths."""
     store = Store(spark, output_dir, table_format)
@@ -176,6 +202,8 @@ def run(
     stage_industry(store, enriched, labels)
     stage_requirements(store, enriched, pig_null_case)
     stage_features(store)
+    if show > 0:
+        print_profiles(store, show)
     return stage_presentation(store, export_dir or store.path("viz"), export_format)
 
 
@@ -190,12 +218,13 @@ def main(argv=None) -> int:
     ap.add_argument("--sql-case", action="store_true",
                     help="experience buckets with SQL CASE semantics instead of the reference's NULL rule")
     ap.add_argument("--overwrite", action="store_true", help="replace job_base_clean and data_quality_stats")
+    ap.add_argument("--show", type=int, default=0, help="print console profiles with this many rows")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("hiremart").getOrCreate()
     out = run(
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
-        parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite,
+        parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite, show=args.show,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

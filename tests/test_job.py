@@ -73,7 +73,17 @@ def test_job_end_to_end(spark, scratch):
 
 def test_job_tsv_tables(spark, scratch):
     out_dir = os.path.join(scratch, "out")
-    run(spark, _write_input(scratch), out_dir, table_format="tsv", export_format="parquet")
+    run(spark, _write_input(scratch), out_dir, table_format="tsv", export_format="parquet", show=5)
     lines = spark.read.text(os.path.join(out_dir, "industry_total")).collect()
     assert lines[-1].value == "TONG_TAT_CA\t4"
     assert spark.read.parquet(os.path.join(out_dir, "viz", "province_total")).count() == 3
+
+
+def test_left_join_default(spark):
+    from hiremart.operators.joins import left_join_default
+
+    left = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "job_id long, t string")
+    right = spark.createDataFrame([(1, "HA NOI"), (None, "X")], "job_id long, province_name string")
+    for small in (False, True):
+        out = left_join_default(left, right, ["job_id"], {"province_name": "UNKNOWN"}, small_right=small)
+        assert sorted((r.t, r.province_name) for r in out.collect()) == [("a", "HA NOI"), ("b", "UNKNOWN"), ("c", "UNKNOWN")]
