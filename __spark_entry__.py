@@ -23,9 +23,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from hiremart.functions import buckets as B  # noqa: E402
 from hiremart.functions import provinces as PV  # noqa: E402
 from hiremart.functions import text as TX  # noqa: E402
-from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED  # noqa: E402
+from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED, NOT_DISPLAYED_RAW  # noqa: E402
 from hiremart.operators import aggregates as AG  # noqa: E402
-from hiremart.operators.classify import label_table, location_flags, province_code, province_of  # noqa: E402
 from hiremart.operators.joins import left_join_default  # noqa: E402
 from hiremart.operators.materialize import materialize, spread  # noqa: E402
 from hiremart.operators.numbering import dense_index  # noqa: E402
@@ -34,6 +33,7 @@ from hiremart.plans import industry as IN  # noqa: E402
 from hiremart.plans import location as LO  # noqa: E402
 from hiremart.plans import marts as MA  # noqa: E402
 from hiremart.plans import requirements as RQ  # noqa: E402
+from hiremart.plans.job import data_quality_report  # noqa: E402
 from hiremart.plans.postings import enrich  # noqa: E402
 from hiremart.schemas import POSTING_JSON_KEYS, RAW_TEXT_COLUMNS  # noqa: E402
 from hiremart.sources.orders_view import postings_view, postings_view_sql  # noqa: E402
@@ -128,23 +128,7 @@ def q_dense_row_id_lineitem(spark, sf_dir):
 
 def q_data_quality_report(spark, sf_dir):
     """A6 + F2: total and three conditional counts in one aggregate."""
-    p = valid_postings(_postings(spark, sf_dir))
-
-    def shown(c):
-        return F.count(F.when(F.col(c).isNotNull() & (F.col(c) != TX_HIDDEN), F.lit(1))).cast("long")
-
-    agg = p.agg(
-        F.count(F.lit(1)).cast("long").alias("total_jobs"),
-        shown("raw_sec").alias("jobs_with_sector"),
-        shown("raw_skill").alias("jobs_with_skills"),
-        shown("raw_req").alias("jobs_with_requirement"),
-    )
-    return agg.where(F.col("total_jobs") > 0).select(
-        F.lit("Data_Quality_Report").alias("report_name"), "total_jobs", "jobs_with_sector", "jobs_with_skills", "jobs_with_requirement"
-    )
-
-
-TX_HIDDEN = "Không hiển thị"
+    return data_quality_report(valid_postings(_postings(spark, sf_dir)))
 
 
 def q_ragged_width_profile(spark, sf_dir):
@@ -498,7 +482,7 @@ def s_head(x: str, d: str) -> str:
 
 
 def s_industry(raw: str, hidden_is_unknown: bool) -> str:
-    blank = f"{raw} IS NULL OR {s_jtrim(raw)} = ''" + (f" OR {raw} = {_q(TX_HIDDEN)}" if hidden_is_unknown else "")
+    blank = f"{raw} IS NULL OR {s_jtrim(raw)} = ''" + (f" OR {raw} = {_q(NOT_DISPLAYED_RAW)}" if hidden_is_unknown else "")
     clean = f"(CASE WHEN {blank} THEN 'UNKNOWN' ELSE {s_jtrim(raw)} END)"
     seg = clean
     for d in "/,>":
@@ -673,7 +657,7 @@ def oracle_sql() -> dict[str, str]:
             _with(P_CTE)
             + "SELECT 'Data_Quality_Report' AS report_name, CAST(count(*) AS BIGINT) AS total_jobs, "
             + ", ".join(
-                f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} <> {_q(TX_HIDDEN)}) AS BIGINT) AS {n}"
+                f"CAST(count(*) FILTER (WHERE {c} IS NOT NULL AND {c} <> {_q(NOT_DISPLAYED_RAW)}) AS BIGINT) AS {n}"
                 for c, n in [("raw_sec", "jobs_with_sector"), ("raw_skill", "jobs_with_skills"), ("raw_req", "jobs_with_requirement")]
             )
             + f" FROM p WHERE {valid} HAVING count(*) > 0"

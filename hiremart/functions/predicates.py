@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from .text import col_
 
-# Text that marks a bucket as "not displayed".
+# Text that marks a bucket as "not displayed" (upper-cased in
+# the marts, as written in the raw postings).
 NOT_DISPLAYED = "KHÔNG HIỂN THỊ"
+NOT_DISPLAYED_RAW = "Không hiển thị"
 INDUSTRY_TOTAL_LABEL = "TONG_TAT_CA"
 
 

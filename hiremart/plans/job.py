@@ -25,6 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..functions.predicates import NOT_DISPLAYED_RAW
 from ..sources.postings import read_postings_jsonl, valid_postings
 from ..sources.tables import read_ragged_tsv, read_tsv
 from ..sources.writers import export, write_per_key, write_tsv
@@ -35,7 +36,6 @@ from . import marts as MA
 from . import requirements as RQ
 from .postings import enrich
 
-HIDDEN = "Không hiển thị"
 
 
 @dataclass
@@ -67,7 +67,7 @@ def data_quality_report(postings: DataFrame) -> DataFrame:
     """A6 + F2: total postings and postings with a shown sector, skills, requirement."""
 
     def shown(c: str):
-        return F.count(F.when(F.col(c).isNotNull() & (F.col(c) != HIDDEN), F.lit(1))).cast("long")
+        return F.count(F.when(F.col(c).isNotNull() & (F.col(c) != NOT_DISPLAYED_RAW), F.lit(1))).cast("long")
 
     agg = postings.agg(
         F.count(F.lit(1)).cast("long").alias("total_jobs"),

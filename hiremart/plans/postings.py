@@ -10,12 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.predicates import NOT_DISPLAYED
+from ..functions.predicates import NOT_DISPLAYED, NOT_DISPLAYED_RAW
 from ..functions.text import UNKNOWN, col_, collapse_ws, empty_to_unknown, head_segments, java_trim, slug
 from ..operators.classify import location_key
 from ..operators.materialize import spread
 
-HIDDEN_RAW = "Không hiển thị"   # fixed value: the raw "not displayed" marker
+HIDDEN_RAW = NOT_DISPLAYED_RAW
 
 
 def _clean_industry(raw, hidden_is_unknown: bool) -> Column:
