@@ -32,6 +32,15 @@ def test_industry_names_and_slugs(spark):
     assert [(r.m, r.r, r.id) for r in out] == [c[1:] for c in INDUSTRY_CASES]
 
 
+def test_requirement_name_shortcut_equals_full_chain(spark):
+    from hiremart.plans.postings import requirement_industry_name
+
+    raws = [c[0] for c in INDUSTRY_CASES] + [" Không hiển thị", "Không hiển thị / X", "KHÔNG HIỂN THỊ"]
+    df = one_col(spark, raws, "raw").select("raw", industry_name("raw", True).alias("m"))
+    out = df.select(requirement_industry_name("raw", "m").alias("a"), industry_name("raw", False).alias("b")).collect()
+    assert all(r.a == r.b for r in out)
+
+
 def test_java_trim_strips_control_chars(spark):
     df = one_col(spark, ["\t\x01 a b \n", "   ", None, "x"])
     assert column(df.select(TX.java_trim("v"))) == ["a b", "", None, "x"]
