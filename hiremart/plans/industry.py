@@ -35,3 +35,20 @@ def titles_by_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
         "total_jobs",
         slug_or_unknown(F.col("province_name")).alias("location_slug"),
     ).orderBy("location_name", "job_title")
+
+
+def industry_totals_from_facts(facts: DataFrame) -> DataFrame:
+    """Same as ``industry_totals`` but summed from the location x industry facts."""
+    return with_grand_total(
+        facts.select("industry_name", "_n"), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL,
+        total_first=False, value_expr=F.sum("_n"),
+    )
+
+
+def industry_by_location_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Same as ``industry_by_location`` but from the facts table."""
+    mapped = facts.join(labels, "loc_key", "left")
+    c = mapped.groupBy("province_name", "industry_name").agg(F.sum("_n").cast("long").alias("total_jobs"))
+    return c.select(F.col("province_name").alias("location_name"), "industry_name", "total_jobs").orderBy(
+        "location_name", "industry_name"
+    )

@@ -11,6 +11,8 @@ the columns they use.
 Stage 1  JSON lines -> job_base_clean (ids 1..n in input order), data_quality_stats
 Stage 2  locations  -> log_location, final_63_provinces_total, ten_tinh/<province>
 Stage 3  industries -> industry_total, industry_by_location, industry_province_titles/<slug>
+         (province totals, industry totals and industry x location are sums over
+         one written (raw location x industry) count table: one scan for three)
 Stage 4  requirements -> requirement_analysis/{exp,skill,req,edu,type}_total
 Stage 5  feature matrix -> mahout_features, mahout_industry_index, mahout_feature_value_index
 Stage 6  presentation marts -> viz/<name>.csv (or Parquet)
@@ -88,17 +90,20 @@ def stage_base(store: Store, input_path, parser: str = "regex", base_mode: str =
     store.write(data_quality_report(base), "data_quality_stats", base_mode)
 
 
-def stage_location(store: Store, enriched: DataFrame, labels: DataFrame) -> None:
+FACTS_TABLE = "_location_industry_facts"   # internal hand-off, always Parquet
+
+
+def stage_location(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> None:
     store.write(LO.log_location(enriched, labels), "log_location")
-    totals = LO.province_totals(enriched, labels).select("city_name", "job_count")
+    totals = LO.province_totals_from_facts(facts, labels).select("city_name", "job_count")
     store.write(totals.coalesce(1), "final_63_provinces_total")
     write_per_key(LO.province_details(enriched, labels), store.path("ten_tinh"), "province_name")
 
 
-def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame) -> None:
-    totals = IN.industry_totals(enriched).select("industry_name", "total_jobs")
+def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> None:
+    totals = IN.industry_totals_from_facts(facts).select("industry_name", "total_jobs")
     store.write(totals.coalesce(1), "industry_total")
-    store.write(IN.industry_by_location(enriched, labels), "industry_by_location")
+    store.write(IN.industry_by_location_from_facts(facts, labels), "industry_by_location")
     write_per_key(IN.titles_by_location(enriched, labels), store.path("industry_province_titles"), "location_slug")
 
 
@@ -198,8 +203,10 @@ def run(
     base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
     enriched = enrich(base)
     labels = LO.location_labels(enriched)
-    stage_location(store, enriched, labels)
-    stage_industry(store, enriched, labels)
+    LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
+    facts = store.spark.read.parquet(store.path(FACTS_TABLE))
+    stage_location(store, enriched, labels, facts)
+    stage_industry(store, enriched, labels, facts)
     stage_requirements(store, enriched, pig_null_case)
     stage_features(store)
     if show > 0:

@@ -62,3 +62,20 @@ def province_totals(enriched: DataFrame, labels: DataFrame) -> DataFrame:
         F.col("province_name").alias("city_name"), "_n"
     )
     return with_grand_total(mapped, "city_name", "job_count", TOTAL_LABEL, total_first=True, value_expr=F.sum("_n"))
+
+
+def location_industry_facts(enriched: DataFrame) -> DataFrame:
+    """(loc_key, industry_name, _n): the one row-level aggregate behind the
+    province totals, the industry totals and industry x location.
+
+    Every posting has exactly one province (UNKNOWN included) and one
+    industry name, so each of those three outputs is a sum over this table;
+    one scan and one partial-aggregated shuffle serve all three.
+    """
+    return enriched.groupBy("loc_key", "industry_name").agg(F.count(F.lit(1)).alias("_n"))
+
+
+def province_totals_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:
+    """Same as ``province_totals`` but from the facts table."""
+    mapped = facts.join(labels, "loc_key", "left").select(F.col("province_name").alias("city_name"), "_n")
+    return with_grand_total(mapped, "city_name", "job_count", TOTAL_LABEL, total_first=True, value_expr=F.sum("_n"))

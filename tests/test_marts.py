@@ -85,3 +85,19 @@ def test_chart_data(spark):
     assert heat.columns[0] == "province" and heat.columns[-1] == "province_job_count"
     assert [r.province for r in heat.collect()] == ["HA NOI", "AN GIANG", "UNKNOWN"]
     assert [r.province for r in charts["province_total_top25"].collect()] == ["HA NOI", "AN GIANG", "UNKNOWN"]
+
+
+def test_facts_table_gives_the_same_three_outputs(spark):
+    import __spark_entry__ as E
+    from hiremart.plans import industry as IN
+    from hiremart.plans import location as LO
+
+    e, labels = E._labelled(spark, "/root/testdata/sf0.001")
+    facts = LO.location_industry_facts(e)
+
+    def rows(df):
+        return sorted(tuple(r) for r in df.collect())
+
+    assert rows(IN.industry_totals_from_facts(facts)) == rows(IN.industry_totals(e))
+    assert rows(LO.province_totals_from_facts(facts, labels)) == rows(LO.province_totals(e, labels))
+    assert rows(IN.industry_by_location_from_facts(facts, labels)) == rows(IN.industry_by_location(e, labels))
