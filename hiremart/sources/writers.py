@@ -34,27 +34,25 @@ def write_per_key(
     key_col: str,
     *,
     mode: str = "overwrite",
-    salts: int = 8,
     max_records_per_file: int = 1_000_000,
     folder_col: str = "key",
 ) -> None:
     """K3: one folder per value of ``key_col``, keeping the column in the data.
 
     ``partitionBy`` takes the partition column out of the files, so a copy
-    of the key names the folders while the lines keep every column.  Rows
-    are spread over ``salts`` tasks per key, so a key holding a third of
-    all rows is written by several tasks, and ``maxRecordsPerFile`` bounds
-    each file.
+    of the key names the folders while the lines keep every column.  The
+    ``rebalance`` hint shuffles by key and lets AQE size the write tasks:
+    a key holding a third of all rows is split into many tasks of the
+    advisory size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``),
+    small keys are coalesced, so each task writes few files and no task
+    holds a whole hot key.  ``maxRecordsPerFile`` bounds each file.
     """
-    salt = F.pmod(F.xxhash64(*df.columns), F.lit(salts))
     keyed = df.select(
         tsv_line(df).alias("value"),
         F.coalesce(F.col(key_col).cast("string"), F.lit("__NULL__")).alias(folder_col),
-        salt.alias("_salt"),
     )
     (
-        keyed.repartition(F.col(folder_col), F.col("_salt"))
-        .drop("_salt")
+        keyed.hint("rebalance", folder_col)
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(folder_col)

@@ -55,7 +55,7 @@ def test_tsv_round_trip_keeps_nulls(spark, scratch):
 def test_write_per_key_keeps_the_column(spark, scratch):
     df = spark.createDataFrame([(1, "HA NOI", "x"), (2, "DA NANG", "y"), (3, "HA NOI", "z")], "id int, p string, raw string")
     path = os.path.join(scratch, "per_key")
-    write_per_key(df, path, "p", salts=2)
+    write_per_key(df, path, "p")
     folders = sorted(os.path.basename(d) for d in glob.glob(os.path.join(path, "key=*")))
     assert folders == ["key=DA NANG", "key=HA NOI"]
     lines = []
@@ -80,3 +80,19 @@ def test_export_empty_frame_writes_header(spark, scratch):
     df = spark.createDataFrame([], "skill string, job_count long")
     target = export(df, scratch, "empty", "csv")
     assert open(target).read().strip() == "skill,job_count"
+
+
+def test_write_per_key_splits_a_hot_key(spark, scratch):
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "64k")
+    try:
+        df = spark.range(0, 60000, numPartitions=4).select(
+            F.when(F.col("id") % 3 == 0, F.lit("HOT")).otherwise((F.col("id") % 20).cast("string")).alias("k"),
+            F.sha2(F.col("id").cast("string"), 256).alias("v"),
+        )
+        path = os.path.join(scratch, "skew")
+        write_per_key(df, path, "k")
+        assert len(glob.glob(os.path.join(path, "key=HOT", "part-*"))) > 1
+        n = sum(1 for f in glob.glob(os.path.join(path, "key=*", "part-*")) for _ in open(f))
+        assert n == 60000
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
