@@ -40,9 +40,18 @@ def checkpoint_dir(spark) -> str | None:
 
 
 def materialize(df: DataFrame, *, prefer_checkpoint: bool = True) -> DataFrame:
-    """Compute ``df`` once for several consumers and cut its lineage."""
+    """Compute ``df`` once for several consumers and cut its lineage.
+
+    A reliable checkpoint is written by a second job after the eager action;
+    persisting first lets that job read the cached blocks instead of
+    recomputing the plan.  The cache is dropped once the checkpoint files
+    exist, since the returned frame reads from them.
+    """
     if prefer_checkpoint and checkpoint_dir(df.sparkSession) is not None:
-        return df.checkpoint(eager=True)
+        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
+        out = cached.checkpoint(eager=True)
+        cached.unpersist()
+        return out
     return df.persist(StorageLevel.MEMORY_AND_DISK)
 
 
