@@ -379,6 +379,13 @@ def q_share_pivot_top(spark, sf_dir):
     return AG.pivot_share(shares, "n_name", "c_mktsegment", "share", "nation_total", "job_count", 25, 20)
 
 
+def q_province_industry_heatmap(spark, sf_dir):
+    """The chart's province x industry share matrix
+    (top 25 provinces by total, top 20 industries by count)."""
+    share = MA.province_industry_share(_by_location_viz(spark, sf_dir))
+    return AG.pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 25, 20)
+
+
 def q_top_raw_locations(spark, sf_dir):
     """Postings per raw location."""
     return MA.top_raw_locations(_enriched(spark, sf_dir))
@@ -432,6 +439,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_matrix": q_feature_matrix,
     "bar_topn": q_bar_topn,
     "share_pivot_top": q_share_pivot_top,
+    "province_industry_heatmap": q_province_industry_heatmap,
     "top_raw_locations": q_top_raw_locations,
 }
 
@@ -786,20 +794,48 @@ def oracle_sql() -> dict[str, str]:
             "GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 25"
         ),
         "share_pivot_top": _share_pivot_sql(),
+        "province_industry_heatmap": _heatmap_sql(),
         "top_raw_locations": _with(P_CTE) + "SELECT raw_loc, CAST(count(*) AS BIGINT) AS count FROM p GROUP BY raw_loc",
     }
     return sql
 
 
-def _share_pivot_sql() -> str:
-    segments = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]  # the five TPC-H market segments
-    cols = ", ".join(f"coalesce(sum(CASE WHEN c_mktsegment = '{s}' THEN share END), 0.0) AS \"{s}\"" for s in segments)
+def _pivot_share_sql(base: str, row: str, col: str, value: str, row_total: str, item_count: str,
+                     top_rows: int, top_cols: int) -> str:
+    """Top-rows x top-columns matrix of ``value`` with DuckDB's dynamic PIVOT.
+
+    ``base`` is a parenthesised query; the column list comes from the data,
+    as in the Spark pivot.  Empty cells are 0.0.
+    """
+    top_r = (f"(SELECT DISTINCT {row}, {row_total} FROM {base} WHERE {row_total} IS NOT NULL "
+             f"ORDER BY {row_total} DESC, {row} LIMIT {top_rows})")
+    top_c = (f"(SELECT {col} FROM {base} GROUP BY {col} "
+             f"ORDER BY sum({item_count}) DESC, {col} LIMIT {top_cols})")
+    sub = (f"(SELECT {row}, {col}, {value} FROM {base} b WHERE {row} IN (SELECT {row} FROM {top_r}) "
+           f"AND {col} IN (SELECT {col} FROM {top_c}))")
     return (
-        "WITH c AS (SELECT n_name, c_mktsegment, CAST(count(*) AS BIGINT) AS job_count FROM customer "
-        "JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment), "
-        "s AS (SELECT *, sum(job_count) OVER (PARTITION BY n_name) AS nation_total, "
-        "job_count / sum(job_count) OVER (PARTITION BY n_name) AS share FROM c), "
-        "top_r AS (SELECT DISTINCT n_name, CAST(nation_total AS BIGINT) AS nation_total FROM s "
-        "ORDER BY nation_total DESC, n_name LIMIT 25) "
-        f"SELECT s.n_name, {cols}, t.nation_total FROM s JOIN top_r t ON s.n_name = t.n_name GROUP BY s.n_name, t.nation_total"
+        f"SELECT pv.{row}, COALESCE(COLUMNS(pv.* EXCLUDE ({row})), 0.0), t.{row_total} "
+        f"FROM (PIVOT {sub} ON {col} USING sum({value}) GROUP BY {row}) pv "
+        f"JOIN {top_r} t ON pv.{row} = t.{row}"
+    )
+
+
+def _share_pivot_sql() -> str:
+    base = (
+        "(SELECT *, CAST(sum(job_count) OVER (PARTITION BY n_name) AS BIGINT) AS nation_total, "
+        "job_count / sum(job_count) OVER (PARTITION BY n_name) AS share FROM "
+        "(SELECT n_name, c_mktsegment, CAST(count(*) AS BIGINT) AS job_count FROM customer "
+        "JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment))"
+    )
+    return _pivot_share_sql(base, "n_name", "c_mktsegment", "share", "nation_total", "job_count", 25, 20)
+
+
+def _heatmap_sql() -> str:
+    base = (
+        "(" + _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)
+        + "SELECT v.province, v.industry, v.job_count, t.province_job_count, "
+        "CASE WHEN t.province_job_count > 0 THEN v.job_count / t.province_job_count END AS share FROM viz v "
+        "JOIN (SELECT province, CAST(sum(job_count) AS BIGINT) AS province_job_count FROM viz GROUP BY province) t "
+        "ON v.province = t.province)"
     )
+    return _pivot_share_sql(base, "province", "industry", "share", "province_job_count", "job_count", 25, 20)

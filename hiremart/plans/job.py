@@ -6,7 +6,7 @@ table in ``--output-dir`` (Parquet by default, tab-separated text with
 cuts the lineage, survives lost executors, and lets later stages read only
 the columns they use.
 
-    spark-submit -m hiremart.plans.job --input postings.jsonl --output-dir out/
+    spark-submit --py-files hiremart.zip run_job.py --input postings.jsonl --output-dir out/
 
 Stage 1  JSON lines -> job_base_clean (ids 1..n in input order), data_quality_stats
 Stage 2  locations  -> log_location, final_63_provinces_total, ten_tinh/<province>
