@@ -26,15 +26,20 @@ def industry_by_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
     )
 
 
-def titles_by_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
-    """location_name, job_title, total_jobs, location_slug (folder key)."""
+def titles_by_location(enriched: DataFrame, labels: DataFrame, sort: bool = True) -> DataFrame:
+    """location_name, job_title, total_jobs, location_slug (folder key).
+
+    ``sort=False`` skips the global sort when the rows go to a per-key
+    writer, which re-distributes them and sorts within each task anyway.
+    """
     c = counts_by_province(enriched, labels, ["job_title"])
-    return c.select(
+    out = c.select(
         F.col("province_name").alias("location_name"),
         "job_title",
         "total_jobs",
         slug_or_unknown(F.col("province_name")).alias("location_slug"),
-    ).orderBy("location_name", "job_title")
+    )
+    return out.orderBy("location_name", "job_title") if sort else out
 
 
 def industry_totals_from_facts(facts: DataFrame) -> DataFrame:

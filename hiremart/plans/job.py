@@ -104,7 +104,7 @@ def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame, facts:
     totals = IN.industry_totals_from_facts(facts).select("industry_name", "total_jobs")
     store.write(totals.coalesce(1), "industry_total")
     store.write(IN.industry_by_location_from_facts(facts, labels), "industry_by_location")
-    write_per_key(IN.titles_by_location(enriched, labels), store.path("industry_province_titles"), "location_slug")
+    write_per_key(IN.titles_by_location(enriched, labels, sort=False), store.path("industry_province_titles"), "location_slug")
 
 
 LONG_TABLE = "requirement_analysis/_long"   # internal hand-off, always Parquet

@@ -45,7 +45,8 @@ def write_per_key(
     a key holding a third of all rows is split into many tasks of the
     advisory size (``spark.sql.adaptive.advisoryPartitionSizeInBytes``),
     small keys are coalesced, so each task writes few files and no task
-    holds a whole hot key.  ``maxRecordsPerFile`` bounds each file.
+    holds a whole hot key.  ``maxRecordsPerFile`` bounds each file, and the
+    lines of each file come sorted (the writer sorts by folder anyway).
     """
     keyed = df.select(
         tsv_line(df).alias("value"),
@@ -53,6 +54,7 @@ def write_per_key(
     )
     (
         keyed.hint("rebalance", folder_col)
+        .sortWithinPartitions(folder_col, "value")
         .write.mode(mode)
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy(folder_col)
