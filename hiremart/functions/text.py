@@ -42,12 +42,6 @@ def collapse_ws(c, repl: str = " ") -> Column:
     return F.regexp_replace(col_(c), WS + "+", repl)
 
 
-def blank_to_null(c) -> Column:
-    """NULL for NULL or blank (Java-trim) text, else the value unchanged."""
-    c = col_(c)
-    return F.when(java_trim(c) != "", c)
-
-
 def empty_to_unknown(c) -> Column:
     """'' -> 'UNKNOWN' with the input read once (an anchored replace)."""
     return F.regexp_replace(col_(c), "^\\z", UNKNOWN)
@@ -91,10 +85,10 @@ def extract_or_null(c, pattern: str, idx: int = 1) -> Column:
 
 
 def extract_last_or_null(c, pattern: str, idx: int = 1) -> Column:
-    """Group of the *last* match, NULL when nothing matches.
-
-    Same answer as a greedy ``.*pattern.*`` (last duplicate key wins), but
-    one linear left-to-right scan instead of backtracking from each start.
+    """T2 building block: group of the last match anywhere in the text,
+    NULL when nothing matches (one left-to-right scan).  For the reference's
+    greedy ``.*"key"...`` extraction use ``extract_json_string``, which
+    also respects line terminators the way Java's ``.`` does.
     """
     return F.try_element_at(
         F.regexp_extract_all(col_(c), F.lit(pattern), idx), F.lit(-1)

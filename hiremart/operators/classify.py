@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from ..functions.provinces import (
     LOCATION_RULES, OTHER_CODE, OVERSEAS, PROVINCE_CODES, SPECIAL_CODES, UNKNOWN, Rule,
 )
-from ..functions.text import clean_location, col_, has_line_terminator
+from ..functions.text import col_, has_line_terminator
 from .materialize import broadcast_if_small, materialize
 
 
@@ -37,11 +37,6 @@ def rule_chain(clean, rules: Sequence[Rule] = LOCATION_RULES, default: str = UNK
     return out.otherwise(F.lit(default))
 
 
-def province_of(raw_loc) -> Column:
-    """T8 + T9 + T14 for one raw location value."""
-    return rule_chain(clean_location(raw_loc))
-
-
 def province_code(name) -> Column:
     """Province name -> code (1..63 alphabetical, OVERSEAS -1, else 0)."""
     pairs = []
@@ -88,13 +83,14 @@ def classify_distinct(
     classify: Callable[[Column], Column],
     out_col: str,
     labels: DataFrame | None = None,
+    prepare: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
-    """Add ``out_col = classify(key_col)`` by classifying distinct keys only.
+    """Add ``out_col = classify(prepare(key_col))`` classifying distinct keys only.
 
     ``key_col`` must be non-null (use a coalesced key); pass ``labels`` to
     reuse one label table for several frames.
     """
-    labels = labels if labels is not None else label_table(df, key_col, classify, out_col)
+    labels = labels if labels is not None else label_table(df, key_col, classify, out_col, prepare)
     return df.join(labels, key_col, "left")
 
 

@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from conftest import one_col
 from hiremart.functions.provinces import LOCATION_RULES, PROVINCE_CODES, PROVINCE_RULES
-from hiremart.operators.classify import label_table, location_flags, province_code, rule_chain
+from hiremart.operators.classify import classify_distinct, label_table, location_flags, province_code, rule_chain
 from hiremart.functions.text import clean_location
 
 LOCATIONS = [
@@ -55,3 +55,9 @@ def test_word_shadowing_is_reproduced(spark):
     df = one_col(spark, ["phuc yen", "ben luc", "vinh chau", "dong dang"], "raw")
     got = [r[0] for r in df.select(rule_chain(clean_location("raw"))).collect()]
     assert got == ["OVERSEAS", "OVERSEAS", "NGHE AN", "HA NOI"]
+
+
+def test_classify_distinct_generic(spark):
+    df = one_col(spark, ["Hà Nội", "Huế", "Hà Nội", "Đà Nẵng"], "k")
+    out = classify_distinct(df, "k", rule_chain, "p", prepare=clean_location)
+    assert sorted(r.p for r in out.collect()) == ["DA NANG", "HA NOI", "HA NOI", "THUA THIEN HUE"]

@@ -113,3 +113,8 @@ def test_extract_or_null(spark):
 def test_matches_anywhere_respects_line_terminators(spark):
     df = one_col(spark, ["ha noi", "x\nha noi", None])
     assert column(df.select(TX.matches_anywhere("v", "ha noi"))) == [True, False, None]
+
+
+def test_matches_whole_is_anchored(spark):
+    df = one_col(spark, ["3", "13", "3\n", None])
+    assert column(df.select(TX.matches_whole("v", "[123]"))) == [True, False, False, None]
