@@ -137,16 +137,30 @@ def _industry_totals_from_store(store: Store) -> DataFrame:
     return t
 
 
+def _handoff(store: Store, df: DataFrame, name: str, public: bool = True) -> DataFrame:
+    """Write ``df`` once and return a frame that reads the written copy.
+
+    With Parquet tables the public table is the hand-off.  With TSV tables
+    (or for internal tables) a Parquet copy is written first and the public
+    TSV is produced from it, so the plan runs once and later stages keep
+    typed, column-pruned reads.
+    """
+    if public and store.fmt == "parquet":
+        store.write(df, name)
+        return store.spark.read.parquet(store.path(name))
+    path = store.path(f"_internal/{name}")
+    df.write.mode("overwrite").parquet(path)
+    back = store.spark.read.parquet(path)
+    if public:
+        store.write(back, name)
+    return back
+
+
 def stage_features(store: Store) -> None:
-    merged = FT.merged_features(_long_from_store(store), _by_location_from_store(store))
-    store.write(merged, "mahout_merged_features")
-    merged = store.read("mahout_merged_features", None) if store.fmt == "parquet" else merged
-    ind = FT.industry_index(merged)
-    fv = FT.feature_value_index(merged)
-    store.write(ind, "mahout_industry_index")
-    store.write(fv, "mahout_feature_value_index")
-    if store.fmt == "parquet":
-        ind, fv = store.read("mahout_industry_index", None), store.read("mahout_feature_value_index", None)
+    merged = _handoff(store, FT.merged_features(_long_from_store(store), _by_location_from_store(store)),
+                      "mahout_merged_features", public=False)
+    ind = _handoff(store, FT.industry_index(merged), "mahout_industry_index")
+    fv = _handoff(store, FT.feature_value_index(merged), "mahout_feature_value_index")
     store.write(FT.feature_matrix(merged, ind, fv), "mahout_features")
 
 
