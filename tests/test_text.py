@@ -118,3 +118,18 @@ def test_matches_anywhere_respects_line_terminators(spark):
 def test_matches_whole_is_anchored(spark):
     df = one_col(spark, ["3", "13", "3\n", None])
     assert column(df.select(TX.matches_whole("v", "[123]"))) == [True, False, False, None]
+
+
+def test_json_parser_mode(spark):
+    from hiremart.sources.postings import parse_posting_lines
+
+    lines = one_col(spark, [
+        '﻿{"Tên công việc": "say \\"hi\\"", "Kỹ năng": 5}',
+        '{"Tên công việc": "A", "Tên công việc": "B"}',
+        'not json',
+    ], "line")
+    regex = parse_posting_lines(lines, parser="regex").select("raw_title", "raw_skill").collect()
+    json_ = parse_posting_lines(lines, parser="json").select("raw_title", "raw_skill").collect()
+    assert [tuple(r) for r in regex] == [('say \\', None), ("B", None), (None, None)]
+    assert json_[0].raw_title == 'say "hi"' and json_[0].raw_skill == "5"
+    assert json_[2].raw_title is None
