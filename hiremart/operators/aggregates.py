@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.predicates import is_irrelevant
+from .materialize import materialize
 
 
 def count_by(df: DataFrame, keys: Sequence[str], count_col: str = "total_jobs", count_expr: Column | None = None) -> DataFrame:
@@ -115,8 +116,11 @@ def pivot_share(
     column keys by summed count.  Both choices are top-k lists (at most
     ``top_rows``/``top_cols`` values), so the column list that ``pivot``
     needs is small by construction; the matrix cells are sum(share) with
-    0.0 for empty cells, rows ordered by total descending.
+    0.0 for empty cells, rows ordered by total descending.  The input (an
+    aggregate) is materialized once, since the column list, the top rows
+    and the pivot each read it.
     """
+    df = materialize(df)
     row_tot = df.select(row_col, row_total_col).where(F.col(row_total_col).isNotNull()).dropDuplicates()
     top_r = top_k(row_tot, [F.desc(row_total_col), F.asc(row_col)], top_rows)
     col_tot = df.groupBy(col_col).agg(F.sum(item_count_col).alias("_col_total"))

@@ -54,8 +54,9 @@ def dense_index(
         )
     )
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    offsets = materialize(_running_offsets(counts, [_PID]).select(_PID, _OFF), prefer_checkpoint=False)
-    out = tagged.join(broadcast_if_small(offsets), _PID, "left")
+    # One row per range partition: at most ``n`` rows by construction.
+    offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)
+    out = tagged.join(F.broadcast(offsets), _PID, "left")
     return out.select(*cols, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col))
 
 

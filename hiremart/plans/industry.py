@@ -9,18 +9,24 @@ from ..functions.predicates import INDUSTRY_TOTAL_LABEL
 from ..functions.text import slug_or_unknown
 from ..operators.aggregates import with_grand_total
 from .location import counts_by_province
+from .postings import count_by_raw_industry
 
 
 def industry_totals(enriched: DataFrame) -> DataFrame:
-    """industry_name, total_jobs, is_total: grand total 'TONG_TAT_CA' last."""
+    """industry_name, total_jobs, is_total: grand total 'TONG_TAT_CA' last.
+
+    Counts per raw industry text first, so the name normalisation runs once
+    per distinct text.
+    """
     return with_grand_total(
-        enriched.select("industry_name"), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL, total_first=False
+        count_by_raw_industry(enriched, []), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL,
+        total_first=False, value_expr=F.sum("_n"),
     )
 
 
 def industry_by_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
     """location_name, industry_name, total_jobs, sorted by location, industry."""
-    c = counts_by_province(enriched, labels, ["industry_name"])
+    c = counts_by_province(count_by_raw_industry(enriched, ["loc_key"]), labels, ["industry_name"], count_col="_n")
     return c.select(F.col("province_name").alias("location_name"), "industry_name", "total_jobs").orderBy(
         "location_name", "industry_name"
     )

@@ -15,6 +15,7 @@ from ..functions.provinces import TOTAL_LABEL
 from ..operators.aggregates import with_grand_total
 from ..functions.text import clean_location
 from ..operators.classify import label_table, location_flags, province_code, rule_chain
+from .postings import count_by_raw_industry
 
 
 def location_labels(enriched: DataFrame) -> DataFrame:
@@ -47,10 +48,17 @@ def province_details(enriched: DataFrame, labels: DataFrame) -> DataFrame:
     return c.select(province_code("province_name").alias("province_id"), "province_name", "raw_loc")
 
 
-def counts_by_province(enriched: DataFrame, labels: DataFrame, extra_keys: list[str] | None = None) -> DataFrame:
-    """Pre-aggregate per raw location (and ``extra_keys``), then map to provinces."""
+def counts_by_province(
+    enriched: DataFrame, labels: DataFrame, extra_keys: list[str] | None = None, count_col: str | None = None
+) -> DataFrame:
+    """Pre-aggregate per raw location (and ``extra_keys``), then map to provinces.
+
+    ``count_col`` names a column of partial counts to sum instead of
+    counting rows (for input that is already pre-aggregated).
+    """
     keys = ["loc_key"] + list(extra_keys or [])
-    per_key = enriched.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    measure = F.sum(count_col) if count_col else F.count(F.lit(1))
+    per_key = enriched.groupBy(*keys).agg(measure.alias("_n"))
     mapped = per_key.join(labels, "loc_key", "left")
     return mapped.groupBy("province_name", *(extra_keys or [])).agg(F.sum("_n").cast("long").alias("total_jobs"))
 
@@ -72,7 +80,8 @@ def location_industry_facts(enriched: DataFrame) -> DataFrame:
     industry name, so each of those three outputs is a sum over this table;
     one scan and one partial-aggregated shuffle serve all three.
     """
-    return enriched.groupBy("loc_key", "industry_name").agg(F.count(F.lit(1)).alias("_n"))
+    per_raw = count_by_raw_industry(enriched, ["loc_key"])
+    return per_raw.groupBy("loc_key", "industry_name").agg(F.sum("_n").alias("_n"))
 
 
 def province_totals_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:

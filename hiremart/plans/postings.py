@@ -74,8 +74,21 @@ def enrich(postings: DataFrame) -> DataFrame:
         job_title("raw_title").alias("job_title"),
         "raw_loc",
         location_key("raw_loc").alias("loc_key"),
-        "raw_sec", "raw_exp", "raw_req", "raw_skill", "raw_edu", "raw_type",
+        "raw_ind", "raw_sec", "raw_exp", "raw_req", "raw_skill", "raw_edu", "raw_type",
     )
 
 
+def count_by_raw_industry(df: DataFrame, keys: list[str]) -> DataFrame:
+    """Counts per (keys, industry_name) with the name computed per distinct raw text.
+
+    Postings are first counted per (keys, raw_ind) -- a hash aggregate whose
+    map-side combine collapses repeated texts -- and the regex chain of
+    ``industry_name`` then runs once per aggregated row, not once per
+    posting.  Returns (keys, industry_name, _n) rows that callers sum; a
+    name may appear on several rows (different raw texts, same name).
+    """
+    per_raw = df.groupBy(*keys, "raw_ind").agg(F.count(F.lit(1)).alias("_n"))
+    return per_raw.select(*keys, industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"), "_n")
+
+
 __all__ = ["enrich", "industry_name", "industry_id", "job_title", "NOT_DISPLAYED"]

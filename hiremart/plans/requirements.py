@@ -1,10 +1,15 @@
 """Requirement marts (A3, J2, T10-T13) in one pass over the postings.
 
 The reference builds five tables with five scans and five self-joins on
-job_id.  Here each posting emits an array of (kind, value) items, one
-``explode`` turns them into rows, and a single aggregate counts them by
-(kind, industry, value).  The industry comes from the same row, so no join
-is needed (ids are unique and non-null).
+job_id.  Here each posting emits an array of (kind, raw text) items, one
+``explode`` turns them into rows, and the rows are counted per
+(raw industry, kind, raw text).  Only then do the bucket, tokenizer and
+industry normalisations run -- once per distinct raw combination, not
+once per posting -- before a final aggregate by (kind, industry, value).
+The industry comes from the same row, so no join is needed (ids are
+unique and non-null).  Raw requirement texts repeat heavily (drop-down
+values, common skill lists), so the regex work shrinks with the number of
+distinct texts while the per-posting work is an array of strings.
 """
 
 from __future__ import annotations
@@ -14,40 +19,66 @@ from pyspark.sql import functions as F
 
 from ..functions.buckets import education_level, employment_type, with_experience
 from ..functions.text import tokens
+from .postings import industry_id, industry_name, requirement_industry_name
 
 KINDS = ["exp", "skill", "req", "edu", "type"]
 VALUE_COLUMNS = {"exp": "exp_required", "skill": "skill_name", "req": "requirement", "edu": "edu_level", "type": "job_type"}
+RAW_COLUMNS = {"exp": "raw_exp", "skill": "raw_skill", "req": "raw_req", "edu": "raw_edu", "type": "raw_type"}
 
 
-def _item(kind: str, value) -> F.Column:
-    return F.struct(F.lit(kind).alias("kind"), value.cast("string").alias("value"))
+def raw_requirement_counts(postings: DataFrame) -> DataFrame:
+    """(raw_ind, kind, raw, _n): postings per raw industry, kind and raw text."""
+    items = F.explode(F.array(*[
+        F.struct(F.lit(k).alias("kind"), F.col(RAW_COLUMNS[k]).alias("raw")) for k in KINDS
+    ])).alias("it")
+    rows = postings.select("raw_ind", items).select("raw_ind", "it.kind", "it.raw")
+    return rows.groupBy("raw_ind", "kind", "raw").agg(F.count(F.lit(1)).alias("_n"))
 
 
-def requirement_items(enriched: DataFrame, null_propagates: bool = False) -> DataFrame:
-    """(job_id, industry_id, industry_name, feature_type, feature_value) rows."""
-    enriched = with_experience(enriched, "raw_exp", "_exp_bucket", null_propagates)
-    single = F.array(
-        _item("exp", F.col("_exp_bucket")),
-        _item("edu", education_level("raw_edu")),
-        _item("type", employment_type("raw_type")),
+def requirement_values(raw_counts: DataFrame, null_propagates: bool = False) -> DataFrame:
+    """Normalise aggregated raw rows: industry id/name and the value array."""
+    df = raw_counts.withColumn("_marts_name", industry_name("raw_ind", hidden_is_unknown=True))
+    df = df.withColumn("industry_name", requirement_industry_name("raw_ind", "_marts_name"))
+    df = df.withColumn("industry_id", industry_id("industry_name"))
+    df = with_experience(df, "raw", "_exp", null_propagates)
+    values = (
+        F.when(F.col("kind") == "exp", F.array(F.col("_exp")))
+        .when(F.col("kind") == "edu", F.array(education_level("raw")))
+        .when(F.col("kind") == "type", F.array(employment_type("raw")))
+        .otherwise(tokens("raw"))
     )
-    skills = F.transform(tokens("raw_skill"), lambda t: _item("skill", t))
-    reqs = F.transform(tokens("raw_req"), lambda t: _item("req", t))
-    items = F.explode(F.concat(single, skills, reqs)).alias("it")
-    return enriched.select(
-        "job_id",
-        F.col("req_industry_id").alias("industry_id"),
-        F.col("req_industry_name").alias("industry_name"),
-        items,
-    ).select("job_id", "industry_id", "industry_name", F.col("it.kind").alias("feature_type"), F.col("it.value").alias("feature_value"))
+    return df.select("industry_id", "industry_name", F.col("kind").alias("feature_type"), values.alias("_values"), "_n")
 
 
 def requirement_long(enriched: DataFrame, null_propagates: bool = False) -> DataFrame:
     """feature_type, industry_id, industry_name, feature_value, total_jobs."""
-    items = requirement_items(enriched, null_propagates)
-    return items.groupBy("feature_type", "industry_id", "industry_name", "feature_value").agg(
-        F.count(F.lit(1)).cast("long").alias("total_jobs")
+    named = requirement_values(raw_requirement_counts(enriched), null_propagates)
+    exploded = named.select(
+        "feature_type", "industry_id", "industry_name", F.explode("_values").alias("feature_value"), "_n"
     )
+    return exploded.groupBy("feature_type", "industry_id", "industry_name", "feature_value").agg(
+        F.sum("_n").cast("long").alias("total_jobs")
+    )
+
+
+def requirement_items(enriched: DataFrame, null_propagates: bool = False) -> DataFrame:
+    """Row-level form: (job_id, industry_id, industry_name, feature_type, feature_value).
+
+    For inspection and tests; the marts use ``requirement_long``.
+    """
+    df = with_experience(enriched, "raw_exp", "_exp", null_propagates)
+    items = F.explode(F.concat(
+        F.array(
+            F.struct(F.lit("exp").alias("kind"), F.col("_exp").cast("string").alias("value")),
+            F.struct(F.lit("edu").alias("kind"), education_level("raw_edu").alias("value")),
+            F.struct(F.lit("type").alias("kind"), employment_type("raw_type").alias("value")),
+        ),
+        F.transform(tokens("raw_skill"), lambda t: F.struct(F.lit("skill").alias("kind"), t.alias("value"))),
+        F.transform(tokens("raw_req"), lambda t: F.struct(F.lit("req").alias("kind"), t.alias("value"))),
+    )).alias("it")
+    return df.select(
+        "job_id", F.col("req_industry_id").alias("industry_id"), F.col("req_industry_name").alias("industry_name"), items
+    ).select("job_id", "industry_id", "industry_name", F.col("it.kind").alias("feature_type"), F.col("it.value").alias("feature_value"))
 
 
 def requirement_table(long: DataFrame, kind: str) -> DataFrame:

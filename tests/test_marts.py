@@ -101,3 +101,16 @@ def test_facts_table_gives_the_same_three_outputs(spark):
     assert rows(IN.industry_totals_from_facts(facts)) == rows(IN.industry_totals(e))
     assert rows(LO.province_totals_from_facts(facts, labels)) == rows(LO.province_totals(e, labels))
     assert rows(IN.industry_by_location_from_facts(facts, labels)) == rows(IN.industry_by_location(e, labels))
+
+
+def test_requirement_long_equals_row_level_counts(spark):
+    import __spark_entry__ as E
+    from hiremart.plans import requirements as RQ
+
+    e = E._enriched(spark, "/root/testdata/sf0.001")
+    for pig in (False, True):
+        key = lambda t: tuple((x is None, str(x)) for x in t)
+        fast = sorted((tuple(r) for r in RQ.requirement_long(e, pig).collect()), key=key)
+        rows = RQ.requirement_items(e, pig).groupBy("feature_type", "industry_id", "industry_name", "feature_value").count()
+        slow = sorted((tuple(r) for r in rows.select("feature_type", "industry_id", "industry_name", "feature_value", "count").collect()), key=key)
+        assert fast == slow
