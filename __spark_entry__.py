@@ -362,7 +362,7 @@ def q_feature_value_index(spark, sf_dir):
 def q_feature_matrix(spark, sf_dir):
     """U1 + U2 + J3-J5 + T17 + T18."""
     m = _merged(spark, sf_dir)
-    return FT.feature_matrix(m, FT.industry_index(m), FT.feature_value_index(m))
+    return FT.feature_matrix(m, materialize(FT.industry_index(m)), materialize(FT.feature_value_index(m)))
 
 
 def q_bar_topn(spark, sf_dir):

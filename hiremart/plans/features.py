@@ -62,9 +62,10 @@ def feature_matrix(merged: DataFrame, ind_index: DataFrame, fv_index: DataFrame)
     unique on their keys, so no row is duplicated.  The industry index is
     small (one row per industry) and broadcast after a size check; the
     value index grows with the vocabulary and joins by shuffle when large.
+    Callers pass computed indexes (written tables or materialized frames).
     """
-    ii = broadcast_if_small(materialize(ind_index))
-    fv = broadcast_if_small(materialize(fv_index.withColumnRenamed("feature_type", "_fv_type").withColumnRenamed("feature_value", "_fv_value")))
+    ii = broadcast_if_small(ind_index)
+    fv = broadcast_if_small(fv_index.withColumnRenamed("feature_type", "_fv_type").withColumnRenamed("feature_value", "_fv_value"))
     j = merged.join(ii, "industry_id", "left")
     j = j.join(fv, (j["feature_type"] == fv["_fv_type"]) & (j["feature_value"] == fv["_fv_value"]), "left")
     return j.select(

@@ -21,6 +21,8 @@ Stage 6  presentation marts -> viz/<name>.csv (or Parquet)
 from __future__ import annotations
 
 import argparse
+from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -65,6 +67,19 @@ class Store:
         return self.spark.read.parquet(self.path(name))
 
 
+def run_concurrently(actions: list[Callable[[], object]], max_workers: int = 4) -> list:
+    """Submit independent Spark actions from several driver threads.
+
+    Each mart write is a short job; run one after another they leave most
+    cores idle between jobs.  Spark schedules jobs from several threads
+    side by side, so independent writes overlap.  Errors propagate.
+    """
+    if len(actions) <= 1:
+        return [a() for a in actions]
+    with ThreadPoolExecutor(max_workers=min(max_workers, len(actions))) as pool:
+        return [f.result() for f in [pool.submit(a) for a in actions]]
+
+
 def data_quality_report(postings: DataFrame) -> DataFrame:
     """A6 + F2: total postings and postings with a shown sector, skills, requirement."""
 
@@ -93,18 +108,25 @@ def stage_base(store: Store, input_path, parser: str = "regex", base_mode: str =
 FACTS_TABLE = "_location_industry_facts"   # internal hand-off, always Parquet
 
 
-def stage_location(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> None:
-    store.write(LO.log_location(enriched, labels), "log_location")
+def stage_location(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> list:
+    """The location outputs as independent write actions."""
     totals = LO.province_totals_from_facts(facts, labels).select("city_name", "job_count")
-    store.write(totals.coalesce(1), "final_63_provinces_total")
-    write_per_key(LO.province_details(enriched, labels), store.path("ten_tinh"), "province_name")
+    return [
+        lambda: store.write(LO.log_location(enriched, labels), "log_location"),
+        lambda: store.write(totals.coalesce(1), "final_63_provinces_total"),
+        lambda: write_per_key(LO.province_details(enriched, labels), store.path("ten_tinh"), "province_name"),
+    ]
 
 
-def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> None:
+def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame, facts: DataFrame) -> list:
+    """The industry outputs as independent write actions."""
     totals = IN.industry_totals_from_facts(facts).select("industry_name", "total_jobs")
-    store.write(totals.coalesce(1), "industry_total")
-    store.write(IN.industry_by_location_from_facts(facts, labels), "industry_by_location")
-    write_per_key(IN.titles_by_location(enriched, labels, sort=False), store.path("industry_province_titles"), "location_slug")
+    titles = IN.titles_by_location(enriched, labels, sort=False)
+    return [
+        lambda: store.write(totals.coalesce(1), "industry_total"),
+        lambda: store.write(IN.industry_by_location_from_facts(facts, labels), "industry_by_location"),
+        lambda: write_per_key(titles, store.path("industry_province_titles"), "location_slug"),
+    ]
 
 
 LONG_TABLE = "requirement_analysis/_long"   # internal hand-off, always Parquet
@@ -114,8 +136,10 @@ def stage_requirements(store: Store, enriched: DataFrame, null_propagates: bool)
     """One pass builds the long table; the five per-kind tables are cuts of it."""
     RQ.requirement_long(enriched, null_propagates).write.mode("overwrite").parquet(store.path(LONG_TABLE))
     long = _long_from_store(store)
-    for kind in RQ.KINDS:
-        store.write(RQ.requirement_table(long, kind), f"requirement_analysis/{kind}_total")
+    run_concurrently([
+        (lambda k: (lambda: store.write(RQ.requirement_table(long, k), f"requirement_analysis/{k}_total")))(kind)
+        for kind in RQ.KINDS
+    ])
 
 
 def _long_from_store(store: Store) -> DataFrame:
@@ -159,8 +183,10 @@ def _handoff(store: Store, df: DataFrame, name: str, public: bool = True) -> Dat
 def stage_features(store: Store) -> None:
     merged = _handoff(store, FT.merged_features(_long_from_store(store), _by_location_from_store(store)),
                       "mahout_merged_features", public=False)
-    ind = _handoff(store, FT.industry_index(merged), "mahout_industry_index")
-    fv = _handoff(store, FT.feature_value_index(merged), "mahout_feature_value_index")
+    ind, fv = run_concurrently([
+        lambda: _handoff(store, FT.industry_index(merged), "mahout_industry_index"),
+        lambda: _handoff(store, FT.feature_value_index(merged), "mahout_feature_value_index"),
+    ])
     store.write(FT.feature_matrix(merged, ind, fv), "mahout_features")
 
 
@@ -170,7 +196,9 @@ def stage_presentation(store: Store, export_dir: str, export_format: str) -> dic
         _by_location_from_store(store),
         _long_from_store(store),
     )
-    return {name: export(df, export_dir, name, export_format) for name, df in marts.items()}
+    names = list(marts)
+    paths = run_concurrently([(lambda n: (lambda: export(marts[n], export_dir, n, export_format)))(n) for n in names])
+    return dict(zip(names, paths))
 
 
 def print_profiles(store: Store, n: int) -> None:
@@ -219,8 +247,7 @@ def run(
     labels = LO.location_labels(enriched)
     LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
     facts = store.spark.read.parquet(store.path(FACTS_TABLE))
-    stage_location(store, enriched, labels, facts)
-    stage_industry(store, enriched, labels, facts)
+    run_concurrently(stage_location(store, enriched, labels, facts) + stage_industry(store, enriched, labels, facts))
     stage_requirements(store, enriched, pig_null_case)
     stage_features(store)
     if show > 0:
