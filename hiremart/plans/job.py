@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.predicates import NOT_DISPLAYED_RAW
 from ..sources.postings import read_postings_jsonl, valid_postings
-from ..sources.tables import read_ragged_tsv, read_tsv
+from ..sources.tables import empty_as_null, read_ragged_tsv, read_tsv
 from ..sources.writers import export, write_per_key, write_tsv
 from . import features as FT
 from . import industry as IN
@@ -98,11 +98,24 @@ def data_quality_report(postings: DataFrame) -> DataFrame:
     )
 
 
-def stage_base(store: Store, input_path, parser: str = "regex", base_mode: str = "errorifexists") -> None:
+def stage_base(store: Store, input_path, parser: str = "regex", base_mode: str = "errorifexists") -> DataFrame:
+    """job_base_clean and data_quality_stats; returns the stored postings.
+
+    The profile is computed on the values as parsed (an empty field is not
+    NULL there), as the reference profiles before its hand-off; later
+    stages read the table back with empty fields as NULL.
+    """
     postings = read_postings_jsonl(store.spark, input_path, parser=parser)
-    store.write(postings, "job_base_clean", base_mode)
-    base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
-    store.write(data_quality_report(base), "data_quality_stats", base_mode)
+    if store.fmt == "parquet":
+        store.write(postings, "job_base_clean", base_mode)
+        back = store.spark.read.parquet(store.path("job_base_clean"))
+    else:
+        path = store.path("_internal/job_base_clean")
+        postings.write.mode("overwrite").parquet(path)
+        back = store.spark.read.parquet(path)
+        store.write(back, "job_base_clean", base_mode)
+    store.write(data_quality_report(back), "data_quality_stats", base_mode)
+    return back
 
 
 FACTS_TABLE = "_location_industry_facts"   # internal hand-off, always Parquet
@@ -241,8 +254,8 @@ def run(
 ) -> dict[str, str]:
     """Run every stage; returns the exported mart paths."""
     store = Store(spark, output_dir, table_format)
-    stage_base(store, input_path, parser, "overwrite" if overwrite else "errorifexists")
-    base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
+    stored = stage_base(store, input_path, parser, "overwrite" if overwrite else "errorifexists")
+    base = empty_as_null(stored, S.RAW_TEXT_COLUMNS)
     enriched = enrich(base)
     labels = LO.location_labels(enriched)
     LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))

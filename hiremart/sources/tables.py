@@ -50,3 +50,9 @@ def ragged_fields(df: DataFrame, line_col: str, names: Sequence[str], sep: str =
     if id_col is not None:
         out = out.withColumn(id_col, F.col(id_col).try_cast("long"))
     return out
+
+
+def empty_as_null(df: DataFrame, cols) -> DataFrame:
+    """The TSV hand-off rule on any format: an empty text field reads as NULL."""
+    cols = set(cols)
+    return df.select(*[F.when(F.col(c) != "", F.col(c)).alias(c) if c in cols else F.col(c) for c in df.columns])

@@ -17,6 +17,7 @@ POSTINGS = [
     {K[0]: "Dev", K[1]: "Công nghệ thông tin, Viễn thông", K[3]: "Đà Nẵng", K[4]: "Trên 5 năm",
      K[6]: "Java; SQL", K[8]: "Khác"},
     {K[0]: "Sales", K[1]: "Kinh doanh", K[3]: "Hà Nội | Đà Nẵng", K[6]: "Không hiển thị"},
+    {K[0]: "QA", K[1]: "", K[3]: "", K[6]: ""},                         # empty fields
 ]
 
 
@@ -38,21 +39,22 @@ def test_job_end_to_end(spark, scratch):
     rd = lambda n: spark.read.parquet(os.path.join(out_dir, n))
 
     base = rd("job_base_clean").orderBy("job_id").collect()
-    assert [r.job_id for r in base] == [1, 2, 3, 4]
-    assert [r.raw_title for r in base] == ["Kế toán trưởng", "Sales", "Dev", "Sales"]
+    assert [r.job_id for r in base] == [1, 2, 3, 4, 5]
+    assert [r.raw_title for r in base] == ["Kế toán trưởng", "Sales", "Dev", "Sales", "QA"]
 
+    # The empty skill counts as "with skills": the profile sees values as parsed.
     dq = rd("data_quality_stats").first()
-    assert (dq.total_jobs, dq.jobs_with_sector, dq.jobs_with_skills, dq.jobs_with_requirement) == (4, 1, 3, 1)
+    assert (dq.total_jobs, dq.jobs_with_sector, dq.jobs_with_skills, dq.jobs_with_requirement) == (5, 1, 4, 1)
 
     prov = [tuple(r) for r in rd("final_63_provinces_total").collect()]
-    assert prov[0] == ("=== TONG CONG (ALL) ===", 4)
-    assert sorted(prov[1:]) == [("DA NANG", 2), ("HA NOI", 1), ("TP HO CHI MINH", 1)]
+    assert prov[0] == ("=== TONG CONG (ALL) ===", 5)
+    assert sorted(prov[1:]) == [("DA NANG", 2), ("HA NOI", 1), ("TP HO CHI MINH", 1), ("UNKNOWN", 1)]
 
     ind = [tuple(r) for r in rd("industry_total").collect()]
-    assert ind[-1] == ("TONG_TAT_CA", 4) and ind[0] == ("KINH DOANH", 2)
+    assert ind[-1] == ("TONG_TAT_CA", 5) and ind[0] == ("KINH DOANH", 2)
 
     log = {r.job_id: (r.province_id, r.province_name) for r in rd("log_location").collect()}
-    assert log == {1: (24, "HA NOI"), 2: (58, "TP HO CHI MINH"), 3: (15, "DA NANG"), 4: (15, "DA NANG")}
+    assert log == {1: (24, "HA NOI"), 2: (58, "TP HO CHI MINH"), 3: (15, "DA NANG"), 4: (15, "DA NANG"), 5: (0, "UNKNOWN")}
 
     m = rd("mahout_features")
     assert m.where("industry_idx < 1").count() == 0
@@ -66,7 +68,7 @@ def test_job_end_to_end(spark, scratch):
     exp_csv = open(exported["requirement_experience_total"], encoding="utf-8").read().splitlines()
     # 'Trên 5 năm' becomes NULL under the reference's CASE rule and is dropped.
     assert exp_csv[0] == "experience,job_count"
-    assert sorted(exp_csv[1:]) == ["1-3 NĂM,1", "DƯỚI 1 NĂM,1", "KHÔNG YÊU CẦU,1"]
+    assert sorted(exp_csv[1:]) == ["1-3 NĂM,1", "DƯỚI 1 NĂM,1", "KHÔNG YÊU CẦU,2"]
     assert os.path.isdir(os.path.join(out_dir, "ten_tinh", "key=HA NOI"))
     assert os.path.isdir(os.path.join(out_dir, "industry_province_titles", "key=DA_NANG"))
 
@@ -75,7 +77,10 @@ def test_job_tsv_tables(spark, scratch):
     out_dir = os.path.join(scratch, "out")
     run(spark, _write_input(scratch), out_dir, table_format="tsv", export_format="parquet", show=5)
     lines = spark.read.text(os.path.join(out_dir, "industry_total")).collect()
-    assert lines[-1].value == "TONG_TAT_CA\t4"
+    assert lines[-1].value == "TONG_TAT_CA\t5"
+    dq = spark.read.text(os.path.join(out_dir, "data_quality_stats")).first().value
+    assert dq == "Data_Quality_Report\t5\t1\t4\t1"
+    # the posting with an empty industry is UNKNOWN and leaves the viz marts
     assert spark.read.parquet(os.path.join(out_dir, "viz", "province_total")).count() == 3
 
 
