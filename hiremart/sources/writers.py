@@ -75,7 +75,13 @@ def write_single_csv(df: DataFrame, path: str) -> None:
     fs = target.getFileSystem(conf)
     tmp = jvm.org.apache.hadoop.fs.Path(path + "._writing")
     legacy_dir = jvm.org.apache.hadoop.fs.Path(path[:-4] if path.endswith(".csv") else path + "_dir")
-    df.coalesce(1).write.mode("overwrite").option("header", "true").option("emptyValue", "").csv(path + "._writing")
+    (
+        df.coalesce(1).write.mode("overwrite")
+        .option("header", "true")
+        .option("emptyValue", "")       # '' as an empty field, like NULL
+        .option("escape", '"')          # quotes doubled inside quoted fields (RFC 4180)
+        .csv(path + "._writing")
+    )
     parts = [s.getPath() for s in fs.listStatus(tmp) if s.getPath().getName().startswith("part-")]
     if fs.exists(target):
         fs.delete(target, True)

@@ -96,3 +96,12 @@ def test_write_per_key_splits_a_hot_key(spark, scratch):
         assert n == 60000
     finally:
         spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+
+
+def test_single_csv_quotes_like_rfc4180(spark, scratch):
+    import csv
+
+    df = spark.createDataFrame([('a "b", c', 1), ("", 2), (None, 3)], "v string, n long")
+    target = export(df, scratch, "q", "csv")
+    rows = list(csv.reader(open(target, encoding="utf-8", newline="")))
+    assert rows == [["v", "n"], ['a "b", c', "1"], ["", "2"], ["", "3"]]
