@@ -4,7 +4,7 @@ The reference numbers rows 1..n (a rank without ties) either in input order
 or over a sorted distinct set.  A window ``row_number()`` without a
 partition would sort everything in one task, so both helpers number rows
 inside each partition and add per-partition offsets.  The offset table has
-one row per partition (or per input split), never one per data row.
+one row per partition, never one per data row.
 """
 
 from __future__ import annotations
@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .materialize import broadcast_if_small, materialize
+from .materialize import materialize
 
 _PID, _POS, _N, _OFF, _FIRST = "_hm_pid", "_hm_pos", "_hm_n", "_hm_off", "_hm_first"
 
@@ -60,33 +60,27 @@ def dense_index(
     return out.select(*cols, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col))
 
 
-def input_order_ids(
-    df: DataFrame,
-    split_cols: list[str],
-    index_col: str = "id",
-    start: int = 1,
-) -> DataFrame:
-    """Number rows 1..n in input order without shuffling the rows.
+def input_order_ids(df: DataFrame, index_col: str = "id", start: int = 1) -> DataFrame:
+    """Number rows 1..n in scan order without shuffling the rows.
 
-    ``split_cols`` identify the input split a row came from (for files:
-    ``_metadata.file_path`` and ``_metadata.file_block_start``, attached by
-    the readers in ``hiremart.sources``).  Rows of one split are contiguous
-    in one scan task, so a row's id is the number of rows in earlier splits
-    plus its position in the split.  The scan runs twice (count pass and
-    final pass); both see the same splits, so the ids agree, and a retried
-    task re-reads the same split.
+    Scan order: the input splits in the order Spark assigns them to tasks,
+    rows in file order within a split -- deterministic for a given file
+    listing and configuration.  A row's id is the number of rows in earlier
+    scan partitions plus its position in its own partition, so the only
+    table built is one row of integers per scan task, broadcast by
+    construction.  The scan runs twice (count pass and final pass); both
+    passes, and any retried task, read the same splits, so the ids agree.
+    Rows filtered out before this call take no id.
     """
-    cols = [c for c in df.columns if c not in split_cols]
-    tagged = df.withColumn(_POS, F.monotonically_increasing_id())
-    per_split = tagged.groupBy(*split_cols).agg(
-        F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST)
-    )
-    offsets = materialize(
-        _running_offsets(per_split, split_cols).select(*split_cols, _FIRST, _OFF),
-        prefer_checkpoint=False,
-    )
-    out = tagged.join(broadcast_if_small(offsets), split_cols, "left")
-    return out.select(
-        (F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + F.lit(start)).cast("long").alias(index_col),
+    cols = list(df.columns)
+    pid = F.spark_partition_id()
+    tagged = df.select(
         *cols,
+        pid.alias(_PID),
+        (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias(_POS),
     )
+    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    # One row per scan partition: bounded by the task count, not the data.
+    offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)
+    out = tagged.join(F.broadcast(offsets), _PID, "left")
+    return out.select((F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col), *cols)

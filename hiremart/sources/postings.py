@@ -10,16 +10,10 @@ from ..functions.text import extract_json_string, java_trim, strip_bom
 from ..operators.numbering import input_order_ids
 from ..schemas import POSTING_JSON_KEYS, RAW_TEXT_COLUMNS
 
-SPLIT_COLS = ["_file", "_block"]
-
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines plus the split they came from (for input-order ids)."""
-    return spark.read.option("encoding", "UTF-8").text(path).select(
-        F.col("value").alias("line"),
-        F.col("_metadata.file_path").alias("_file"),
-        F.col("_metadata.file_block_start").alias("_block"),
-    )
+    """Text lines (files, folders or globs), UTF-8."""
+    return spark.read.option("encoding", "UTF-8").text(path).select(F.col("value").alias("line"))
 
 
 def parse_posting_lines(lines: DataFrame, line_col: str = "line", parser: str = "regex") -> DataFrame:
@@ -49,6 +43,6 @@ def valid_postings(df: DataFrame) -> DataFrame:
 
 
 def read_postings_jsonl(spark: SparkSession, path: str | list[str], parser: str = "regex") -> DataFrame:
-    """job_base_clean from JSON lines: parse, filter, ids 1..n in input order."""
+    """job_base_clean from JSON lines: parse, filter, ids 1..n in scan order."""
     parsed = valid_postings(parse_posting_lines(read_lines(spark, path), parser=parser))
-    return input_order_ids(parsed, SPLIT_COLS, "job_id").select("job_id", *RAW_TEXT_COLUMNS)
+    return input_order_ids(parsed, "job_id").select("job_id", *RAW_TEXT_COLUMNS)
