@@ -125,7 +125,8 @@ def pivot_share(
     top_r = top_k(row_tot, [F.desc(row_total_col), F.asc(row_col)], top_rows)
     col_tot = df.groupBy(col_col).agg(F.sum(item_count_col).alias("_col_total"))
     top_c = top_k(col_tot, [F.desc("_col_total"), F.asc(col_col)], top_cols)
-    col_values = [r[0] for r in top_c.select(col_col).collect()]   # at most top_cols values
+    # at most top_cols values; columns in sorted order, as a pivot table lists them
+    col_values = sorted((r[0] for r in top_c.select(col_col).collect()), key=lambda v: (v is None, str(v)))
     sub = df.join(F.broadcast(top_r.select(row_col)), row_col, "left_semi").join(
         F.broadcast(top_c.select(col_col)), col_col, "left_semi"
     )
