@@ -27,7 +27,7 @@ from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED, N
 from hiremart.operators import aggregates as AG  # noqa: E402
 from hiremart.operators.joins import left_join_default  # noqa: E402
 from hiremart.operators.materialize import materialize, spread  # noqa: E402
-from hiremart.operators.numbering import dense_index  # noqa: E402
+from hiremart.operators.numbering import dense_index, input_order_ids  # noqa: E402
 from hiremart.plans import features as FT  # noqa: E402
 from hiremart.plans import industry as IN  # noqa: E402
 from hiremart.plans import location as LO  # noqa: E402
@@ -120,6 +120,16 @@ def q_dense_row_id(spark, sf_dir):
     return dense_index(o, ["o_orderkey"], "row_id")
 
 
+def q_scan_order_ids(spark, sf_dir):
+    """W1 as the job assigns ids: 1..n in scan order, no shuffle of the rows.
+
+    The driver's orders file stores rows in key order, so scan order is
+    o_orderkey order and the oracle can state it with row_number().
+    """
+    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    return input_order_ids(o, "row_id")
+
+
 def q_dense_row_id_lineitem(spark, sf_dir):
     """W1 on the largest table: 1..n over (l_orderkey, l_linenumber)."""
     li = _t(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber")
@@ -398,6 +408,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "valid_rows": q_valid_rows,
     "dense_row_id": q_dense_row_id,
     "dense_row_id_lineitem": q_dense_row_id_lineitem,
+    "scan_order_ids": q_scan_order_ids,
     "data_quality_report": q_data_quality_report,
     "ragged_width_profile": q_ragged_width_profile,
     "ragged_tsv_roundtrip": q_ragged_tsv_roundtrip,
@@ -658,6 +669,7 @@ def oracle_sql() -> dict[str, str]:
         ),
         "valid_rows": _with(P_CTE) + f"SELECT job_id, raw_title FROM p WHERE {valid}",
         "dense_row_id": "SELECT o_orderkey, o_custkey, CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS row_id FROM orders",
+        "scan_order_ids": "SELECT CAST(row_number() OVER (ORDER BY o_orderkey) AS BIGINT) AS row_id, o_orderkey, o_custkey FROM orders",
         "dense_row_id_lineitem": (
             "SELECT l_orderkey, l_linenumber, CAST(row_number() OVER (ORDER BY l_orderkey, l_linenumber) AS BIGINT) AS row_id FROM lineitem"
         ),
