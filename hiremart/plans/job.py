@@ -214,6 +214,46 @@ def stage_presentation(store: Store, export_dir: str, export_format: str) -> dic
     return dict(zip(names, paths))
 
 
+PRESENTATION_KINDS = ["exp", "edu", "type", "skill"]
+
+
+def presentation_from_tables(
+    spark: SparkSession, tables_dir: str, export_dir: str | None = None, export_format: str = "csv", show: int = 0
+) -> dict[str, str]:
+    """Only the presentation stage, over existing tab-separated tables.
+
+    Reads the table layout of SURVEY §1.3 (folders of part files:
+    industry_total, industry_by_location, requirement_analysis/<kind>_total),
+    builds the ten marts and exports them.  A user with tables from an
+    earlier pipeline run can produce the marts without re-running it.
+    """
+    store = Store(spark, tables_dir, "tsv")
+    totals = _industry_totals_from_store(store)
+    by_loc = _by_location_from_store(store)
+    parts = []
+    for kind in PRESENTATION_KINDS:
+        t = store.read(f"requirement_analysis/{kind}_total", S.REQUIREMENT_TOTAL)
+        parts.append(t.select(F.lit(kind).alias("feature_type"), F.col("industry_code").alias("industry_id"),
+                              F.col("industry").alias("industry_name"), F.col("value").alias("feature_value"),
+                              F.col("job_count").alias("total_jobs")))
+    long = parts[0]
+    for p in parts[1:]:
+        long = long.unionByName(p)
+    if show > 0:
+        print_profiles(store, show)
+    marts = MA.presentation_marts(totals.where(F.col("industry_name") != "TONG_TAT_CA"), by_loc, long)
+    names = list(marts)
+    target = export_dir or store.path("viz")
+    paths = run_concurrently([(lambda n: (lambda: export(marts[n], target, n, export_format)))(n) for n in names])
+    return dict(zip(names, paths))
+
+
+def _exists(store: Store, name: str) -> bool:
+    jvm = store.spark._jvm
+    path = jvm.org.apache.hadoop.fs.Path(store.path(name))
+    return path.getFileSystem(store.spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def print_profiles(store: Store, n: int) -> None:
     """The console profiles of the presentation job.
 
@@ -230,6 +270,8 @@ def print_profiles(store: Store, n: int) -> None:
     by_loc.show(n, truncate=False)
     print("\n== top industries by province (top 3 each) ==")
     MA.top_industries_by_province(MA.industry_by_location_viz(by_loc), 3).show(n, truncate=False)
+    if not _exists(store, "job_base_clean"):
+        return
     base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
     if store.fmt == "tsv":
         ragged = read_ragged_tsv(store.spark, store.path("job_base_clean"), ["job_id"] + S.RAW_TEXT_COLUMNS, id_col="job_id")
@@ -270,8 +312,10 @@ def run(
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description="Job-posting analytics batch job")
-    ap.add_argument("--input", required=True, nargs="+", help="JSON-lines postings (files, folders or globs)")
+    ap.add_argument("--input", nargs="+", help="JSON-lines postings (files, folders or globs)")
     ap.add_argument("--output-dir", required=True)
+    ap.add_argument("--presentation-only", action="store_true",
+                    help="only build the marts from existing tab-separated tables in --output-dir")
     ap.add_argument("--table-format", default="parquet", choices=["parquet", "tsv"])
     ap.add_argument("--export-format", default="csv", choices=["csv", "parquet"])
     ap.add_argument("--export-dir", default=None)
@@ -282,6 +326,13 @@ def main(argv=None) -> int:
     ap.add_argument("--show", type=int, default=0, help="print console profiles with this many rows")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("hiremart").getOrCreate()
+    if args.presentation_only:
+        out = presentation_from_tables(spark, args.output_dir, args.export_dir, args.export_format, args.show)
+        for name, path in out.items():
+            print(f"{name}\t{path}")
+        return 0
+    if not args.input:
+        ap.error("--input is required unless --presentation-only")
     out = run(
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
@@ -296,4 +347,4 @@ if __name__ == "__main__":
     raise SystemExit(main())
 
 
-__all__ = ["run", "main", "Store", "data_quality_report", "valid_postings"]
+__all__ = ["run", "main", "presentation_from_tables", "Store", "data_quality_report", "valid_postings"]

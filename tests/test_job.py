@@ -92,3 +92,32 @@ def test_left_join_default(spark):
     for small in (False, True):
         out = left_join_default(left, right, ["job_id"], {"province_name": "UNKNOWN"}, small_right=small)
         assert sorted((r.t, r.province_name) for r in out.collect()) == [("a", "HA NOI"), ("b", "UNKNOWN"), ("c", "UNKNOWN")]
+
+
+def test_presentation_only_over_reference_layout_tables(spark, scratch):
+    from hiremart.plans.job import presentation_from_tables
+
+    def table(name, lines):
+        d = os.path.join(scratch, "tables", name)
+        os.makedirs(d)
+        with open(os.path.join(d, "part-m-00000"), "w", encoding="utf-8") as fh:
+            fh.write("".join(line + "\n" for line in lines))
+
+    table("industry_total", ["KINH DOANH\t5", "UNKNOWN\t2", "MARKETING\t3", "TONG_TAT_CA\t10"])
+    table("industry_by_location", [
+        "HA NOI\tKINH DOANH\t3", "HA NOI\tMARKETING\t1", "HA NOI\tUNKNOWN\t2", "DA NANG\tKINH DOANH\t2",
+        "DA NANG\tMARKETING\t2",
+    ])
+    table("requirement_analysis/exp_total", ["KINH_DOANH\tKINH DOANH\t1-3 NĂM\t4", "UNKNOWN\tUNKNOWN\t\t3"])
+    table("requirement_analysis/edu_total", ["KINH_DOANH\tKINH DOANH\tĐẠI HỌC\t5"])
+    table("requirement_analysis/type_total", ["KINH_DOANH\tKINH DOANH\tKHÁC / KHÔNG HIỂN THỊ\t5"])
+    table("requirement_analysis/skill_total", ["KINH_DOANH\tKINH DOANH\tSQL\t2", "MARKETING\tMARKETING\tSQL\t1"])
+    out = presentation_from_tables(spark, os.path.join(scratch, "tables"), show=3)
+    read = lambda n: open(out[n], encoding="utf-8").read().splitlines()
+    assert read("industry_total") == ["industry,job_count", "KINH DOANH,5", "MARKETING,3"]
+    assert read("province_total") == ["province,province_job_count", "DA NANG,4", "HA NOI,4"]
+    assert read("requirement_experience_total") == ["experience,job_count", "1-3 NĂM,4"]
+    assert read("requirement_employment_type_total") == ["employment_type,job_count"]
+    assert read("requirement_skill_total_top500") == ["skill,job_count", "SQL,3"]
+    share = read("province_industry_share")
+    assert "HA NOI,KINH DOANH,3,4,0.75" in share
