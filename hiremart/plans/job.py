@@ -203,22 +203,34 @@ def stage_features(store: Store) -> None:
     store.write(FT.feature_matrix(merged, ind, fv), "mahout_features")
 
 
-def stage_presentation(store: Store, export_dir: str, export_format: str) -> dict[str, str]:
+def export_marts(marts: dict[str, DataFrame], export_dir: str, export_format: str, chart_data: bool = False) -> dict[str, str]:
+    """Export the marts (and, optionally, the chart data derived from them)."""
+    jobs = {n: (marts[n], export_dir) for n in marts}
+    if chart_data:
+        for n, df in MA.chart_data(marts).items():
+            jobs[f"chart_{n}"] = (df, export_dir.rstrip("/") + "/charts")
+    names = list(jobs)
+    paths = run_concurrently(
+        [(lambda n: (lambda: export(jobs[n][0], jobs[n][1], n.removeprefix("chart_"), export_format)))(n) for n in names]
+    )
+    return dict(zip(names, paths))
+
+
+def stage_presentation(store: Store, export_dir: str, export_format: str, chart_data: bool = False) -> dict[str, str]:
     marts = MA.presentation_marts(
         _industry_totals_from_store(store).where(F.col("industry_name") != "TONG_TAT_CA"),
         _by_location_from_store(store),
         _long_from_store(store),
     )
-    names = list(marts)
-    paths = run_concurrently([(lambda n: (lambda: export(marts[n], export_dir, n, export_format)))(n) for n in names])
-    return dict(zip(names, paths))
+    return export_marts(marts, export_dir, export_format, chart_data)
 
 
 PRESENTATION_KINDS = ["exp", "edu", "type", "skill"]
 
 
 def presentation_from_tables(
-    spark: SparkSession, tables_dir: str, export_dir: str | None = None, export_format: str = "csv", show: int = 0
+    spark: SparkSession, tables_dir: str, export_dir: str | None = None, export_format: str = "csv", show: int = 0,
+    chart_data: bool = False,
 ) -> dict[str, str]:
     """Only the presentation stage, over existing tab-separated tables.
 
@@ -242,10 +254,7 @@ def presentation_from_tables(
     if show > 0:
         print_profiles(store, show)
     marts = MA.presentation_marts(totals.where(F.col("industry_name") != "TONG_TAT_CA"), by_loc, long)
-    names = list(marts)
-    target = export_dir or store.path("viz")
-    paths = run_concurrently([(lambda n: (lambda: export(marts[n], target, n, export_format)))(n) for n in names])
-    return dict(zip(names, paths))
+    return export_marts(marts, export_dir or store.path("viz"), export_format, chart_data)
 
 
 def _exists(store: Store, name: str) -> bool:
@@ -293,6 +302,7 @@ def run(
     pig_null_case: bool = True,
     overwrite: bool = False,
     show: int = 0,
+    chart_data: bool = False,
 ) -> dict[str, str]:
     """Run every stage; returns the exported mart paths."""
     store = Store(spark, output_dir, table_format)
@@ -307,7 +317,7 @@ def run(
     stage_features(store)
     if show > 0:
         print_profiles(store, show)
-    return stage_presentation(store, export_dir or store.path("viz"), export_format)
+    return stage_presentation(store, export_dir or store.path("viz"), export_format, chart_data)
 
 
 def main(argv=None) -> int:
@@ -324,10 +334,11 @@ def main(argv=None) -> int:
                     help="experience buckets with SQL CASE semantics instead of the reference's NULL rule")
     ap.add_argument("--overwrite", action="store_true", help="replace job_base_clean and data_quality_stats")
     ap.add_argument("--show", type=int, default=0, help="print console profiles with this many rows")
+    ap.add_argument("--chart-data", action="store_true", help="also export the data behind each chart (viz/charts)")
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("hiremart").getOrCreate()
     if args.presentation_only:
-        out = presentation_from_tables(spark, args.output_dir, args.export_dir, args.export_format, args.show)
+        out = presentation_from_tables(spark, args.output_dir, args.export_dir, args.export_format, args.show, args.chart_data)
         for name, path in out.items():
             print(f"{name}\t{path}")
         return 0
@@ -337,6 +348,7 @@ def main(argv=None) -> int:
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
         parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite, show=args.show,
+        chart_data=args.chart_data,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

@@ -112,7 +112,7 @@ def test_presentation_only_over_reference_layout_tables(spark, scratch):
     table("requirement_analysis/edu_total", ["KINH_DOANH\tKINH DOANH\tĐẠI HỌC\t5"])
     table("requirement_analysis/type_total", ["KINH_DOANH\tKINH DOANH\tKHÁC / KHÔNG HIỂN THỊ\t5"])
     table("requirement_analysis/skill_total", ["KINH_DOANH\tKINH DOANH\tSQL\t2", "MARKETING\tMARKETING\tSQL\t1"])
-    out = presentation_from_tables(spark, os.path.join(scratch, "tables"), show=3)
+    out = presentation_from_tables(spark, os.path.join(scratch, "tables"), show=3, chart_data=True)
     read = lambda n: open(out[n], encoding="utf-8").read().splitlines()
     assert read("industry_total") == ["industry,job_count", "KINH DOANH,5", "MARKETING,3"]
     assert read("province_total") == ["province,province_job_count", "DA NANG,4", "HA NOI,4"]
@@ -121,3 +121,7 @@ def test_presentation_only_over_reference_layout_tables(spark, scratch):
     assert read("requirement_skill_total_top500") == ["skill,job_count", "SQL,3"]
     share = read("province_industry_share")
     assert "HA NOI,KINH DOANH,3,4,0.75" in share
+    heat = read("chart_province_industry_share_heatmap")
+    assert heat[0] == "province,KINH DOANH,MARKETING,province_job_count"
+    assert heat[1:] == ["DA NANG,0.5,0.5,4", "HA NOI,0.75,0.25,4"]
+    assert read("chart_requirement_skill_top30") == ["skill,job_count", "SQL,3.0"]
