@@ -125,3 +125,20 @@ def test_presentation_only_over_reference_layout_tables(spark, scratch):
     assert heat[0] == "province,KINH DOANH,MARKETING,province_job_count"
     assert heat[1:] == ["DA NANG,0.5,0.5,4", "HA NOI,0.75,0.25,4"]
     assert read("chart_requirement_skill_top30") == ["skill,job_count", "SQL,3.0"]
+
+
+def test_job_on_input_without_valid_postings(spark, scratch):
+    d = os.path.join(scratch, "in")
+    os.makedirs(d)
+    with open(os.path.join(d, "a.jsonl"), "w", encoding="utf-8") as fh:
+        fh.write(json.dumps({K[0]: "  ", K[1]: "Kinh doanh"}, ensure_ascii=False) + "\n")
+        fh.write("not json at all\n")
+    out_dir = os.path.join(scratch, "out")
+    exported = run(spark, d, out_dir)
+    rd = lambda n: spark.read.parquet(os.path.join(out_dir, n))
+    assert rd("job_base_clean").count() == 0
+    assert rd("data_quality_stats").count() == 0          # no row, like a GROUP ALL over nothing
+    assert rd("final_63_provinces_total").count() == 0
+    assert rd("industry_total").count() == 0
+    assert rd("mahout_features").count() == 0
+    assert open(exported["province_total"], encoding="utf-8").read().strip() == "province,province_job_count"
