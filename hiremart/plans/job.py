@@ -303,10 +303,20 @@ def run(
     overwrite: bool = False,
     show: int = 0,
     chart_data: bool = False,
+    input_format: str = "jsonl",
 ) -> dict[str, str]:
-    """Run every stage; returns the exported mart paths."""
+    """Run every stage; returns the exported mart paths.
+
+    ``input_format="job_base_clean"`` starts from an existing tab-separated
+    job_base_clean table (ids already assigned) and runs stages 2-6.
+    """
     store = Store(spark, output_dir, table_format)
-    stored = stage_base(store, input_path, parser, "overwrite" if overwrite else "errorifexists")
+    if input_format == "job_base_clean":
+        stored = read_tsv(spark, input_path, S.JOB_BASE_CLEAN)
+    elif input_format == "jsonl":
+        stored = stage_base(store, input_path, parser, "overwrite" if overwrite else "errorifexists")
+    else:
+        raise ValueError(f"unknown input format: {input_format}")
     base = empty_as_null(stored, S.RAW_TEXT_COLUMNS)
     enriched = enrich(base)
     labels = LO.location_labels(enriched)
@@ -322,7 +332,8 @@ def run(
 
 def main(argv=None) -> int:
     ap = argparse.ArgumentParser(description="Job-posting analytics batch job")
-    ap.add_argument("--input", nargs="+", help="JSON-lines postings (files, folders or globs)")
+    ap.add_argument("--input", nargs="+", help="JSON-lines postings or a job_base_clean table (files, folders or globs)")
+    ap.add_argument("--input-format", default="jsonl", choices=["jsonl", "job_base_clean"])
     ap.add_argument("--output-dir", required=True)
     ap.add_argument("--presentation-only", action="store_true",
                     help="only build the marts from existing tab-separated tables in --output-dir")
@@ -348,7 +359,7 @@ def main(argv=None) -> int:
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
         parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite, show=args.show,
-        chart_data=args.chart_data,
+        chart_data=args.chart_data, input_format=args.input_format,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

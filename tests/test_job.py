@@ -142,3 +142,21 @@ def test_job_on_input_without_valid_postings(spark, scratch):
     assert rd("industry_total").count() == 0
     assert rd("mahout_features").count() == 0
     assert open(exported["province_total"], encoding="utf-8").read().strip() == "province,province_job_count"
+
+
+def test_job_from_a_job_base_clean_table(spark, scratch):
+    d = os.path.join(scratch, "job_base_clean")
+    os.makedirs(d)
+    rows = [
+        ["7", "Kế toán", "Kế toán / Kiểm toán", "", "Hà Nội", "3 năm", "", "Excel", "Cử nhân", "Toàn thời gian"],
+        ["9", "Dev", "Công nghệ thông tin", "", "Quận 1", "", "", "", "", ""],
+    ]
+    with open(os.path.join(d, "part-m-00000"), "w", encoding="utf-8") as fh:
+        fh.write("".join("\t".join(r) + "\n" for r in rows))
+    out_dir = os.path.join(scratch, "out")
+    run(spark, d, out_dir, input_format="job_base_clean")
+    log = {r.job_id: r.province_name for r in spark.read.parquet(os.path.join(out_dir, "log_location")).collect()}
+    assert log == {7: "HA NOI", 9: "TP HO CHI MINH"}
+    ind = [tuple(r) for r in spark.read.parquet(os.path.join(out_dir, "industry_total")).collect()]
+    assert ind[-1] == ("TONG_TAT_CA", 2)
+    assert not os.path.exists(os.path.join(out_dir, "data_quality_stats"))
