@@ -90,14 +90,17 @@ def numeric_or_null(c) -> Column:
     return F.col(c).cast("string").try_cast("double") if isinstance(c, str) else c.cast("string").try_cast("double")
 
 
-def bar_top_n(df: DataFrame, label_col: str, value_col: str, n: int) -> DataFrame:
-    """Chart data: drop NULL labels and non-numeric values, top n.
-
-    Ties are broken by label so the result is deterministic.
-    """
+def bar_data(df: DataFrame, label_col: str, value_col: str) -> DataFrame:
+    """Chart data: drop NULL labels and non-numeric values, sort by
+    value descending (ties by label, so the order is deterministic)."""
     v = numeric_or_null(value_col)
     clean = df.select(F.col(label_col), v.alias(value_col)).where(F.col(label_col).isNotNull() & F.col(value_col).isNotNull())
-    return top_k(clean, [F.desc(value_col), F.asc(label_col)], n)
+    return clean.orderBy(F.desc(value_col), F.asc(label_col))
+
+
+def bar_top_n(df: DataFrame, label_col: str, value_col: str, n: int) -> DataFrame:
+    """The first ``n`` bars of ``bar_data`` (a top-n chart)."""
+    return bar_data(df, label_col, value_col).limit(n)
 
 
 def pivot_share(

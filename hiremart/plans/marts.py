@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import INDUSTRY_TOTAL_LABEL, is_irrelevant, is_known_category
-from ..operators.aggregates import bar_top_n, pivot_share, share_of_group, sum_by_value, top_k, top_n_per_group
+from ..operators.aggregates import bar_data, bar_top_n, pivot_share, share_of_group, sum_by_value, top_k, top_n_per_group
 
 REQUIREMENT_MARTS = {
     "exp": ("requirement_experience_total", "experience"),
@@ -107,7 +107,7 @@ def chart_data(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
     for kind in ("exp", "edu", "type"):
         name, label = REQUIREMENT_MARTS[kind]
         m = marts[name]
-        out[name] = bar_top_n(m, label, "job_count", 1_000_000)  # all buckets, sorted
+        out[name] = bar_data(m, label, "job_count")   # every bucket, sorted
     return out
 
 
