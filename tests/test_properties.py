@@ -9,10 +9,10 @@ from hypothesis import strategies as st
 from conftest import one_col
 from hiremart.functions import text as TX
 
-ALPHABET = "ab /,>;|[]+\t\n\r  xyÉéếđ\"':{}5"
+ALPHABET = "ab /,>;|[]+\t\n\r\u2028\u00a0xyÉéếđ\"':{}5"
 TEXTS = st.lists(st.text(alphabet=ALPHABET, max_size=14), min_size=50, max_size=120)
 SETTINGS = settings(max_examples=4, deadline=None, suppress_health_check=list(HealthCheck))
-TERMINATORS = "\n\r\u0085  "
+TERMINATORS = "\n\r\u0085\u2028\u2029"
 
 
 def java_trim(s):
@@ -91,7 +91,7 @@ LINE_PARTS = st.lists(
         st.tuples(st.sampled_from(KEYS), st.text(alphabet='xy "\\', max_size=5)).map(
             lambda kv: '"%s": "%s"' % kv),
         st.tuples(st.sampled_from(KEYS), st.integers(0, 99)).map(lambda kv: '"%s": %d' % kv),
-        st.text(alphabet='xy,{}  "', max_size=6),
+        st.text(alphabet='xy,{} \u2028"', max_size=6),
     ),
     max_size=6,
 ).map(lambda parts: "{" + ", ".join(parts) + "}")
