@@ -26,7 +26,7 @@ def _write_input(scratch):
     os.makedirs(d)
     with open(os.path.join(d, "a.jsonl"), "w", encoding="utf-8") as fh:
         for p in POSTINGS[:3]:
-            fh.write("﻿" + json.dumps(p, ensure_ascii=False) + "\n")
+            fh.write("\ufeff" + json.dumps(p, ensure_ascii=False) + "\n")
     with open(os.path.join(d, "b.jsonl"), "w", encoding="utf-8") as fh:
         for p in POSTINGS[3:]:
             fh.write(json.dumps(p, ensure_ascii=False) + "\n")

@@ -59,7 +59,7 @@ def test_slug_deletes_accents(spark):
 
 
 def test_fold_accents_and_separators(spark):
-    df = one_col(spark, ["Hà Nội | Đà Nẵng", "Huế...x", "TP. Hồ Chí Minh", "Quận 7…", None])
+    df = one_col(spark, ["Hà Nội | Đà Nẵng", "Huế...x", "TP.\u00a0Hồ Chí Minh", "Quận 7…", None])
     assert column(df.select(TX.clean_location("v"))) == [
         "ha noi   da nang", "hue x", "tp. ho chi minh", "quan 7 ", "",
     ]
@@ -92,7 +92,7 @@ def test_tokenize_explode_drops_rows_without_tokens(spark):
 def test_json_extraction_edge_cases(spark):
     key = "Tên công việc"
     lines = [
-        '﻿{"Tên công việc": "Kế toán"}',                       # BOM (removed first)
+        '\ufeff{"Tên công việc": "Kế toán"}',                       # BOM (removed first)
         '{"Ngành nghề": "X"}',                                       # missing key
         '{"Tên công việc": "A", "Tên công việc": "B"}',              # last one wins
         '{"Tên công việc": "say \\"hi\\""}',                         # cut at first quote
@@ -124,7 +124,7 @@ def test_json_parser_mode(spark):
     from hiremart.sources.postings import parse_posting_lines
 
     lines = one_col(spark, [
-        '﻿{"Tên công việc": "say \\"hi\\"", "Kỹ năng": 5}',
+        '\ufeff{"Tên công việc": "say \\"hi\\"", "Kỹ năng": 5}',
         '{"Tên công việc": "A", "Tên công việc": "B"}',
         'not json',
     ], "line")
