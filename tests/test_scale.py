@@ -74,3 +74,19 @@ def test_filters_reach_the_parquet_scan(spark, scratch):
     spark.range(100).select(F.col("id").alias("job_id"), F.lit("x").alias("raw_title")).write.parquet(path)
     plan = _plan(spark.read.parquet(path).where(F.col("job_id") > 50).select("raw_title"))
     assert "PushedFilters: [IsNotNull(job_id), GreaterThan(job_id,50)]" in plan
+
+
+def test_id_count_pass_parses_only_the_title(spark, scratch):
+    import json
+
+    from hiremart.operators import numbering as N
+    from hiremart.sources.postings import parse_posting_lines, read_lines, valid_postings
+
+    with open(os.path.join(scratch, "a.jsonl"), "w", encoding="utf-8") as fh:
+        fh.write(json.dumps({"Tên công việc": "x"}, ensure_ascii=False) + "\n")
+    parsed = valid_postings(parse_posting_lines(read_lines(spark, scratch)))
+    pid = F.spark_partition_id()
+    tagged = parsed.select(*parsed.columns, pid.alias(N._PID), F.monotonically_increasing_id().alias(N._POS))
+    plan = _plan(tagged.groupBy(N._PID).count())
+    assert "Tên công việc" in plan
+    assert "Kỹ năng" not in plan and "Ngành nghề" not in plan
