@@ -28,14 +28,22 @@ _FIXED_WIDTH = {
 
 
 def checkpoint_dir(spark) -> str | None:
-    """The shared checkpoint folder configured for this session, if any."""
-    d = spark.sparkContext.getCheckpointDir()
+    """The shared checkpoint folder configured for this session, if any.
+
+    Sessions without a SparkContext handle (Spark Connect) report None, so
+    callers fall back to persisting.
+    """
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - no SparkContext in this session type
+        return None
+    d = sc.getCheckpointDir()
     if d:
         return d
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if conf:
-        spark.sparkContext.setCheckpointDir(conf)
-        return spark.sparkContext.getCheckpointDir()
+        sc.setCheckpointDir(conf)
+        return sc.getCheckpointDir()
     return None
 
 
@@ -104,7 +112,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     inlined, on the single input task.  Round-robin repartitioning sorts
     rows first, so a lost partition is recomputed identically.
     """
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        current = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - no RDD view in this session type: leave as is
+        return df
+    if current >= target:
         return df
     return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
