@@ -9,6 +9,7 @@ one row per partition, never one per data row.
 
 from __future__ import annotations
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,12 +40,16 @@ def dense_index(
     ``order_cols`` must be a total order (unique), so recomputation after a
     lost executor gives the same numbers.  Range partitioning spreads the
     sort over all tasks; the sorted frame is materialized once and read by
-    the offset pass and the final pass.
+    the offset pass and the final pass.  The input is kept while the range
+    bounds are sampled and the sorted frame is written, so its plan runs
+    once rather than once per pass.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     cols = list(df.columns)
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    own_cache = df.storageLevel == StorageLevel.NONE      # never drop a caller's cache
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else df
+    ranged = kept.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
     pid = F.spark_partition_id()
     tagged = materialize(
         ranged.select(
@@ -53,6 +58,8 @@ def dense_index(
             (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias(_POS),
         )
     )
+    if own_cache:
+        kept.unpersist()
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     # One row per range partition: at most ``n`` rows by construction.
     offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)

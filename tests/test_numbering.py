@@ -41,3 +41,11 @@ def test_input_order_ids_many_partitions(spark):
     rows = input_order_ids(df, "n").collect()
     assert sorted(r.n for r in rows) == list(range(1, 1001))
     assert all(r.n == r.id + 1 for r in rows)   # range() yields rows in partition order
+
+
+def test_dense_index_keeps_a_callers_cache(spark):
+    df = spark.range(0, 100).select((F.col("id") * 3).alias("k")).persist()
+    df.count()
+    dense_index(df, ["k"], "i")
+    assert df.storageLevel.useMemory or df.storageLevel.useDisk
+    df.unpersist()
