@@ -119,3 +119,50 @@ def test_json_extraction_model(spark, lines):
     for key in KEYS:
         got = [r[0] for r in df.select(TX.extract_json_string("v", key)).collect()]
         assert got == [json_model(s, key) for s in lines], key
+
+
+FRAGMENTS = ["", " ", "1", "3", "5", "7", "12", "0", " - ", "-", "10", "năm", "Năm", "trên", "Trên 5", "dưới 1 năm",
+             "DƯỚI 1 NĂM", "không yêu cầu", "Không hiển thị", "null", "thỏa thuận", "\t", "\n", " ", "x"]
+EXP_TEXTS = st.lists(
+    st.one_of(st.none(), st.lists(st.sampled_from(FRAGMENTS), max_size=4).map("".join)), min_size=60, max_size=120
+)
+
+
+def experience_model(raw, pig_nulls):
+    t = java_trim(raw or "")
+    r = "UNKNOWN" if raw is None or t == "" else t.upper()
+    m = re.match("[0-9]+", t)
+    digits = m.group(0) if m else None
+    clean = not any(ch in TERMINATORS for ch in r)
+
+    def anywhere(p):
+        return clean and re.search(p, r) is not None
+
+    if r in ("KHÔNG YÊU CẦU", "KHÔNG HIỂN THỊ", "UNKNOWN", "NULL"):
+        return "KHÔNG YÊU CẦU"
+    if anywhere("DƯỚI 1 NĂM"):
+        return "DƯỚI 1 NĂM"
+    if digits is None and pig_nulls:
+        return None           # the reference's CASE turns NULL here
+    if digits in ("1", "2", "3"):
+        return "1-3 NĂM"
+    if digits in ("4", "5"):
+        return "3-5 NĂM"
+    if anywhere("5[ \t\n\x0b\f\r]*-[ \t\n\x0b\f\r]*10"):
+        return "3-5 NĂM"
+    if digits is not None and (digits in "6789" and len(digits) == 1 or (len(digits) > 1 and digits[0] != "0")):
+        return "TRÊN 5 NĂM"
+    if anywhere("TRÊN[ \t\n\x0b\f\r]*5"):
+        return "TRÊN 5 NĂM"
+    return r
+
+
+@SETTINGS
+@given(EXP_TEXTS)
+def test_experience_model(spark, texts):
+    from hiremart.functions.buckets import experience_bucket
+
+    df = one_col(spark, texts)
+    got = df.select(experience_bucket("v").alias("a"), experience_bucket("v", True).alias("b")).collect()
+    assert [r.a for r in got] == [experience_model(s, False) for s in texts]
+    assert [r.b for r in got] == [experience_model(s, True) for s in texts]
