@@ -122,7 +122,7 @@ def test_json_extraction_model(spark, lines):
 
 
 FRAGMENTS = ["", " ", "1", "3", "5", "7", "12", "0", " - ", "-", "10", "năm", "Năm", "trên", "Trên 5", "dưới 1 năm",
-             "DƯỚI 1 NĂM", "không yêu cầu", "Không hiển thị", "null", "thỏa thuận", "\t", "\n", " ", "x"]
+             "DƯỚI 1 NĂM", "không yêu cầu", "Không hiển thị", "null", "thỏa thuận", "\t", "\n", "\u2028", "x"]
 EXP_TEXTS = st.lists(
     st.one_of(st.none(), st.lists(st.sampled_from(FRAGMENTS), max_size=4).map("".join)), min_size=60, max_size=120
 )
@@ -166,3 +166,39 @@ def test_experience_model(spark, texts):
     got = df.select(experience_bucket("v").alias("a"), experience_bucket("v", True).alias("b")).collect()
     assert [r.a for r in got] == [experience_model(s, False) for s in texts]
     assert [r.b for r in got] == [experience_model(s, True) for s in texts]
+
+
+PLACES = ["Hà Nội", "Vĩnh Phúc", "Quận 7", "Q.07", "district 12", "Huế", "Đà Nẵng", "Tân Uyên", "Bình Dương",
+          "Trà Vinh", "Long Hồ", "Johnson", "Negotiable", "Tokyo", "Cần Thơ", "Đồng Văn", " | ", "...", "…", ", ",
+          "\u00a0", "\n", " ", "xyz"]
+LOC_TEXTS = st.lists(
+    st.one_of(st.none(), st.lists(st.sampled_from(PLACES), max_size=3).map("".join)), min_size=60, max_size=120
+)
+
+
+def classify_model(raw):
+    from hiremart.functions.provinces import LOCATION_RULES
+    from hiremart.functions.text import ACCENT_FAMILIES
+
+    fold = {ch: base for base, chars in ACCENT_FAMILIES for ch in chars}
+    s = "".join(fold.get(ch, ch) for ch in (raw or "").lower())
+    s = s.replace("\u00a0", " ").replace("|", " ").replace("...", " ").replace("…", " ")
+    if s == "":
+        return "UNKNOWN"
+    if any(ch in TERMINATORS for ch in s):
+        return "UNKNOWN"                       # Java's '.' cannot cross a line terminator
+    for rule in LOCATION_RULES:               # first rule that occurs anywhere wins
+        if re.search(rule.regex(), s):
+            return rule.label
+    return "UNKNOWN"
+
+
+@SETTINGS
+@given(LOC_TEXTS)
+def test_location_classifier_model(spark, texts):
+    from hiremart.functions.text import clean_location
+    from hiremart.operators.classify import rule_chain
+
+    df = one_col(spark, texts)
+    got = [r[0] for r in df.select(rule_chain(clean_location("v"))).collect()]
+    assert got == [classify_model(s) for s in texts]
