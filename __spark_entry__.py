@@ -168,6 +168,11 @@ def q_ragged_tsv_roundtrip(spark, sf_dir):
     return r.select("job_id", *RAW_TEXT_COLUMNS, "_ncols")
 
 
+def q_job_base_width_profile(spark, sf_dir):
+    """Field-count distribution of the tab-separated postings lines."""
+    return MA.width_profile(q_ragged_tsv_roundtrip(spark, sf_dir))
+
+
 def q_normalize_text(spark, sf_dir):
     """T3 + T4 + T5 on whole documents: collapse whitespace, Java trim, upper."""
     docs = _texts(spark, sf_dir, "documents")
@@ -338,6 +343,11 @@ def q_top5_industries_by_province(spark, sf_dir):
     return MA.top_industries_by_province(_by_location_viz(spark, sf_dir), 5)
 
 
+def q_top3_industries_by_province(spark, sf_dir):
+    """The console's top 3 industries of each province."""
+    return MA.top_industries_by_province(_by_location_viz(spark, sf_dir), 3)
+
+
 def q_share_of_group(spark, sf_dir):
     """W5 + J6 + T21: M6."""
     return MA.province_industry_share(_by_location_viz(spark, sf_dir))
@@ -412,6 +422,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "data_quality_report": q_data_quality_report,
     "ragged_width_profile": q_ragged_width_profile,
     "ragged_tsv_roundtrip": q_ragged_tsv_roundtrip,
+    "job_base_width_profile": q_job_base_width_profile,
     "normalize_text": q_normalize_text,
     "head_segment": q_head_segment,
     "slug": q_slug,
@@ -442,6 +453,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "province_total": q_province_total,
     "topn_per_group": q_topn_per_group,
     "top5_industries_by_province": q_top5_industries_by_province,
+    "top3_industries_by_province": q_top3_industries_by_province,
     "share_of_group": q_share_of_group,
     "topk_global": q_topk_global,
     "distinct_lookup": q_distinct_lookup,
@@ -698,6 +710,11 @@ def oracle_sql() -> dict[str, str]:
             "CAST(10 - CASE WHEN job_id % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN job_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS _ncols "
             "FROM p"
         ),
+        "job_base_width_profile": (
+            _with(P_CTE)
+            + "SELECT CAST(10 - CASE WHEN job_id % 4 = 0 THEN 1 ELSE 0 END + CASE WHEN job_id % 5 = 0 THEN 1 ELSE 0 END AS BIGINT) AS _ncols, "
+            "CAST(count(*) AS BIGINT) AS count FROM p GROUP BY 1"
+        ),
         "normalize_text": f"SELECT doc_id, upper(replace({s_jtrim(s_collapse('text'))}, 'ß', 'SS')) AS norm_text FROM documents",
         "head_segment": _with(P_CTE, E_CTE) + "SELECT job_id, industry_name, req_industry_name FROM e",
         "slug": f"SELECT p_partkey, {s_slug_or_unknown('p_name')} AS name_slug, {s_slug_or_unknown('p_type')} AS type_slug FROM part",
@@ -775,6 +792,11 @@ def oracle_sql() -> dict[str, str]:
             + "SELECT * FROM (SELECT province, industry, job_count, CAST(row_number() OVER "
             "(PARTITION BY province ORDER BY job_count DESC, industry) AS BIGINT) AS rn FROM viz) WHERE rn <= 5"
         ),
+        "top3_industries_by_province": (
+            _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)
+            + "SELECT * FROM (SELECT province, industry, job_count, CAST(row_number() OVER "
+            "(PARTITION BY province ORDER BY job_count DESC, industry) AS BIGINT) AS rn FROM viz) WHERE rn <= 3"
+        ),
         "share_of_group": (
             _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)
             + "SELECT v.province, v.industry, v.job_count, t.province_job_count, "
