@@ -38,7 +38,7 @@ EMPLOYMENT_TYPE_MAP = [
     (["KHÁC", "KHÔNG HIỂN THỊ", "UNKNOWN"], "KHÁC / KHÔNG HIỂN THỊ"),
 ]
 
-# Feature-type codes of the integer feature matrix; anything else is 0.
+# Feature-type codes of the integer feature matrix (anything else is 0).
 FEATURE_TYPE_CODES = [("exp", 1), ("edu", 2), ("type", 3), ("skill", 4), ("req", 5), ("location", 6)]
 
 

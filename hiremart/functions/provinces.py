@@ -133,6 +133,7 @@ PROVINCE_CODES: dict[str, int] = {
 SPECIAL_CODES = {OVERSEAS: -1, UNKNOWN: 0}
 OTHER_CODE = 0
 
+# Fixed value: label of the grand-total row of the province totals.
 TOTAL_LABEL = "=== TONG CONG (ALL) ==="
 
 

@@ -80,6 +80,10 @@ def run_concurrently(actions: list[Callable[[], object]], max_workers: int = 4)
         return [f.result() for f in [pool.submit(a) for a in actions]]
 
 
+# Fixed value: the report name written in the data-quality table.
+REPORT_NAME = "Data_Quality_Report"
+
+
 def data_quality_report(postings: DataFrame) -> DataFrame:
     """A6 + F2: total postings and postings with a shown sector, skills, requirement."""
 
@@ -93,7 +97,7 @@ def data_quality_report(postings: DataFrame) -> DataFrame:
         shown("raw_req").alias("jobs_with_requirement"),
     )
     return agg.where(F.col("total_jobs") > 0).select(
-        F.lit("Data_Quality_Report").alias("report_name"),
+        F.lit(REPORT_NAME).alias("report_name"),
         "total_jobs", "jobs_with_sector", "jobs_with_skills", "jobs_with_requirement",
     )
 
