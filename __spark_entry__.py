@@ -51,9 +51,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _texts(spark, sf_dir, name):
-    """A text table for row-wise regex work, spread over the cores."""
-    return spread(_t(spark, sf_dir, name))
+def _texts(spark, sf_dir, name, *cols):
+    """The needed columns of a text table, spread over the cores for row-wise
+    regex work (columns are chosen before the spread so the scan stays pruned)."""
+    return spread(_t(spark, sf_dir, name).select(*cols))
 
 
 def _postings(spark, sf_dir):
@@ -77,7 +78,7 @@ def q_industry_total(spark, sf_dir):
 
 def q_extract_or_null(spark, sf_dir):
     """Regex field extraction, NULL when absent."""
-    pages = _texts(spark, sf_dir, "pages")
+    pages = _texts(spark, sf_dir, "pages", "page_id", "html")
     return pages.select(
         "page_id",
         TX.extract_or_null(F.col("html"), "<title>([^<]*)").alias("title"),
@@ -143,7 +144,7 @@ def q_data_quality_report(spark, sf_dir):
 
 def q_ragged_width_profile(spark, sf_dir):
     """S5 + T20 + A8: every text line split on spaces; lines per field count."""
-    docs = _texts(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents", "text")
     lines = docs.select(F.explode(F.split(F.col("text"), "\n", -1)).alias("line"))
     r = ragged_fields(lines, "line", ["first", "second"], sep=" ")
     return r.groupBy("_ncols").agg(
@@ -175,7 +176,7 @@ def q_job_base_width_profile(spark, sf_dir):
 
 def q_normalize_text(spark, sf_dir):
     """T3 + T4 + T5 on whole documents: collapse whitespace, Java trim, upper."""
-    docs = _texts(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", F.upper(TX.java_trim(TX.collapse_ws(F.col("text")))).alias("norm_text"))
 
 
@@ -198,13 +199,13 @@ def q_industry_slug(spark, sf_dir):
 
 def q_fold_accents(spark, sf_dir):
     """T8 + T9 on whole documents."""
-    docs = _texts(spark, sf_dir, "documents")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "text")
     return docs.select("doc_id", TX.clean_location(F.col("text")).alias("folded"))
 
 
 def q_fold_accents_conversations(spark, sf_dir):
     """T8 + T9 on every conversation turn."""
-    c = _texts(spark, sf_dir, "conversations")
+    c = _texts(spark, sf_dir, "conversations", "conv_id", "turn", "text")
     return c.select("conv_id", "turn", TX.clean_location(F.col("text")).alias("folded"))
 
 
@@ -244,7 +245,7 @@ def q_code_lookup(spark, sf_dir):
 
 def q_left_join_default(spark, sf_dir):
     """Left join with a default for unmatched rows."""
-    docs = _texts(spark, sf_dir, "documents").select("doc_id", "lang")
+    docs = _texts(spark, sf_dir, "documents", "doc_id", "lang")
     labels = _t(spark, sf_dir, "labels")
     j = left_join_default(docs, labels, ["doc_id"], {"quality": -1, "toxic": -1})
     return j.select(
