@@ -319,7 +319,7 @@ def _req_mart(kind):
 
 def _by_location_viz(spark, sf_dir):
     e, labels = _labelled(spark, sf_dir)
-    return MA.industry_by_location_viz(IN.industry_by_location(e, labels))
+    return MA.industry_by_location_viz(IN.industry_by_location(e, labels, sort=False))
 
 
 def q_industry_by_location_viz(spark, sf_dir):
@@ -367,7 +367,7 @@ def q_distinct_lookup(spark, sf_dir):
 def _merged(spark, sf_dir):
     """The merged feature rows (an aggregate), computed once for its three readers."""
     e, labels = _labelled(spark, sf_dir)
-    return materialize(FT.merged_features(RQ.requirement_long(e), IN.industry_by_location(e, labels)))
+    return materialize(FT.merged_features(RQ.requirement_long(e), IN.industry_by_location(e, labels, sort=False)))
 
 
 def q_industry_index(spark, sf_dir):

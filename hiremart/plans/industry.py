@@ -24,12 +24,15 @@ def industry_totals(enriched: DataFrame) -> DataFrame:
     )
 
 
-def industry_by_location(enriched: DataFrame, labels: DataFrame) -> DataFrame:
-    """location_name, industry_name, total_jobs, sorted by location, industry."""
+def industry_by_location(enriched: DataFrame, labels: DataFrame, sort: bool = True) -> DataFrame:
+    """location_name, industry_name, total_jobs (sorted by location, industry).
+
+    ``sort=False`` skips the global sort when the table only feeds further
+    aggregates or windows.
+    """
     c = counts_by_province(count_by_raw_industry(enriched, ["loc_key"]), labels, ["industry_name"], count_col="_n")
-    return c.select(F.col("province_name").alias("location_name"), "industry_name", "total_jobs").orderBy(
-        "location_name", "industry_name"
-    )
+    out = c.select(F.col("province_name").alias("location_name"), "industry_name", "total_jobs")
+    return out.orderBy("location_name", "industry_name") if sort else out
 
 
 def titles_by_location(enriched: DataFrame, labels: DataFrame, sort: bool = True) -> DataFrame:

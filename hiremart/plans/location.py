@@ -51,16 +51,20 @@ def province_details(enriched: DataFrame, labels: DataFrame) -> DataFrame:
 def counts_by_province(
     enriched: DataFrame, labels: DataFrame, extra_keys: list[str] | None = None, count_col: str | None = None
 ) -> DataFrame:
-    """Pre-aggregate per raw location (and ``extra_keys``), then map to provinces.
+    """Counts per (province, ``extra_keys``), mapping raw locations via the labels.
 
-    ``count_col`` names a column of partial counts to sum instead of
-    counting rows (for input that is already pre-aggregated).
+    Rows are first counted per raw location (and ``extra_keys``), so the
+    label join sees aggregated rows.  ``count_col`` names a column of
+    partial counts on input that is already aggregated per raw location;
+    such input joins the labels directly, without another shuffle.
     """
-    keys = ["loc_key"] + list(extra_keys or [])
-    measure = F.sum(count_col) if count_col else F.count(F.lit(1))
-    per_key = enriched.groupBy(*keys).agg(measure.alias("_n"))
+    extra = list(extra_keys or [])
+    if count_col:
+        per_key = enriched.select("loc_key", *extra, F.col(count_col).alias("_n"))
+    else:
+        per_key = enriched.groupBy("loc_key", *extra).agg(F.count(F.lit(1)).alias("_n"))
     mapped = per_key.join(labels, "loc_key", "left")
-    return mapped.groupBy("province_name", *(extra_keys or [])).agg(F.sum("_n").cast("long").alias("total_jobs"))
+    return mapped.groupBy("province_name", *extra).agg(F.sum("_n").cast("long").alias("total_jobs"))
 
 
 def province_totals(enriched: DataFrame, labels: DataFrame) -> DataFrame:
