@@ -90,3 +90,12 @@ def test_id_count_pass_parses_only_the_title(spark, scratch):
     plan = _plan(tagged.groupBy(N._PID).count())
     assert "Tên công việc" in plan
     assert "Kỹ năng" not in plan and "Ngành nghề" not in plan
+
+
+def test_driver_plans_have_no_cartesian_or_fallback_joins(spark):
+    import __spark_entry__ as E
+
+    for name, fn in E.queries().items():
+        plan = _plan(fn(spark, "/root/testdata/sf0.001"))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin"):
+            assert bad not in plan, (name, bad)
