@@ -326,8 +326,13 @@ def run(
     labels = LO.location_labels(enriched)
     LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
     facts = store.spark.read.parquet(store.path(FACTS_TABLE))
-    run_concurrently(stage_location(store, enriched, labels, facts) + stage_industry(store, enriched, labels, facts))
-    stage_requirements(store, enriched, pig_null_case)
+    # The requirement stage needs only the postings, so it runs beside the
+    # location and industry writes.
+    run_concurrently(
+        [lambda: stage_requirements(store, enriched, pig_null_case)]
+        + stage_location(store, enriched, labels, facts)
+        + stage_industry(store, enriched, labels, facts)
+    )
     stage_features(store)
     if show > 0:
         print_profiles(store, show)
