@@ -83,16 +83,23 @@ def size_of(df: DataFrame) -> tuple[int, int]:
     return int(row["n"]), int(row["b"] or 0)
 
 
-def broadcast_if_small(
-    df: DataFrame,
-    max_rows: int = DEFAULT_BROADCAST_MAX_ROWS,
-    max_bytes: int = DEFAULT_BROADCAST_MAX_BYTES,
-) -> DataFrame:
+def broadcast_limits(spark) -> tuple[int, int]:
+    """(max rows, max bytes) for measured broadcasts; tunable per session with
+    ``hiremart.broadcast.maxRows`` and ``hiremart.broadcast.maxBytes``."""
+    rows = spark.conf.get("hiremart.broadcast.maxRows", None)
+    nbytes = spark.conf.get("hiremart.broadcast.maxBytes", None)
+    return (int(rows) if rows else DEFAULT_BROADCAST_MAX_ROWS, int(nbytes) if nbytes else DEFAULT_BROADCAST_MAX_BYTES)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: int | None = None) -> DataFrame:
     """Broadcast hint only when the measured size is within both limits.
 
     Callers pass a materialized frame, so the measuring job and the join
-    read the same computed data.
+    read the same computed data.  Limits default to ``broadcast_limits``.
     """
+    default_rows, default_bytes = broadcast_limits(df.sparkSession)
+    max_rows = default_rows if max_rows is None else max_rows
+    max_bytes = default_bytes if max_bytes is None else max_bytes
     rows, nbytes = size_of(df)
     if rows <= max_rows and nbytes <= max_bytes:
         return F.broadcast(df)

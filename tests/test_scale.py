@@ -35,20 +35,18 @@ def test_size_estimate_counts_text_bytes(spark):
     assert rows == 3 and nbytes == 3 * 16 + 5
 
 
-def test_label_table_falls_back_to_shuffle_join_when_large(spark, monkeypatch):
-    monkeypatch.setattr(M, "DEFAULT_BROADCAST_MAX_ROWS", 1)
+def test_label_table_falls_back_to_shuffle_join_when_large(spark):
     df = spark.createDataFrame([("Hà Nội",), ("Huế",), ("Hà Nội",)], "loc_key string")
-    from hiremart.operators import classify
-
-    monkeypatch.setattr(classify, "broadcast_if_small", lambda d: M.broadcast_if_small(d, max_rows=1))
-    labels = label_table(df, "loc_key", rule_chain, "p", prepare=clean_location)
+    spark.conf.set("hiremart.broadcast.maxRows", "1")          # a cluster operator's limit
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
+        labels = label_table(df, "loc_key", rule_chain, "p", prepare=clean_location)
         joined = df.join(labels, "loc_key", "left")
         assert "BroadcastHashJoin" not in _plan(joined)
         assert sorted(r.p for r in joined.collect()) == ["HA NOI", "HA NOI", "THUA THIEN HUE"]
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("hiremart.broadcast.maxRows")
 
 
 def test_spread_is_a_noop_on_wide_inputs(spark):
