@@ -134,9 +134,10 @@ def test_job_on_input_without_valid_postings(spark, scratch):
         fh.write(json.dumps({K[0]: "  ", K[1]: "Kinh doanh"}, ensure_ascii=False) + "\n")
         fh.write("not json at all\n")
     out_dir = os.path.join(scratch, "out")
-    exported = run(spark, d, out_dir)
+    exported = run(spark, d, out_dir, chart_data=True)
     rd = lambda n: spark.read.parquet(os.path.join(out_dir, n))
     assert rd("job_base_clean").count() == 0
+    assert open(exported["chart_province_industry_share_heatmap"]).read().strip() == "province,province_job_count"
     assert rd("data_quality_stats").count() == 0          # no row, like a GROUP ALL over nothing
     assert rd("final_63_provinces_total").count() == 0
     assert rd("industry_total").count() == 0
