@@ -20,7 +20,7 @@ def industry_totals(enriched: DataFrame) -> DataFrame:
     """
     return with_grand_total(
         count_by_raw_industry(enriched, []), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL,
-        total_first=False, value_expr=F.sum("_n"),
+        total_first=False, value_expr=F.sum("_n_id"),
     )
 
 
@@ -54,8 +54,8 @@ def titles_by_location(enriched: DataFrame, labels: DataFrame, sort: bool = True
 def industry_totals_from_facts(facts: DataFrame) -> DataFrame:
     """Same as ``industry_totals`` but summed from the location x industry facts."""
     return with_grand_total(
-        facts.select("industry_name", "_n"), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL,
-        total_first=False, value_expr=F.sum("_n"),
+        facts.select("industry_name", "_n_id"), "industry_name", "total_jobs", INDUSTRY_TOTAL_LABEL,
+        total_first=False, value_expr=F.sum("_n_id"),
     )
 
 

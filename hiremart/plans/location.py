@@ -68,8 +68,11 @@ def counts_by_province(
 
 
 def province_totals(enriched: DataFrame, labels: DataFrame) -> DataFrame:
-    """city_name, job_count, is_total: grand total first, then count desc."""
-    per_key = enriched.groupBy("loc_key").agg(F.count(F.lit(1)).alias("_n"))
+    """city_name, job_count, is_total: grand total first, then count desc.
+
+    Counts postings with a non-NULL job_id, as the reference's total does.
+    """
+    per_key = enriched.groupBy("loc_key").agg(F.count("job_id").alias("_n"))
     mapped = per_key.join(labels, "loc_key", "left").select(
         F.col("province_name").alias("city_name"), "_n"
     )
@@ -85,10 +88,10 @@ def location_industry_facts(enriched: DataFrame) -> DataFrame:
     one scan and one partial-aggregated shuffle serve all three.
     """
     per_raw = count_by_raw_industry(enriched, ["loc_key"])
-    return per_raw.groupBy("loc_key", "industry_name").agg(F.sum("_n").alias("_n"))
+    return per_raw.groupBy("loc_key", "industry_name").agg(F.sum("_n").alias("_n"), F.sum("_n_id").alias("_n_id"))
 
 
 def province_totals_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:
     """Same as ``province_totals`` but from the facts table."""
-    mapped = facts.join(labels, "loc_key", "left").select(F.col("province_name").alias("city_name"), "_n")
-    return with_grand_total(mapped, "city_name", "job_count", TOTAL_LABEL, total_first=True, value_expr=F.sum("_n"))
+    mapped = facts.join(labels, "loc_key", "left").select(F.col("province_name").alias("city_name"), "_n_id")
+    return with_grand_total(mapped, "city_name", "job_count", TOTAL_LABEL, total_first=True, value_expr=F.sum("_n_id"))

@@ -161,3 +161,22 @@ def test_job_from_a_job_base_clean_table(spark, scratch):
     ind = [tuple(r) for r in spark.read.parquet(os.path.join(out_dir, "industry_total")).collect()]
     assert ind[-1] == ("TONG_TAT_CA", 2)
     assert not os.path.exists(os.path.join(out_dir, "data_quality_stats"))
+
+
+def test_null_ids_follow_the_reference_counts(spark, scratch):
+    # A job_base_clean row whose id is not a number loads with a NULL id: the
+    # totals (counted by job_id) skip it, industry x location counts it.
+    d = os.path.join(scratch, "job_base_clean")
+    os.makedirs(d)
+    rows = [
+        ["1", "A", "Kinh doanh", "", "Hà Nội", "", "", "", "", ""],
+        ["x", "B", "Kinh doanh", "", "Hà Nội", "", "", "", "", ""],
+    ]
+    with open(os.path.join(d, "part-m-00000"), "w", encoding="utf-8") as fh:
+        fh.write("".join("\t".join(r) + "\n" for r in rows))
+    out_dir = os.path.join(scratch, "out")
+    run(spark, d, out_dir, input_format="job_base_clean")
+    rd = lambda n: [tuple(r) for r in spark.read.parquet(os.path.join(out_dir, n)).collect()]
+    assert rd("final_63_provinces_total") == [("=== TONG CONG (ALL) ===", 1), ("HA NOI", 1)]
+    assert rd("industry_total") == [("KINH DOANH", 1), ("TONG_TAT_CA", 1)]
+    assert rd("industry_by_location") == [("HA NOI", "KINH DOANH", 2)]
