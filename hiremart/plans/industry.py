@@ -61,8 +61,7 @@ def industry_totals_from_facts(facts: DataFrame) -> DataFrame:
 
 def industry_by_location_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:
     """Same as ``industry_by_location`` but from the facts table."""
-    mapped = facts.join(labels, "loc_key", "left")
-    c = mapped.groupBy("province_name", "industry_name").agg(F.sum("_n").cast("long").alias("total_jobs"))
+    c = counts_by_province(facts, labels, ["industry_name"], count_col="_n")
     return c.select(F.col("province_name").alias("location_name"), "industry_name", "total_jobs").orderBy(
         "location_name", "industry_name"
     )

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.provinces import TOTAL_LABEL
+from ..functions.provinces import TOTAL_LABEL, UNKNOWN
 from ..functions.text import clean_location
 from ..operators.aggregates import with_grand_total
 from ..operators.classify import label_table, location_flags, province_code, rule_chain
@@ -51,19 +51,26 @@ def province_details(enriched: DataFrame, labels: DataFrame) -> DataFrame:
 def counts_by_province(
     enriched: DataFrame, labels: DataFrame, extra_keys: list[str] | None = None, count_col: str | None = None
 ) -> DataFrame:
-    """Counts per (province, ``extra_keys``), mapping raw locations via the labels.
+    """Industry-side counts per (province, ``extra_keys``).
 
     Rows are first counted per raw location (and ``extra_keys``), so the
     label join sees aggregated rows.  ``count_col`` names a column of
     partial counts on input that is already aggregated per raw location;
-    such input joins the labels directly, without another shuffle.
+    such input joins the labels directly, without another shuffle.  A
+    posting with a NULL job_id counts under UNKNOWN: the reference attaches
+    provinces to these counts by joining on job_id, which a NULL never
+    matches.
     """
     extra = list(extra_keys or [])
     if count_col:
-        per_key = enriched.select("loc_key", *extra, F.col(count_col).alias("_n"))
+        per_key = enriched.select("loc_key", *extra, "_null_id", F.col(count_col).alias("_n"))
     else:
-        per_key = enriched.groupBy("loc_key", *extra).agg(F.count(F.lit(1)).alias("_n"))
-    mapped = per_key.join(labels, "loc_key", "left")
+        per_key = enriched.groupBy("loc_key", *extra, F.col("job_id").isNull().alias("_null_id")).agg(
+            F.count(F.lit(1)).alias("_n")
+        )
+    mapped = per_key.join(labels, "loc_key", "left").select(
+        F.when(F.col("_null_id"), F.lit(UNKNOWN)).otherwise(F.col("province_name")).alias("province_name"), *extra, "_n"
+    )
     return mapped.groupBy("province_name", *extra).agg(F.sum("_n").cast("long").alias("total_jobs"))
 
 
@@ -88,7 +95,9 @@ def location_industry_facts(enriched: DataFrame) -> DataFrame:
     one scan and one partial-aggregated shuffle serve all three.
     """
     per_raw = count_by_raw_industry(enriched, ["loc_key"])
-    return per_raw.groupBy("loc_key", "industry_name").agg(F.sum("_n").alias("_n"), F.sum("_n_id").alias("_n_id"))
+    return per_raw.groupBy("loc_key", "industry_name", "_null_id").agg(
+        F.sum("_n").alias("_n"), F.sum("_n_id").alias("_n_id")
+    )
 
 
 def province_totals_from_facts(facts: DataFrame, labels: DataFrame) -> DataFrame:

@@ -84,16 +84,20 @@ def count_by_raw_industry(df: DataFrame, keys: list[str]) -> DataFrame:
     Postings are first counted per (keys, raw_ind) -- a hash aggregate whose
     map-side combine collapses repeated texts -- and the regex chain of
     ``industry_name`` then runs once per aggregated row, not once per
-    posting.  Returns (keys, industry_name, _n, _n_id) rows that callers
-    sum; a name may appear on several rows (different raw texts, same name).
-    ``_n`` counts postings, ``_n_id`` postings with a non-NULL job_id: the
-    reference's totals count by job_id and so skip a NULL id (possible only
-    in a job_base_clean table whose id text is not a number).
+    posting.  Returns (keys, industry_name, _null_id, _n, _n_id) rows that
+    callers sum; a name may appear on several rows.  ``_null_id`` marks
+    postings whose job_id is NULL (only a job_base_clean id that is not a
+    number): the reference's totals count by job_id and skip them (``_n_id``
+    is 0 there), and its industry x location joins on job_id, where a NULL
+    never matches.
     """
-    per_raw = df.groupBy(*keys, "raw_ind").agg(
-        F.count(F.lit(1)).alias("_n"), F.count("job_id").alias("_n_id")
+    per_raw = df.groupBy(*keys, "raw_ind", F.col("job_id").isNull().alias("_null_id")).agg(
+        F.count(F.lit(1)).alias("_n")
+    )
+    return per_raw.select(
+        *keys,
+        industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"),
+        "_null_id",
+        "_n",
+        F.when(F.col("_null_id"), F.lit(0)).otherwise(F.col("_n")).cast("long").alias("_n_id"),
     )
-    return per_raw.select(*keys, industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"), "_n", "_n_id")
-
-
-__all__ = ["enrich", "industry_name", "industry_id", "job_title", "NOT_DISPLAYED"]

@@ -165,7 +165,8 @@ def test_job_from_a_job_base_clean_table(spark, scratch):
 
 def test_null_ids_follow_the_reference_counts(spark, scratch):
     # A job_base_clean row whose id is not a number loads with a NULL id: the
-    # totals (counted by job_id) skip it, industry x location counts it.
+    # totals (counted by job_id) skip it but keep its province group, and the
+    # industry side (joined on job_id) puts it under UNKNOWN.
     d = os.path.join(scratch, "job_base_clean")
     os.makedirs(d)
     rows = [
@@ -179,4 +180,4 @@ def test_null_ids_follow_the_reference_counts(spark, scratch):
     rd = lambda n: [tuple(r) for r in spark.read.parquet(os.path.join(out_dir, n)).collect()]
     assert rd("final_63_provinces_total") == [("=== TONG CONG (ALL) ===", 1), ("HA NOI", 1)]
     assert rd("industry_total") == [("KINH DOANH", 1), ("TONG_TAT_CA", 1)]
-    assert rd("industry_by_location") == [("HA NOI", "KINH DOANH", 2)]
+    assert rd("industry_by_location") == [("HA NOI", "KINH DOANH", 1), ("UNKNOWN", "KINH DOANH", 1)]
