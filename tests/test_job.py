@@ -181,3 +181,17 @@ def test_null_ids_follow_the_reference_counts(spark, scratch):
     assert rd("final_63_provinces_total") == [("=== TONG CONG (ALL) ===", 1), ("HA NOI", 1)]
     assert rd("industry_total") == [("KINH DOANH", 1), ("TONG_TAT_CA", 1)]
     assert rd("industry_by_location") == [("HA NOI", "KINH DOANH", 1), ("UNKNOWN", "KINH DOANH", 1)]
+
+
+def test_console_profiles(spark, scratch, capsys):
+    from hiremart.plans.job import Store, print_profiles
+
+    out_dir = os.path.join(scratch, "out")
+    run(spark, _write_input(scratch), out_dir, table_format="tsv", export_format="parquet")
+    capsys.readouterr()
+    print_profiles(Store(spark, out_dir, "tsv"), 5)
+    text = capsys.readouterr().out
+    for heading in ("== industry_total (top by job count) ==", "== top industries by province (top 3 each) ==",
+                    "== job_base_clean: column count distribution ==", "== job_base_clean: top locations (raw) =="):
+        assert heading in text
+    assert "|10    |5    |" in text   # every line of job_base_clean has 10 fields
