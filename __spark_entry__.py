@@ -11,6 +11,8 @@ value lists.  Every query reads whole tables and whole texts.
 
 from __future__ import annotations
 
+import importlib
+import importlib.util
 import os
 import sys
 from collections.abc import Callable
@@ -473,8 +475,27 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_industry_total(spark, SMOKE_DIR)
 
 
+def _pipeline(spark, sf_dir):
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
+
+
+def _training_data_module():
+    """The training-data queries, or None where that subpackage is not installed."""
+    if importlib.util.find_spec("hiremart.llm") is None:
+        return None
+    return importlib.import_module("hiremart.llm.queries")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return dict(QUERIES)
+    found = dict(QUERIES)
+    module = _training_data_module()
+    if module is not None:
+        found |= module.queries()
+        if importlib.util.find_spec("corpus_pipeline") is not None:
+            found["pipeline"] = _pipeline
+    return found
 
 
 # ----------------------------------------------------------------------------
@@ -667,6 +688,11 @@ def _requirement_mart_sql(kind: str) -> str:
 
 
 def oracle_sql() -> dict[str, str]:
+    module = _training_data_module()
+    return _reference_sql() | (module.oracle_sql() if module is not None else {})
+
+
+def _reference_sql() -> dict[str, str]:
     valid = f"raw_title IS NOT NULL AND {s_jtrim('raw_title')} <> ''"
     jt = ", ".join(RAW_TEXT_COLUMNS)
     sql = {

@@ -12,7 +12,7 @@ def test_entry_runs_with_stable_schema(spark):
 
 
 def test_every_query_has_oracle_sql():
-    assert set(E.queries()) <= set(E.oracle_sql())
+    assert set(E.QUERIES) <= set(E.oracle_sql())
 
 
 def test_query_columns_match_oracle_columns(spark):

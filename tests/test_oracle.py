@@ -32,7 +32,7 @@ def _rows(cols, records):
     return sorted(out, key=lambda t: tuple((x is None, str(x)) for x in t))
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(E.QUERIES))
 def test_query_matches_oracle(spark, con, name):
     df = E.queries()[name](spark, SF)
     res = con.execute(E.oracle_sql()[name])
