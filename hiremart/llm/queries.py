@@ -4,21 +4,32 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import decontaminate
+from hiremart.llm import bpe, common, decontaminate, token_shards
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = common.work_dir(spark, "op1-token-shards")
+    token_shards.write_shards(_t(spark, sf_dir, "documents"), path, P.path("byte_bpe_50k.json"))
+    return token_shards.read_digests(spark, path)
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
 
 
+def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpe.bpe_digest(_t(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op4_decontaminate,)}
+    return {f.__name__: f for f in (op1_token_shards, op4_decontaminate, op6_bpe)}
 
 
 _OP4_WORDS = (
