@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import bpe, common, decontaminate, token_shards
+from hiremart.llm import bpe, common, decontaminate, html_text, language, token_shards, toxicity, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -28,8 +28,24 @@ def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_t(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
 
 
+def op7_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language.language_digest(_t(spark, sf_dir, "documents"))
+
+
+def op8_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.main_text(_t(spark, sf_dir, "pages"))
+
+
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.warc_digest(_t(spark, sf_dir, "pages"), common.work_dir(spark, "op9-warc"))
+
+
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.toxicity_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op4_decontaminate, op6_bpe)}
+    return {f.__name__: f for f in (op1_token_shards, op4_decontaminate, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
 
 
 _OP4_WORDS = (

@@ -124,9 +124,7 @@ def write_shards(
             for batch in batches:
                 keys.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
                 missing.append(batch.column(0).is_null().to_numpy(zero_copy_only=False))
-                texts = batch.column(1)
-                texts = (texts[i].as_py() for i in range(len(texts)))
-                for ids in encoded(texts, tokenizer_path, end_id):
+                for ids in encoded((t.as_py() for t in batch.column(1)), tokenizer_path, end_id):
                     sizes.append(len(ids))
                     out.write(ids.astype(kind).tobytes())
         if not sizes:
