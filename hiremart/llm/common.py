@@ -13,7 +13,8 @@ import tempfile
 import uuid
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def work_dir(spark: SparkSession, name: str) -> str:
@@ -36,6 +37,20 @@ def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+SALTS = 16
+
+
+def salted_left_join(left: DataFrame, right: DataFrame, keys: list[str], by: Column, salts: int = SALTS) -> DataFrame:
+    """``left`` left-joined with the few rows that ``right`` has for each key.
+
+    Rows of one key of ``left`` are dealt over ``salts`` parts by ``by``, and
+    ``right`` is repeated for each, so a key that a third of all rows share
+    does not fall to one task."""
+    dealt = left.withColumn("_salt", F.pmod(F.xxhash64(by), F.lit(salts)).cast("int"))
+    spread = right.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    return dealt.join(spread, [*keys, "_salt"], "left").drop("_salt")
+
+
 def record_batch(columns: dict[str, tuple[list, pa.DataType]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays(
         [v if isinstance(v, pa.Array) else pa.array(v, t) for v, t in columns.values()], names=list(columns)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import bpe, common, decontaminate, html_text, language, token_shards, toxicity, warc
+from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, token_shards, toxicity, vector_search, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -20,6 +20,14 @@ def op1_token_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_shards.read_digests(spark, path)
 
 
+def op2_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.jaccard_components(_t(spark, sf_dir, "documents"))
+
+
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_search.nearest(_t(spark, sf_dir, "embeddings"))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
 
@@ -45,7 +53,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op4_decontaminate, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
+    return {f.__name__: f for f in (op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
 
 
 _OP4_WORDS = (
