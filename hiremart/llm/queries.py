@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, token_shards, toxicity, vector_search, warc
+from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, suffix_dedup, token_shards, toxicity, vector_search, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -32,6 +32,10 @@ def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.contamination_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "benchmark"))
 
 
+def op5_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.remove_repeats(_t(spark, sf_dir, "documents"))
+
+
 def op6_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.bpe_digest(_t(spark, sf_dir, "documents"), P.path("byte_bpe_50k.tiktoken"), P.PATTERN)
 
@@ -53,7 +57,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
+    return {f.__name__: f for f in (op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op5_suffix_dedup, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
 
 
 _OP4_WORDS = (
