@@ -203,20 +203,21 @@ def encoder(path: str, pattern: str) -> MergeReplay:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, ids (little-endian unsigned 32-bit), n_tokens, decoded (bytes)."""
+    """doc_id, ids, n_tokens, and SHA-256 of the ids (little-endian unsigned 32-bit) and of their decoded bytes."""
 
     def run(batches):
         replay = encoder(ranks_path, pattern)
         for batch in batches:
-            ids = list(replay.encode_all(batch.column(1).to_pylist()))
+            ids = [x.astype(np.int32) for x in replay.encode_all(batch.column(1).to_pylist())]
             yield record_batch({
-                "doc_id": (batch.column(0), None), "ids": ([x.astype("<u4").tobytes() for x in ids], pa.binary()),
-                "n_tokens": ([len(x) for x in ids], pa.int64()), "decoded": ([replay.decode(x) for x in ids], pa.binary()),
+                "doc_id": (batch.column(0), None), "ids": (ids, pa.list_(pa.int32())), "n_tokens": ([len(x) for x in ids], pa.int64()),
+                "ids_sha256": ([hashlib.sha256(x.astype("<u4").tobytes()).hexdigest() for x in ids], pa.string()),
+                "decoded_sha256": ([hashlib.sha256(replay.decode(x)).hexdigest() for x in ids], pa.string()),
             })
 
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
     kind = source.schema["doc_id"].dataType.simpleString()
-    return source.mapInArrow(run, f"doc_id {kind}, ids binary, n_tokens long, decoded binary")
+    return source.mapInArrow(run, f"doc_id {kind}, ids array<int>, n_tokens long, ids_sha256 string, decoded_sha256 string")
 
 
 def bpe_digest(docs: DataFrame, ranks_path: str, pattern: str, **names) -> DataFrame:

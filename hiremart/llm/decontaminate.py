@@ -186,13 +186,15 @@ def _blocks(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[
 
 def match_items(
     docs: DataFrame, benchmark: DataFrame, *, key: str = "doc_id", text: str = "text", item: str = "item_id",
-    item_text: str = "text", window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES,
+    item_text: str = "text", window: int = WINDOW, max_block_bytes: int = MAX_BLOCK_BYTES, carry: bool = False,
 ) -> DataFrame:
-    """One row per document: doc_id, text, n_words, spans (maximal hit spans in words), items (sorted ids)."""
+    """One row per document: doc_id, text, n_words, spans (maximal hit spans in words), items (sorted ids);
+    with ``carry`` also row, the whole input row as a struct."""
+    row = [F.struct("*").alias("row")] if carry else []
     frame = docs.select(
         F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
         F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"),
+        F.expr("cast(array() as array<string>)").alias("items"), *row,
     )
     spark = docs.sparkSession
     blocks = _blocks(benchmark, item, item_text, max_block_bytes)
@@ -215,7 +217,7 @@ def match_items(
                 yield record_batch({
                     "doc_id": (batch.column(0), None), "text": (batch.column(1), None), "n_words": (counts, pa.int64()),
                     "spans": (spans, span_type), "items": (items, pa.list_(pa.string())),
-                })
+                } | ({"row": (batch.column(5), None)} if carry else {}))
 
         frame = frame.mapInArrow(run, frame.schema)
         if number + 1 < len(blocks):
@@ -248,8 +250,7 @@ def decontaminate(
     """
     top, bottom = min_share
     found = match_items(docs, benchmark, key=key, text=text, **options)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
-    found = found.withColumn("n_hit", n_hit)
+    found = found.withColumn("n_hit", _n_hit())
     found = found.withColumn("contaminated", (F.col("n_hit") >= min_words) & (F.col("n_hit") * bottom >= F.col("n_words") * top))
 
     def clean(batches):
@@ -265,10 +266,21 @@ def decontaminate(
     return found.mapInArrow(clean, schema)
 
 
+def _n_hit():
+    return F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+
+
+def without_contaminated(docs: DataFrame, benchmark: DataFrame, *, min_share: tuple[int, int] = (1, 20), **options) -> DataFrame:
+    """The rows of ``docs``, whole, that are not contaminated."""
+    found = match_items(docs, benchmark, carry=True, **options)
+    bad = (_n_hit() > 0) & (_n_hit() * min_share[1] >= F.col("n_words") * min_share[0])
+    return found.where(~bad).select("row.*")
+
+
 def contamination_digest(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """The contract's columns, one row per document."""
     found = match_items(docs, benchmark, **options)
-    n_hit = F.aggregate("spans", F.lit(0).cast("long"), lambda total, s: total + s["end"] - s["start"])
+    n_hit = _n_hit()
     return found.select(
         "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "items"), 256).alias("items_sha256"),

@@ -334,8 +334,8 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
 
 
-def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles and component_id of every document."""
+def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(documents with their node, nodes, node and comp of every node that has a link)."""
     found = written(document_sets(docs, key, text), "ngram-documents")
     passing = bounded_nodes(docs, text).distinct()
     first = found.where("n > 0").groupBy("node").agg(
@@ -364,7 +364,12 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
     links = written(links, "ngram-links")
     groups = components(links, "a", "b")
     links = written(links.unionByName(_matrix_links(sets, groups)), "ngram-links")
-    whole = components(links, "a", "b")
+    return found, first, components(links, "a", "b")
+
+
+def jaccard_components(docs: DataFrame, **names) -> DataFrame:
+    """doc_id, n_shingles and component_id of every document."""
+    found, first, whole = linked_nodes(docs, **names)
     members = first.select("node", "own", "copies")
     least = members.join(whole, "node").groupBy("comp").agg(F.min("own").alias("least"))
     linked = salted_left_join(whole, least, ["comp"], F.col("node")).select("node", "least")
@@ -375,3 +380,16 @@ def jaccard_components(docs: DataFrame, *, key: str = "doc_id", text: str = "tex
         "doc_id", F.col("n").alias("n_shingles"),
         F.when((F.col("n") > 0) & F.col("named"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"),
     )
+
+
+def one_of_each_component(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, whole: of each component the one with the least id (then text hash), and all without shingles."""
+    found, first, whole = linked_nodes(docs, key=key, text=text)
+    comp = F.coalesce("comp", "node")
+    kept = first.select("node", "r").join(whole, "node", "left").groupBy(comp.alias("c")).agg(F.min("r").alias("r"))
+    empty = found.where("n = 0").select("doc_id", "h", F.lit(True).alias("empty")).distinct()
+    kept = kept.select("r.doc_id", "r.h", F.lit(False).alias("empty")).unionByName(empty)
+    rows = docs.select(F.struct("*").alias("row"), F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("kh"))
+    held = rows.join(kept, F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("kh") == F.col("h")))
+    once = held.where("not empty").dropDuplicates(["k", "kh"])
+    return once.select("row.*").unionByName(held.where("empty").select("row.*"))

@@ -480,28 +480,39 @@ def _united_spans(starts: list[bytes], ends: list[bytes]) -> tuple[np.ndarray, n
     return a[fresh], b[np.concatenate((np.flatnonzero(fresh)[1:] - 1, [len(b) - 1]))]
 
 
-def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH, with_text: bool = False) -> DataFrame:
-    """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, ``with_text``, kept (the remaining bytes) of every document.
+def _keyed(key: str, text: str):
+    """Columns d, h and the text without nulls: d and h name a document."""
+    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
+    return F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63))).alias("d"), F.xxhash64(t).alias("h"), t
+
 
-    ``kept`` is null where nothing was removed, so that untouched texts need not travel."""
+def _core(length: int) -> int:
     core = CORE
     while core * 2 > length:
         core //= 2
-    d = F.coalesce(F.col(key).cast("long"), F.lit(-(1 << 63)))
-    t = F.coalesce(F.col(text).cast("string"), F.lit(""))
-    source = docs.select(d.alias("d"), F.xxhash64(t).alias("h"), t.alias("text"))
+    return core
+
+
+def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
+    """(one slim row for each document, with ``copy`` for later documents of an equal text;
+    d, h, places and states of the repeated minimizers of the others)."""
+    d, h, t = _keyed(key, text)
     base = docs.select(
-        F.col(key).alias("doc_id"), d.alias("d"), F.xxhash64(t).alias("h"), F.xxhash64(F.lit(1), t).alias("h2"),
+        F.col(key).alias("doc_id"), d, h, F.xxhash64(F.lit(1), t).alias("h2"),
         F.octet_length(t).cast("long").alias("n_bytes"), F.sha2(t.cast("binary"), 256).alias("sha"),
     )
     base = written(base, "suffix-base")
     least = base.groupBy("h", "h2").agg(F.min("d").alias("least"), F.max("d").alias("most")).where("least < most").select("h", "h2", "least")
-    flagged = salted_left_join(base, least, ["h", "h2"], F.col("d")).withColumn("copy", F.coalesce(F.col("d") > F.col("least"), F.lit(False)))
-    copies = flagged.where("copy").select("d", "h").distinct()
-    places = repeated_minimizers(source, length, core).dropDuplicates(["d", "h"]).join(copies, ["d", "h"], "left_anti")
-    touched = source.join(places, ["d", "h"]).dropDuplicates(["d", "h"])
-    touched = written(touched.select("d", "h", "text", "places", "states"), "suffix-touched")
-    buckets = 1 << min(24, (4 * shuffle_partitions(docs.sparkSession)).bit_length())
+    flagged = salted_left_join(base, least, ["h", "h2"], F.col("d"))
+    flagged = flagged.withColumn("copy", F.coalesce((F.col("d") > F.col("least")) & (F.col("n_bytes") >= length), F.lit(False)))
+    places = repeated_minimizers(docs.select(d, h, t.alias("text")), length, _core(length)).dropDuplicates(["d", "h"])
+    return flagged, places.join(flagged.where("copy").select("d", "h").distinct(), ["d", "h"], "left_anti")
+
+
+def _cut(touched: DataFrame, length: int, with_text: bool) -> DataFrame:
+    """d, h, removed, runs, left (SHA-256 of what is kept) and kept of the touched documents that lose bytes."""
+    core = _core(length)
+    buckets = 1 << min(24, (4 * shuffle_partitions(touched.sparkSession)).bit_length())
     sent = touched.mapInArrow(lambda batches: _travelling(batches, length, core, buckets), PIECES)
     spans = sent.groupBy("bucket").applyInPandas(_meeting(length), "d long, h long, starts binary, ends binary")
     spans = spans.groupBy("d", "h").agg(F.collect_list(F.struct("starts", "ends")).alias("spans"))
@@ -509,31 +520,61 @@ def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     def cut(batches):
         for batch in batches:
             removed, runs, sha, kept = [], [], [], []
-            for t_, found in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
+            for text, found in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
                 a, b = _united_spans([s["starts"] for s in found], [s["ends"] for s in found])
-                left, at = [], 0
+                parts, at = [], 0
                 for x, y in zip(a.tolist(), b.tolist()):
-                    left.append(t_[at:x])
+                    parts.append(text[at:x])
                     at = y
-                left = b"".join([*left, t_[at:]])
-                removed.append(len(t_) - len(left))
+                left = b"".join([*parts, text[at:]])
+                removed.append(len(text) - len(left))
                 runs.append(len(a))
                 sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left if with_text else None)
+                kept.append(left.decode("utf-8", "ignore") if with_text else None)
             yield record_batch({
                 "d": (batch.column(0), None), "h": (batch.column(1), None), "removed": (removed, pa.int64()), "runs": (runs, pa.int64()),
-                "left": (sha, pa.string()), "kept": (kept, pa.binary()),
+                "left": (sha, pa.string()), "kept": (kept, pa.string()),
             })
 
-    result = touched.select("d", "h", "text").join(spans, ["d", "h"]).mapInArrow(cut, "d long, h long, removed long, runs long, left string, kept binary")
+    joined = touched.select("d", "h", "text").join(spans, ["d", "h"])
+    return joined.mapInArrow(cut, "d long, h long, removed long, runs long, left string, kept string")
+
+
+def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
+    """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
+    d, h, t = _keyed(key, text)
+    flagged, places = _marked(docs, key, text, length)
+    touched = docs.select(d, h, t.alias("text")).join(places, ["d", "h"]).dropDuplicates(["d", "h"])
+    result = _cut(written(touched.select("d", "h", "text", "places", "states"), "suffix-touched"), length, False)
     joined = flagged.join(result, ["d", "h"], "left")
-    gone = F.col("copy") & (F.col("n_bytes") >= length)  # a copy of an earlier text
     zero = F.lit(0).cast("long")
     nothing = hashlib.sha256(b"").hexdigest()
-    out = joined.select(
-        "doc_id", "n_bytes", F.when(gone, F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).alias("n_removed"),
-        F.when(gone, F.lit(1).cast("long")).otherwise(F.coalesce("runs", zero)).alias("n_spans"),
-        F.when(gone, F.lit(nothing)).otherwise(F.coalesce("left", "sha")).alias("kept_sha256"),
-        F.when(gone, F.lit("").cast("binary")).otherwise(F.col("kept")).alias("kept"), F.col("h"),
+    return joined.select(
+        "doc_id", "n_bytes", F.when(F.col("copy"), F.col("n_bytes")).otherwise(F.coalesce("removed", zero)).alias("n_removed"),
+        F.when(F.col("copy"), F.lit(1).cast("long")).otherwise(F.coalesce("runs", zero)).alias("n_spans"),
+        F.when(F.col("copy"), F.lit(nothing)).otherwise(F.coalesce("left", "sha")).alias("kept_sha256"),
     )
-    return out if with_text else out.drop("kept", "h")
+
+
+def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", size: str | None = None, length: int = LENGTH) -> DataFrame:
+    """The rows of ``docs`` with the repeats cut from their text; ``size`` names a column of character counts to bring up to date.
+
+    The rest of a character that is cut in two goes too.  Documents of which
+    nothing is left go; those that had no text stay."""
+    d, h, t = _keyed(key, text)
+    flagged, places = _marked(docs, key, text, length)
+    copies = flagged.where("copy").select("d", "h").distinct()
+    marks = places.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
+    rows = docs.select(F.struct("*").alias("row"), d, h).join(marks, ["d", "h"], "left").where(~F.coalesce("copy", F.lit(False)))
+    rows = written(rows.select("row", "d", "h", "places", "states"), "suffix-rows")
+    some = F.col("places").isNotNull()
+    own = F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
+    touched = rows.where(some).select("d", "h", own.alias("text"), "places", "states").dropDuplicates(["d", "h"])
+    result = _cut(touched, length, True).select("d", "h", "kept")
+    cut = rows.where(some).select("row", "d", "h").join(result, ["d", "h"], "left").where("kept is null or kept <> ''")
+    changed = F.col("row").withField(f"`{text}`", F.col("kept"))
+    if size is not None:
+        kind = docs.schema[size].dataType
+        changed = changed.withField(f"`{size}`", F.length("kept").cast(kind))
+    cut = cut.select(F.when(F.col("kept").isNull(), F.col("row")).otherwise(changed).alias("row"))
+    return rows.where(~some).select("row").unionByName(cut).select("row.*")

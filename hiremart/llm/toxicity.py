@@ -239,6 +239,21 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     return source.mapInArrow(run, f"doc_id {kind}, score double, predicted int")
 
 
+def without_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs``, whole, that score below ``threshold``."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index(text)
+
+    def run(batches):
+        table, bias = shared.value.open(), shared.value.bias
+        bins = WordBins()
+        for batch in batches:
+            z = np.array([bias + table[bins.of(t)].sum() for t in batch.column(at).to_pylist()])
+            yield batch.filter(pa.array(1 / (1 + np.exp(np.clip(-z, -50, 700))) < threshold, pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
+
+
 def toxicity_digest(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """The contract's columns, one row per document."""
     found = score(docs, train(docs, labels))
