@@ -300,12 +300,6 @@ def _numbered(bodies: list[bytes], keys: np.ndarray) -> np.ndarray:
     return np.fromiter((known.setdefault((k, b), len(known)) for k, b in zip(keys.tolist(), bodies)), np.int64, len(bodies))
 
 
-def _earliest(number: np.ndarray, later: np.ndarray) -> np.ndarray:
-    """One index for each number, among those that are not later."""
-    kept = np.flatnonzero(~later)
-    return kept[np.unique(number[kept], return_index=True)[1]]
-
-
 def _window_fingerprints(hashes: np.ndarray, at: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 bits of the windows that start at ``at``, from the hashes of cores that cover them."""
     a, b = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
@@ -334,7 +328,7 @@ def _travelling(batches, length: int, core: int, buckets: int) -> Iterator[pa.Re
             number = _numbered(held["body"], key)
             later = _later(number, ids, start)
             spans.add(ids[later], start[later], start[later] + count[later] - 1 + length)
-            kept = _earliest(number, later)
+            kept = np.flatnonzero(~later)  # one for each, but for rows that share an id
             kept = kept[np.argsort(key[kept], kind="stable")]
             bounds = np.searchsorted(key[kept] >> shift, np.arange(buckets + 1, dtype=np.uint64))
             for b in range(buckets):
@@ -347,7 +341,7 @@ def _travelling(batches, length: int, core: int, buckets: int) -> Iterator[pa.Re
             number = np.unique(np.rec.fromarrays([key, check]), return_inverse=True)[1]
             later = _later(number, ids, start)
             spans.add(ids[later], start[later], start[later] + length)
-            kept = _earliest(number, later)
+            kept = np.flatnonzero(~later)  # one for each, but for rows that share an id
             kept = kept[np.argsort(key[kept], kind="stable")]
             bounds = np.searchsorted(key[kept] >> shift, np.arange(buckets + 1, dtype=np.uint64))
             for b in range(buckets):
@@ -436,7 +430,7 @@ def _meeting(length: int):
             number = _numbered(bodies, key)
             later = _later(number, ids, start)
             spans.add(ids[later], start[later], start[later] + size[later])
-            kept = _earliest(number, later)
+            kept = np.flatnonzero(~later)  # one for each, but for rows that share an id
             kept = kept[np.argsort(key[kept], kind="stable")]
             _, first, n = np.unique(key[kept], return_index=True, return_counts=True)
             kept = kept[np.repeat(n > 1, n)]  # a piece alone on its minimizer meets nothing

@@ -23,8 +23,10 @@ empty table gives an empty dataset.  Other columns are not read.
 from __future__ import annotations
 
 import os
+import re
 import uuid
 import zlib
+from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,7 +41,8 @@ from hiremart.llm.common import record_batch, shuffle_partitions
 from hiremart.llm.perfect_hash import MinimalPerfectHash, fingerprints, packed, unpacked
 
 END_ID = 2
-CALL_CHARS = 1 << 19
+CALL_CHARS = 1 << 21
+KEPT_WORDS = 500_000
 READ_BYTES = 8 << 20
 
 _tokenizers: dict[str, object] = {}
@@ -57,32 +60,40 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
-def _parts(text: str, most: int) -> Iterator[str]:
-    """A long text cut before single blanks between words, where no piece of the
-    tokenizer's pattern can reach across; whole where it has no such place."""
-    start = 0
-    while len(text) - start > most:
-        cut = start + most
-        while (cut := text.find(" ", cut)) >= 0 and (
-            cut + 1 >= len(text) or text[cut - 1].isspace() or text[cut + 1].isspace()
-        ):
-            cut += 1
-        if cut < 0:
-            break
-        yield text[start:cut]
-        start = cut
-    yield text[start:]
+#: Before a single blank between words, and between a letter and a mark: no piece of the tokenizer's pattern reaches across.
+WORD_EDGE = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z])(?=[,.;:!?|])")
+
+
+class WordIds:
+    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered."""
+
+    def __init__(self, path: str):
+        self.encode = tokenizer(path).encode_batch_fast
+        self.known: dict[str, bytes] = {}
 
+    def of(self, texts: list[str]) -> Iterator[np.ndarray]:
+        split = [WORD_EDGE.split(t) for t in texts]
+        new = set().union(*split).difference(self.known)
+        if len(self.known) + len(new) > KEPT_WORDS:
+            self.known.clear()
+            new = set().union(*split)
+        fresh = list(new)
+        for at in range(0, len(fresh), 10_000):
+            part = fresh[at : at + 10_000]
+            self.known.update(zip(part, [array("I", found.ids).tobytes() for found in self.encode(part, add_special_tokens=False)]))
+        for text in split:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, text)), np.uint32)
 
-def encoded(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[np.ndarray]:
+
+def encoded(texts: Iterable[str | None], words: WordIds, end_id: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order, a bounded number of characters at a time."""
-    encode = tokenizer(path)
+    end = np.array([end_id], np.uint32)
     held: list[str] = []
     used = 0
 
     def flush():
-        for found in encode.encode_batch_fast(held, add_special_tokens=False):
-            yield np.array([*found.ids, end_id], np.uint32)
+        for ids in words.of(held):
+            yield np.concatenate((ids, end))
 
     for text in texts:
         text = text or ""
@@ -90,14 +101,25 @@ def encoded(texts: Iterable[str | None], path: str, end_id: int) -> Iterator[np.
             yield from flush()
             held, used = [], 0
         if len(text) > CALL_CHARS:
-            ids = [np.array(encode.encode(p, add_special_tokens=False).ids, np.uint32) for p in _parts(text, CALL_CHARS)]
-            yield np.concatenate([*ids, np.array([end_id], np.uint32)])
+            yield np.concatenate([*(ids for part in _parts(text, CALL_CHARS) for ids in words.of([part])), end])
         else:
             held.append(text)
             used += len(text)
     yield from flush()
 
 
+def _parts(text: str, most: int) -> Iterator[str]:
+    """A long text cut between words; whole where it has no such place."""
+    start = 0
+    while len(text) - start > most:
+        edge = WORD_EDGE.search(text, start + most)
+        if edge is None:
+            break
+        yield text[start : edge.start()]
+        start = edge.start()
+    yield text[start:]
+
+
 def _file_system(uri: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(uri)
 
@@ -120,11 +142,12 @@ def write_shards(
         wide = tokenizer(tokenizer_path).get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         kind = np.dtype("<u4" if wide else "<u2")
         keys, missing, sizes = [], [], []
+        words = WordIds(tokenizer_path)
         with store.open_output_stream(f"{folder}/{name}.ids", buffer_size=1 << 20) as out:
             for batch in batches:
                 keys.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
                 missing.append(batch.column(0).is_null().to_numpy(zero_copy_only=False))
-                for ids in encoded((t.as_py() for t in batch.column(1)), tokenizer_path, end_id):
+                for ids in encoded((t.as_py() for t in batch.column(1)), words, end_id):
                     sizes.append(len(ids))
                     out.write(ids.astype(kind).tobytes())
         if not sizes:
