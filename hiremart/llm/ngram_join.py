@@ -10,12 +10,13 @@ reaches ``share`` (75 %).  The join is exact on 64-bit shingle fingerprints:
 3. Grouping: nodes that share a min-hash meet in blocks of bounded size (a hot
    min-hash is dealt over many blocks), and the components of their exact links are
    the groups of similar documents.  Blocks of ``ROUNDS`` min-hashes are joined.
-4. Token-group matrix: each group's token union.  A node that has 75 % of its
-   shingles in other groups is compared further: its rarest shingles find the
-   groups it may link with, the overlap with each group's union is counted, and only
-   groups that reach 75 % of the node's size are opened and compared
-   member by member.  No link is lost: a node linked into a group shares 75 %
-   of its shingles with one member, hence with the union.
+4. Token-group matrix: the token union of each group, by size class of its
+   members.  Of two linked sets the smaller has 6/7 of its shingles in the larger
+   one (7 * common >= 3 * (a + b) >= 6 * a).  A node with so many of its shingles in other
+   groups is a query: its rarest shingles find the columns of its own and the
+   next size class that it may link with, the overlap with each union is counted,
+   and only columns that reach 6/7 of the query are opened and compared member by
+   member.  No link is lost: what a query shares with a member, it shares with the union.
 
 The components of all links follow by star contraction.  Groups make near
 copies cheap: however many there are, they fill one column of the matrix.
@@ -50,6 +51,7 @@ CHUNK_ROWS = 60_000
 BLOCK_TOKENS = 400_000
 NOBODY = 0xFFFF
 MAX_BROADCAST_TOKENS = 1_000_000
+MAX_BROADCAST_NODES = 300_000
 ROWS_AT_ONCE = 256
 
 
@@ -274,7 +276,6 @@ def _round_links(sets: DataFrame, k: int) -> DataFrame:
 
 def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between different groups: every one that there is."""
-    need = F.ceil(F.col("n") * 3 / 4)
     owned = sets.join(groups.withColumnRenamed("comp", "g"), "node", "left").withColumn("g", F.coalesce("g", "node"))
     owned = owned.select("node", "g", "n", "tokens").repartitionByRange(shuffle_partitions(sets.sparkSession), "g", "node")
     owned = written(owned, "ngram-owned")  # a group's members lie together, so their unions are taken in the tasks
@@ -308,18 +309,26 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     wide = broadcast_if_small(written(wide, "ngram-wide"), max_rows=MAX_BROADCAST_TOKENS)
     cells = owned.mapInArrow(exploded, "node long, g long, n long, t long")
     elsewhere = cells.join(wide, "t", "left_semi")
-    enough = elsewhere.groupBy("node", "n", "g").agg(F.count(F.lit(1)).alias("seen")).where(F.col("seen") >= need)
-    queries = written(elsewhere.join(enough.select("node", "seen"), "node"), "ngram-queries")
-    matrix = written(queries.select("t", "g").distinct(), "ngram-matrix")
+    # 75 % for a set to be linked at all, 6/7 for the smaller one of two
+    seen = elsewhere.groupBy("node", "n").agg(F.count(F.lit(1)).alias("seen")).where("seen * 4 >= n * 3").select("node", "seen")
+    shared = elsewhere.join(seen, "node").withColumn("cls", F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9).cast("int"))
+    shared = written(shared, "ngram-shared")
+    matrix = written(shared.select("t", "g", "cls").distinct(), "ngram-matrix")
+    queries = shared.where("seen * 7 >= n * 6")
+    need = F.ceil(F.col("n") * 6 / 7)
     width = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("width"))
     ranked = queries.join(width, "t").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("width", "t")))
-    rarest = ranked.where(F.col("rank") <= F.col("seen") - need + 1)
-    columns = matrix.withColumnRenamed("g", "other")
-    found = rarest.join(columns, "t").where("other <> g").select("node", "n", "other").distinct()
-    overlap = found.join(queries.select("node", "t"), "node").join(columns, ["t", "other"])
-    opened = overlap.groupBy("node", "n", "other").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= need)
-    members = queries.select(F.col("node").alias("member"), F.col("g").alias("other"), F.col("n").alias("size")).distinct()
-    pairs = opened.join(members, "other").where((F.least("n", "size") * 4 >= F.greatest("n", "size") * 3))
+    # an overlap of ``need`` leaves at least ``k`` among any seen - need + k shingles
+    k = F.ceil(F.col("n") / 3)
+    rarest = ranked.where(F.col("rank") <= F.col("seen") - need + k)
+    columns = matrix.select("t", F.col("g").alias("other"), F.col("cls").alias("size_class"))
+    of_size = (F.col("other") != F.col("g")) & F.col("size_class").between(F.col("cls"), F.col("cls") + 1)
+    found = rarest.join(columns, "t").where(of_size).groupBy("node", "n", "other", "size_class").agg(F.count(F.lit(1)).alias("hits"))
+    found = found.where(F.col("hits") >= k).drop("hits")
+    overlap = found.join(queries.select("node", "t"), "node").join(columns, ["t", "other", "size_class"])
+    opened = overlap.groupBy("node", "n", "other", "size_class").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= need)
+    members = shared.select(F.col("node").alias("member"), F.col("g").alias("other"), F.col("cls").alias("size_class"), F.col("n").alias("size")).distinct()
+    pairs = opened.join(members, ["other", "size_class"]).where("size >= n and n * 4 >= size * 3")
     pairs = pairs.select(F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")).distinct()
     left = owned.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
     right = owned.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
@@ -344,6 +353,7 @@ def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     )
     wanted = first.join(passing, "node").select(F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "node", *[f"m{k}" for k in range(ROUNDS)])
     source = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("kh"), F.col(text).cast("string").alias("t"))
+    wanted = broadcast_if_small(written(wanted, "ngram-wanted"), max_rows=MAX_BROADCAST_NODES)
     texts = source.join(wanted, F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("kh") == F.col("h")))
 
     def tokens(batches):

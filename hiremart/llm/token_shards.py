@@ -85,6 +85,16 @@ class WordIds:
             yield np.frombuffer(b"".join(map(self.known.__getitem__, text)), np.uint32)
 
 
+_word_ids: dict[str, WordIds] = {}
+
+
+def word_ids(path: str) -> WordIds:
+    """The worker's words, kept from task to task."""
+    if path not in _word_ids:
+        _word_ids[path] = WordIds(path)
+    return _word_ids[path]
+
+
 def encoded(texts: Iterable[str | None], words: WordIds, end_id: int) -> Iterator[np.ndarray]:
     """Ids of each text with the end id, in order, a bounded number of characters at a time."""
     end = np.array([end_id], np.uint32)
@@ -142,7 +152,7 @@ def write_shards(
         wide = tokenizer(tokenizer_path).get_vocab_size() > 1 << 16 or end_id >= 1 << 16
         kind = np.dtype("<u4" if wide else "<u2")
         keys, missing, sizes = [], [], []
-        words = WordIds(tokenizer_path)
+        words = word_ids(tokenizer_path)
         with store.open_output_stream(f"{folder}/{name}.ids", buffer_size=1 << 20) as out:
             for batch in batches:
                 keys.append(batch.column(0).fill_null(0).to_numpy(zero_copy_only=False).astype(np.int64))
