@@ -349,8 +349,8 @@ def _travelling(batches, length: int, core: int, buckets: int) -> Iterator[pa.Re
                 if len(k):
                     rows.append((b, "window", key[k].astype("<u8").tobytes(), ids[k].astype("<i8").tobytes(), start[k].astype("<u4").tobytes(), None, check[k].astype("<u4").tobytes()))
         known = spans.united()
-        for k, row in enumerate(known.itertuples()):
-            rows.append((k % buckets, "span", None, np.array([row.d, row.h], "<i8").tobytes(), row.starts, row.ends, None))
+        for row in known.itertuples():
+            rows.append((row.h % buckets, "span", None, np.array([row.d, row.h], "<i8").tobytes(), row.starts, row.ends, None))
         if rows:
             yield record_batch({n: (list(c), t) for n, t, c in zip(names, types, zip(*rows))})
         clear()
