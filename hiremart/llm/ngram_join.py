@@ -10,13 +10,15 @@ reaches ``share`` (75 %).  The join is exact on 64-bit shingle fingerprints:
 3. Grouping: nodes that share a min-hash meet in blocks of bounded size (a hot
    min-hash is dealt over many blocks), and the components of their exact links are
    the groups of similar documents.  Blocks of ``ROUNDS`` min-hashes are joined.
-4. Token-group matrix: the token union of each group, by size class of its
-   members.  Of two linked sets the smaller has 6/7 of its shingles in the larger
-   one (7 * common >= 3 * (a + b) >= 6 * a).  A node with so many of its shingles in other
-   groups is a query: its rarest shingles find the columns of its own and the
-   next size class that it may link with, the overlap with each union is counted,
-   and only columns that reach 6/7 of the query are opened and compared member by
-   member.  No link is lost: what a query shares with a member, it shares with the union.
+4. Token-group matrix: the sets that are left, those of one min-hash together, make
+   groups of bounded size; a column holds a group's token union.  Of two linked sets the smaller has 6/7 of its shingles in the larger
+   one (7 * common >= 3 * (a + b) >= 6 * a), so a set with so many of its shingles in
+   other components is a query.  A third of its shingles, the rarest in the matrix, are
+   counted against the columns; a column that can still reach 6/7 gets the query, which
+   counts its whole overlap with the union, and only where that is enough the group is
+   opened and its members are compared through an inverted index.  No link is lost:
+   what a query shares with a member, it shares with the union.  A query yields one
+   link for each component it meets, so no group's pairs are spelled out.
 
 The components of all links follow by star contraction.  Groups make near
 copies cheap: however many there are, they fill one column of the matrix.
@@ -48,7 +50,8 @@ from hiremart.operators.materialize import broadcast_if_small
 ROUNDS = 2
 CHUNK_BYTES = 12 << 20
 CHUNK_ROWS = 60_000
-BLOCK_TOKENS = 400_000
+BLOCK_TOKENS = 200_000
+QUERIES_PER_BLOCK = 5_000
 NOBODY = 0xFFFF
 MAX_BROADCAST_TOKENS = 1_000_000
 MAX_BROADCAST_NODES = 300_000
@@ -311,36 +314,52 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     elsewhere = cells.join(wide, "t", "left_semi")
     # 75 % for a set to be linked at all, 6/7 for the smaller one of two
     seen = elsewhere.groupBy("node", "n").agg(F.count(F.lit(1)).alias("seen")).where("seen * 4 >= n * 3").select("node", "seen")
-    shared = elsewhere.join(seen, "node").withColumn("cls", F.floor(F.log("n") / float(np.log(4 / 3)) + 1e-9).cast("int"))
-    shared = written(shared, "ngram-shared")
-    matrix = written(shared.select("t", "g", "cls").distinct(), "ngram-matrix")
-    queries = shared.where("seen * 7 >= n * 6")
+    shared = written(elsewhere.join(seen, "node"), "ngram-shared")
+    members = owned.join(seen, "node", "left_semi").join(sets.select("node", "m0"), "node")
+    blocks = max(1, -(-int(members.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS))
+    # sets of one min-hash lie together; those of a hot one are dealt over several groups
+    sums = members.groupBy("m0").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts"))
+    placed = salted_left_join(members.select("node", "m0"), sums, ["m0"], F.col("node"))
+    block = F.pmod(F.xxhash64("m0", F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(blocks)).cast("int")
+    members = written(members.join(placed.select("node", block.alias("block")), "node").select("block", "node", "g", "tokens"), "ngram-members")
+    matrix = written(shared.select("node", "t").join(members.select("node", "block"), "node").select("t", "block").distinct(), "ngram-matrix")
     need = F.ceil(F.col("n") * 6 / 7)
+    queries = shared.where(F.col("seen") >= need)
     width = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("width"))
     ranked = queries.join(width, "t").withColumn("rank", F.row_number().over(Window.partitionBy("node").orderBy("width", "t")))
     # an overlap of ``need`` leaves at least ``k`` among any seen - need + k shingles
     k = F.ceil(F.col("n") / 3)
-    rarest = ranked.where(F.col("rank") <= F.col("seen") - need + k)
-    columns = matrix.select("t", F.col("g").alias("other"), F.col("cls").alias("size_class"))
-    of_size = (F.col("other") != F.col("g")) & F.col("size_class").between(F.col("cls"), F.col("cls") + 1)
-    found = rarest.join(columns, "t").where(of_size).groupBy("node", "n", "other", "size_class").agg(F.count(F.lit(1)).alias("hits"))
-    found = found.where(F.col("hits") >= k).drop("hits")
-    overlap = found.join(queries.select("node", "t"), "node").join(columns, ["t", "other", "size_class"])
-    opened = overlap.groupBy("node", "n", "other", "size_class").agg(F.count(F.lit(1)).alias("overlap")).where(F.col("overlap") >= need)
-    members = shared.select(F.col("node").alias("member"), F.col("g").alias("other"), F.col("cls").alias("size_class"), F.col("n").alias("size")).distinct()
-    pairs = opened.join(members, ["other", "size_class"]).where("size >= n and n * 4 >= size * 3")
-    pairs = pairs.select(F.least("node", "member").alias("a"), F.greatest("node", "member").alias("b")).distinct()
-    left = owned.select(F.col("node").alias("a"), F.col("tokens").alias("x"))
-    right = owned.select(F.col("node").alias("b"), F.col("tokens").alias("y"))
-
-    def exact(batches):
-        for batch in batches:
-            x, y = batch.column(2).to_pylist(), batch.column(3).to_pylist()
-            common = [len(np.intersect1d(np.frombuffer(p, "<u8"), np.frombuffer(q, "<u8"), assume_unique=True)) for p, q in zip(x, y)]
-            linked = [7 * c >= 3 * (len(p) // 8 + len(q) // 8) for c, p, q in zip(common, x, y)]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(exact, "a long, b long")
+    rarest = ranked.where(F.col("rank") <= F.col("seen") - need + k).select("node", "n", "t")
+    hits = rarest.join(matrix, "t").groupBy("node", "n", "block").agg(F.count(F.lit(1)).alias("hits")).where(F.col("hits") >= k)
+    opened = written(hits.select("node", "block"), "ngram-opened")
+    most = opened.groupBy("block").agg(F.count(F.lit(1)).alias("c")).agg(F.max("c")).first()[0] or 0
+    shares = max(1, -(-most // QUERIES_PER_BLOCK))
+    asked = opened.join(owned.select("node", "g", "tokens"), "node").withColumn("share", F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int"))
+    held = members.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
+    return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(_open, "a long, b long")
+
+
+def _open(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+    """Links of the queries into one group: one for each component they meet."""
+    links: list[tuple[int, int]] = []
+    if len(asked) and len(held):
+        sets = [np.frombuffer(t, "<u8") for t in held["tokens"]]
+        n = np.array([len(x) for x in sets])
+        union, number = np.unique(np.concatenate(sets), return_inverse=True)
+        order = np.argsort(number, kind="stable")
+        posting = np.repeat(np.arange(len(sets)), n)[order]
+        bounds = np.searchsorted(number[order], np.arange(len(union) + 1))
+        nodes, groups = held["node"].to_numpy(), held["g"].to_numpy()
+        for node, g, raw in zip(asked["node"], asked["g"], asked["tokens"]):
+            tokens = np.frombuffer(raw, "<u8")
+            at = np.minimum(np.searchsorted(union, tokens), len(union) - 1)
+            at = at[union[at] == tokens]
+            if 7 * len(at) < 6 * len(tokens):  # the overlap with the union
+                continue
+            common = np.bincount(np.concatenate([posting[bounds[t] : bounds[t + 1]] for t in at.tolist()]), minlength=len(sets))
+            near = np.flatnonzero((7 * common >= 3 * (len(tokens) + n)) & (groups != g))
+            links += [(node, nodes[near[i]]) for i in np.unique(groups[near], return_index=True)[1].tolist()]
+    return pd.DataFrame(links, columns=["a", "b"], dtype="int64")
 
 
 def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame, DataFrame]:
