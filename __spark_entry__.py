@@ -28,8 +28,8 @@ from hiremart.functions import text as TX  # noqa: E402
 from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED, NOT_DISPLAYED_RAW  # noqa: E402
 from hiremart.operators import aggregates as AG  # noqa: E402
 from hiremart.operators.joins import left_join_default  # noqa: E402
-from hiremart.operators.materialize import materialize, spread  # noqa: E402
-from hiremart.operators.numbering import dense_index, input_order_ids  # noqa: E402
+from hiremart.operators.materialize import materialize, repartitioned  # noqa: E402
+from hiremart.operators.numbering import dense_index, input_order_ids, with_source  # noqa: E402
 from hiremart.plans import features as FT  # noqa: E402
 from hiremart.plans import industry as IN  # noqa: E402
 from hiremart.plans import location as LO  # noqa: E402
@@ -37,10 +37,11 @@ from hiremart.plans import marts as MA  # noqa: E402
 from hiremart.plans import requirements as RQ  # noqa: E402
 from hiremart.plans.job import data_quality_report  # noqa: E402
 from hiremart.plans.postings import enrich  # noqa: E402
-from hiremart.schemas import POSTING_JSON_KEYS, RAW_TEXT_COLUMNS  # noqa: E402
+from hiremart.schemas import JOB_BASE_CLEAN, POSTING_JSON_KEYS, RAW_TEXT_COLUMNS  # noqa: E402
+from hiremart.session import ship_package  # noqa: E402
 from hiremart.sources.orders_view import postings_view, postings_view_sql  # noqa: E402
 from hiremart.sources.postings import parse_posting_lines, valid_postings  # noqa: E402
-from hiremart.sources.tables import ragged_fields  # noqa: E402
+from hiremart.sources.tables import TSV_OPTIONS, ragged_fields  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -54,14 +55,13 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _texts(spark, sf_dir, name, *cols):
-    """The needed columns of a text table, spread over the cores for row-wise
-    regex work (columns are chosen before the spread so the scan stays pruned)."""
-    return spread(_t(spark, sf_dir, name).select(*cols))
+    """The needed columns of a text table."""
+    return repartitioned(_t(spark, sf_dir, name).select(*cols))
 
 
 def _postings(spark, sf_dir):
     orders = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
-    return postings_view(spread(orders))
+    return postings_view(repartitioned(orders))
 
 
 def _enriched(spark, sf_dir):
@@ -124,13 +124,13 @@ def q_dense_row_id(spark, sf_dir):
 
 
 def q_scan_order_ids(spark, sf_dir):
-    """W1 as the job assigns ids: 1..n in scan order, no shuffle of the rows.
+    """W1 as the job assigns ids: 1..n by file and place in the file.
 
-    The driver's orders file stores rows in key order, so scan order is
-    o_orderkey order and the oracle can state it with row_number().
+    The driver's orders file stores rows in key order, so the oracle can state
+    it with row_number(); tests/test_numbering.py has several files and splits.
     """
-    o = _t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return input_order_ids(o, "row_id")
+    o = with_source(_t(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "_metadata"))
+    return input_order_ids(o.drop("_metadata"), "row_id")
 
 
 def q_dense_row_id_lineitem(spark, sf_dir):
@@ -287,8 +287,8 @@ def q_totals_with_grand_total_first(spark, sf_dir):
 
 
 def q_totals_with_grand_total_last(spark, sf_dir):
-    """A5 + O3: industry totals, grand total last."""
-    return IN.industry_totals(_enriched(spark, sf_dir))
+    """A5 + O3: parts by type, grand total last."""
+    return AG.with_grand_total(_t(spark, sf_dir, "part"), "p_type", "n", "ALL", total_first=False)
 
 
 def q_segment_totals(spark, sf_dir):
@@ -357,8 +357,10 @@ def q_share_of_group(spark, sf_dir):
 
 
 def q_topk_global(spark, sf_dir):
-    """Skill top 500."""
-    return MA.requirement_mart(RQ.requirement_long(_enriched(spark, sf_dir)), "skill")
+    """O5 + M10: the 500 most frequent tokens of the documents, of a vocabulary that is larger."""
+    docs = _texts(spark, sf_dir, "documents", "text")
+    words = docs.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("w")).where("w <> ''").select(F.upper("w").alias("token"))
+    return AG.top_k(AG.count_by(words, ["token"], "n"), [F.desc("n"), F.asc("token")], MA.SKILL_TOP_K)
 
 
 def q_distinct_lookup(spark, sf_dir):
@@ -366,10 +368,12 @@ def q_distinct_lookup(spark, sf_dir):
     return FT.industry_lookup(RQ.requirement_long(_enriched(spark, sf_dir)))
 
 
-def _merged(spark, sf_dir):
-    """The merged feature rows (an aggregate), computed once for its three readers."""
+def _merged(spark, sf_dir, null_propagates=False):
+    """The merged feature rows.  The requirement table, which its two sides read, is
+    computed once.  It leaves one industry out, so that some location rows match no name."""
     e, labels = _labelled(spark, sf_dir)
-    return materialize(FT.merged_features(RQ.requirement_long(e), IN.industry_by_location(e, labels, sort=False)))
+    long = materialize(RQ.requirement_long(e.where("industry_name <> 'LOGISTICS'"), null_propagates))
+    return FT.merged_features(long, IN.industry_by_location(e, labels, sort=False))
 
 
 def q_industry_index(spark, sf_dir):
@@ -383,30 +387,42 @@ def q_feature_value_index(spark, sf_dir):
 
 
 def q_feature_matrix(spark, sf_dir):
-    """U1 + U2 + J3-J5 + T17 + T18."""
-    m = _merged(spark, sf_dir)
-    return FT.feature_matrix(m, materialize(FT.industry_index(m)), materialize(FT.feature_value_index(m)))
+    """U1 + U2 + J3-J5 + T17 + T18, with NULL values (index 0) and unmatched names."""
+    m = materialize(_merged(spark, sf_dir, True))
+    return FT.feature_matrix(m, FT.industry_index(m), FT.feature_value_index(m))
 
 
 def q_bar_topn(spark, sf_dir):
-    """O6 + F7 + T22: top 25 brands by part count."""
-    part = _t(spark, sf_dir, "part")
-    return AG.bar_top_n(AG.count_by(part, ["p_brand"], "n"), "p_brand", "n", 25)
+    """O6 + F7 + T22: the 25 most frequent part names, of many more."""
+    names = AG.count_by(_t(spark, sf_dir, "part"), ["p_name"], "n")
+    return AG.bar_top_n(names, "p_name", "n", 25)
 
 
 def q_share_pivot_top(spark, sf_dir):
-    """A10-A12 + F6 + O7: nation x segment share matrix (top 25 x top 20)."""
-    c = _t(spark, sf_dir, "customer").join(_t(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-    counts = AG.count_by(c, ["n_name", "c_mktsegment"], "job_count")
-    shares = AG.share_of_group(counts, ["n_name"], "job_count", "nation_total", "share")
-    return AG.pivot_share(shares, "n_name", "c_mktsegment", "share", "nation_total", "job_count", 25, 20)
+    """A10-A12 + F6 + O7: brand x type share matrix, top 10 x top 20, as one row per cell.
+
+    Types have dots in their names and one in five sizes has none (NULL)."""
+    kind = F.when(F.col("p_size") % 5 != 0, F.translate("p_type", " ", ".")).alias("kind")
+    counts = AG.count_by(_t(spark, sf_dir, "part").select("p_brand", kind), ["p_brand", "kind"], "job_count")
+    shares = AG.share_of_group(counts, ["p_brand"], "job_count", "brand_total", "share")
+    matrix = AG.pivot_share(shares, "p_brand", "kind", "share", "brand_total", "job_count", 10, 20)
+    return AG.unpivoted(matrix, ["p_brand", "brand_total"], "kind", "share")
 
 
 def q_province_industry_heatmap(spark, sf_dir):
-    """The chart's province x industry share matrix
-    (top 25 provinces by total, top 20 industries by count)."""
+    """The chart's province x industry share matrix, cut to
+    12 provinces by total and 5 industries by count, as one row per cell."""
     share = MA.province_industry_share(_by_location_viz(spark, sf_dir))
-    return AG.pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 25, 20)
+    matrix = AG.pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 12, 5)
+    return AG.unpivoted(matrix, ["province", "province_job_count"], "industry", "share")
+
+
+def q_tsv_schema_roundtrip(spark, sf_dir):
+    """Postings rendered as tab-separated lines and read by position with the declared schema."""
+    p = _postings(spark, sf_dir).select("job_id", *RAW_TEXT_COLUMNS)
+    line = F.concat_ws("\t", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in p.columns])
+    row = F.from_csv(line, JOB_BASE_CLEAN.simpleString()[7:-1].replace(":", " "), dict(TSV_OPTIONS))
+    return p.select(row.alias("r")).select("r.*")
 
 
 def q_top_raw_locations(spark, sf_dir):
@@ -464,6 +480,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "feature_value_index": q_feature_value_index,
     "feature_matrix": q_feature_matrix,
     "bar_topn": q_bar_topn,
+    "tsv_schema_roundtrip": q_tsv_schema_roundtrip,
     "share_pivot_top": q_share_pivot_top,
     "province_industry_heatmap": q_province_industry_heatmap,
     "top_raw_locations": q_top_raw_locations,
@@ -481,6 +498,16 @@ def _pipeline(spark, sf_dir):
     return corpus_pipeline.run(spark, sf_dir)
 
 
+def _with_package(query):
+    """``query`` with this package made known to the Python workers first."""
+
+    def run(spark, sf_dir):
+        ship_package(spark)
+        return query(spark, sf_dir)
+
+    return run
+
+
 def _training_data_module():
     """The training-data queries, or None where that subpackage is not installed."""
     if importlib.util.find_spec("hiremart.llm") is None:
@@ -492,9 +519,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     found = dict(QUERIES)
     module = _training_data_module()
     if module is not None:
-        found |= module.queries()
+        found |= {name: _with_package(query) for name, query in module.queries().items()}
         if importlib.util.find_spec("corpus_pipeline") is not None:
-            found["pipeline"] = _pipeline
+            found["pipeline"] = _with_package(_pipeline)
     return found
 
 
@@ -502,6 +529,28 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 # DuckDB oracle: the same semantics written independently in SQL
 # ----------------------------------------------------------------------------
 
+# Fixed values, written out here so that the SQL does not share them with the code under test.
+WHITE = "[ \\t\\n\\x0B\\f\\r]"
+LINE_ENDS = "[\\n\\r\\x{85}\\x{2028}\\x{2029}]"
+ACCENTED = "áàảãạăắằẳẵặâấầẩẫậéèẻẽẹêếềểễệíìỉĩịóòỏõọôốồổỗộơớờởỡợúùủũụưứừửữựýỳỷỹỵđ"
+BASE = "a" * 17 + "e" * 11 + "i" * 5 + "o" * 17 + "u" * 11 + "y" * 5 + "d"
+EDUCATIONS = [
+    (["KHÔNG HIỂN THỊ", "UNKNOWN", "KHÔNG GIỚI HẠN", "KHÁC"], "KHÔNG YÊU CẦU"),
+    (["TRUNG HỌC CƠ SỞ (CẤP 2) TRỞ LÊN"], "THCS"),
+    (["TRUNG HỌC PHỔ THÔNG (CẤP 3) TRỞ LÊN", "TRUNG HỌC"], "THPT"),
+    (["ĐẠI HỌC TRỞ LÊN", "CỬ NHÂN"], "ĐẠI HỌC"),
+    (["CAO HỌC TRỞ LÊN", "THẠC SĨ"], "CAO HỌC"),
+    (["TRUNG CẤP", "TRUNG CẤP TRỞ LÊN"], "TRUNG CẤP"),
+]
+EMPLOYMENTS = [
+    (["TOÀN THỜI GIAN CỐ ĐỊNH", "TOÀN THỜI GIAN", "TOÀN THỜI GIAN TẠM THỜI"], "TOÀN THỜI GIAN"),
+    (["BÁN THỜI GIAN"], "BÁN THỜI GIAN"),
+    (["THỜI VỤ", "HỢP ĐỒNG THỜI VỤ"], "THỜI VỤ / HỢP ĐỒNG"),
+    (["THỰC TẬP"], "THỰC TẬP"),
+    (["KHÁC", "KHÔNG HIỂN THỊ", "UNKNOWN"], "KHÁC / KHÔNG HIỂN THỊ"),
+]
+
+
 def _q(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
@@ -511,11 +560,11 @@ def s_jtrim(x: str) -> str:
 
 
 def s_collapse(x: str, repl: str = " ") -> str:
-    return f"regexp_replace({x}, {_q(TX.WS + '+')}, {_q(repl)}, 'g')"
+    return f"regexp_replace({x}, {_q(WHITE + '+')}, {_q(repl)}, 'g')"
 
 
 def s_has_lt(x: str) -> str:
-    return f"regexp_matches({x}, {_q(TX.LINE_TERMINATORS)})"
+    return f"regexp_matches({x}, {_q(LINE_ENDS)})"
 
 
 def s_anywhere(x: str, pattern: str) -> str:
@@ -527,10 +576,11 @@ def s_unknown_if_blank(x: str) -> str:
 
 
 def s_head(x: str, d: str) -> str:
-    dd = "\\" + d if d == "/" else d
+    start = f"^([^{d}]+)"  # cut at the first delimiter, if no line ends after it
     return (
-        f"CASE WHEN {x} = 'UNKNOWN' THEN 'UNKNOWN' WHEN regexp_matches({x}, {_q(TX.head_segment_pattern(d))}) "
-        f"THEN regexp_extract({x}, {_q('^([^' + dd + ']+)')}, 1) ELSE {x} END"
+        f"CASE WHEN {x} = 'UNKNOWN' THEN 'UNKNOWN' WHEN regexp_matches({x}, {_q(start)}) "
+        f"AND NOT {s_has_lt(f'substr({x}, length(regexp_extract({x}, {_q(start)}, 1)) + 1)')} "
+        f"THEN regexp_extract({x}, {_q(start)}, 1) ELSE {x} END"
     )
 
 
@@ -557,11 +607,9 @@ def s_industry_id(name: str) -> str:
 
 
 def s_fold(x: str) -> str:
-    src = "".join(ch for _, chs in TX.ACCENT_FAMILIES for ch in chs)
-    dst = "".join(base * len(chs) for base, chs in TX.ACCENT_FAMILIES)
-    folded = f"translate(lower({x}), {_q(src)}, {_q(dst)})"
-    spaced = f"translate({folded}, {_q(TX.SPACE_CHARS)}, {_q(' ' * len(TX.SPACE_CHARS))})"
-    return f"regexp_replace({spaced}, {_q(TX.SPACE_SEQUENCES)}, ' ', 'g')"
+    folded = f"translate(lower({x}), {_q(ACCENTED)}, {_q(BASE)})"
+    spaced = f"translate({folded}, {_q(chr(0xA0) + '|' + chr(0x2026))}, '   ')"
+    return f"replace({spaced}, '...', ' ')"
 
 
 def s_province(raw: str) -> str:
@@ -579,7 +627,7 @@ def s_code(name: str) -> str:
 
 
 def s_tokens(x: str) -> str:
-    parts = f"list_filter(string_split_regex(upper({s_jtrim(x)}), {_q(TX.TOKEN_SPLIT_REGEX)}), lambda t: t <> '')"
+    parts = f"list_filter(string_split_regex(upper({s_jtrim(x)}), '[\\[,;/|\\]+]'), lambda t: t <> '')"
     cleaned = f"list_transform({parts}, lambda t: CASE WHEN {s_jtrim('t')} = '' THEN 'UNKNOWN' ELSE upper({s_jtrim('t')}) END)"
     return f"(CASE WHEN {x} IS NULL OR {s_jtrim(x)} = '' THEN ['UNKNOWN'] ELSE {cleaned} END)"
 
@@ -588,22 +636,21 @@ def s_experience(x: str, null_propagates: bool = False) -> str:
     raw = f"({s_unknown_if_blank(x)})"
     t = s_jtrim(f"coalesce({x}, '')")
     digits = f"(CASE WHEN regexp_matches({t}, '^[0-9]') THEN regexp_extract({t}, '^([0-9]+)', 1) END)"
-    not_req = ", ".join(_q(v) for v in B.EXP_NOT_REQUIRED_INPUTS)
-    ws = TX.WS
+    not_req = "'KHÔNG YÊU CẦU', 'KHÔNG HIỂN THỊ', 'UNKNOWN', 'NULL'"
     chain = (
-        f"CASE WHEN {raw} IN ({not_req}) THEN {_q(B.EXP_NOT_REQUIRED)} "
-        f"WHEN {s_anywhere(raw, B.EXP_UNDER_1)} THEN {_q(B.EXP_UNDER_1)} "
-        f"WHEN regexp_matches({digits}, '^[123]$') THEN {_q(B.EXP_1_3)} "
-        f"WHEN regexp_matches({digits}, '^[45]$') THEN {_q(B.EXP_3_5)} "
-        f"WHEN {s_anywhere(raw, '5' + ws + '*-' + ws + '*10')} THEN {_q(B.EXP_3_5)} "
-        f"WHEN regexp_matches({digits}, '^[6-9]$|^[1-9][0-9]+$') THEN {_q(B.EXP_OVER_5)} "
-        f"WHEN {s_anywhere(raw, 'TRÊN' + ws + '*5')} THEN {_q(B.EXP_OVER_5)} "
-        f"WHEN {raw} = {_q(B.EXP_UNDER_1)} THEN {_q(B.EXP_UNDER_1)} "
+        f"CASE WHEN {raw} IN ({not_req}) THEN 'KHÔNG YÊU CẦU' "
+        f"WHEN {s_anywhere(raw, 'DƯỚI 1 NĂM')} THEN 'DƯỚI 1 NĂM' "
+        f"WHEN regexp_matches({digits}, '^[123]$') THEN '1-3 NĂM' "
+        f"WHEN regexp_matches({digits}, '^[45]$') THEN '3-5 NĂM' "
+        f"WHEN {s_anywhere(raw, '5' + WHITE + '*-' + WHITE + '*10')} THEN '3-5 NĂM' "
+        f"WHEN regexp_matches({digits}, '^[6-9]$|^[1-9][0-9]+$') THEN 'TRÊN 5 NĂM' "
+        f"WHEN {s_anywhere(raw, 'TRÊN' + WHITE + '*5')} THEN 'TRÊN 5 NĂM' "
+        f"WHEN {raw} = 'DƯỚI 1 NĂM' THEN 'DƯỚI 1 NĂM' "
         f"ELSE {raw} END"
     )
     if not null_propagates:
         return f"({chain})"
-    first_two = f"({raw} IN ({not_req}) OR {s_anywhere(raw, B.EXP_UNDER_1)})"
+    first_two = f"({raw} IN ({not_req}) OR {s_anywhere(raw, 'DƯỚI 1 NĂM')})"
     return f"(CASE WHEN {first_two} OR {digits} IS NOT NULL THEN {chain} END)"
 
 
@@ -635,15 +682,15 @@ def _with(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
 
 
-def _long_cte(null_propagates: bool = False) -> str:
+def _long_cte(null_propagates: bool = False, source: str = "e2") -> str:
     exp = s_experience("raw_exp", null_propagates)
     return (
         "items AS ("
-        f"SELECT req_industry_id AS industry_id, req_industry_name AS industry_name, 'exp' AS feature_type, {exp} AS feature_value FROM e2 "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'edu', {s_mapped('raw_edu', B.EDUCATION_MAP)} FROM e2 "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'type', {s_mapped('raw_type', B.EMPLOYMENT_TYPE_MAP)} FROM e2 "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'skill', unnest({s_tokens('raw_skill')}) FROM e2 "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'req', unnest({s_tokens('raw_req')}) FROM e2), "
+        f"SELECT req_industry_id AS industry_id, req_industry_name AS industry_name, 'exp' AS feature_type, {exp} AS feature_value FROM {source} "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'edu', {s_mapped('raw_edu', EDUCATIONS)} FROM {source} "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'type', {s_mapped('raw_type', EMPLOYMENTS)} FROM {source} "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'skill', unnest({s_tokens('raw_skill')}) FROM {source} "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'req', unnest({s_tokens('raw_req')}) FROM {source}), "
         "lng AS (SELECT feature_type, industry_id, industry_name, feature_value, CAST(count(*) AS BIGINT) AS total_jobs "
         "FROM items GROUP BY ALL)"
     )
@@ -669,6 +716,10 @@ MERGED_CTE = (
 )
 
 
+SOME_E2_CTE = "some_e2 AS (SELECT * FROM e2 WHERE industry_name <> 'LOGISTICS')"
+MERGED_PARTS = (P_CTE, E_CTE, E2_CTE, SOME_E2_CTE, _long_cte(False, "some_e2"), BYLOC_CTE, MERGED_CTE)
+
+
 def _industry_totals_sql() -> str:
     return (
         _with(P_CTE, E_CTE)
@@ -755,8 +806,8 @@ def _reference_sql() -> dict[str, str]:
         "experience_bucket_pig_nulls": _with(P_CTE) + f"SELECT job_id, {s_experience('raw_exp', True)} AS experience FROM p",
         "category_map": (
             _with(P_CTE)
-            + f"SELECT job_id, {s_mapped('raw_edu', B.EDUCATION_MAP)} AS education, "
-            f"{s_mapped('raw_type', B.EMPLOYMENT_TYPE_MAP)} AS employment_type FROM p"
+            + f"SELECT job_id, {s_mapped('raw_edu', EDUCATIONS)} AS education, "
+            f"{s_mapped('raw_type', EMPLOYMENTS)} AS employment_type FROM p"
         ),
         "ordered_rules": _with(P_CTE, E_CTE) + "SELECT job_id, raw_loc, province_name FROM e",
         "code_lookup": (
@@ -785,7 +836,10 @@ def _reference_sql() -> dict[str, str]:
             + "SELECT CASE WHEN grouping(province_name) = 1 THEN " + _q(PV.TOTAL_LABEL) + " ELSE province_name END AS city_name, "
             "CAST(count(*) AS BIGINT) AS job_count, CAST(grouping(province_name) AS BIGINT) AS is_total FROM e GROUP BY ROLLUP (province_name)"
         ),
-        "totals_with_grand_total_last": _industry_totals_sql(),
+        "totals_with_grand_total_last": (
+            "SELECT CASE WHEN grouping(p_type) = 1 THEN 'ALL' ELSE p_type END AS p_type, "
+            "CAST(count(*) AS BIGINT) AS n, CAST(grouping(p_type) AS BIGINT) AS is_total FROM part GROUP BY ROLLUP (p_type)"
+        ),
         "segment_totals": (
             "SELECT CASE WHEN grouping(c_mktsegment) = 1 THEN 'ALL' ELSE c_mktsegment END AS c_mktsegment, "
             "CAST(count(*) AS BIGINT) AS n, CAST(grouping(c_mktsegment) AS BIGINT) AS is_total FROM customer GROUP BY ROLLUP (c_mktsegment)"
@@ -832,71 +886,50 @@ def _reference_sql() -> dict[str, str]:
             "ON v.province = t.province"
         ),
         "topk_global": (
-            _with(P_CTE, E_CTE, E2_CTE, _long_cte())
-            + "SELECT feature_value AS skill, CAST(sum(total_jobs) AS BIGINT) AS job_count FROM lng "
-            f"WHERE feature_type = 'skill' AND NOT {s_irrelevant('feature_value')} GROUP BY feature_value "
-            "ORDER BY job_count DESC, skill LIMIT 500"
+            "SELECT token, CAST(count(*) AS BIGINT) AS n FROM (SELECT upper(unnest(regexp_extract_all(text, '[A-Za-z]+'))) AS token "
+            "FROM documents) GROUP BY token ORDER BY n DESC, token LIMIT 500"
         ),
         "distinct_lookup": _with(P_CTE, E_CTE, E2_CTE, _long_cte()) + "SELECT DISTINCT industry_id, industry_name FROM lng",
-        "industry_index": _with(P_CTE, E_CTE, E2_CTE, _long_cte(), BYLOC_CTE, MERGED_CTE) + "SELECT * FROM ind_idx",
-        "feature_value_index": _with(P_CTE, E_CTE, E2_CTE, _long_cte(), BYLOC_CTE, MERGED_CTE) + "SELECT * FROM fv_idx",
+        "industry_index": _with(*MERGED_PARTS) + "SELECT * FROM ind_idx",
+        "feature_value_index": _with(*MERGED_PARTS) + "SELECT * FROM fv_idx",
         "feature_matrix": (
-            _with(P_CTE, E_CTE, E2_CTE, _long_cte(), BYLOC_CTE, MERGED_CTE)
+            _with(P_CTE, E_CTE, E2_CTE, SOME_E2_CTE, _long_cte(True, "some_e2"), BYLOC_CTE, MERGED_CTE)
             + "SELECT CAST(coalesce(i.industry_idx, -1) AS BIGINT) AS industry_idx, "
-            "CAST(CASE m.feature_type " + " ".join(f"WHEN '{n}' THEN {c}" for n, c in B.FEATURE_TYPE_CODES)
-            + " ELSE 0 END AS BIGINT) AS feature_type_idx, "
+            "CAST(CASE m.feature_type WHEN 'exp' THEN 1 WHEN 'edu' THEN 2 WHEN 'type' THEN 3 WHEN 'skill' THEN 4 "
+            "WHEN 'req' THEN 5 WHEN 'location' THEN 6 ELSE 0 END AS BIGINT) AS feature_type_idx, "
             "CAST(coalesce(f.feature_value_idx, 0) AS BIGINT) AS feature_value_idx, "
             "CAST(coalesce(m.total_jobs, 0) AS BIGINT) AS feature_count FROM merged m "
             "LEFT JOIN ind_idx i ON m.industry_id = i.industry_id "
             "LEFT JOIN fv_idx f ON m.feature_type = f.feature_type AND m.feature_value = f.feature_value"
         ),
         "bar_topn": (
-            "SELECT p_brand, CAST(count(*) AS DOUBLE) AS n FROM part WHERE p_brand IS NOT NULL "
-            "GROUP BY p_brand ORDER BY n DESC, p_brand LIMIT 25"
+            "SELECT p_name, CAST(count(*) AS DOUBLE) AS n FROM part WHERE p_name IS NOT NULL "
+            "GROUP BY p_name ORDER BY n DESC, p_name LIMIT 25"
+        ),
+        "tsv_schema_roundtrip": (
+            _with(P_CTE) + "SELECT job_id, " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_TEXT_COLUMNS) + " FROM p"
+        ),
+        "share_pivot_top": _matrix_sql(
+            "SELECT p_brand, CASE WHEN p_size % 5 <> 0 THEN replace(p_type, ' ', '.') END AS kind, "
+            "CAST(count(*) AS BIGINT) AS job_count FROM part GROUP BY ALL", "p_brand", "kind", "brand_total", 10, 20,
+        ),
+        "province_industry_heatmap": _matrix_sql(
+            _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE) + "SELECT * FROM viz", "province", "industry", "province_job_count", 12, 5,
         ),
-        "share_pivot_top": _share_pivot_sql(),
-        "province_industry_heatmap": _heatmap_sql(),
         "top_raw_locations": _with(P_CTE) + "SELECT raw_loc, CAST(count(*) AS BIGINT) AS count FROM p GROUP BY raw_loc",
     }
     return sql
 
 
-def _pivot_share_sql(base: str, row: str, col: str, value: str, row_total: str, item_count: str,
-                     top_rows: int, top_cols: int) -> str:
-    """Top-rows x top-columns matrix of ``value`` with DuckDB's dynamic PIVOT.
-
-    ``base`` is a parenthesised query; the column list comes from the data,
-    as in the Spark pivot.  Empty cells are 0.0.
-    """
-    top_r = (f"(SELECT DISTINCT {row}, {row_total} FROM {base} WHERE {row_total} IS NOT NULL "
-             f"ORDER BY {row_total} DESC, {row} LIMIT {top_rows})")
-    top_c = (f"(SELECT {col} FROM {base} GROUP BY {col} "
-             f"ORDER BY sum({item_count}) DESC, {col} LIMIT {top_cols})")
-    sub = (f"(SELECT {row}, {col}, {value} FROM {base} b WHERE {row} IN (SELECT {row} FROM {top_r}) "
-           f"AND {col} IN (SELECT {col} FROM {top_c}))")
+def _matrix_sql(base: str, row: str, col: str, total: str, rows: int, cols: int) -> str:
+    """Cells of the share matrix: the largest rows and columns, 0.0 where there is nothing;
+    a row with no cell in the chosen columns is left out."""
     return (
-        f"SELECT pv.{row}, COALESCE(COLUMNS(pv.* EXCLUDE ({row})), 0.0), t.{row_total} "
-        f"FROM (PIVOT {sub} ON {col} USING sum({value}) GROUP BY {row}) pv "
-        f"JOIN {top_r} t ON pv.{row} = t.{row}"
-    )
-
-
-def _share_pivot_sql() -> str:
-    base = (
-        "(SELECT *, CAST(sum(job_count) OVER (PARTITION BY n_name) AS BIGINT) AS nation_total, "
-        "job_count / sum(job_count) OVER (PARTITION BY n_name) AS share FROM "
-        "(SELECT n_name, c_mktsegment, CAST(count(*) AS BIGINT) AS job_count FROM customer "
-        "JOIN nation ON c_nationkey = n_nationkey GROUP BY n_name, c_mktsegment))"
-    )
-    return _pivot_share_sql(base, "n_name", "c_mktsegment", "share", "nation_total", "job_count", 25, 20)
-
-
-def _heatmap_sql() -> str:
-    base = (
-        "(" + _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)
-        + "SELECT v.province, v.industry, v.job_count, t.province_job_count, "
-        "CASE WHEN t.province_job_count > 0 THEN v.job_count / t.province_job_count END AS share FROM viz v "
-        "JOIN (SELECT province, CAST(sum(job_count) AS BIGINT) AS province_job_count FROM viz GROUP BY province) t "
-        "ON v.province = t.province)"
+        f"WITH base AS ({base}), t AS (SELECT {row}, CAST(sum(job_count) AS BIGINT) AS {total} FROM base GROUP BY {row}), "
+        f"r AS (SELECT * FROM t ORDER BY {total} DESC, {row} LIMIT {rows}), "
+        f"c AS (SELECT {col} FROM base GROUP BY {col} ORDER BY sum(job_count) DESC, {col} NULLS FIRST LIMIT {cols}), "
+        f"x AS (SELECT b.{row}, b.{col}, b.job_count FROM base b JOIN c ON b.{col} IS NOT DISTINCT FROM c.{col}) "
+        f"SELECT r.{row}, r.{total}, coalesce(c.{col}, '(null)') AS {col}, "
+        f"coalesce((SELECT sum(x.job_count) / r.{total} FROM x WHERE x.{row} = r.{row} AND x.{col} IS NOT DISTINCT FROM c.{col}), 0.0) AS share "
+        f"FROM r, c WHERE r.{row} IN (SELECT {row} FROM x)"
     )
-    return _pivot_share_sql(base, "province", "industry", "share", "province_job_count", "job_count", 25, 20)

@@ -116,23 +116,48 @@ def pivot_share(
     """Heat-map matrix of shares.
 
     Rows: the ``top_rows`` row keys by their total; columns: the ``top_cols``
-    column keys by summed count.  Both choices are top-k lists (at most
-    ``top_rows``/``top_cols`` values), so the column list that ``pivot``
-    needs is small by construction; the matrix cells are sum(share) with
-    0.0 for empty cells, rows ordered by total descending.  The input (an
-    aggregate) is materialized once, since the column list, the top rows
-    and the pivot each read it.
+    column keys by summed count.  Both choices are top-k lists, the features of
+    the chart.  A cell is a conditional sum, 0.0 where there is nothing, and
+    is named by the value's text, whatever characters it holds (a NULL is
+    ``COLUMN_OF_NULL``); rows come by total descending.  The input (an
+    aggregate) is materialized once, since both lists and the cells read it.
     """
     df = materialize(df)
-    row_tot = df.select(row_col, row_total_col).where(F.col(row_total_col).isNotNull()).dropDuplicates()
-    top_r = top_k(row_tot, [F.desc(row_total_col), F.asc(row_col)], top_rows)
+    totals = df.select(row_col, row_total_col).where(F.col(row_total_col).isNotNull()).dropDuplicates()
+    top_r = top_k(totals, [F.desc(row_total_col), F.asc(row_col)], top_rows)
     col_tot = df.groupBy(col_col).agg(F.sum(item_count_col).alias("_col_total"))
     top_c = top_k(col_tot, [F.desc("_col_total"), F.asc(col_col)], top_cols)
     # at most top_cols values; columns in sorted order, as a pivot table lists them
-    col_values = sorted((r[0] for r in top_c.select(col_col).collect()), key=lambda v: (v is None, str(v)))
-    sub = df.join(F.broadcast(top_r.select(row_col)), row_col, "left_semi").join(
-        F.broadcast(top_c.select(col_col)), col_col, "left_semi"
+    values = sorted((r[0] for r in top_c.select(col_col).collect()), key=lambda v: (v is None, str(v)))
+    cells = [
+        F.coalesce(F.sum(F.when(F.col(col_col).eqNullSafe(F.lit(v)), F.col(value_col))), F.lit(0.0)).alias(column_name(v))
+        for v in values
+    ]
+    chosen = F.coalesce(F.col(col_col).isin([v for v in values if v is not None]), F.lit(False))
+    if None in values:
+        chosen = chosen | F.col(col_col).isNull()
+    key = top_r.select(F.col(row_col).alias("_row"), F.col(row_total_col).alias("_total"))  # at most top_rows rows
+    kept = df.where(chosen).join(F.broadcast(key), F.col(row_col).eqNullSafe(F.col("_row")))
+    matrix = kept.groupBy(row_col, F.col("_total").alias(row_total_col)).agg(F.count(F.lit(1)).alias("_n"), *cells).drop("_n")
+    return matrix.select(row_col, *[quoted(c) for c in matrix.columns[2:]], row_total_col).orderBy(
+        F.desc(row_total_col), F.asc(row_col)
     )
-    pivoted = sub.groupBy(row_col).pivot(col_col, col_values).agg(F.sum(value_col)).fillna(0.0, subset=[str(v) for v in col_values])
-    ordered = pivoted.join(F.broadcast(top_r), row_col, "inner")
-    return ordered.orderBy(F.desc(row_total_col), F.asc(row_col))
+
+
+COLUMN_OF_NULL = "(null)"
+
+
+def column_name(value) -> str:
+    return COLUMN_OF_NULL if value is None else str(value)
+
+
+def quoted(name: str) -> Column:
+    """A column by its exact name, dots and backticks included."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
+def unpivoted(matrix: DataFrame, ids: Sequence[str], key: str, value: str) -> DataFrame:
+    """One row per cell of a matrix: ``ids``, the column's name and its value."""
+    cells = [c for c in matrix.columns if c not in ids]
+    pairs = F.explode(F.array(*[F.struct(F.lit(c).alias("k"), quoted(c).alias("v")) for c in cells])).alias("cell")
+    return matrix.select(*ids, pairs).select(*ids, F.col("cell.k").alias(key), F.col("cell.v").alias(value))

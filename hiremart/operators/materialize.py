@@ -1,10 +1,9 @@
-"""Lineage cutting and size-checked broadcast.
+"""Lineage cutting, size-checked broadcast, and the readers' repartitioning.
 
-``materialize`` uses a reliable checkpoint in the folder the cluster names
-in ``spark.checkpoint.dir`` (read from the session, never invented here);
-without one it falls back to ``persist(MEMORY_AND_DISK)``, which is still
-safe against executor loss because every caller feeds it a deterministic
-plan.
+``materialize`` writes a frame into the folder the cluster names in
+``spark.checkpoint.dir`` (a scratch folder only where that is unset, as in
+tests) and reads it back: the plan runs once, the copy survives lost
+executors, and nothing stays in the session's cache.
 
 ``broadcast_if_small`` measures a lookup side before hinting a broadcast.
 Above the limits the plain DataFrame is returned, so Spark plans a shuffle
@@ -13,7 +12,9 @@ join (with AQE's skew splitting) instead.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,40 +28,20 @@ _FIXED_WIDTH = {
 }
 
 
-def checkpoint_dir(spark) -> str | None:
-    """The shared checkpoint folder configured for this session, if any.
+def shared_dir(spark) -> str:
+    """The folder all executors share; a scratch one is set only where none is."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        base = "file://" + tempfile.mkdtemp(prefix="hiremart-shared-", dir="/tmp")
+        spark.conf.set("spark.checkpoint.dir", base)
+    return base.rstrip("/")
 
-    Sessions without a SparkContext handle (Spark Connect) report None, so
-    callers fall back to persisting.
-    """
-    try:
-        sc = spark.sparkContext
-    except Exception:  # noqa: BLE001 - no SparkContext in this session type
-        return None
-    d = sc.getCheckpointDir()
-    if d:
-        return d
-    conf = spark.conf.get("spark.checkpoint.dir", None)
-    if conf:
-        sc.setCheckpointDir(conf)
-        return sc.getCheckpointDir()
-    return None
-
-
-def materialize(df: DataFrame, *, prefer_checkpoint: bool = True) -> DataFrame:
-    """Compute ``df`` once for several consumers and cut its lineage.
-
-    A reliable checkpoint is written by a second job after the eager action;
-    persisting first lets that job read the cached blocks instead of
-    recomputing the plan.  The cache is dropped once the checkpoint files
-    exist, since the returned frame reads from them.
-    """
-    if prefer_checkpoint and checkpoint_dir(df.sparkSession) is not None:
-        cached = df.persist(StorageLevel.MEMORY_AND_DISK)
-        out = cached.checkpoint(eager=True)
-        cached.unpersist()
-        return out
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+def materialize(df: DataFrame) -> DataFrame:
+    """Compute ``df`` once for several consumers and cut its lineage."""
+    path = f"{shared_dir(df.sparkSession)}/hiremart-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def estimated_bytes(df: DataFrame) -> F.Column:
@@ -106,24 +87,12 @@ def broadcast_if_small(df: DataFrame, max_rows: int | None = None, max_bytes: in
     return df
 
 
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Give CPU-heavy row-wise stages at least ``min_partitions`` tasks.
+def repartitioned(df: DataFrame) -> DataFrame:
+    """``df`` in ``hiremart.read.partitions`` partitions, where the session sets that.
 
-    A large input already has one task per file split and is returned
-    unchanged.  A frame with fewer partitions than the cluster's
-    parallelism (one row group, one small file) is small by that very
-    fact; it is spread round-robin and kept (MEMORY_AND_DISK), so regex
-    work does not run on a single core.  Keeping the copy also stops
-    Catalyst from pushing filters on derived text columns below the
-    redistribution, where they would be evaluated, expensive expressions
-    inlined, on the single input task.  Round-robin repartitioning sorts
-    rows first, so a lost partition is recomputed identically.
+    A parameter for inputs that Spark cannot split (one compressed file, one
+    row group), applied by readers after they have chosen their columns.
+    Unset, the scan's own splits are kept.
     """
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        current = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD view in this session type: leave as is
-        return df
-    if current >= target:
-        return df
-    return df.repartition(target).persist(StorageLevel.MEMORY_AND_DISK)
+    n = df.sparkSession.conf.get("hiremart.read.partitions", None)
+    return df.repartition(int(n)) if n else df

@@ -9,7 +9,6 @@ one row per partition, never one per data row.
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -39,55 +38,49 @@ def dense_index(
 
     ``order_cols`` must be a total order (unique), so recomputation after a
     lost executor gives the same numbers.  Range partitioning spreads the
-    sort over all tasks; the sorted frame is materialized once and read by
-    the offset pass and the final pass.  The input is kept while the range
-    bounds are sampled and the sorted frame is written, so its plan runs
-    once rather than once per pass.
+    sort over all tasks; the sorted rows are written once, with partition and
+    position, and both the offsets and the result are read from that copy.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cols = list(df.columns)
-    own_cache = df.storageLevel == StorageLevel.NONE      # never drop a caller's cache
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK) if own_cache else df
-    ranged = kept.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    pid = F.spark_partition_id()
-    tagged = materialize(
-        ranged.select(
-            *cols,
-            pid.alias(_PID),
-            (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias(_POS),
-        )
-    )
-    if own_cache:
-        kept.unpersist()
+    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
+    tagged = materialize(ranged.select(*df.columns, F.spark_partition_id().alias(_PID), _position().alias(_POS)))
     counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
     # One row per range partition: at most ``n`` rows by construction.
     offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)
     out = tagged.join(F.broadcast(offsets), _PID, "left")
-    return out.select(*cols, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col))
+    return out.select(*df.columns, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col))
+
+
+def _position():
+    """Place of a row within its partition, from 0."""
+    return F.monotonically_increasing_id() - F.spark_partition_id().cast("long") * F.lit(1 << 33)
+
+
+#: Columns that a file reader adds for ``input_order_ids``.
+SOURCE_COLUMNS = {"_hm_path": "_metadata.file_path", "_hm_block": "_metadata.file_block_start"}
+
+
+def with_source(df: DataFrame) -> DataFrame:
+    """A file scan's rows with the file and block that each comes from."""
+    return df.select("*", *[F.col(expr).alias(name) for name, expr in SOURCE_COLUMNS.items()])
 
 
 def input_order_ids(df: DataFrame, index_col: str = "id", start: int = 1) -> DataFrame:
-    """Number rows 1..n in scan order without shuffling the rows.
-
-    Scan order: the input splits in the order Spark assigns them to tasks,
-    rows in file order within a split -- deterministic for a given file
-    listing and configuration.  A row's id is the number of rows in earlier
-    scan partitions plus its position in its own partition, so the only
-    table built is one row of integers per scan task, broadcast by
-    construction.  The scan runs twice (count pass and final pass); both
-    passes, and any retried task, read the same splits, so the ids agree.
+    """Number rows 1..n in input order: by file path, then by place in the file.
+
+    ``df`` is a scan (filtered or projected, not shuffled) that carries
+    ``with_source``'s columns.  The rows are written once with their file, block
+    and position; blocks are numbered by (path, start), whatever task read them, so the
+    ids depend on the files alone and not on split sizes or core counts.
     Rows filtered out before this call take no id.
     """
-    cols = list(df.columns)
-    pid = F.spark_partition_id()
-    tagged = df.select(
-        *cols,
-        pid.alias(_PID),
-        (F.monotonically_increasing_id() - pid.cast("long") * F.lit(1 << 33)).alias(_POS),
-    )
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    # One row per scan partition: bounded by the task count, not the data.
-    offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)
-    out = tagged.join(F.broadcast(offsets), _PID, "left")
-    return out.select((F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col), *cols)
+    source = list(SOURCE_COLUMNS)
+    cols = [c for c in df.columns if c not in source]
+    tagged = materialize(df.select(*cols, *source, _position().alias(_POS)))
+    # One row per block of input: bounded by the number of splits, not of rows.
+    counts = tagged.groupBy(*source).agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST))
+    offsets = _running_offsets(counts, source).select(*source, _FIRST, _OFF)
+    out = tagged.join(F.broadcast(offsets), source, "left")
+    place = F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + F.lit(start)
+    return out.select(place.cast("long").alias(index_col), *cols)

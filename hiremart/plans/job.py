@@ -32,7 +32,7 @@ from .. import schemas as S
 from ..functions.predicates import NOT_DISPLAYED_RAW
 from ..sources.postings import read_postings_jsonl, valid_postings
 from ..sources.tables import empty_as_null, read_ragged_tsv, read_tsv
-from ..sources.writers import export, write_per_key, write_tsv
+from ..sources.writers import EXPORTS, export, write_per_key, write_tsv
 from . import features as FT
 from . import industry as IN
 from . import location as LO
@@ -130,7 +130,7 @@ def stage_location(store: Store, enriched: DataFrame, labels: DataFrame, facts:
     totals = LO.province_totals_from_facts(facts, labels).select("city_name", "job_count")
     return [
         lambda: store.write(LO.log_location(enriched, labels), "log_location"),
-        lambda: store.write(totals.coalesce(1), "final_63_provinces_total"),
+        lambda: store.write(totals, "final_63_provinces_total"),
         lambda: write_per_key(LO.province_details(enriched, labels), store.path("ten_tinh"), "province_name"),
     ]
 
@@ -140,7 +140,7 @@ def stage_industry(store: Store, enriched: DataFrame, labels: DataFrame, facts:
     totals = IN.industry_totals_from_facts(facts).select("industry_name", "total_jobs")
     titles = IN.titles_by_location(enriched, labels, sort=False)
     return [
-        lambda: store.write(totals.coalesce(1), "industry_total"),
+        lambda: store.write(totals, "industry_total"),
         lambda: store.write(IN.industry_by_location_from_facts(facts, labels), "industry_by_location"),
         lambda: write_per_key(titles, store.path("industry_province_titles"), "location_slug"),
     ]
@@ -163,19 +163,41 @@ def _long_from_store(store: Store) -> DataFrame:
     return store.spark.read.parquet(store.path(LONG_TABLE))
 
 
-def _by_location_from_store(store: Store) -> DataFrame:
-    t = store.read("industry_by_location", S.INDUSTRY_BY_LOCATION)
+def _named(store: Store, name: str, schema, names: list[str]) -> DataFrame:
+    """A stored table under the job's column names; an error where it is not such a table.
+
+    A folder in another format must not pass for an empty table: Parquet has to
+    have the columns, tab-separated lines a number in their last field."""
+    t = store.read(name, schema)
     if store.fmt == "tsv":
-        t = t.select(F.col("province").alias("location_name"), F.col("industry").alias("industry_name"),
-                     F.col("job_count").alias("total_jobs"))
-    return t
+        t = t.toDF(*names)
+        wrong = not t.where(F.col(names[-1]).isNull()).isEmpty()
+    else:
+        wrong = not set(names) <= set(t.columns)
+    if wrong:
+        raise ValueError(f"{store.path(name)} is no {store.fmt} table of {', '.join(names)}")
+    return t.select(*names)
+
+
+def _by_location_from_store(store: Store) -> DataFrame:
+    return _named(store, "industry_by_location", S.INDUSTRY_BY_LOCATION, ["location_name", "industry_name", "total_jobs"])
 
 
 def _industry_totals_from_store(store: Store) -> DataFrame:
-    t = store.read("industry_total", S.INDUSTRY_TOTAL)
-    if store.fmt == "tsv":
-        t = t.select(F.col("industry").alias("industry_name"), F.col("job_count").alias("total_jobs"))
-    return t
+    return _named(store, "industry_total", S.INDUSTRY_TOTAL, ["industry_name", "total_jobs"])
+
+
+def _requirements_from_store(store: Store, kinds: list[str]) -> DataFrame:
+    """The requirement long table, put together from the per-kind tables."""
+    parts = []
+    for kind in kinds:
+        names = ["industry_id", "industry_name", RQ.VALUE_COLUMNS[kind], "total_jobs"]
+        t = _named(store, f"requirement_analysis/{kind}_total", S.REQUIREMENT_TOTAL, names)
+        parts.append(t.select(F.lit(kind).alias("feature_type"), "industry_id", "industry_name", F.col(names[2]).alias("feature_value"), "total_jobs"))
+    long = parts[0]
+    for part in parts[1:]:
+        long = long.unionByName(part)
+    return long
 
 
 def _handoff(store: Store, df: DataFrame, name: str, public: bool = True) -> DataFrame:
@@ -198,7 +220,8 @@ def _handoff(store: Store, df: DataFrame, name: str, public: bool = True) -> Dat
 
 
 def stage_features(store: Store) -> None:
-    merged = _handoff(store, FT.merged_features(_long_from_store(store), _by_location_from_store(store)),
+    long = _long_from_store(store) if _exists(store, LONG_TABLE) else _requirements_from_store(store, RQ.KINDS)
+    merged = _handoff(store, FT.merged_features(long, _by_location_from_store(store)),
                       "mahout_merged_features", public=False)
     ind, fv = run_concurrently([
         lambda: _handoff(store, FT.industry_index(merged), "mahout_industry_index"),
@@ -224,7 +247,7 @@ def stage_presentation(store: Store, export_dir: str, export_format: str, chart_
     marts = MA.presentation_marts(
         _industry_totals_from_store(store).where(F.col("industry_name") != "TONG_TAT_CA"),
         _by_location_from_store(store),
-        _long_from_store(store),
+        _long_from_store(store) if _exists(store, LONG_TABLE) else _requirements_from_store(store, PRESENTATION_KINDS),
     )
     return export_marts(marts, export_dir, export_format, chart_data)
 
@@ -234,31 +257,44 @@ PRESENTATION_KINDS = ["exp", "edu", "type", "skill"]
 
 def presentation_from_tables(
     spark: SparkSession, tables_dir: str, export_dir: str | None = None, export_format: str = "csv", show: int = 0,
-    chart_data: bool = False,
+    chart_data: bool = False, table_format: str = "tsv",
 ) -> dict[str, str]:
-    """Only the presentation stage, over existing tab-separated tables.
+    """Only the presentation stage, over existing tables (SURVEY §1.3's layout).
 
-    Reads the table layout of SURVEY §1.3 (folders of part files:
-    industry_total, industry_by_location, requirement_analysis/<kind>_total),
-    builds the ten marts and exports them.  A user with tables from an
-    earlier pipeline run can produce the marts without re-running it.
+    A user with tables from an earlier run can produce the marts without
+    running it again.  Tables in another format than ``table_format`` are an error.
     """
-    store = Store(spark, tables_dir, "tsv")
-    totals = _industry_totals_from_store(store)
-    by_loc = _by_location_from_store(store)
-    parts = []
-    for kind in PRESENTATION_KINDS:
-        t = store.read(f"requirement_analysis/{kind}_total", S.REQUIREMENT_TOTAL)
-        parts.append(t.select(F.lit(kind).alias("feature_type"), F.col("industry_code").alias("industry_id"),
-                              F.col("industry").alias("industry_name"), F.col("value").alias("feature_value"),
-                              F.col("job_count").alias("total_jobs")))
-    long = parts[0]
-    for p in parts[1:]:
-        long = long.unionByName(p)
+    store = Store(spark, tables_dir, table_format)
+    totals, by_loc = _industry_totals_from_store(store), _by_location_from_store(store)
+    long = _requirements_from_store(store, PRESENTATION_KINDS)
     if show > 0:
         print_profiles(store, show)
     marts = MA.presentation_marts(totals.where(F.col("industry_name") != "TONG_TAT_CA"), by_loc, long)
-    return export_marts(marts, export_dir or store.path("viz"), export_format, chart_data)
+    return export_marts(marts, _export_dir(store, export_dir), export_format, chart_data)
+
+
+def _export_dir(store: Store, export_dir: str | None) -> str:
+    """The export folder; never the one that holds the tables, whose names the marts share."""
+    chosen = (export_dir or store.path("viz")).rstrip("/")
+    if chosen == store.root.rstrip("/"):
+        raise ValueError("the export folder holds the job's tables: choose another one")
+    return chosen
+
+
+def charts_from_exports(spark: SparkSession, export_dir: str, export_format: str = "csv") -> dict[str, str]:
+    """M12 from marts that were exported before; charts whose mart is absent are left out."""
+    ending = EXPORTS[export_format][0]
+    store = Store(spark, export_dir)
+    marts = {}
+    for name in MA.CHART_SOURCES:
+        if _exists(store, name + ending):
+            path = store.path(name + ending)
+            if export_format == "parquet":
+                marts[name] = spark.read.parquet(path)
+            else:
+                t = spark.read.options(header="true", escape='"').csv(path)
+                marts[name] = t.select(*[F.col(c).try_cast("double" if c == "share" else "long").alias(c) if c in MA.NUMBER_COLUMNS else F.col(c) for c in t.columns])
+    return {n: export(df, export_dir.rstrip("/") + "/charts", n, export_format) for n, df in MA.chart_data(marts).items()}
 
 
 def _exists(store: Store, name: str) -> bool:
@@ -270,28 +306,33 @@ def _exists(store: Store, name: str) -> bool:
 def print_profiles(store: Store, n: int) -> None:
     """The console profiles of the presentation job.
 
-    Industry totals, a sample of industry by location, the top 3 industries
-    of each province, the field-count distribution of job_base_clean read
-    as raw text lines (TSV tables only), and the most frequent raw
-    locations.  Each is a small aggregate; only ``n`` rows reach the driver.
-    """
-    totals = _industry_totals_from_store(store)
-    print("\n== industry_total (top by job count) ==")
-    totals.orderBy(F.desc("total_jobs"), F.asc("industry_name")).show(n, truncate=False)
+    Every list is a small aggregate or a sample; ``n`` rows of each reach the
+    driver, and the leading industries of every province whole."""
+
+    def shown(title: str, df: DataFrame, rows: int = n) -> None:
+        print(f"\n[{title}]")
+        df.show(rows, truncate=False)
+
+    shown("Postings by industry", _industry_totals_from_store(store).orderBy(F.desc("total_jobs"), F.asc("industry_name")))
     by_loc = _by_location_from_store(store)
-    print("\n== industry_by_location (sample) ==")
-    by_loc.show(n, truncate=False)
-    print("\n== top industries by province (top 3 each) ==")
-    MA.top_industries_by_province(MA.industry_by_location_viz(by_loc), 3).show(n, truncate=False)
+    shown("Postings by province and industry, some rows", by_loc)
+    leading = MA.top_industries_by_province(MA.industry_by_location_viz(by_loc), 3)
+    shown("Three leading industries of each province", leading, leading.count())
+    for kind in PRESENTATION_KINDS:
+        if _exists(store, f"requirement_analysis/{kind}_total"):
+            mart = MA.requirement_mart(_requirements_from_store(store, [kind]), kind)
+            shown(f"Requirement '{kind}', 20 most frequent", mart, 20)
     if not _exists(store, "job_base_clean"):
         return
     base = store.read("job_base_clean", S.JOB_BASE_CLEAN)
+    shown("Postings, some rows", base)
     if store.fmt == "tsv":
         ragged = read_ragged_tsv(store.spark, store.path("job_base_clean"), ["job_id"] + S.RAW_TEXT_COLUMNS, id_col="job_id")
-        print("\n== job_base_clean: column count distribution ==")
-        MA.width_profile(ragged).show(50, truncate=False)
-    print("\n== job_base_clean: top locations (raw) ==")
-    MA.top_raw_locations(base, n).show(n, truncate=False)
+        shown("Fields per posting line", MA.width_profile(ragged), 50)
+    shown("Most frequent raw locations", MA.top_raw_locations(base, n))
+
+
+STAGES = ["base", "location", "industry", "requirements", "features", "presentation"]
 
 
 def run(
@@ -308,14 +349,25 @@ def run(
     show: int = 0,
     chart_data: bool = False,
     input_format: str = "jsonl",
+    stages: list[str] | None = None,
 ) -> dict[str, str]:
-    """Run every stage; returns the exported mart paths.
+    """Run the stages (all by default); returns the exported mart paths.
 
     ``input_format="job_base_clean"`` starts from an existing tab-separated
-    job_base_clean table (ids already assigned) and runs stages 2-6.
+    job_base_clean table (ids already assigned) and runs stages 2-6.  With
+    ``stages``, only those run, in their order, over the tables that earlier
+    ones left in ``output_dir``.
     """
     store = Store(spark, output_dir, table_format)
-    if input_format == "job_base_clean":
+    wanted = STAGES if stages is None else [s for s in STAGES if s in stages]
+    if stages is not None and set(stages) - set(STAGES):
+        raise ValueError(f"stages are {', '.join(STAGES)}")
+    export_to = _export_dir(store, export_dir) if "presentation" in wanted else None
+    if "base" not in wanted and input_format == "jsonl":
+        if not {"location", "industry", "requirements"} & set(wanted):
+            return _late_stages(store, wanted, export_to, export_format, show, chart_data)
+        stored = store.read("job_base_clean", S.JOB_BASE_CLEAN)
+    elif input_format == "job_base_clean":
         stored = read_tsv(spark, input_path, S.JOB_BASE_CLEAN)
     elif input_format == "jsonl":
         stored = stage_base(store, input_path, parser, "overwrite" if overwrite else "errorifexists")
@@ -323,20 +375,27 @@ def run(
         raise ValueError(f"unknown input format: {input_format}")
     base = empty_as_null(stored, S.RAW_TEXT_COLUMNS)
     enriched = enrich(base)
-    labels = LO.location_labels(enriched)
-    LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
-    facts = store.spark.read.parquet(store.path(FACTS_TABLE))
     # The requirement stage needs only the postings, so it runs beside the
     # location and industry writes.
-    run_concurrently(
-        [lambda: stage_requirements(store, enriched, pig_null_case)]
-        + stage_location(store, enriched, labels, facts)
-        + stage_industry(store, enriched, labels, facts)
-    )
-    stage_features(store)
+    actions = [lambda: stage_requirements(store, enriched, pig_null_case)] if "requirements" in wanted else []
+    if {"location", "industry"} & set(wanted):
+        labels = LO.location_labels(enriched)
+        LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
+        facts = store.spark.read.parquet(store.path(FACTS_TABLE))
+        actions += stage_location(store, enriched, labels, facts) if "location" in wanted else []
+        actions += stage_industry(store, enriched, labels, facts) if "industry" in wanted else []
+    run_concurrently(actions)
+    return _late_stages(store, wanted, export_to, export_format, show, chart_data)
+
+
+def _late_stages(store: Store, wanted: list[str], export_to: str | None, export_format: str, show: int, chart_data: bool) -> dict[str, str]:
+    if "features" in wanted:
+        stage_features(store)
+    if "presentation" not in wanted:
+        return {}
     if show > 0:
         print_profiles(store, show)
-    return stage_presentation(store, export_dir or store.path("viz"), export_format, chart_data)
+    return stage_presentation(store, export_to, export_format, chart_data)
 
 
 def main(argv=None) -> int:
@@ -345,9 +404,11 @@ def main(argv=None) -> int:
     ap.add_argument("--input-format", default="jsonl", choices=["jsonl", "job_base_clean"])
     ap.add_argument("--output-dir", required=True)
     ap.add_argument("--presentation-only", action="store_true",
-                    help="only build the marts from existing tab-separated tables in --output-dir")
+                    help="only build the marts from existing tables (of --table-format) in --output-dir")
     ap.add_argument("--table-format", default="parquet", choices=["parquet", "tsv"])
-    ap.add_argument("--export-format", default="csv", choices=["csv", "parquet"])
+    ap.add_argument("--stages", help=f"comma-separated stages to run over existing tables, of {','.join(STAGES)}")
+    ap.add_argument("--charts-only", action="store_true", help="only build chart data from marts exported before")
+    ap.add_argument("--export-format", default="csv", choices=list(EXPORTS))
     ap.add_argument("--export-dir", default=None)
     ap.add_argument("--parser", default="regex", choices=["regex", "json"])
     ap.add_argument("--sql-case", action="store_true",
@@ -358,17 +419,23 @@ def main(argv=None) -> int:
     args = ap.parse_args(argv)
     spark = SparkSession.builder.appName("hiremart").getOrCreate()
     if args.presentation_only:
-        out = presentation_from_tables(spark, args.output_dir, args.export_dir, args.export_format, args.show, args.chart_data)
+        out = presentation_from_tables(spark, args.output_dir, args.export_dir, args.export_format, args.show, args.chart_data, args.table_format)
         for name, path in out.items():
             print(f"{name}\t{path}")
         return 0
-    if not args.input:
-        ap.error("--input is required unless --presentation-only")
+    if args.charts_only:
+        out = charts_from_exports(spark, args.export_dir or args.output_dir.rstrip("/") + "/viz", args.export_format)
+        for name, path in out.items():
+            print(f"{name}\t{path}")
+        return 0 if out else 1
+    stages = args.stages.split(",") if args.stages else None
+    if not args.input and (stages is None or "base" in stages):
+        ap.error("--input is required unless the stages start from existing tables")
     out = run(
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
         parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite, show=args.show,
-        chart_data=args.chart_data, input_format=args.input_format,
+        chart_data=args.chart_data, input_format=args.input_format, stages=stages,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

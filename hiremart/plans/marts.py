@@ -94,21 +94,31 @@ def top_raw_locations(enriched: DataFrame, n: int | None = None) -> DataFrame:
     return top_k(t, order, n) if n else t.orderBy(*order)
 
 
+NUMBER_COLUMNS = ("job_count", "province_job_count", "share", "rn")
+
+
+def _heatmap(share: DataFrame) -> DataFrame:
+    return pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 25, 20)
+
+
+def _bars(label: str, value: str, n: int | None):
+    return lambda mart: bar_top_n(mart, label, value, n) if n else bar_data(mart, label, value)
+
+
+#: Mart -> (chart, how its data is made); drawing itself is out of scope.
+CHART_SOURCES = {
+    "industry_total_known": ("industry_total_known_top25", _bars("industry", "job_count", 25)),
+    "province_total": ("province_total_top25", _bars("province", "province_job_count", 25)),
+    "requirement_skill_total_top500": ("requirement_skill_top30", _bars("skill", "job_count", 30)),
+    "province_industry_share": ("province_industry_share_heatmap", _heatmap),
+    # every bucket, sorted
+    **{name: (name, _bars(label, "job_count", None)) for name, label in (REQUIREMENT_MARTS[k] for k in ("exp", "edu", "type"))},
+}
+
+
 def chart_data(marts: dict[str, DataFrame]) -> dict[str, DataFrame]:
-    """The data behind each chart (drawing itself is out of scope)."""
-    out = {
-        "industry_total_known_top25": bar_top_n(marts["industry_total_known"], "industry", "job_count", 25),
-        "province_total_top25": bar_top_n(marts["province_total"], "province", "province_job_count", 25),
-        "requirement_skill_top30": bar_top_n(marts["requirement_skill_total_top500"], "skill", "job_count", 30),
-        "province_industry_share_heatmap": pivot_share(
-            marts["province_industry_share"], "province", "industry", "share", "province_job_count", "job_count", 25, 20
-        ),
-    }
-    for kind in ("exp", "edu", "type"):
-        name, label = REQUIREMENT_MARTS[kind]
-        m = marts[name]
-        out[name] = bar_data(m, label, "job_count")   # every bucket, sorted
-    return out
+    """The data behind each chart whose mart is there."""
+    return {chart: make(marts[name]) for name, (chart, make) in CHART_SOURCES.items() if name in marts}
 
 
 def presentation_marts(industry_totals: DataFrame, by_location: DataFrame, long: DataFrame) -> dict[str, DataFrame]:

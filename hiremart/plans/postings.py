@@ -13,7 +13,6 @@ from pyspark.sql import functions as F
 from ..functions.predicates import NOT_DISPLAYED, NOT_DISPLAYED_RAW
 from ..functions.text import UNKNOWN, col_, collapse_ws, empty_to_unknown, head_segments, java_trim, slug
 from ..operators.classify import location_key
-from ..operators.materialize import spread
 
 HIDDEN_RAW = NOT_DISPLAYED_RAW
 
@@ -59,12 +58,8 @@ def requirement_industry_name(raw, marts_name) -> Column:
 
 
 def enrich(postings: DataFrame) -> DataFrame:
-    """Columns every downstream mart needs, in narrow projections.
-
-    The text cleaning is the CPU-heavy part of the job, so an input with
-    fewer partitions than cores is spread first (no-op at scale).
-    """
-    df = spread(postings).select("*", industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"))
+    """Columns every downstream mart needs, in narrow projections."""
+    df = postings.select("*", industry_name("raw_ind", hidden_is_unknown=True).alias("industry_name"))
     df = df.select("*", requirement_industry_name("raw_ind", "industry_name").alias("req_industry_name"))
     return df.select(
         "job_id",

@@ -1,15 +1,14 @@
 """Requirement marts (A3, J2, T10-T13) in one pass over the postings.
 
 The reference builds five tables with five scans and five self-joins on
-job_id.  Here each posting emits an array of (kind, raw text) items, one
+job_id.  Here each posting emits an array of (kind, text) items, one
 ``explode`` turns them into rows, and the rows are counted per
-(raw industry, kind, raw text).  Only then do the bucket, tokenizer and
-industry normalisations run -- once per distinct raw combination, not
-once per posting -- before a final aggregate by (kind, industry, value).
-The industry comes from the same row, so no join is needed (ids are
-unique and non-null).  Raw requirement texts repeat heavily (drop-down
-values, common skill lists), so the regex work shrinks with the number of
-distinct texts while the per-posting work is an array of strings.
+(raw industry, kind, text).  Skills and requirements are free text, so they are
+cut into tokens before that, in the scan: no shuffle carries a whole paragraph
+as a key.  The three drop-down fields travel as they are and
+are put into buckets after the count, once per distinct raw value, as is the
+industry.  The industry comes from the same row, so no join is needed (ids are
+unique and non-null).
 """
 
 from __future__ import annotations
@@ -26,37 +25,43 @@ VALUE_COLUMNS = {"exp": "exp_required", "skill": "skill_name", "req": "requireme
 RAW_COLUMNS = {"exp": "raw_exp", "skill": "raw_skill", "req": "raw_req", "edu": "raw_edu", "type": "raw_type"}
 
 
+TEXT_KINDS = ("skill", "req")
+
+
 def raw_requirement_counts(postings: DataFrame) -> DataFrame:
-    """(raw_ind, kind, raw, _n): postings per raw industry, kind and raw text."""
-    items = F.explode(F.array(*[
-        F.struct(F.lit(k).alias("kind"), F.col(RAW_COLUMNS[k]).alias("raw")) for k in KINDS
-    ])).alias("it")
-    rows = postings.select("raw_ind", items).select("raw_ind", "it.kind", "it.raw")
+    """(raw_ind, kind, raw, _n): postings per raw industry, kind and raw drop-down value or token."""
+
+    def item(kind: str, raw):
+        return F.struct(F.lit(kind).alias("kind"), raw.alias("raw"))
+
+    def token_items(kind: str):
+        return F.transform(tokens(RAW_COLUMNS[kind]), lambda t: item(kind, t))
+
+    fields = F.array(*[item(k, F.col(RAW_COLUMNS[k])) for k in KINDS if k not in TEXT_KINDS])
+    every = F.concat(fields, *[token_items(k) for k in TEXT_KINDS])
+    rows = postings.select("raw_ind", F.explode(every).alias("it")).select("raw_ind", "it.kind", "it.raw")
     return rows.groupBy("raw_ind", "kind", "raw").agg(F.count(F.lit(1)).alias("_n"))
 
 
 def requirement_values(raw_counts: DataFrame, null_propagates: bool = False) -> DataFrame:
-    """Normalise aggregated raw rows: industry id/name and the value array."""
+    """Normalise aggregated raw rows: industry id/name and the value."""
     df = raw_counts.withColumn("_marts_name", industry_name("raw_ind", hidden_is_unknown=True))
     df = df.withColumn("industry_name", requirement_industry_name("raw_ind", "_marts_name"))
     df = df.withColumn("industry_id", industry_id("industry_name"))
     df = with_experience(df, "raw", "_exp", null_propagates)
-    values = (
-        F.when(F.col("kind") == "exp", F.array(F.col("_exp")))
-        .when(F.col("kind") == "edu", F.array(education_level("raw")))
-        .when(F.col("kind") == "type", F.array(employment_type("raw")))
-        .otherwise(tokens("raw"))
+    value = (
+        F.when(F.col("kind") == "exp", F.col("_exp"))
+        .when(F.col("kind") == "edu", education_level("raw"))
+        .when(F.col("kind") == "type", employment_type("raw"))
+        .otherwise(F.col("raw"))
     )
-    return df.select("industry_id", "industry_name", F.col("kind").alias("feature_type"), values.alias("_values"), "_n")
+    return df.select("industry_id", "industry_name", F.col("kind").alias("feature_type"), value.alias("feature_value"), "_n")
 
 
 def requirement_long(enriched: DataFrame, null_propagates: bool = False) -> DataFrame:
     """feature_type, industry_id, industry_name, feature_value, total_jobs."""
     named = requirement_values(raw_requirement_counts(enriched), null_propagates)
-    exploded = named.select(
-        "feature_type", "industry_id", "industry_name", F.explode("_values").alias("feature_value"), "_n"
-    )
-    return exploded.groupBy("feature_type", "industry_id", "industry_name", "feature_value").agg(
+    return named.groupBy("feature_type", "industry_id", "industry_name", "feature_value").agg(
         F.sum("_n").cast("long").alias("total_jobs")
     )
 

@@ -24,29 +24,10 @@ def _l(name):
     return T.StructField(name, T.LongType(), True)
 
 
-def _i(name):
-    return T.StructField(name, T.IntegerType(), True)
-
-
 JOB_BASE_CLEAN = T.StructType([_l("job_id")] + [_s(c) for c in RAW_TEXT_COLUMNS])
 
-DATA_QUALITY_STATS = T.StructType([
-    _s("report_name"), _l("total_jobs"), _l("jobs_with_sector"),
-    _l("jobs_with_skills"), _l("jobs_with_requirement"),
-])
-
-LOG_LOCATION = T.StructType([_l("job_id"), _i("province_id"), _s("province_name"), _i("is_overseas"), _i("is_unknown")])
-
-PROVINCE_TOTAL = T.StructType([_s("city_name"), _l("job_count")])
-
 INDUSTRY_TOTAL = T.StructType([_s("industry"), _l("job_count")])
 
 INDUSTRY_BY_LOCATION = T.StructType([_s("province"), _s("industry"), _l("job_count")])
 
 REQUIREMENT_TOTAL = T.StructType([_s("industry_code"), _s("industry"), _s("value"), _l("job_count")])
-
-FEATURE_MATRIX = T.StructType([_l("industry_idx"), _l("feature_type_idx"), _l("feature_value_idx"), _l("feature_count")])
-
-INDUSTRY_INDEX = T.StructType([_l("industry_idx"), _s("industry_id")])
-
-FEATURE_VALUE_INDEX = T.StructType([_l("feature_value_idx"), _s("feature_type"), _s("feature_value")])

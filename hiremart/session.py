@@ -9,6 +9,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -36,6 +38,25 @@ def local_session(cores: int | str = "*", shuffle_partitions: int | None = None,
     return spark
 
 
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in Python workers, wherever the session was started from.
+
+    ``spark-submit --py-files`` does the same; here it is done once for each application."""
+    sc = spark.sparkContext
+    if sc.applicationId in _shipped:
+        return
+    package = Path(__file__).resolve().parent
+    target = Path(tempfile.mkdtemp(prefix="hiremart-package-")) / "hiremart.zip"
+    with zipfile.ZipFile(target, "w") as out:
+        for f in sorted(package.rglob("*.py")):
+            out.write(f, f"{package.name}/{f.relative_to(package)}")
+    sc.addPyFile(str(target))
+    _shipped.add(sc.applicationId)
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Use the configured checkpoint folder; create a scratch one only if unset."""
     sc = spark.sparkContext

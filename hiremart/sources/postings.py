@@ -7,13 +7,14 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import extract_json_string, java_trim, strip_bom
-from ..operators.numbering import input_order_ids
+from ..operators.numbering import input_order_ids, with_source
 from ..schemas import POSTING_JSON_KEYS, RAW_TEXT_COLUMNS
 
 
 def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
-    """Text lines (files, folders or globs), UTF-8."""
-    return spark.read.option("encoding", "UTF-8").text(path).select(F.col("value").alias("line"))
+    """Text lines (files, folders or globs), UTF-8, with the file and block of each."""
+    lines = with_source(spark.read.option("encoding", "UTF-8").text(path))
+    return lines.withColumnRenamed("value", "line")
 
 
 def parse_posting_lines(lines: DataFrame, line_col: str = "line", parser: str = "regex") -> DataFrame:
@@ -43,6 +44,6 @@ def valid_postings(df: DataFrame) -> DataFrame:
 
 
 def read_postings_jsonl(spark: SparkSession, path: str | list[str], parser: str = "regex") -> DataFrame:
-    """job_base_clean from JSON lines: parse, filter, ids 1..n in scan order."""
+    """job_base_clean from JSON lines: parse, filter, ids 1..n in input order."""
     parsed = valid_postings(parse_posting_lines(read_lines(spark, path), parser=parser))
     return input_order_ids(parsed, "job_id").select("job_id", *RAW_TEXT_COLUMNS)

@@ -11,6 +11,10 @@ from pyspark.sql import types as T
 from ..functions.text import split_fields
 
 
+#: No quoting: free text may start with a double quote.
+TSV_OPTIONS = {"sep": "\t", "quote": "", "escape": "", "header": "false", "mode": "PERMISSIVE", "encoding": "UTF-8"}
+
+
 def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType) -> DataFrame:
     """Tab-separated text with a declared schema.
 
@@ -18,16 +22,7 @@ def read_tsv(spark: SparkSession, path: str | list[str], schema: T.StructType) -
     quote-aware parser would swallow the tabs after it.  Empty fields load
     as NULL; short rows are padded with NULL.
     """
-    return (
-        spark.read.schema(schema)
-        .option("sep", "\t")
-        .option("quote", "")
-        .option("escape", "")
-        .option("header", "false")
-        .option("mode", "PERMISSIVE")
-        .option("encoding", "UTF-8")
-        .csv(path)
-    )
+    return spark.read.schema(schema).options(**TSV_OPTIONS).csv(path)
 
 
 def read_ragged_tsv(

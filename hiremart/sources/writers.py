@@ -1,13 +1,10 @@
-"""Sinks (K1-K5): TSV, one folder per key, single-file CSV, export switch."""
+"""Sinks (K1-K5): TSV, one folder per key, CSV (many parts or one file), export switch."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-EXPORT_FORMATS = ("csv", "parquet")
-
-
 def tsv_line(df: DataFrame, cols: list[str] | None = None) -> F.Column:
     """One tab-separated text line per row: fields as text, NULL as empty.
 
@@ -62,31 +59,40 @@ def write_per_key(
     )
 
 
+CSV_OPTIONS = {
+    "header": "true",
+    "emptyValue": "",       # '' as an empty field, like NULL
+    "escape": '"',          # quotes doubled inside quoted fields (RFC 4180)
+}
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """K4 at any size: a folder of CSV part files, each with the header."""
+    df.write.mode("overwrite").options(**CSV_OPTIONS).csv(path)
+
+
+def in_one_partition(df: DataFrame) -> DataFrame:
+    """``df``'s rows, computed in parallel, in one partition and in the order they had."""
+    place = "_hm_place"
+    return df.withColumn(place, F.monotonically_increasing_id()).repartition(1).sortWithinPartitions(place).drop(place)
+
+
 def write_single_csv(df: DataFrame, path: str) -> None:
-    """K4: one CSV file with a header at ``path`` (a mart, small by design).
+    """K4 as one CSV file with a header at ``path``, for marts that are small by design.
 
-    Spark writes a folder; the part file is then renamed to ``path`` with
-    the Hadoop FileSystem API, so this works on any cluster file system.
+    The rows are brought into one partition after they are computed, so only
+    writing them is one task's work.  Spark writes a folder; its part file is
+    then renamed with the Hadoop FileSystem API, so this works on any cluster file system.
     """
     spark = df.sparkSession
     jvm = spark._jvm
-    conf = spark._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(path)
-    fs = target.getFileSystem(conf)
+    fs = target.getFileSystem(spark._jsc.hadoopConfiguration())
     tmp = jvm.org.apache.hadoop.fs.Path(path + "._writing")
-    legacy_dir = jvm.org.apache.hadoop.fs.Path(path[:-4] if path.endswith(".csv") else path + "_dir")
-    (
-        df.coalesce(1).write.mode("overwrite")
-        .option("header", "true")
-        .option("emptyValue", "")       # '' as an empty field, like NULL
-        .option("escape", '"')          # quotes doubled inside quoted fields (RFC 4180)
-        .csv(path + "._writing")
-    )
+    write_csv(in_one_partition(df), path + "._writing")
     parts = [s.getPath() for s in fs.listStatus(tmp) if s.getPath().getName().startswith("part-")]
     if fs.exists(target):
         fs.delete(target, True)
-    if fs.exists(legacy_dir) and fs.getFileStatus(legacy_dir).isDirectory():
-        fs.delete(legacy_dir, True)
     if parts:
         fs.rename(parts[0], target)
     else:   # an empty frame still gets a file with the header line
@@ -96,16 +102,21 @@ def write_single_csv(df: DataFrame, path: str) -> None:
     fs.delete(tmp, True)
 
 
+def write_parquet(df: DataFrame, path: str) -> None:
+    df.write.mode("overwrite").parquet(path)
+
+
+#: K5: format -> (ending, writer).
+EXPORTS = {"csv": (".csv", write_csv), "csv-single": (".csv", write_single_csv), "parquet": ("", write_parquet)}
+
+
 def export(df: DataFrame, out_dir: str, name: str, fmt: str = "csv") -> str:
-    """K5: ``<out_dir>/<name>.csv`` (single file) or ``<out_dir>/<name>`` Parquet."""
-    fmt = fmt.lower().strip()
-    if fmt not in EXPORT_FORMATS:
-        raise ValueError(f"Unsupported export format: {fmt}")
-    base = out_dir.rstrip("/")
-    if fmt == "csv":
-        target = f"{base}/{name}.csv"
-        write_single_csv(df, target)
-        return target
-    target = f"{base}/{name}"
-    df.write.mode("overwrite").parquet(target)
+    """K5: write one mart below ``out_dir`` and return its path.
+
+    Only that path is replaced; a folder that holds tables of the job is refused."""
+    if fmt not in EXPORTS:
+        raise ValueError(f"export format {fmt!r} is none of {', '.join(EXPORTS)}")
+    ending, write = EXPORTS[fmt]
+    target = f"{out_dir.rstrip('/')}/{name}{ending}"
+    write(df, target)
     return target

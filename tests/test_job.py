@@ -1,9 +1,13 @@
 """The whole batch job on a small JSON-lines fixture."""
 
+import glob
 import json
 import os
 
-from hiremart.plans.job import run
+import pytest
+
+from hiremart.plans import marts as MA
+from hiremart.plans.job import charts_from_exports, presentation_from_tables, run
 
 K = ["Tên công việc", "Ngành nghề", "Lĩnh vực", "Địa điểm", "Số năm kinh nghiệm",
      "Yêu cầu công việc", "Kỹ năng", "Trình độ học vấn", "Loại hình làm việc"]
@@ -65,7 +69,8 @@ def test_job_end_to_end(spark, scratch):
                      for k in ["exp", "skill", "req", "edu", "type"])
     assert m.count() == n_features + rd("industry_by_location").count()
 
-    exp_csv = open(exported["requirement_experience_total"], encoding="utf-8").read().splitlines()
+    parts = glob.glob(os.path.join(exported["requirement_experience_total"], "part-*"))
+    exp_csv = [line for k, f in enumerate(parts) for line in open(f, encoding="utf-8").read().splitlines()[1 if k else 0:]]
     # 'Trên 5 năm' becomes NULL under the reference's CASE rule and is dropped.
     assert exp_csv[0] == "experience,job_count"
     assert sorted(exp_csv[1:]) == ["1-3 NĂM,1", "DƯỚI 1 NĂM,1", "KHÔNG YÊU CẦU,2"]
@@ -112,7 +117,7 @@ def test_presentation_only_over_reference_layout_tables(spark, scratch):
     table("requirement_analysis/edu_total", ["KINH_DOANH\tKINH DOANH\tĐẠI HỌC\t5"])
     table("requirement_analysis/type_total", ["KINH_DOANH\tKINH DOANH\tKHÁC / KHÔNG HIỂN THỊ\t5"])
     table("requirement_analysis/skill_total", ["KINH_DOANH\tKINH DOANH\tSQL\t2", "MARKETING\tMARKETING\tSQL\t1"])
-    out = presentation_from_tables(spark, os.path.join(scratch, "tables"), show=3, chart_data=True)
+    out = presentation_from_tables(spark, os.path.join(scratch, "tables"), export_format="csv-single", show=3, chart_data=True)
     read = lambda n: open(out[n], encoding="utf-8").read().splitlines()
     assert read("industry_total") == ["industry,job_count", "KINH DOANH,5", "MARKETING,3"]
     assert read("province_total") == ["province,province_job_count", "DA NANG,4", "HA NOI,4"]
@@ -134,7 +139,7 @@ def test_job_on_input_without_valid_postings(spark, scratch):
         fh.write(json.dumps({K[0]: "  ", K[1]: "Kinh doanh"}, ensure_ascii=False) + "\n")
         fh.write("not json at all\n")
     out_dir = os.path.join(scratch, "out")
-    exported = run(spark, d, out_dir, chart_data=True)
+    exported = run(spark, d, out_dir, chart_data=True, export_format="csv-single")
     rd = lambda n: spark.read.parquet(os.path.join(out_dir, n))
     assert rd("job_base_clean").count() == 0
     assert open(exported["chart_province_industry_share_heatmap"]).read().strip() == "province,province_job_count"
@@ -191,7 +196,59 @@ def test_console_profiles(spark, scratch, capsys):
     capsys.readouterr()
     print_profiles(Store(spark, out_dir, "tsv"), 5)
     text = capsys.readouterr().out
-    for heading in ("== industry_total (top by job count) ==", "== top industries by province (top 3 each) ==",
-                    "== job_base_clean: column count distribution ==", "== job_base_clean: top locations (raw) =="):
-        assert heading in text
+    for heading in ("Postings by industry", "Three leading industries of each province", "Fields per posting line", "Most frequent raw locations"):
+        assert f"[{heading}]" in text
     assert "|10    |5    |" in text   # every line of job_base_clean has 10 fields
+
+
+def test_marts_from_parquet_tables_need_the_right_format(spark, scratch):
+    """Tables of another format are an error, never empty marts."""
+    out_dir = os.path.join(scratch, "out")
+    run(spark, _write_input(scratch), out_dir)
+    with pytest.raises(ValueError):
+        presentation_from_tables(spark, out_dir)
+    found = presentation_from_tables(spark, out_dir, os.path.join(scratch, "again"), "parquet", table_format="parquet")
+    assert spark.read.parquet(found["province_total"]).count() == 3
+
+
+def test_exports_never_replace_the_tables(spark, scratch):
+    out_dir = os.path.join(scratch, "out")
+    with pytest.raises(ValueError):
+        run(spark, _write_input(scratch), out_dir, export_dir=out_dir)
+
+
+def test_stages_run_over_existing_tables(spark, scratch):
+    out_dir = os.path.join(scratch, "out")
+    assert run(spark, _write_input(scratch), out_dir, stages=["base"]) == {}
+    assert run(spark, None, out_dir, stages=["location", "industry", "requirements"]) == {}
+    before = sorted(map(str, spark.read.parquet(os.path.join(out_dir, "industry_total")).collect()))
+    run(spark, None, out_dir, stages=["industry"])
+    assert sorted(map(str, spark.read.parquet(os.path.join(out_dir, "industry_total")).collect())) == before
+    run(spark, None, out_dir, stages=["features"])
+    assert spark.read.parquet(os.path.join(out_dir, "mahout_features")).count() > 0
+    found = run(spark, None, out_dir, stages=["presentation"], export_format="parquet")
+    assert spark.read.parquet(found["province_total"]).count() == 3
+    with pytest.raises(ValueError):
+        run(spark, None, out_dir, stages=["nothing"])
+
+
+def test_charts_from_exported_marts(spark, scratch):
+    out_dir = os.path.join(scratch, "out")
+    assert charts_from_exports(spark, os.path.join(scratch, "absent")) == {}
+    run(spark, _write_input(scratch), out_dir, chart_data=True)
+    viz = os.path.join(out_dir, "viz")
+    found = charts_from_exports(spark, viz)
+    assert set(found) == {chart for chart, _ in MA.CHART_SOURCES.values()}
+    rows = spark.read.option("header", "true").csv(found["province_total_top25"]).collect()
+    assert len(rows) == 3
+
+
+def test_console_prints_every_province(spark, scratch, capsys):
+    out_dir = os.path.join(scratch, "out")
+    run(spark, _write_input(scratch), out_dir, show=1)
+    text = capsys.readouterr().out
+    leading = text.split("[Three leading industries of each province]")[1].split("[")[0]
+    by_province = spark.read.parquet(os.path.join(out_dir, "industry_by_location")).where("industry_name <> 'UNKNOWN'")
+    for r in by_province.select("location_name").distinct().collect():
+        assert r[0] in leading
+    assert "20 most frequent" in text and "Postings, some rows" in text

@@ -6,7 +6,7 @@ import os
 from pyspark.sql import functions as F
 
 from hiremart.operators.numbering import dense_index, input_order_ids
-from hiremart.sources.postings import read_postings_jsonl
+from hiremart.sources.postings import read_lines, read_postings_jsonl
 
 
 def test_dense_index_is_one_to_n_in_order(spark):
@@ -36,11 +36,29 @@ def test_input_order_ids_follow_lines_within_files(spark, scratch):
     assert ids["a1"] < ids["a3"] < ids["a4"] and ids["b1"] < ids["b2"]   # file order kept
 
 
-def test_input_order_ids_many_partitions(spark):
-    df = spark.range(0, 1000, numPartitions=9)
-    rows = input_order_ids(df, "n").collect()
-    assert sorted(r.n for r in rows) == list(range(1, 1001))
-    assert all(r.n == r.id + 1 for r in rows)   # range() yields rows in partition order
+def test_input_order_ids_depend_on_the_files_alone(spark, scratch):
+    """Three files larger than a split; other split sizes and partition counts give the same ids."""
+    d = os.path.join(scratch, "in")
+    os.makedirs(d)
+    for name, n in (("a", 3000), ("b", 900), ("c", 5000)):
+        with open(os.path.join(d, f"{name}.txt"), "w") as fh:
+            fh.writelines(f"{name}-{k:05d}\n" for k in range(n))
+    seen = []
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        for size in ("7k", "13k", "1m"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+            rows = input_order_ids(read_lines(spark, d), "n").collect()
+            seen.append([r.line for r in sorted(rows, key=lambda r: r.n)])
+            assert sorted(r.n for r in rows) == list(range(1, 8901))
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    assert seen[0] == sorted(seen[0]) and seen[0] == seen[1] == seen[2]
+
+
+def test_building_numbered_frames_leaves_nothing_cached(spark):
+    dense_index(spark.range(50).select("id"), ["id"], "i").count()
+    assert spark.sparkContext._jsc.getPersistentRDDs().size() == 0
 
 
 def test_dense_index_keeps_a_callers_cache(spark):

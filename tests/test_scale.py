@@ -49,11 +49,14 @@ def test_label_table_falls_back_to_shuffle_join_when_large(spark):
         spark.conf.unset("hiremart.broadcast.maxRows")
 
 
-def test_spread_is_a_noop_on_wide_inputs(spark):
-    wide = spark.range(0, 100, numPartitions=16)
-    assert M.spread(wide, 8) is wide
-    narrow = spark.range(0, 100, numPartitions=1)
-    assert M.spread(narrow, 8).rdd.getNumPartitions() == 8
+def test_readers_repartition_only_where_the_session_says_so(spark):
+    narrow = spark.range(0, 100, numPartitions=2)
+    assert M.repartitioned(narrow) is narrow
+    spark.conf.set("hiremart.read.partitions", "8")
+    try:
+        assert M.repartitioned(narrow).rdd.getNumPartitions() == 8
+    finally:
+        spark.conf.unset("hiremart.read.partitions")
 
 
 def test_columns_are_pruned_to_the_scan(spark, scratch):
@@ -74,26 +77,48 @@ def test_filters_reach_the_parquet_scan(spark, scratch):
     assert "PushedFilters: [IsNotNull(job_id), GreaterThan(job_id,50)]" in plan
 
 
-def test_id_count_pass_parses_only_the_title(spark, scratch):
-    import json
-
-    from hiremart.operators import numbering as N
-    from hiremart.sources.postings import parse_posting_lines, read_lines, valid_postings
+def test_numbered_rows_are_read_from_the_written_copy(spark, scratch):
+    from hiremart.sources.postings import read_postings_jsonl
 
     with open(os.path.join(scratch, "a.jsonl"), "w", encoding="utf-8") as fh:
-        fh.write(json.dumps({"Tên công việc": "x"}, ensure_ascii=False) + "\n")
-    parsed = valid_postings(parse_posting_lines(read_lines(spark, scratch)))
-    pid = F.spark_partition_id()
-    tagged = parsed.select(*parsed.columns, pid.alias(N._PID), F.monotonically_increasing_id().alias(N._POS))
-    plan = _plan(tagged.groupBy(N._PID).count())
-    assert "Tên công việc" in plan
-    assert "Kỹ năng" not in plan and "Ngành nghề" not in plan
+        fh.write('{"Tên công việc": "x"}\n')
+    plan = _plan(read_postings_jsonl(spark, scratch))
+    assert "FileScan parquet" in plan and "FileScan text" not in plan
+
+
+def test_no_shuffle_carries_a_whole_requirement_text(spark):
+    from hiremart.plans.requirements import requirement_long
+
+    rows = [(1, *["x"] * 9)]
+    plan = _plan(requirement_long(enrich(spark.createDataFrame(rows, JOB_BASE_CLEAN))))
+    exchanges = [line for line in plan.split("\n") if "Exchange" in line]
+    assert exchanges and not any("raw_req" in line or "raw_skill" in line for line in exchanges)
 
 
 def test_driver_plans_have_no_cartesian_or_fallback_joins(spark):
     import __spark_entry__ as E
 
-    for name, fn in E.queries().items():
+    for name, fn in E.QUERIES.items():
         plan = _plan(fn(spark, "/root/testdata/sf0.001"))
-        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "SortMergeJoin"):
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin"):
             assert bad not in plan, (name, bad)
+
+
+def test_driver_plans_beyond_the_broadcast_limits(spark):
+    """With every table above the limits, joins are shuffled and the results are the same."""
+    import __spark_entry__ as E
+
+    names = ["ordered_rules", "code_lookup", "feature_matrix", "count_by_two_keys", "left_join_default"]
+    want = {n: sorted(map(str, E.queries()[n](spark, "/root/testdata/sf0.001").collect())) for n in names}
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "hiremart.broadcast.maxRows": "1", "hiremart.broadcast.maxBytes": "1"}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        for n in names:
+            found = E.queries()[n](spark, "/root/testdata/sf0.001")
+            bad = ["CartesianProduct", "NestedLoop"] + (["BroadcastHashJoin"] if n != "feature_matrix" else [])
+            assert not any(b in _plan(found) for b in bad), n  # its ids broadcast one row per partition, by construction
+            assert sorted(map(str, found.collect())) == want[n], n
+    finally:
+        for k in settings:
+            spark.conf.unset(k)

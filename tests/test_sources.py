@@ -66,7 +66,7 @@ def test_write_per_key_keeps_the_column(spark, scratch):
 
 def test_export_single_csv_and_parquet(spark, scratch):
     df = spark.createDataFrame([("A", 2), ("B", 1)], "industry string, job_count long").repartition(3)
-    target = export(df, scratch, "industry_total", "csv")
+    target = export(df, scratch, "industry_total", "csv-single")
     assert target.endswith("industry_total.csv") and os.path.isfile(target)
     text = open(target, encoding="utf-8").read().splitlines()
     assert text[0] == "industry,job_count" and sorted(text[1:]) == ["A,2", "B,1"]
@@ -78,7 +78,7 @@ def test_export_single_csv_and_parquet(spark, scratch):
 
 def test_export_empty_frame_writes_header(spark, scratch):
     df = spark.createDataFrame([], "skill string, job_count long")
-    target = export(df, scratch, "empty", "csv")
+    target = export(df, scratch, "empty", "csv-single")
     assert open(target).read().strip() == "skill,job_count"
 
 
@@ -102,6 +102,6 @@ def test_single_csv_quotes_like_rfc4180(spark, scratch):
     import csv
 
     df = spark.createDataFrame([('a "b", c', 1), ("", 2), (None, 3)], "v string, n long")
-    target = export(df, scratch, "q", "csv")
+    target = export(df, scratch, "q", "csv-single")
     rows = list(csv.reader(open(target, encoding="utf-8", newline="")))
     assert rows == [["v", "n"], ['a "b", c', "1"], ["", "2"], ["", "3"]]
