@@ -26,7 +26,6 @@ import os
 import re
 import uuid
 import zlib
-from array import array
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -42,7 +41,7 @@ from hiremart.llm.perfect_hash import MinimalPerfectHash, fingerprints, packed,
 
 END_ID = 2
 CALL_CHARS = 1 << 21
-KEPT_WORDS = 500_000
+KEPT_WORDS = 1_200_000
 READ_BYTES = 8 << 20
 
 _tokenizers: dict[str, object] = {}
@@ -60,29 +59,61 @@ def tokenizer(path: str):
     return _tokenizers[path]
 
 
-#: Before a single blank between words, and between a letter and a mark: no piece of the tokenizer's pattern reaches across.
-WORD_EDGE = re.compile(r"(?<=\S)(?= \S)|(?<=[A-Za-z])(?=[,.;:!?|])")
+#: Before a single blank between words no piece of a byte-level tokenizer's pattern reaches across.
+WORD_EDGE = re.compile(r"(?<=\S)(?= \S)")
+#: A blank beside other white space, where a split at blanks would cut a piece.
+WIDE_BLANK = re.compile(r" \s|\s ")
+ONE_WORD = re.compile(r" ?\S+")
 
 
 class WordIds:
-    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered."""
+    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered.
+
+    For byte-level tokenizers without a normalizer; others get whole texts."""
 
     def __init__(self, path: str):
-        self.encode = tokenizer(path).encode_batch_fast
+        found = tokenizer(path)
+        self.encode = found.encode_batch_fast
+        self.by_word = str(found.pre_tokenizer).startswith("ByteLevel") and found.normalizer is None
         self.known: dict[str, bytes] = {}
+        self.kept = KEPT_WORDS
+        line_end = found.encode("\n", add_special_tokens=False).ids
+        self.line_end = line_end[0] if len(line_end) == 1 else None
+
+    def _learn(self, words: set[str]) -> None:
+        """Remember the ids of new words, which are encoded a few thousand at a time with line ends between."""
+        plain = [w for w in words if ONE_WORD.fullmatch(w)] if self.line_end is not None else []
+        for at in range(0, len(plain), 5_000):
+            some = plain[at : at + 5_000]
+            ids = np.array(self.encode(["\n".join([*some, ""])], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(ids == self.line_end)
+            if len(ends) != len(some):
+                continue
+            raw, ends = ids.tobytes(), (ends * 4).tolist()
+            self.known.update((w, raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
+        rest = [w for w in words if w not in self.known]
+        for at in range(0, len(rest), 5_000):
+            some = rest[at : at + 5_000]
+            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(some, self.encode(some, add_special_tokens=False)))
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
-        split = [WORD_EDGE.split(t) for t in texts]
+        if not self.by_word:
+            yield from (np.array(e.ids, np.uint32) for e in self.encode(texts, add_special_tokens=False))
+            return
+        split = []
+        for text in texts:
+            if WIDE_BLANK.search(text):
+                split.append(WORD_EDGE.split(text))
+            else:
+                first, *rest = text.split(" ")
+                split.append([first, *[" " + w for w in rest]])
         new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > KEPT_WORDS:
+        if len(self.known) + len(new) > self.kept:
             self.known.clear()
             new = set().union(*split)
-        fresh = list(new)
-        for at in range(0, len(fresh), 10_000):
-            part = fresh[at : at + 10_000]
-            self.known.update(zip(part, [array("I", found.ids).tobytes() for found in self.encode(part, add_special_tokens=False)]))
-        for text in split:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, text)), np.uint32)
+        self._learn(new)
+        for words in split:
+            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
 
 
 _word_ids: dict[str, WordIds] = {}
