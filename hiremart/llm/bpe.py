@@ -34,8 +34,8 @@ from pyspark.sql import functions as F
 
 from hiremart.llm.common import record_batch
 
-BLOCK_BYTES = 16 << 20
-KEPT_PIECES = 600_000
+BLOCK_BYTES = 4 << 20
+KEPT_PIECES = 250_000
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
