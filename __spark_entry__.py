@@ -369,10 +369,9 @@ def q_distinct_lookup(spark, sf_dir):
 
 
 def _merged(spark, sf_dir, null_propagates=False):
-    """The merged feature rows.  The requirement table, which its two sides read, is
-    computed once.  It leaves one industry out, so that some location rows match no name."""
+    """The merged feature rows.  The requirement table, which its two sides read, is computed once."""
     e, labels = _labelled(spark, sf_dir)
-    long = materialize(RQ.requirement_long(e.where("industry_name <> 'LOGISTICS'"), null_propagates))
+    long = materialize(RQ.requirement_long(e, null_propagates))
     return FT.merged_features(long, IN.industry_by_location(e, labels, sort=False))
 
 
@@ -387,7 +386,7 @@ def q_feature_value_index(spark, sf_dir):
 
 
 def q_feature_matrix(spark, sf_dir):
-    """U1 + U2 + J3-J5 + T17 + T18, with NULL values (index 0) and unmatched names."""
+    """U1 + U2 + J3-J5 + T17 + T18, with NULL values (index 0)."""
     m = materialize(_merged(spark, sf_dir, True))
     return FT.feature_matrix(m, FT.industry_index(m), FT.feature_value_index(m))
 
@@ -682,15 +681,15 @@ def _with(*ctes: str) -> str:
     return "WITH " + ", ".join(ctes) + " "
 
 
-def _long_cte(null_propagates: bool = False, source: str = "e2") -> str:
+def _long_cte(null_propagates: bool = False) -> str:
     exp = s_experience("raw_exp", null_propagates)
     return (
         "items AS ("
-        f"SELECT req_industry_id AS industry_id, req_industry_name AS industry_name, 'exp' AS feature_type, {exp} AS feature_value FROM {source} "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'edu', {s_mapped('raw_edu', EDUCATIONS)} FROM {source} "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'type', {s_mapped('raw_type', EMPLOYMENTS)} FROM {source} "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'skill', unnest({s_tokens('raw_skill')}) FROM {source} "
-        f"UNION ALL SELECT req_industry_id, req_industry_name, 'req', unnest({s_tokens('raw_req')}) FROM {source}), "
+        f"SELECT req_industry_id AS industry_id, req_industry_name AS industry_name, 'exp' AS feature_type, {exp} AS feature_value FROM e2 "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'edu', {s_mapped('raw_edu', EDUCATIONS)} FROM e2 "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'type', {s_mapped('raw_type', EMPLOYMENTS)} FROM e2 "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'skill', unnest({s_tokens('raw_skill')}) FROM e2 "
+        f"UNION ALL SELECT req_industry_id, req_industry_name, 'req', unnest({s_tokens('raw_req')}) FROM e2), "
         "lng AS (SELECT feature_type, industry_id, industry_name, feature_value, CAST(count(*) AS BIGINT) AS total_jobs "
         "FROM items GROUP BY ALL)"
     )
@@ -716,8 +715,7 @@ MERGED_CTE = (
 )
 
 
-SOME_E2_CTE = "some_e2 AS (SELECT * FROM e2 WHERE industry_name <> 'LOGISTICS')"
-MERGED_PARTS = (P_CTE, E_CTE, E2_CTE, SOME_E2_CTE, _long_cte(False, "some_e2"), BYLOC_CTE, MERGED_CTE)
+MERGED_PARTS = (P_CTE, E_CTE, E2_CTE, _long_cte(), BYLOC_CTE, MERGED_CTE)
 
 
 def _industry_totals_sql() -> str:
@@ -893,7 +891,7 @@ def _reference_sql() -> dict[str, str]:
         "industry_index": _with(*MERGED_PARTS) + "SELECT * FROM ind_idx",
         "feature_value_index": _with(*MERGED_PARTS) + "SELECT * FROM fv_idx",
         "feature_matrix": (
-            _with(P_CTE, E_CTE, E2_CTE, SOME_E2_CTE, _long_cte(True, "some_e2"), BYLOC_CTE, MERGED_CTE)
+            _with(P_CTE, E_CTE, E2_CTE, _long_cte(True), BYLOC_CTE, MERGED_CTE)
             + "SELECT CAST(coalesce(i.industry_idx, -1) AS BIGINT) AS industry_idx, "
             "CAST(CASE m.feature_type WHEN 'exp' THEN 1 WHEN 'edu' THEN 2 WHEN 'type' THEN 3 WHEN 'skill' THEN 4 "
             "WHEN 'req' THEN 5 WHEN 'location' THEN 6 ELSE 0 END AS BIGINT) AS feature_type_idx, "
