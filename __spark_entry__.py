@@ -409,10 +409,10 @@ def q_share_pivot_top(spark, sf_dir):
 
 
 def q_province_industry_heatmap(spark, sf_dir):
-    """The chart's province x industry share matrix, cut to
-    12 provinces by total and 5 industries by count, as one row per cell."""
+    """The chart's province x industry share matrix, 25 provinces
+    by total x 20 industries by count, as one row per cell."""
     share = MA.province_industry_share(_by_location_viz(spark, sf_dir))
-    matrix = AG.pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 12, 5)
+    matrix = AG.pivot_share(share, "province", "industry", "share", "province_job_count", "job_count", 25, 20)
     return AG.unpivoted(matrix, ["province", "province_job_count"], "industry", "share")
 
 
@@ -912,7 +912,7 @@ def _reference_sql() -> dict[str, str]:
             "CAST(count(*) AS BIGINT) AS job_count FROM part GROUP BY ALL", "p_brand", "kind", "brand_total", 10, 20,
         ),
         "province_industry_heatmap": _matrix_sql(
-            _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE) + "SELECT * FROM viz", "province", "industry", "province_job_count", 12, 5,
+            _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE) + "SELECT * FROM viz", "province", "industry", "province_job_count", 25, 20,
         ),
         "top_raw_locations": _with(P_CTE) + "SELECT raw_loc, CAST(count(*) AS BIGINT) AS count FROM p GROUP BY raw_loc",
     }
