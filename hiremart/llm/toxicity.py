@@ -7,14 +7,16 @@ whose second part is kept from going negative.
 
 Features are the words of a text and the beginnings of its words, hashed into
 ``BINS`` and counted as present or absent.  Document frequencies are counted
-over all learnable documents; bins that positives have significantly more
-often than unlabelled text, ``MAX_FEATURES`` at most, become the features.
+over all learnable documents, those of the positive class over all positives;
+bins that positives have significantly more often than unlabelled text,
+``MAX_FEATURES`` at most, become the features.
 The weights are fitted on a bounded sample: ``MAX_POSITIVES`` confirmed and
 ``MAX_UNLABELLED`` unlabelled documents, taken by a hash of doc_id.
 
 Scale: three passes that only map the texts.  A task sends one vector of
 counts for each class, the driver sees ``BINS`` sums, the model broadcast has
-``MAX_FEATURES`` weights, and the positives broadcast are ``MAX_POSITIVES`` ids.
+``MAX_FEATURES`` weights, and the ids of all positives are broadcast only within
+the measured limits of ``broadcast_if_small``; above them they join by shuffle.
 
 Defined results: null and empty texts have no features and get the score of
 the bias; null labels and labels of unknown documents teach nothing; a
@@ -33,7 +35,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch
+from hiremart.llm.common import record_batch, written
+from hiremart.operators.materialize import broadcast_if_small
 
 BINS = 1 << 18
 MAX_FEATURES = 4096
@@ -188,10 +191,12 @@ def train(
     if not total["p"]:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
     prior = min(0.5, total["p"] / total["n"])
-    ids = told.where("y = 1").select("k").orderBy(F.xxhash64("k"), "k").limit(max_positives)
+    ids = told.where("y = 1").select("k")
+    chosen = ids.orderBy(F.xxhash64("k"), "k").limit(max_positives).withColumn("s", F.lit(True))  # for the weights only
+    ids = written(ids.join(F.broadcast(chosen), "k", "left").select("k", F.coalesce("s", F.lit(False)).alias("s")), "toxicity-positives")
     source = docs.select(F.col(key).cast("long").alias("k"), F.col(text).cast("string").alias("text")).where(learnable("k"))
-    marked = source.join(F.broadcast(ids.withColumn("y", F.lit(True))), "k", "left")  # bounded: max_positives ids
-    marked = marked.select("k", "text", F.coalesce("y", F.lit(False)).alias("positive"))
+    marked = source.join(broadcast_if_small(ids), "k", "left")
+    marked = marked.select("k", "text", F.col("s").isNotNull().alias("positive"), F.coalesce("s", F.lit(False)).alias("sampled"))
     counts, rows = _counts(marked)
     bins = chosen_bins(counts, rows)
     if not len(bins) or not rows.all():
@@ -204,15 +209,15 @@ def train(
         known = WordBins()
         for batch in batches:
             found = [np.flatnonzero(np.isin(wanted, known.of(t), assume_unique=True)) for t in batch.column(0).to_pylist()]
-            yield record_batch({"bins": ([x.astype("<u2").tobytes() for x in found], pa.binary()), "positive": (batch.column(1), None), "drawn": (batch.column(2), None)})
+            yield record_batch({"bins": ([x.astype("<u2").tobytes() for x in found], pa.binary()), "sampled": (batch.column(1), None), "drawn": (batch.column(2), None)})
 
     drawn = F.pmod(F.xxhash64(F.col("k"), F.lit(7)), F.lit(1_000_003)) < F.lit(int(share * 1_000_003))
-    sample = marked.withColumn("drawn", drawn).where("positive or drawn").select("text", "positive", "drawn")
+    sample = marked.withColumn("drawn", drawn).where("sampled or drawn").select("text", "sampled", "drawn")
     matrix = {True: [], False: []}
     # bounded: max_positives + about max_unlabelled rows of feature numbers
-    for r in sample.mapInArrow(rows_of, "bins binary, positive boolean, drawn boolean").collect():
+    for r in sample.mapInArrow(rows_of, "bins binary, sampled boolean, drawn boolean").collect():
         found = np.frombuffer(r["bins"], "<u2")
-        if r["positive"]:
+        if r["sampled"]:
             matrix[True].append(found)
         if r["drawn"]:  # the unlabelled sample is drawn from all texts, so that it has the class prior
             matrix[False].append(found)
