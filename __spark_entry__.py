@@ -357,7 +357,7 @@ def q_share_of_group(spark, sf_dir):
 
 
 def q_topk_global(spark, sf_dir):
-    """O5 + M10: the 500 most frequent tokens of the documents, of a vocabulary that is larger."""
+    """The 500 most frequent tokens of the documents, of a vocabulary that is larger."""
     docs = _texts(spark, sf_dir, "documents", "text")
     words = docs.select(F.explode(F.split("text", "[^A-Za-z]+")).alias("w")).where("w <> ''").select(F.upper("w").alias("token"))
     return AG.top_k(AG.count_by(words, ["token"], "n"), [F.desc("n"), F.asc("token")], MA.SKILL_TOP_K)
@@ -467,6 +467,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "requirement_experience_total": _req_mart("exp"),
     "requirement_education_total": _req_mart("edu"),
     "requirement_employment_type_total": _req_mart("type"),
+    "requirement_skill_total": _req_mart("skill"),
     "industry_by_location_viz": q_industry_by_location_viz,
     "province_total": q_province_total,
     "topn_per_group": q_topn_per_group,
@@ -856,6 +857,7 @@ def _reference_sql() -> dict[str, str]:
         "requirement_experience_total": _requirement_mart_sql("exp"),
         "requirement_education_total": _requirement_mart_sql("edu"),
         "requirement_employment_type_total": _requirement_mart_sql("type"),
+        "requirement_skill_total": _requirement_mart_sql("skill") + " ORDER BY job_count DESC, skill LIMIT 500",
         "industry_by_location_viz": _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE) + "SELECT * FROM viz",
         "province_total": (
             _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)

@@ -59,3 +59,10 @@ def test_share_matrix_is_cut_at_its_limits_and_filled_with_zero(spark):
         for i in heat.columns[1:-1]:
             assert r[i] == count.get((r.province, i), 0) / total[r.province]
     assert any(r[i] == 0.0 for r in got for i in heat.columns[1:-1])
+
+
+def test_skill_mart_is_a_query_of_its_own(spark):
+    got = E.queries()["requirement_skill_total"](spark, SF)
+    skills = E.q_tokenize_explode(spark, SF).groupBy("skill").count().where("skill <> 'UNKNOWN'")
+    assert [tuple(r) for r in got.collect()] == [tuple(r) for r in skills.orderBy(F.desc("count"), "skill").limit(MA.SKILL_TOP_K).collect()]
+    assert "LIMIT 500" in E.oracle_sql()["requirement_skill_total"]
