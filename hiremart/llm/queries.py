@@ -84,5 +84,15 @@ FROM d LEFT JOIN hw USING (doc_id) LEFT JOIN it USING (doc_id)
 """
 
 
+_OP9_SQL = """
+WITH p AS (SELECT CAST(page_id AS BIGINT) AS page_id, octet_length(encode(coalesce(html, ''))) AS n, sha1(coalesce(html, '')) AS digest FROM pages),
+k AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS keeper FROM p)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN page_id < keeper THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < keeper THEN keeper END AS refers_to, true AS has_request, true AS has_metadata
+FROM k
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": _OP4_SQL}
+    return {"op4_decontaminate": _OP4_SQL, "op9_warc": _OP9_SQL}
