@@ -10,7 +10,8 @@ Training.  The labelled pages are of two kinds: layouts whose parts are known
 (``labelled_layouts``: articles in several wrappers amid menus, headers,
 footers, sidebars, notices, adverts, forms and comments), and at most
 ``MAX_PAGES`` pages of the table itself that mark their text by one article or
-main element, taken by a hash of the html.  Unary weights are fitted by
+main element, taken by a hash of the html; parts inside it that their tag, class or
+id names as boilerplate are not its text.  Unary weights are fitted by
 logistic regression, pair potentials from counted pairs.
 
 Scale: the pages are only mapped, the driver sees the features of a bounded
@@ -239,6 +240,22 @@ def labelled_layouts(n: int = LAYOUTS, seed: int = SEED) -> list[tuple[Page, np.
 
 
 PAGE_PARTS = frozenset("nav aside footer header form menu dialog".split())
+#: Words of the names in ``SIDE_PARTS``, by kind, and of one comment.
+PART_WORDS = {
+    kind: {tuple(name.split("-")) for x in listed if (name := x.replace("#", ".").partition(".")[2])} for kind, listed in SIDE_PARTS.items()
+}
+PART_WORDS["comments"].add(("comment",))
+TITLE_WORDS = frozenset(w for x in ARTICLE_NAMES for w in x.split("-"))
+
+
+def names_a_part(names: tuple[str, ...]) -> bool:
+    """Whether class, id or role name a part around the text; a header that is named for the article holds its title."""
+    for kind, listed in PART_WORDS.items():
+        if kind == "header" and not TITLE_WORDS.isdisjoint(names):
+            continue
+        if any(names[k : k + len(words)] == words for words in listed for k in range(len(names) - len(words) + 1)):
+            return True
+    return False
 
 
 def self_labelled(html: str | None) -> tuple[Page, np.ndarray] | None:
@@ -253,7 +270,7 @@ def self_labelled(html: str | None) -> tuple[Page, np.ndarray] | None:
     label = np.zeros(len(page.nodes), bool)
     label[found[0]] = True
     for node in page.nodes[found[0] + 1 :]:
-        label[node.number] = bool(label[node.parent]) and node.tag not in PAGE_PARTS
+        label[node.number] = bool(label[node.parent]) and node.tag not in PAGE_PARTS and not names_a_part(node.names)
     return page, label
 
 
