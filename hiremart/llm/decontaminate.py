@@ -9,7 +9,8 @@ item; a shorter item, if it has words, is one window.
 Scale: documents are only mapped, never shuffled.  The automaton is built from
 at most ``MAX_BLOCK_BYTES`` of item text; a larger benchmark is cut into
 blocks of items with an automaton each, and every block streams over all
-documents, so nothing unbounded is broadcast.
+documents, so nothing unbounded is broadcast.  The driver reads the items and
+builds the automata, and holds one block and its automaton at a time.
 
 Defined results: null or word-less text has no words and no hits; null or
 word-less items have no windows; repeated items count by distinct item id;
@@ -20,6 +21,7 @@ not read, so clashing names do no harm.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import repeat
 
 import numpy as np
@@ -169,19 +171,19 @@ def merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
     return out
 
 
-def _blocks(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> list[list[tuple[str | None, list[bytes]]]]:
-    """The items, in blocks of at most about ``max_bytes`` of text each (one item at least)."""
+def _blocks(benchmark: DataFrame, item: str, text: str, max_bytes: int) -> Iterator[list[tuple[str | None, list[bytes]]]]:
+    """The items, one block of at most about ``max_bytes`` of text at a time (one item at least; an empty block without items)."""
     items = benchmark.select(F.col(item).cast("string").alias("i"), F.col(text).alias("t")).where(F.col("t").isNotNull())
-    blocks: list[list] = [[]]
+    block: list = []
     used = 0
     for row in items.toLocalIterator():
         n = len(row["t"].encode())
         if used and used + n > max_bytes:
-            blocks.append([])
-            used = 0
-        blocks[-1].append((row["i"], words(row["t"].encode())))
+            yield block
+            block, used = [], 0
+        block.append((row["i"], words(row["t"].encode())))
         used += n
-    return blocks
+    yield block
 
 
 def match_items(
@@ -197,10 +199,14 @@ def match_items(
         F.expr("cast(array() as array<string>)").alias("items"), *row,
     )
     spark = docs.sparkSession
-    blocks = _blocks(benchmark, item, item_text, max_block_bytes)
     span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    for number, block in enumerate(blocks):
+    shared = None
+    for block in _blocks(benchmark, item, item_text, max_block_bytes):
+        if shared is not None:  # the blocks before are done, and their automaton with them
+            frame = written(frame, "decontaminate")
+            shared.unpersist()
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
+        block.clear()
 
         def run(batches, shared=shared):
             automaton = shared.value
@@ -220,8 +226,6 @@ def match_items(
                 } | ({"row": (batch.column(5), None)} if carry else {}))
 
         frame = frame.mapInArrow(run, frame.schema)
-        if number + 1 < len(blocks):
-            frame = written(frame, "decontaminate")
     return frame
 
 
