@@ -19,14 +19,3 @@ def spark():
 def scratch():
     """A fresh scratch folder per test (never reused, never cleared)."""
     return tempfile.mkdtemp(prefix="hiremart-test-", dir="/tmp")
-
-
-def one_col(spark, values, name="v"):
-    from pyspark.sql import types as T
-
-    return spark.createDataFrame([(v,) for v in values], T.StructType([T.StructField(name, T.StringType(), True)]))
-
-
-def column(df, name=None):
-    name = name or df.columns[-1]
-    return [r[name] for r in df.collect()]

@@ -1,6 +1,6 @@
 """T11-T13 buckets with FIXTURES.md §3.3 and §3.4 expected values."""
 
-from conftest import column, one_col
+from helpers import column, one_col
 from hiremart.functions import buckets as B
 
 EXPERIENCE = [

@@ -6,7 +6,7 @@ import re
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import one_col
+from helpers import one_col
 from hiremart.functions import text as TX
 
 ALPHABET = "ab /,>;|[]+\t\n\r\u2028\u00a0xyÉéếđ\"':{}5"

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import one_col
+from helpers import one_col
 from hiremart.functions.provinces import LOCATION_RULES, PROVINCE_CODES, PROVINCE_RULES
 from hiremart.operators.classify import classify_distinct, label_table, location_flags, province_code, rule_chain
 from hiremart.functions.text import clean_location

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from conftest import column, one_col
+from helpers import column, one_col
 from hiremart.functions import text as TX
 from hiremart.plans.postings import industry_id, industry_name
 
