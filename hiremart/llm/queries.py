@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, suffix_dedup, token_shards, toxicity, vector_search, warc
+from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, periodic_runs, quality_rules, suffix_dedup, token_shards, toxicity, vector_search, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,8 +56,19 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.judged(_t(spark, sf_dir, "documents"))
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return periodic_runs.runs_digest(_t(spark, sf_dir, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op5_suffix_dedup, op6_bpe, op7_language, op8_html_text, op9_warc, op10_toxicity)}
+    return {f.__name__: f for f in (
+        op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op5_suffix_dedup, op6_bpe, op7_language,
+        op8_html_text, op9_warc, op10_toxicity, op12_quality_rules, op13_periodic_runs,
+    )}
 
 
 _OP4_WORDS = (
@@ -94,5 +105,35 @@ FROM k
 """
 
 
+_OP12_SQL = """
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '-') AS lk, coalesce('=' || source, '-') AS sk,
+                  regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
+g AS (SELECT r, i, array_to_string(w[i:i + 4], ' ') AS g FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)),
+p AS (SELECT r, count(DISTINCT p) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS p FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS c FROM g) WHERE c > 1) GROUP BY r),
+l AS (SELECT r, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS l FROM d),
+c AS (SELECT doc_id, lk, sk, CAST(len(w) AS BIGINT) AS n_words, CAST(length(array_to_string(w, '')) AS BIGINT) AS word_chars,
+             CAST(length(t) - length(translate(t, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, CAST(len(l) AS BIGINT) AS n_lines,
+             CAST(len(l) - len(list_distinct(l)) AS BIGINT) AS n_dup_lines, CAST(coalesce(p.n, 0) AS BIGINT) AS n_repeat_words
+      FROM d JOIN l USING (r) LEFT JOIN p USING (r)),
+b AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, 1000 * word_chars // n_words AS word_length, 1000 * n_symbols // n_words AS symbols,
+             1000 * n_dup_lines // n_lines AS dup_lines, 1000 * n_repeat_words // n_words AS repeats FROM c),
+v AS (SELECT lk, sk, ratio, least, v FROM (SELECT lk, sk, unnest([{'ratio': 'word_length', 'v': word_length, 'least': 500}, {'ratio': 'symbols', 'v': symbols, 'least': 50},
+             {'ratio': 'dup_lines', 'v': dup_lines, 'least': 150}, {'ratio': 'repeats', 'v': repeats, 'least': 60}], recursive := true) FROM b WHERE NOT base_failed)),
+s AS (SELECT lk, sk, ratio, least, (v >> h) << h AS bin, count(*) AS n FROM (SELECT *, greatest(length(bin(v)) - 6, 0) AS h FROM v)
+      GROUP BY GROUPING SETS ((lk, sk, ratio, least, bin), (lk, ratio, least, bin), (ratio, least, bin))),
+q AS (SELECT lk, sk, ratio, least, min(bin) FILTER (4 * u >= a) AS low, min(bin) FILTER (4 * u >= 3 * a) AS high, max(a) AS n
+      FROM (SELECT *, sum(n) OVER (PARTITION BY lk, sk, ratio ORDER BY bin) AS u, sum(n) OVER (PARTITION BY lk, sk, ratio) AS a FROM s) GROUP BY ALL),
+f AS (SELECT lk, sk, max(n) AS n, max(high + 3 * greatest(high - low, least)) FILTER (ratio = 'word_length') AS w1, max(low - 3 * greatest(high - low, least)) FILTER (ratio = 'word_length') AS w0,
+             max(high + 3 * greatest(high - low, least)) FILTER (ratio = 'symbols') AS s1, max(high + 3 * greatest(high - low, least)) FILTER (ratio = 'dup_lines') AS d1,
+             max(high + 3 * greatest(high - low, least)) FILTER (ratio = 'repeats') AS r1 FROM q GROUP BY lk, sk),
+t AS (SELECT o.lk, o.sk, f.* EXCLUDE (lk, sk, n) FROM f AS o JOIN f ON (f.lk = o.lk AND f.sk = o.sk OR f.lk = o.lk AND f.sk IS NULL OR f.lk IS NULL)
+      WHERE o.sk IS NOT NULL AND (f.n >= 50 OR f.lk IS NULL)
+      QUALIFY row_number() OVER (PARTITION BY o.lk, o.sk ORDER BY f.lk IS NULL, f.sk IS NULL) = 1)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND coalesce(word_length BETWEEN w0 AND w1 AND symbols <= s1 AND dup_lines <= d1 AND repeats <= r1, false) AS kept, n_lines
+FROM b LEFT JOIN t USING (lk, sk)
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": _OP4_SQL, "op9_warc": _OP9_SQL}
+    return {"op4_decontaminate": _OP4_SQL, "op9_warc": _OP9_SQL, "op12_quality_rules": _OP12_SQL}
