@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers as P
 from pyspark.sql import DataFrame, SparkSession
 
-from hiremart.llm import bpe, common, decontaminate, html_text, language, ngram_join, periodic_runs, quality_rules, suffix_dedup, token_shards, toxicity, vector_search, warc
+from hiremart.llm import bpe, common, decontaminate, html_text, language, merkle, ngram_join, periodic_runs, quality_rules, suffix_dedup, token_shards, toxicity, vector_search, warc
 
 
 def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -56,6 +56,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.toxicity_digest(_t(spark, sf_dir, "documents"), _t(spark, sf_dir, "labels"))
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return merkle.manifest_digest(_t(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judged(_t(spark, sf_dir, "documents"))
 
@@ -67,7 +71,7 @@ def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in (
         op1_token_shards, op2_ngram_jaccard, op3_vector_search, op4_decontaminate, op5_suffix_dedup, op6_bpe, op7_language,
-        op8_html_text, op9_warc, op10_toxicity, op12_quality_rules, op13_periodic_runs,
+        op8_html_text, op9_warc, op10_toxicity, op11_merkle_manifest, op12_quality_rules, op13_periodic_runs,
     )}
 
 
@@ -105,6 +109,35 @@ FROM k
 """
 
 
+_OP11_SQL = """
+WITH RECURSIVE d AS (
+  SELECT doc_id, source, lang, n_chars, text, list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(doc_id AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda c, b: list_reduce(list_prepend(xor(c, b), range(8)), lambda x, i: xor(x >> 1, CASE WHEN x % 2 = 1 THEN 3988292384 ELSE 0 END))) AS crc FROM documents),
+f AS (SELECT doc_id, source, concat(coalesce(strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id, '-'), coalesce(strlen(source) || ':' || source, '-'), coalesce(strlen(lang) || ':' || lang, '-'),
+             coalesce(strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-')) AS head, text,
+             CASE WHEN xor(crc, 4294967295) % 2 = 0 THEN replace(text, chr(10), '') ELSE text END AS changed FROM d),
+leaves AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place, count(*) OVER (PARTITION BY source) AS size,
+                  dense_rank() OVER (ORDER BY source IS NOT NULL, encode(source)) - 1 AS tree
+           FROM (SELECT doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(changed) || ':' || changed, '-')) AS changed FROM f)),
+low AS (SELECT tree, place, size, leaf AS digest, 0 AS h FROM leaves UNION ALL
+        SELECT tree, place // 3, (max(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)), h + 1 FROM low WHERE size > 1 GROUP BY tree, place // 3, h),
+subroots AS (SELECT tree, digest, h FROM low WHERE size = 1),
+high AS (SELECT tree AS place, count(*) OVER () AS size, digest, 0 AS h FROM subroots UNION ALL
+         SELECT place // 3, (max(size) + 2) // 3, sha256(string_agg(digest, '' ORDER BY place)), h + 1 FROM high WHERE size > 1 GROUP BY place // 3, h),
+sib AS (SELECT *, coalesce(lag(digest, 2) OVER w, '') || coalesce(lag(digest) OVER w, '') AS before, coalesce(lead(digest) OVER w, '') || coalesce(lead(digest, 2) OVER w, '') AS after
+        FROM (SELECT tree, place, digest, h FROM low WHERE size > 1 UNION ALL SELECT -1, place, digest, h FROM high WHERE size > 1)
+        WINDOW w AS (PARTITION BY tree, h, place // 3 ORDER BY place)),
+walk AS (SELECT doc_id, leaf, tree AS own, tree, place, 0 AS h, changed AS folded, '' AS proof FROM leaves UNION ALL
+         SELECT k.doc_id, k.leaf, k.own, n.tree, n.place, n.h, n.folded, n.proof FROM (
+           SELECT w.doc_id, w.leaf, w.own, w.tree, w.place, w.h, w.folded, w.proof, s.before, s.after FROM walk w LEFT JOIN sib s ON s.tree = w.tree AND s.place = w.place AND s.h = w.h) AS k,
+         LATERAL (SELECT CASE WHEN k.before IS NULL THEN -1 ELSE k.tree END AS tree, CASE WHEN k.before IS NULL THEN k.own ELSE k.place // 3 END AS place, CASE WHEN k.before IS NULL THEN 0 ELSE k.h + 1 END AS h,
+                         CASE WHEN k.before IS NULL THEN k.folded ELSE sha256(k.before || k.folded || k.after) END AS folded, k.proof || coalesce(k.before || k.after, '') AS proof) AS n
+         WHERE k.before IS NOT NULL OR k.tree >= 0),
+root AS (SELECT digest FROM high WHERE size = 1)
+SELECT w.doc_id, w.leaf, s.digest AS subroot, root.digest AS root, sha256(w.proof) AS proof_sha256, w.folded AS folded_root, w.folded = root.digest AS verified
+FROM walk w JOIN subroots s ON s.tree = w.own, root WHERE w.tree = -1 AND NOT EXISTS (SELECT 1 FROM sib WHERE sib.tree = -1 AND sib.place = w.place AND sib.h = w.h)
+"""
+
 _OP12_SQL = """
 WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t, coalesce('=' || lang, '-') AS lk, coalesce('=' || source, '-') AS sk,
                   regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents),
@@ -136,4 +169,4 @@ FROM b LEFT JOIN t USING (lk, sk)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op4_decontaminate": _OP4_SQL, "op9_warc": _OP9_SQL, "op12_quality_rules": _OP12_SQL}
+    return {"op4_decontaminate": _OP4_SQL, "op9_warc": _OP9_SQL, "op11_merkle_manifest": _OP11_SQL, "op12_quality_rules": _OP12_SQL}
