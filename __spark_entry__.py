@@ -15,6 +15,8 @@ import importlib
 import importlib.util
 import os
 import sys
+import unicodedata
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -27,9 +29,10 @@ from hiremart.functions import provinces as PV  # noqa: E402
 from hiremart.functions import text as TX  # noqa: E402
 from hiremart.functions.predicates import INDUSTRY_TOTAL_LABEL, NOT_DISPLAYED, NOT_DISPLAYED_RAW  # noqa: E402
 from hiremart.operators import aggregates as AG  # noqa: E402
-from hiremart.operators.joins import left_join_default  # noqa: E402
-from hiremart.operators.materialize import materialize, repartitioned  # noqa: E402
+from hiremart.operators.joins import left_join_default, lookup_join  # noqa: E402
+from hiremart.operators.materialize import materialize, repartitioned, shared_dir  # noqa: E402
 from hiremart.operators.numbering import dense_index, input_order_ids, with_source  # noqa: E402
+from hiremart.operators.ordering import placed  # noqa: E402
 from hiremart.plans import features as FT  # noqa: E402
 from hiremart.plans import industry as IN  # noqa: E402
 from hiremart.plans import location as LO  # noqa: E402
@@ -39,9 +42,10 @@ from hiremart.plans.job import data_quality_report  # noqa: E402
 from hiremart.plans.postings import enrich  # noqa: E402
 from hiremart.schemas import JOB_BASE_CLEAN, POSTING_JSON_KEYS, RAW_TEXT_COLUMNS  # noqa: E402
 from hiremart.session import ship_package  # noqa: E402
-from hiremart.sources.orders_view import postings_view, postings_view_sql  # noqa: E402
-from hiremart.sources.postings import parse_posting_lines, valid_postings  # noqa: E402
-from hiremart.sources.tables import TSV_OPTIONS, ragged_fields  # noqa: E402
+from hiremart.sources.orders_view import LOCATIONS, postings_view, postings_view_sql  # noqa: E402
+from hiremart.sources.postings import parse_posting_lines, read_postings_jsonl, valid_postings  # noqa: E402
+from hiremart.sources.tables import TSV_OPTIONS, ragged_fields, read_tsv  # noqa: E402
+from hiremart.sources.writers import CSV_OPTIONS, EXPORTS, export, write_per_key, write_tsv  # noqa: E402
 
 SMOKE_DIR = "/root/testdata/sf0.001"
 
@@ -429,6 +433,101 @@ def q_top_raw_locations(spark, sf_dir):
     return MA.top_raw_locations(_enriched(spark, sf_dir))
 
 
+def _fresh(spark, name):
+    """A path not yet used in the shared folder."""
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def q_tsv_store_roundtrip(spark, sf_dir):
+    """K1 + K2 + S2-S4: postings stored as tab-separated text, replaced by the whole table, read by schema."""
+    p = _postings(spark, sf_dir).select("job_id", *RAW_TEXT_COLUMNS)
+    path = _fresh(spark, "tsv-store")
+    write_tsv(valid_postings(p), path)
+    write_tsv(p, path, mode="overwrite")
+    return read_tsv(spark, path, JOB_BASE_CLEAN)
+
+
+def q_per_key_folder_roundtrip(spark, sf_dir):
+    """K3 + J1 + T14: locations stored in one folder per province, read back with the folder's key."""
+    e, labels = _labelled(spark, sf_dir)
+    path = _fresh(spark, "per-key")
+    write_per_key(LO.log_location(e, labels), path, "province_name")
+    lines = spark.read.schema("value string, key string").text(path)
+    names = ["job_id", "province_id", "province_name", "is_overseas", "is_unknown"]
+    fields = F.from_csv("value", "job_id long, province_id int, province_name string, is_overseas int, is_unknown int", dict(TSV_OPTIONS))
+    return lines.select("key", fields.alias("r")).select("key", *[f"r.{n}" for n in names])
+
+
+def q_csv_export_roundtrip(spark, sf_dir):
+    """K4 + K5: a mart exported in each format and read back."""
+    mart = materialize(_req_mart("skill")(spark, sf_dir))
+    names, out = mart.columns, None
+    for fmt in EXPORTS:
+        path = export(mart, _fresh(spark, "export"), "skills", fmt)
+        back = spark.read.parquet(path) if fmt == "parquet" else spark.read.options(**CSV_OPTIONS).csv(path)
+        back = back.select(F.lit(fmt).alias("format"), *[F.col(n).cast(mart.schema[n].dataType) for n in names])
+        out = back if out is None else out.unionByName(back)
+    return out
+
+
+def q_postings_files(spark, sf_dir):
+    """S1 + S6 + T1 + T2 + F1 + W1: several text files of JSON lines, read by a glob; ids follow file and line."""
+    lines = _posting_json_lines(_postings(spark, sf_dir))
+    path = _fresh(spark, "postings")
+    lines.repartitionByRange(5, "job_id").sortWithinPartitions("job_id").select("line").write.text(path)
+    return read_postings_jsonl(spark, f"{path}/part-*").withColumnRenamed("job_id", "row_id")
+
+
+def q_ordered_requirements(spark, sf_dir):
+    """O1: requirement counts by industry and value, ascending, with the place of each."""
+    long = RQ.requirement_long(_enriched(spark, sf_dir)).where("feature_type = 'exp'")
+    rows = long.select("industry_id", "industry_name", F.col("feature_value").alias("exp_required"), "total_jobs")
+    return placed(rows, ["industry_id", "industry_name", "exp_required"])
+
+
+def q_ordered_industries(spark, sf_dir):
+    """O2: industries by postings, descending (ties by name), with the place of each."""
+    totals = AG.count_by(_enriched(spark, sf_dir), ["industry_name"], "total_jobs")
+    return placed(totals, ["-total_jobs", "industry_name"])
+
+
+def q_ordered_province_industries(spark, sf_dir):
+    """(count descending, name ascending) over every pair of the presentation table, with the place of each."""
+    return placed(_by_location_viz(spark, sf_dir), ["-job_count", "industry", "province"])
+
+
+def q_lookup_join(spark, sf_dir):
+    """Postings joined with a lookup of sectors; half of the rows have one sector, half have none."""
+    p = _postings(spark, sf_dir).select("job_id", "raw_sec", "raw_loc")
+    sectors = p.where("raw_sec is not null").groupBy("raw_sec").agg(F.count(F.lit(1)).alias("sector_jobs"), F.min("job_id").alias("first_job"))
+    return lookup_join(p, sectors.where(F.col("raw_sec") != NOT_DISPLAYED_RAW), ["raw_sec"], {"sector_jobs": 0, "first_job": -1})
+
+
+def q_province_by_words(spark, sf_dir):
+    """T14 with match="word": provinces by whole words."""
+    e = _enriched(spark, sf_dir)
+    labels = LO.location_labels(e, match="word")
+    return LO.classify_postings(e.select("job_id", "raw_loc", "loc_key"), labels).select("job_id", "raw_loc", "province_name")
+
+
+def q_summed_feature_rows(spark, sf_dir):
+    """U2, summing: sparse rows of each industry, cells of one industry and value added up."""
+    merged = materialize(_merged(spark, sf_dir))
+    matrix = FT.feature_matrix(merged, materialize(FT.industry_index(merged)), materialize(FT.feature_value_index(merged)))
+    rows = FT.sparse_rows(matrix)
+    text = F.transform("cells", lambda x: F.concat_ws(":", x["feature_value_idx"].cast("string"), x["feature_type_idx"].cast("string"), x["feature_count"].cast("string")))
+    return rows.select("industry_idx", "block", F.size("cells").cast("long").alias("n_cells"), F.array_join(text, " ").alias("cells"))
+
+
+def q_fold_decomposed(spark, sf_dir):
+    """T8 + T9 with the composing step: texts whose vowels are written as letter and combining marks."""
+    p = _postings(spark, sf_dir).select("job_id", "raw_loc")
+    texts = {v: unicodedata.normalize("NFD", v) for v in LOCATIONS if v}
+    apart = F.create_map(*[F.lit(x) for pair in texts.items() for x in pair])
+    rows = p.select("job_id", F.coalesce(F.try_element_at(apart, F.col("raw_loc")), F.col("raw_loc")).alias("raw_loc"))
+    return rows.select("job_id", TX.compose_accents("raw_loc").alias("composed"), TX.clean_location("raw_loc", compose=True).alias("clean"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "industry_total": q_industry_total,
     "extract_or_null": q_extract_or_null,
@@ -484,6 +583,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "share_pivot_top": q_share_pivot_top,
     "province_industry_heatmap": q_province_industry_heatmap,
     "top_raw_locations": q_top_raw_locations,
+    "tsv_store_roundtrip": q_tsv_store_roundtrip,
+    "per_key_folder_roundtrip": q_per_key_folder_roundtrip,
+    "csv_export_roundtrip": q_csv_export_roundtrip,
+    "postings_files": q_postings_files,
+    "ordered_requirements": q_ordered_requirements,
+    "ordered_industries": q_ordered_industries,
+    "ordered_province_industries": q_ordered_province_industries,
+    "lookup_join": q_lookup_join,
+    "province_by_words": q_province_by_words,
+    "summed_feature_rows": q_summed_feature_rows,
+    "fold_decomposed": q_fold_decomposed,
 }
 
 
@@ -621,6 +731,17 @@ def s_province(raw: str) -> str:
     return " ".join(parts)
 
 
+def s_province_by_words(raw: str) -> str:
+    c = s_fold(f"coalesce({raw}, '')")
+    words = f"(' ' || array_to_string(regexp_extract_all({c}, '[\\p{{L}}\\p{{N}}]+'), ' ') || ' ')"
+    parts = ["CASE"]
+    for r in PV.LOCATION_RULES:
+        names = [" ".join("".join(ch if ch.isalnum() else " " for ch in k).split()) for k in r.keywords]
+        names += ["(quan|q|dist|district) ?0?(1[0-2]|[1-9])"] if r.patterns else []
+        parts.append(f"WHEN regexp_matches({words}, {_q(' (' + '|'.join(names) + ') ')}) THEN {_q(r.label)}")
+    return " ".join([*parts, "ELSE 'UNKNOWN' END"])
+
+
 def s_code(name: str) -> str:
     whens = " ".join(f"WHEN {_q(k)} THEN {v}" for k, v in PV.province_code_table())
     return f"CAST(CASE {name} {whens} ELSE 0 END AS INTEGER)"
@@ -916,6 +1037,44 @@ def _reference_sql() -> dict[str, str]:
         "province_industry_heatmap": _matrix_sql(
             _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE) + "SELECT * FROM viz", "province", "industry", "province_job_count", 25, 20,
         ),
+        "tsv_store_roundtrip": _with(P_CTE) + "SELECT job_id, " + ", ".join(f"nullif({c}, '') AS {c}" for c in RAW_TEXT_COLUMNS) + " FROM p",
+        "per_key_folder_roundtrip": (
+            _with(P_CTE, E_CTE)
+            + f"SELECT province_name AS key, job_id, {s_code('province_name')} AS province_id, province_name, "
+            "CAST(province_name = 'OVERSEAS' AS INTEGER) AS is_overseas, CAST(province_name = 'UNKNOWN' AS INTEGER) AS is_unknown FROM e"
+        ),
+        "csv_export_roundtrip": (
+            f"SELECT format, m.* FROM ({_requirement_mart_sql('skill')} ORDER BY job_count DESC, 1 LIMIT 500) AS m, (VALUES ('csv'), ('csv-single'), ('parquet')) AS f (format)"
+        ),
+        "postings_files": _with(P_CTE) + f"SELECT CAST(row_number() OVER (ORDER BY job_id) AS BIGINT) AS row_id, {jt} FROM p WHERE {valid}",
+        "ordered_requirements": (
+            _with(P_CTE, E_CTE, E2_CTE, _long_cte())
+            + "SELECT industry_id, industry_name, feature_value AS exp_required, total_jobs, CAST(row_number() OVER (ORDER BY industry_id, industry_name, feature_value) AS BIGINT) AS place "
+            "FROM lng WHERE feature_type = 'exp'"
+        ),
+        "ordered_industries": (
+            _with(P_CTE, E_CTE)
+            + "SELECT industry_name, CAST(count(*) AS BIGINT) AS total_jobs, CAST(row_number() OVER (ORDER BY count(*) DESC, industry_name) AS BIGINT) AS place FROM e GROUP BY industry_name"
+        ),
+        "ordered_province_industries": (
+            _with(P_CTE, E_CTE, BYLOC_CTE, VIZ_CTE)
+            + "SELECT *, CAST(row_number() OVER (ORDER BY job_count DESC, industry, province) AS BIGINT) AS place FROM viz"
+        ),
+        "lookup_join": (
+            _with(P_CTE)
+            + f", s AS (SELECT raw_sec, count(*) AS n, min(job_id) AS first_job FROM p WHERE raw_sec <> {_q(NOT_DISPLAYED_RAW)} GROUP BY raw_sec) "
+            "SELECT job_id, raw_sec, raw_loc, CAST(coalesce(n, 0) AS BIGINT) AS sector_jobs, coalesce(first_job, -1) AS first_job FROM p LEFT JOIN s USING (raw_sec)"
+        ),
+        "province_by_words": _with(P_CTE) + f"SELECT job_id, raw_loc, {s_province_by_words('raw_loc')} AS province_name FROM p",
+        "summed_feature_rows": (
+            _with(*MERGED_PARTS)
+            + ", cell AS (SELECT CAST(coalesce(i.industry_idx, -1) AS BIGINT) AS industry_idx, CAST(coalesce(f.feature_value_idx, 0) AS BIGINT) AS v, "
+            "list_position(['exp', 'edu', 'type', 'skill', 'req', 'location'], m.feature_type) AS t, sum(m.total_jobs) AS n FROM merged m LEFT JOIN ind_idx i USING (industry_id) "
+            "LEFT JOIN fv_idx f ON m.feature_type = f.feature_type AND m.feature_value = f.feature_value GROUP BY 1, 2, 3) "
+            "SELECT industry_idx, CAST(v // 4096 AS BIGINT) AS block, CAST(count(*) AS BIGINT) AS n_cells, "
+            "string_agg(v || ':' || t || ':' || n, ' ' ORDER BY v, t) AS cells FROM cell GROUP BY industry_idx, v // 4096"
+        ),
+        "fold_decomposed": _with(P_CTE) + "SELECT job_id, raw_loc AS composed, " + s_fold("coalesce(raw_loc, '')") + " AS clean FROM p",
         "top_raw_locations": _with(P_CTE) + "SELECT raw_loc, CAST(count(*) AS BIGINT) AS count FROM p GROUP BY raw_loc",
     }
     return sql

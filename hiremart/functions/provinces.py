@@ -10,6 +10,7 @@ the shadowing they cause (for example ``uc`` of OVERSEAS fires for
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 
 from .text import WS, regex_literal
@@ -32,7 +33,10 @@ class Rule:
         return len(self.keywords) + len(self.patterns)
 
 
-def _numbered_district(prefix: str, top: int = 12) -> str:
+DISTRICTS = 12
+
+
+def _numbered_district(prefix: str, top: int = DISTRICTS) -> str:
     """'quan 7', 'q.07', 'dist 3', 'district 12', ...: prefix, spaces, optional 0, 1..top."""
     return prefix + WS + "*0?(?:" + "|".join(str(n) for n in range(1, top + 1)) + ")"
 
@@ -125,6 +129,20 @@ PROVINCE_RULES = [
 
 LOCATION_RULES = SENTINEL_RULES + PROVINCE_RULES
 
+
+def word_keywords(rules=LOCATION_RULES) -> dict[str, int]:
+    """Keyword as words with single spaces -> least number of a rule that has it; numbered districts written out."""
+    found: dict[str, int] = {}
+    for number, rule in enumerate(rules):
+        names = list(rule.keywords)
+        if rule.patterns:
+            prefixes = [p.split("\\")[0] for p in HCM_DISTRICT_PREFIXES]  # an abbreviation's dot is no word
+            names += [f"{p}{space}{zero}{n}" for p in prefixes for space in ("", " ") for n in range(1, DISTRICTS + 1) for zero in ("", "0")]
+        for name in names:
+            found.setdefault(" ".join(re.findall(r"\w+", name)), number)
+    return found
+
+
 # Province codes follow a rule: 1..63 in alphabetical order of the labels;
 # OVERSEAS is -1, UNKNOWN (and anything else) 0.
 PROVINCE_CODES: dict[str, int] = {

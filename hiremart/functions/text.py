@@ -10,7 +10,9 @@ out instead of relying on ``\\s``, whose meaning differs between the two.
 
 from __future__ import annotations
 
-from pyspark.sql import Column
+import unicodedata
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Java's ``\s`` (space, tab, newline, vertical tab, form feed, carriage return).
@@ -120,6 +122,42 @@ def extract_json_string(c, key: str) -> Column:
     return F.substring_index(F.substring_index(m, '"', -2), '"', 1)
 
 
+def json_string_pieces(c, keys: list[str]) -> Column:
+    """T2, one scan for several keys: every ``key" : "value"`` in the text, in order.
+
+    A scan consumes only the quote before a key, so a key that begins inside another's
+    value is found too.  An empty piece stands where a line terminator is.
+    """
+    for k in keys:
+        json_string_pattern(k)   # validates the key
+    piece = "(?:" + "|".join(keys) + ')"' + WS + "*:" + WS + '*"[^"]*"'
+    return F.regexp_extract_all(col_(c), F.lit('"(?=(' + piece + "))|" + LINE_TERMINATORS), F.lit(1))
+
+
+def json_string_fields(df: DataFrame, c, fields: dict[str, str]) -> DataFrame:
+    """``df`` with one more column for each key of ``fields`` (key -> column), as ``extract_json_string`` gives them.
+
+    The last string value of a key wins, of those that begin in the first line of the text that has the key.
+    The scan is a generator's input, so Catalyst neither repeats it for each column
+    nor moves it into a filter on one of them.
+    """
+    pieces = json_string_pieces(c, list(fields))
+    scanned = F.transform(F.array(pieces), lambda p: F.struct(p.alias("_hm_pieces"), F.transform(p, lambda x: F.substring_index(x, '"', 1)).alias("_hm_keys")))
+    found = df.select("*", F.inline(scanned))
+    keys, pieces = F.col("_hm_keys"), F.col("_hm_pieces")
+
+    def piece_of(key: str) -> Column:
+        last = F.get(F.reverse(pieces), F.array_position(F.reverse(keys), key) - 1)
+        first = F.array_position(keys, key)
+        rest = F.slice(keys, first, F.size(keys))
+        line = F.slice(rest, 1, F.when(F.array_position(rest, "") > 0, F.array_position(rest, "") - 1).otherwise(F.size(rest)))
+        in_line = F.when(first > 0, F.get(pieces, first - 1 + F.size(line) - F.array_position(F.reverse(line), key)))
+        return F.when(F.array_contains(keys, ""), in_line).otherwise(last)
+
+    values = [F.substring_index(F.substring_index(piece_of(k), '"', -2), '"', 1).alias(n) for k, n in fields.items()]
+    return found.select(*df.columns, *values)
+
+
 def _class_escape(ch: str) -> str:
     return "\\" + ch if ch in "^$.|?*+()[]{}\\-/" else ch
 
@@ -190,15 +228,58 @@ def fold_accents(c) -> Column:
     return F.translate(F.lower(col_(c)), _FOLD_FROM, _FOLD_TO)
 
 
+#: Combining marks of the accented vowels, apart from base letters (U+0300..U+036F).
+COMBINING = "[\\x{300}-\\x{36F}]"
+
+
+def composed_letters() -> dict[str, str]:
+    """Letter with its marks in ascending order -> composed letter, for every accented vowel in both cases.
+
+    Derived from the letters' decompositions: a letter with two marks is also reached from
+    each of its parts that has one of them composed already."""
+    table: dict[str, str] = {}
+    letters = "".join(chars for _, chars in ACCENT_FAMILIES)
+    for letter in letters + letters.upper():
+        base, *marks = unicodedata.normalize("NFD", letter)
+        if not marks:   # a stroke is no combining mark
+            continue
+        table[base + "".join(sorted(marks))] = letter
+        for mark in marks if len(marks) > 1 else ():
+            part = unicodedata.normalize("NFC", base + mark)
+            table[part + "".join(m for m in marks if m != mark)] = letter
+    return table
+
+
+def compose_accents(c) -> Column:
+    """T8, optional step: an accented vowel written as letter and combining marks becomes one letter.
+
+    The marks may come in any order.  Other letters, and marks that make up no accented
+    vowel, stay as they are.  Text without combining marks is passed through.
+    """
+    c = col_(c)
+    table = F.create_map(*[F.lit(x) for pair in composed_letters().items() for x in pair])
+    clusters = F.regexp_extract_all(c, F.lit("(?s)." + COMBINING + "*"), F.lit(0))
+
+    def whole(x: Column) -> Column:
+        marks = F.array_sort(F.split(F.substring(x, 2, 1 << 20), ""))
+        key = F.concat(F.substring(x, 1, 1), F.array_join(marks, ""))
+        return F.when(F.length(x) > 1, F.coalesce(F.try_element_at(table, key), x)).otherwise(x)
+
+    return F.when(c.rlike(COMBINING), F.array_join(F.transform(clusters, whole), "")).otherwise(c)
+
+
 def space_separators(c) -> Column:
     """NBSP, '|', '...' and '…' become a space."""
     spaced = F.translate(col_(c), SPACE_CHARS, " " * len(SPACE_CHARS))
     return F.regexp_replace(spaced, SPACE_SEQUENCES, " ")
 
 
-def clean_location(c) -> Column:
-    """T8 + T9 on NULL-as-'' text: the key the province rules look at."""
-    return space_separators(fold_accents(F.coalesce(col_(c), F.lit(""))))
+def clean_location(c, compose: bool = False) -> Column:
+    """T8 + T9 on NULL-as-'' text: the key the province rules look at.
+
+    ``compose`` first composes letters written with combining marks, which the folding does not know."""
+    text = F.coalesce(col_(c), F.lit(""))
+    return space_separators(fold_accents(compose_accents(text) if compose else text))
 
 
 # --- T10 fixed value: TOKENIZE's second argument is a set of delimiter

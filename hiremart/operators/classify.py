@@ -18,9 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.provinces import (
-    LOCATION_RULES, OTHER_CODE, OVERSEAS, PROVINCE_CODES, SPECIAL_CODES, UNKNOWN, Rule,
+    LOCATION_RULES, OTHER_CODE, OVERSEAS, PROVINCE_CODES, SPECIAL_CODES, UNKNOWN, Rule, word_keywords,
 )
-from ..functions.text import col_, has_line_terminator
+from ..functions.text import clean_location, col_, has_line_terminator
 from .materialize import broadcast_if_small, materialize
 
 
@@ -77,6 +77,34 @@ def label_table(
     return broadcast_if_small(materialize(distinct.select(key_col, classify(src).alias(out_col))))
 
 
+#: A word, for ``word_label_table``.
+WORD = "[\\p{L}\\p{N}]+"
+
+
+def word_label_table(df: DataFrame, key_col: str, out_col: str, rules: Sequence[Rule] = LOCATION_RULES) -> DataFrame:
+    """T14 with ``match="word"``: distinct ``key_col`` values with the label of the first rule that has a keyword in them as whole words.
+
+    A cleaned value is cut into words, and its runs of up to as many words as the longest keyword
+    has are joined to the keyword table by equality; of the rules met, the least number wins.
+    No regex chain runs, and the work for a value grows with its words, not with the rules.
+    """
+    spark = df.sparkSession
+    table = word_keywords(rules)
+    keywords = spark.createDataFrame([(k, n) for k, n in table.items()], "_hm_gram string, _hm_rule int")
+    longest = max(k.count(" ") + 1 for k in table)
+    values = materialize(df.select(key_col).distinct())
+    words = values.select(key_col, F.regexp_extract_all(clean_location(key_col), F.lit(WORD), F.lit(0)).alias("_hm_words"))
+    grams = F.flatten(F.transform(F.lit(list(range(1, longest + 1))), lambda n: F.when(
+        F.size("_hm_words") >= n,
+        F.transform(F.sequence(F.lit(1), F.size("_hm_words") - n + 1), lambda i: F.array_join(F.slice("_hm_words", i, n), " ")),
+    ).otherwise(F.array().cast("array<string>"))))
+    met = words.select(key_col, F.explode(F.array_distinct(grams)).alias("_hm_gram"))
+    # the keyword table is fixed: about 700 short rows
+    first = met.join(F.broadcast(keywords), "_hm_gram").groupBy(key_col).agg(F.min("_hm_rule").alias("_hm_rule"))
+    label = F.coalesce(F.get(F.lit([r.label for r in rules]), F.col("_hm_rule")), F.lit(UNKNOWN))
+    return broadcast_if_small(materialize(values.join(first, key_col, "left").select(key_col, label.alias(out_col))))
+
+
 def classify_distinct(
     df: DataFrame,
     key_col: str,

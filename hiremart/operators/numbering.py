@@ -9,10 +9,11 @@ one row per partition, never one per data row.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .materialize import materialize
+from .materialize import broadcast_if_small, materialize
 
 _PID, _POS, _N, _OFF, _FIRST = "_hm_pid", "_hm_pos", "_hm_n", "_hm_off", "_hm_first"
 
@@ -27,6 +28,42 @@ def _running_offsets(counts: DataFrame, order_cols: list[str]) -> DataFrame:
     return counts.withColumn(_OFF, F.coalesce(F.sum(_N).over(w), F.lit(0)).cast("long"))
 
 
+#: Keys sampled for each range; as many rows as this times the ranges come to the driver.
+SAMPLED_PER_RANGE = 40
+
+
+def range_bounds(keys: DataFrame, ranges: int) -> list:
+    """Up to ``ranges - 1`` rows of ``keys``, in ascending order (nulls first), that cut it into even ranges.
+
+    They are taken from a sorted sample of ``SAMPLED_PER_RANGE`` rows a range; Spark's own
+    range exchange samples as many, but evaluates its whole input for it."""
+    total = keys.count()
+    wanted = ranges * SAMPLED_PER_RANGE
+    sample = keys if total <= wanted else keys.sample(min(1.0, 1.2 * wanted / total), 17)
+    rows = sample.distinct().orderBy(*keys.columns).limit(2 * wanted).collect()
+    cuts = sorted({k * len(rows) // ranges for k in range(1, ranges)} - {0}) if rows else []
+    return [rows[k] for k in cuts]
+
+
+def range_of(keys: list[str], schema: T.StructType, bounds: list) -> Column:
+    """Number of the range that a row's keys fall into: how many bounds are not above them, by binary search."""
+    if not bounds:
+        return F.lit(0)
+    whole = F.array(*[F.struct(*[F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(b, schema.fields)]) for b in bounds])
+    key = F.struct(*[F.col(k) for k in keys])
+    begin = F.struct(F.lit(0).alias("low"), F.lit(len(bounds)).alias("high"))
+
+    def step(at, _):
+        middle = F.shiftright(at["low"] + at["high"], 1)
+        above = (at["low"] < at["high"]) & (F.get(whole, middle) <= key)
+        low = F.when(above, middle + 1).otherwise(at["low"])
+        high = F.when(above | (at["low"] >= at["high"]), at["high"]).otherwise(middle)
+        return F.struct(low.alias("low"), high.alias("high"))
+
+    halvings = F.sequence(F.lit(1), F.lit(len(bounds).bit_length() + 1))
+    return F.aggregate(halvings, begin, step, lambda at: at["low"])
+
+
 def dense_index(
     df: DataFrame,
     order_cols: list[str],
@@ -34,22 +71,26 @@ def dense_index(
     start: int = 1,
     num_partitions: int | None = None,
 ) -> DataFrame:
-    """Number rows ``start..start+n-1`` in ``order_cols`` order.
+    """Number rows ``start..start+n-1`` in ``order_cols`` order (nulls first).
 
     ``order_cols`` must be a total order (unique), so recomputation after a
-    lost executor gives the same numbers.  Range partitioning spreads the
-    sort over all tasks; the sorted rows are written once, with partition and
-    position, and both the offsets and the result are read from that copy.
+    lost executor gives the same numbers.  ``df`` is evaluated once, into a
+    written copy.  Range bounds and the rows in each range come from that copy's
+    key columns alone; then the copy is cut at the bounds, and a row's number is its
+    place in its sorted range plus the rows of the ranges before.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *order_cols).sortWithinPartitions(*order_cols)
-    tagged = materialize(ranged.select(*df.columns, F.spark_partition_id().alias(_PID), _position().alias(_POS)))
-    counts = tagged.groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
-    # One row per range partition: at most ``n`` rows by construction.
-    offsets = _running_offsets(counts, [_PID]).select(_PID, _OFF)
-    out = tagged.join(F.broadcast(offsets), _PID, "left")
-    return out.select(*df.columns, (F.col(_OFF) + F.col(_POS) + F.lit(start)).cast("long").alias(index_col))
+    copy = materialize(df)
+    keys = copy.select(*order_cols)
+    place = range_of(order_cols, keys.schema, range_bounds(keys, n)).cast("int")
+    counts = keys.select(place.alias(_PID)).groupBy(_PID).agg(F.count(F.lit(1)).alias(_N))
+    # One row per range: at most ``n`` rows by construction.
+    offsets = {r[_PID]: r[_OFF] for r in _running_offsets(counts, [_PID]).select(_PID, _OFF).collect()}
+    before = F.array(*[F.lit(offsets.get(k, 0)).cast("long") for k in range(n)])
+    cut = copy.withColumn(_PID, place).repartitionById(n, F.col(_PID)).sortWithinPartitions(*order_cols)
+    numbered = (F.get(before, F.col(_PID)) + _position() + F.lit(start)).cast("long")
+    return cut.select(*df.columns, numbered.alias(index_col))
 
 
 def _position():
@@ -80,7 +121,7 @@ def input_order_ids(df: DataFrame, index_col: str = "id", start: int = 1) -> Dat
     tagged = materialize(df.select(*cols, *source, _position().alias(_POS)))
     # One row per block of input: bounded by the number of splits, not of rows.
     counts = tagged.groupBy(*source).agg(F.count(F.lit(1)).alias(_N), F.min(_POS).alias(_FIRST))
-    offsets = _running_offsets(counts, source).select(*source, _FIRST, _OFF)
-    out = tagged.join(F.broadcast(offsets), source, "left")
+    offsets = materialize(_running_offsets(counts, source).select(*source, _FIRST, _OFF))
+    out = tagged.join(broadcast_if_small(offsets), source, "left")
     place = F.col(_OFF) + F.col(_POS) - F.col(_FIRST) + F.lit(start)
     return out.select(place.cast("long").alias(index_col), *cols)

@@ -74,3 +74,24 @@ def feature_matrix(merged: DataFrame, ind_index: DataFrame, fv_index: DataFrame)
         F.coalesce(F.col("feature_value_idx"), F.lit(0)).cast("long").alias("feature_value_idx"),
         F.coalesce(F.col("total_jobs"), F.lit(0)).cast("long").alias("feature_count"),
     )
+
+
+#: Feature values of one sparse row, at most.
+ROW_WIDTH = 4096
+
+
+def summed_features(matrix: DataFrame) -> DataFrame:
+    """U2, summing: rows of the matrix that fall on one (industry, type, value) cell become one, counts added.
+
+    Off by default, as names that share a slug keep their rows in the reference."""
+    return matrix.groupBy("industry_idx", "feature_type_idx", "feature_value_idx").agg(F.sum("feature_count").cast("long").alias("feature_count"))
+
+
+def sparse_rows(matrix: DataFrame, width: int = ROW_WIDTH) -> DataFrame:
+    """The summed matrix as sparse rows: for each industry and block of ``width`` value indexes
+    one row with its cells, sorted by (value, type), as an array of structs.
+
+    A block bounds the array: a value index has one type, but for index 0 (no match), which has one cell a type."""
+    cell = F.struct("feature_value_idx", "feature_type_idx", "feature_count")
+    blocks = summed_features(matrix).withColumn("block", F.expr(f"feature_value_idx div {width}"))
+    return blocks.groupBy("industry_idx", "block").agg(F.sort_array(F.collect_list(cell)).alias("cells"))

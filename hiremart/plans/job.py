@@ -32,7 +32,7 @@ from .. import schemas as S
 from ..functions.predicates import NOT_DISPLAYED_RAW
 from ..sources.postings import read_postings_jsonl, valid_postings
 from ..sources.tables import empty_as_null, read_ragged_tsv, read_tsv
-from ..sources.writers import EXPORTS, export, write_per_key, write_tsv
+from ..sources.writers import EXPORTS, export, write_parquet, write_per_key, write_tsv
 from . import features as FT
 from . import industry as IN
 from . import location as LO
@@ -59,7 +59,7 @@ class Store:
         if self.fmt == "tsv":
             write_tsv(df, self.path(name), mode)
         else:
-            df.write.mode(mode).parquet(self.path(name))
+            write_parquet(df, self.path(name), mode)
 
     def read(self, name: str, schema) -> DataFrame:
         if self.fmt == "tsv":
@@ -115,7 +115,7 @@ def stage_base(store: Store, input_path, parser: str = "regex", base_mode: str =
         back = store.spark.read.parquet(store.path("job_base_clean"))
     else:
         path = store.path("_internal/job_base_clean")
-        postings.write.mode("overwrite").parquet(path)
+        write_parquet(postings, path)
         back = store.spark.read.parquet(path)
         store.write(back, "job_base_clean", base_mode)
     store.write(data_quality_report(back), "data_quality_stats", base_mode)
@@ -151,7 +151,7 @@ LONG_TABLE = "requirement_analysis/_long"   # internal hand-off, always Parquet
 
 def stage_requirements(store: Store, enriched: DataFrame, null_propagates: bool) -> None:
     """One pass builds the long table; the five per-kind tables are cuts of it."""
-    RQ.requirement_long(enriched, null_propagates).write.mode("overwrite").parquet(store.path(LONG_TABLE))
+    write_parquet(RQ.requirement_long(enriched, null_propagates), store.path(LONG_TABLE))
     long = _long_from_store(store)
     run_concurrently([
         (lambda k: (lambda: store.write(RQ.requirement_table(long, k), f"requirement_analysis/{k}_total")))(kind)
@@ -212,7 +212,7 @@ def _handoff(store: Store, df: DataFrame, name: str, public: bool = True) -> Dat
         store.write(df, name)
         return store.spark.read.parquet(store.path(name))
     path = store.path(f"_internal/{name}")
-    df.write.mode("overwrite").parquet(path)
+    write_parquet(df, path)
     back = store.spark.read.parquet(path)
     if public:
         store.write(back, name)
@@ -350,6 +350,7 @@ def run(
     chart_data: bool = False,
     input_format: str = "jsonl",
     stages: list[str] | None = None,
+    match: str = "substring",
 ) -> dict[str, str]:
     """Run the stages (all by default); returns the exported mart paths.
 
@@ -379,8 +380,8 @@ def run(
     # location and industry writes.
     actions = [lambda: stage_requirements(store, enriched, pig_null_case)] if "requirements" in wanted else []
     if {"location", "industry"} & set(wanted):
-        labels = LO.location_labels(enriched)
-        LO.location_industry_facts(enriched).write.mode("overwrite").parquet(store.path(FACTS_TABLE))
+        labels = LO.location_labels(enriched, match)
+        write_parquet(LO.location_industry_facts(enriched), store.path(FACTS_TABLE))
         facts = store.spark.read.parquet(store.path(FACTS_TABLE))
         actions += stage_location(store, enriched, labels, facts) if "location" in wanted else []
         actions += stage_industry(store, enriched, labels, facts) if "industry" in wanted else []
@@ -411,6 +412,7 @@ def main(argv=None) -> int:
     ap.add_argument("--export-format", default="csv", choices=list(EXPORTS))
     ap.add_argument("--export-dir", default=None)
     ap.add_argument("--parser", default="regex", choices=["regex", "json"])
+    ap.add_argument("--match", default="substring", choices=list(LO.MATCHES), help="how location keywords match")
     ap.add_argument("--sql-case", action="store_true",
                     help="experience buckets with SQL CASE semantics instead of the reference's NULL rule")
     ap.add_argument("--overwrite", action="store_true", help="replace job_base_clean and data_quality_stats")
@@ -435,7 +437,7 @@ def main(argv=None) -> int:
         spark, args.input, args.output_dir,
         table_format=args.table_format, export_format=args.export_format, export_dir=args.export_dir,
         parser=args.parser, pig_null_case=not args.sql_case, overwrite=args.overwrite, show=args.show,
-        chart_data=args.chart_data, input_format=args.input_format, stages=stages,
+        chart_data=args.chart_data, input_format=args.input_format, stages=stages, match=args.match,
     )
     for name, path in out.items():
         print(f"{name}\t{path}")

@@ -14,15 +14,23 @@ from pyspark.sql import functions as F
 from ..functions.provinces import TOTAL_LABEL, UNKNOWN
 from ..functions.text import clean_location
 from ..operators.aggregates import with_grand_total
-from ..operators.classify import label_table, location_flags, province_code, rule_chain
+from ..operators.classify import label_table, location_flags, province_code, rule_chain, word_label_table
 from .postings import count_by_raw_industry
 
 
-def location_labels(enriched: DataFrame) -> DataFrame:
+MATCHES = ("substring", "word")
+
+
+def location_labels(enriched: DataFrame, match: str = "substring") -> DataFrame:
     """(loc_key, province_name) for every distinct location key.
 
+    ``match="substring"`` is the reference's rule; ``"word"`` lets keywords match whole words only.
     Materialized, measured once, broadcast-hinted when small (label_table).
     """
+    if match not in MATCHES:
+        raise ValueError(f"match {match!r} is none of {', '.join(MATCHES)}")
+    if match == "word":
+        return word_label_table(enriched.select("loc_key"), "loc_key", "province_name")
     return label_table(enriched.select("loc_key"), "loc_key", rule_chain, "province_name", prepare=clean_location)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import extract_json_string, java_trim, strip_bom
+from ..functions.text import java_trim, json_string_fields, strip_bom
 from ..operators.numbering import input_order_ids, with_source
 from ..schemas import POSTING_JSON_KEYS, RAW_TEXT_COLUMNS
 
@@ -20,7 +20,7 @@ def read_lines(spark: SparkSession, path: str | list[str]) -> DataFrame:
 def parse_posting_lines(lines: DataFrame, line_col: str = "line", parser: str = "regex") -> DataFrame:
     """T1 + T2: nine raw text fields per line.
 
-    ``parser="regex"`` reproduces the reference: string values only, cut at
+    ``parser="regex"`` reproduces the reference in one scan of the line: string values only, cut at
     the first quote even if escaped, the last duplicate key wins, anything
     else is NULL.  ``parser="json"`` uses Spark's JSON parser instead
     (proper escapes; numbers come back as text).
@@ -28,8 +28,8 @@ def parse_posting_lines(lines: DataFrame, line_col: str = "line", parser: str =
     clean = strip_bom(F.col(line_col))
     keep = [c for c in lines.columns if c != line_col]
     if parser == "regex":
-        fields = [extract_json_string(clean, k).alias(n) for k, n in zip(POSTING_JSON_KEYS, RAW_TEXT_COLUMNS)]
-        return lines.select(*fields, *keep)
+        found = json_string_fields(lines, clean, dict(zip(POSTING_JSON_KEYS, RAW_TEXT_COLUMNS)))
+        return found.select(*RAW_TEXT_COLUMNS, *keep)
     if parser == "json":
         schema = T.StructType([T.StructField(k, T.StringType(), True) for k in POSTING_JSON_KEYS])
         parsed = F.from_json(clean, schema, {"mode": "PERMISSIVE"})
