@@ -47,6 +47,7 @@ class Page:
         opened: Counter[str] = Counter()
         pending: list[str] = []
         at, end, last_close = 0, len(source), source.rfind(">")
+        unclosed: set[str] = set()  # skipped tags without an end further on
 
         def flush() -> None:
             raw = entities.unescape("".join(pending))
@@ -96,12 +97,14 @@ class Page:
                         del stack[place]
             elif tag in SKIPPED:
                 self.nodes[stack[-1][1]].controls += tag == "textarea"
-                if not match[0].endswith("/>"):
+                if not match[0].endswith("/>") and tag not in unclosed:
                     done = re.compile(rf"</{re.escape(tag)}[\s/>]", re.I).search(source, at)
                     if done is not None:
                         at = source.find(">", done.start()) + 1 or end
                     elif tag in ("script", "style"):
                         at = end
+                    else:
+                        unclosed.add(tag)
             elif tag in INLINE:
                 if tag == "br":
                     pending.append(" ")

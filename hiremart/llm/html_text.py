@@ -38,11 +38,12 @@ from hiremart.llm.common import record_batch
 from hiremart.llm.dom import Page
 
 BINS = 1 << 12
-MAX_PAGES = 300
-LAYOUTS = 500
+MAX_PAGES = 200
+LAYOUTS = 1200
 SEED = 20
 
 HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6"))
+PROSE = frozenset(("p", "blockquote", "pre", "dd", "figcaption"))
 
 
 def _level(n: int) -> int:
@@ -50,25 +51,39 @@ def _level(n: int) -> int:
 
 
 def features(page: Page) -> list[list[int]]:
-    """Feature numbers of every node."""
+    """Feature numbers of every node: the element, its names, its text and links, and where it stands in the page."""
     nodes = page.nodes
     text, link, parts = [n.text for n in nodes], [n.link for n in nodes], [int(n.tag == "p") for n in nodes]
     controls = [n.controls for n in nodes]
+    prose = [n.text - n.link if n.tag in PROSE else 0 for n in nodes]  # text of paragraphs and the like, links aside
     for n in reversed(nodes[1:]):
         text[n.parent] += text[n.number]
         link[n.parent] += link[n.number]
         parts[n.parent] += parts[n.number]
         controls[n.parent] += controls[n.number]
+        prose[n.parent] += prose[n.number]
     out = []
     depth = [0] * len(nodes)
+    part = [False] * len(nodes)  # in an element whose tag or names say that it stands beside the text
+    titled = [False] * len(nodes)  # in one that says it is the text
+    share = [0] * len(nodes)  # of the page's prose, in the nearest container
     for n in nodes:
         k = n.number
         parent = nodes[n.parent] if n.parent >= 0 else None
+        own = names_a_part(n.names)
+        part[k] = n.tag in PAGE_PARTS or own
+        titled[k] = n.tag in ("article", "main") or not TITLE_WORDS.isdisjoint(n.names)
+        share[k] = int(4 * prose[k] / prose[0]) if prose[0] else 0
         if parent is not None:
             depth[k] = depth[n.parent] + 1
-        share = link[k] / text[k] if text[k] else 0
-        found = [f"t={n.tag}", f"l={_level(text[k])}", f"a={int(share * 5)}", f"p={min(4, parts[k])}", f"c={min(2, controls[k])}",
-                 f"t,a={n.tag},{int(share * 5)}", f"d={min(6, depth[k])}", "bias"]
+            part[k] = part[k] or part[n.parent]
+            titled[k] = titled[k] or titled[n.parent]
+            if n.tag in PROSE or n.tag in HEADINGS or n.tag in ("li", "ul", "ol", "tr", "td", "th"):
+                share[k] = share[n.parent]
+        links = link[k] / text[k] if text[k] else 0
+        place = f"{int(part[k])}{int(titled[k])}"
+        found = [f"t={n.tag}", f"l={_level(text[k])}", f"a={int(links * 5)}", f"p={min(4, parts[k])}", f"c={min(2, controls[k])}", f"d={min(6, depth[k])}", "bias",
+                 f"in={place}", f"t,in={n.tag},{place}", f"share={share[k]}", f"in,share={place},{share[k]}", f"in,a={place},{int(links * 5)}", f"t,a,in={n.tag},{int(links * 5)},{place}", f"own={int(own)}"]
         found += [f"n={x}" for x in n.names]
         if parent is not None:
             found += [f"u={parent.tag}", *(f"m={x}" for x in parent.names)]
@@ -132,11 +147,11 @@ SIDE_PARTS = {
     "menu": ["nav", "div.menu", "div.navigation", "ul.menu", "div#nav", "div.navbar", "nav.breadcrumb", "div.breadcrumbs", "nav.pagination", "div.pager"],
     "header": ["header", "div.header", "div#header", "div.masthead", "div.banner", "header.site-header", "div.topbar"],
     "footer": ["footer", "div.footer", "div#footer", "div.copyright", "footer.site-footer", "div.legal"],
-    "side": ["aside", "div.sidebar", "div#sidebar", "aside.related", "div.widget", "div.related", "section.recommended", "div.trending"],
-    "notice": ["div.notice", "div.cookie-banner", "div.cookies", "div.consent", "div.gdpr", "div.alert", "section.notice", "div.popup", "div.modal", "div.newsletter", "div.subscribe", "p.notice", "div.disclaimer", "div.paywall"],
-    "advert": ["div.ad", "div.ads", "div.advert", "div.advertisement", "div.sponsored", "aside.promo", "div.promo", "section.ad", "div#ad-top", "p.ad", "div.ad-slot"],
+    "side": ["aside", "div.sidebar", "div#sidebar", "aside.related", "div.widget", "div.related", "section.recommended", "div.trending", "div.side", "aside", "aside.more", "div.popular", "section.teaser"],
+    "notice": ["div.notice", "div.cookie-banner", "div.cookies", "div.consent", "div.gdpr", "div.alert", "section.notice", "div.popup", "div.modal", "div.newsletter", "div.subscribe", "p.notice", "div.disclaimer", "div.paywall", "div.message", "div.announcement", "div.privacy", "div.signup", "aside.notification"],
+    "advert": ["div.ad", "div.ads", "div.advert", "div.advertisement", "div.sponsored", "aside.promo", "div.promo", "section.ad", "div#ad-top", "p.ad", "div.ad-slot", "div.commercial", "div.partner", "div.adsense", "div.banner-ad", "aside.ad"],
     "form": ["form", "form.search", "div.search", "form.login", "form.newsletter", "div.form"],
-    "comments": ["section.comments", "div.comments", "div#comments", "ol.comment-list", "section.responses", "div.discussion", "div.reader-comments", "div.replies"],
+    "comments": ["section.comments", "div.comments", "div#comments", "ol.comment-list", "section.responses", "div.discussion", "div.reader-comments", "div.replies", "div.feedback", "section.responses", "div.thread", "div.reactions", "ul.opinions", "div.user-reviews", "div#respond"],
     "share": ["div.share", "ul.social", "div.tags", "div.author-bio", "div.byline-links"],
 }
 SYLLABLES = "an er the st on re ti in or le ka mo ra li ne so da vi pa lu".split()
@@ -162,9 +177,20 @@ class _Layouts:
         for _ in range(r.randint(low, high)):
             size = r.choice([(1, 4), (5, 30), (20, 120)])
             body = self.words(*size)
-            if r.random() < 0.15:
+            linked = r.random()
+            if linked < 0.15:
                 body += f' <a href="/x">{self.words(1, 3)}</a> {self.words(3, 9)}'
+            elif linked < 0.25:  # prose that is mostly a link
+                body = r.choice([f'{self.words(1, 2)[:-1]} <a href="/x">{self.words(3, 9)[:-1]}</a>.', f'<a href="/x">{self.words(3, 12)}</a>', f'{self.words(2, 5)} <a href="/y">{self.words(4, 9)}</a>'])
             kind = r.random()
+            if 0.12 <= kind < 0.17:  # a list of links, or a table, that belongs to the text
+                out.append(r.choice([
+                    f"<ul>{self.links(r.randint(2, 6))}</ul>", "<ol>" + "".join(f'<li><a href="/{k}">{self.words(2, 6)}</a> {self.words(2, 9)}</li>' for k in range(3)) + "</ol>",
+                    f"<table><tr><th>{self.words(1, 2)}</th><th>{self.words(1, 2)}</th></tr><tr><td>{self.words(1, 4)}</td><td>{self.words(1, 4)}</td></tr></table>",
+                    f"<pre>{self.words(4, 20)}</pre>", f"<figure><img src=x><figcaption>{self.words(2, 9)}</figcaption></figure>", f"<dl><dt>{self.words(1, 2)}</dt><dd>{self.words(3, 12)}</dd></dl>",
+                ]))
+                continue
+            kind = kind if kind < 0.12 else kind - 0.05
             out.append(
                 f"<h2>{self.words(2, 6)}</h2>" if kind < 0.08 else f"<ul><li>{self.words(3, 9)}</li><li>{self.words(3, 9)}</li></ul>" if kind < 0.12
                 else f"<blockquote><p>{body}</p></blockquote>" if kind < 0.15 else f"<p><b>{body}<br>" if kind < 0.25 else f"<p>{body}</p>"
@@ -204,16 +230,16 @@ class _Layouts:
             whole = "".join([*(self.part(k) for k in kinds[:1]), f"<h1>{self.words(2, 9)}</h1>" if r.random() < 0.5 else "",
                              self.words(3, 30) if r.random() < 0.3 else "", self.paragraphs(0 if not kinds else 2, 12), *(self.part(k) for k in kinds[1:])])
             return (whole, True) if r.random() < 0.5 else (f'<html><body itemprop="contentmark">{whole}</body></html>', False)
-        tag = r.choice(["article", "article", "article", "main", "div", "section"])
-        name = r.choice(ARTICLE_NAMES)
+        tag = r.choice(["article", "article", "article", "main", "div", "div", "section"])
+        name = r.choice(ARTICLE_NAMES) if r.random() < 0.6 else r.choice(["wrap", "col", "inner", "box", "left", "center", "".join(r.choices(SYLLABLES, k=3))])
         attribute = f' {r.choice(["class", "id"])}="{name}"' if tag in ("div", "section") or r.random() < 0.3 else ""
         inner = f"<h1>{self.words(2, 9)}</h1>" + self.paragraphs(1, 12)
         for kind in ("advert", "side", "share", "notice", "form", "comments", "footer", "header"):
-            if r.random() < 0.08:
+            if r.random() < 0.15:
                 inner += self.part(kind) + self.paragraphs(0, 3)
         body = f'<{tag}{attribute} itemprop="contentmark">{inner}</{tag}>'
-        if tag == "article" and r.random() < 0.25:
-            body = f"<main>{body}</main>"
+        if r.random() < 0.25:
+            body = f"<main>{body}</main>" if tag == "article" else f"<div>{body}</div>"
         kinds = list(SIDE_PARTS)
         before = [self.part(k) for k in r.sample(kinds, r.randint(0, 4))]
         after = [self.part(k) for k in r.sample(kinds, r.randint(0, 4))]
@@ -248,13 +274,19 @@ PART_WORDS["comments"].add(("comment",))
 TITLE_WORDS = frozenset(w for x in ARTICLE_NAMES for w in x.split("-"))
 
 
+#: First word of a part's name -> (kind, all its words).
+PART_NAMES: dict[str, list[tuple[str, tuple[str, ...]]]] = {}
+for _kind, _listed in PART_WORDS.items():
+    for _words in _listed:
+        PART_NAMES.setdefault(_words[0], []).append((_kind, _words))
+
+
 def names_a_part(names: tuple[str, ...]) -> bool:
     """Whether class, id or role name a part around the text; a header that is named for the article holds its title."""
-    for kind, listed in PART_WORDS.items():
-        if kind == "header" and not TITLE_WORDS.isdisjoint(names):
-            continue
-        if any(names[k : k + len(words)] == words for words in listed for k in range(len(names) - len(words) + 1)):
-            return True
+    for k, first in enumerate(names):
+        for kind, words in PART_NAMES.get(first, ()):
+            if names[k : k + len(words)] == words and (kind != "header" or TITLE_WORDS.isdisjoint(names)):
+                return True
     return False
 
 
