@@ -4,6 +4,7 @@
   in ``spark.checkpoint.dir``; only when that is unset (tests) a local one.
 * ``written``: write a frame there and read it back, which cuts lineage in a
   way that survives lost executors.
+* ``discard``: delete such copies once nothing reads them any more.
 * ``record_batch``: one Arrow batch from Python columns.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+import weakref
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -26,11 +28,26 @@ def work_dir(spark: SparkSession, name: str) -> str:
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+#: Folder of each copy that ``written`` made.
+_copies: weakref.WeakKeyDictionary[DataFrame, str] = weakref.WeakKeyDictionary()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """``df`` computed once into the shared folder, read back with its schema."""
     path = work_dir(df.sparkSession, name)
     df.write.option("compression", "zstd").parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    copy = df.sparkSession.read.schema(df.schema).parquet(path)
+    _copies[copy] = path
+    return copy
+
+
+def discard(*copies: DataFrame) -> None:
+    """Delete copies that ``written`` made; call it when what was derived from them is itself written."""
+    for copy in copies:
+        path, jvm = _copies.pop(copy, None), copy.sparkSession._jvm
+        if path is not None:
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(copy.sparkSession._jsc.hadoopConfiguration()).delete(where, True)
 
 
 def shuffle_partitions(spark: SparkSession) -> int:

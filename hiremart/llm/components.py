@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import salted_left_join, written
+from hiremart.llm.common import discard, salted_left_join, written
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -33,7 +33,8 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     now = written(_small_star(edges.select(F.col(a).alias("u"), F.col(b).alias("v"))), "components")
     state = None
     while True:
-        now = written(_small_star(_large_star(now)), "components")
+        before, now = now, written(_small_star(_large_star(now)), "components")
+        discard(before)
         sums = now.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if sums == state:
             break

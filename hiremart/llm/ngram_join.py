@@ -10,7 +10,9 @@ reaches ``share`` (75 %).  The join is exact on 64-bit shingle fingerprints:
 3. Grouping: nodes that share a min-hash meet in blocks of bounded size (a hot
    min-hash is dealt over many blocks), and the components of their exact links are
    the groups of similar documents.  Blocks of ``ROUNDS`` min-hashes are joined.
-4. Token-group matrix: the sets that are left, those of one min-hash together, make
+4. Token-group matrix: first the bound of 2 again, between groups: the union of a group's
+   tokens is exchanged as packed arrays, and sets of which less than 75 % lies in other groups
+   are done.  The sets that are left, those of one min-hash together, make
    groups of bounded size; a column holds a group's token union.  Of two linked sets the smaller has 6/7 of its shingles in the larger
    one (7 * common >= 3 * (a + b) >= 6 * a), so a set with so many of its shingles in
    other components is a query.  A third of its shingles, the rarest in the matrix, are
@@ -42,7 +44,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch, salted_left_join, shuffle_partitions, utf8, written
+from hiremart.llm.common import discard, record_batch, salted_left_join, shuffle_partitions, utf8, written
 from hiremart.llm.components import components
 from hiremart.llm.shingles import min_hashes, shingle_sets
 from hiremart.operators.materialize import broadcast_if_small
@@ -53,7 +55,6 @@ CHUNK_ROWS = 60_000
 BLOCK_TOKENS = 200_000
 QUERIES_PER_BLOCK = 5_000
 NOBODY = 0xFFFF
-MAX_BROADCAST_TOKENS = 1_000_000
 MAX_BROADCAST_NODES = 300_000
 ROWS_AT_ONCE = 256
 
@@ -108,53 +109,79 @@ def _from_planes(data: bytes) -> np.ndarray:
     return np.cumsum(steps, dtype=np.uint32)
 
 
-EXCHANGE = "bucket int, chunk long, hashes binary, owners binary, nodes binary, sizes binary"
+EXCHANGE = "bucket int, chunk long, hashes binary, owners binary, split binary, names binary, sizes binary"
 
 
-def _exchange(sets: list[np.ndarray], nodes: list[int], chunk: int, buckets: int) -> Iterator[pa.RecordBatch]:
-    """Rows of one chunk of distinct nodes: shingles by bucket (a power of two of them), then the chunk's own counts."""
+def _exchange(sets: list[np.ndarray], owner: np.ndarray, names: np.ndarray, least: np.ndarray, split: np.ndarray, chunk: int, buckets: int) -> Iterator[pa.RecordBatch]:
+    """Rows of one chunk of sets, each with the number of its owner (a node, or a part of a group).
+
+    ``names`` has two numbers for each owner, ``least`` the size of its smallest set, ``split`` marks owners
+    of whose group other parts lie elsewhere.  Shingles go by bucket (a power of two of them); then come the chunk's own counts."""
     sizes = np.array([len(s) for s in sets], np.int64)
-    tokens, owner = np.concatenate(sets), np.repeat(np.arange(len(sets)), sizes)
-    order = np.argsort(tokens)
-    tokens, owner = tokens[order], owner[order]
+    tokens, mine = np.concatenate(sets), np.repeat(owner, sizes)
+    order = np.argsort(tokens) if len(sets) == len(names) else np.lexsort((mine, tokens))
+    tokens, mine = tokens[order], mine[order]
+    if len(sets) > len(names):  # a shingle counts once for each owner
+        once = np.concatenate(([True], (tokens[1:] != tokens[:-1]) | (mine[1:] != mine[:-1])))
+        tokens, mine = tokens[once], mine[once]
     fresh = np.concatenate(([True], tokens[1:] != tokens[:-1]))
     first = np.flatnonzero(fresh)
     many = np.diff(np.concatenate((first, [len(tokens)]))) > 1  # shared within the chunk: counted here
-    count = np.bincount(owner[many[np.cumsum(fresh) - 1]], minlength=len(sets))
-    owners = np.where(many, NOBODY, owner[first]).astype("<u2")
+    count = np.bincount(mine[many[np.cumsum(fresh) - 1]], minlength=len(names))
+    owners = np.where(many, NOBODY, mine[first]).astype("<u2")
     tokens = tokens[first]
     bits = buckets.bit_length() - 1  # the first bits are the bucket, the next 32 are sent
     bounds = np.searchsorted(tokens >> np.uint64(64 - bits), np.arange(buckets + 1, dtype=np.uint64))
     rest = (tokens >> np.uint64(32 - bits)).astype(np.uint32)
-    rows: dict[str, list] = {k: [] for k in ("bucket", "chunk", "hashes", "owners", "nodes", "sizes")}
+    rows: dict[str, list] = {k: [] for k in ("bucket", "chunk", "hashes", "owners", "split", "names", "sizes")}
 
     def add(**row) -> None:
         for k in rows:
             rows[k].append(row.get(k))
 
+    parted = np.stack((np.flatnonzero(split), names[split, 0])).astype("<i8").tobytes() if split.any() else None
     for b in range(buckets):
         low, high = bounds[b], bounds[b + 1]
         if high > low:
-            add(bucket=b, chunk=chunk, hashes=_planes(rest[low:high]), owners=owners[low:high].tobytes())
-    add(bucket=chunk % buckets, chunk=chunk, nodes=np.array(nodes, "<i8").tobytes(), sizes=np.stack((sizes, count)).astype("<i8").tobytes())
-    types = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.binary()]
+            add(bucket=b, chunk=chunk, hashes=_planes(rest[low:high]), owners=owners[low:high].tobytes(), split=parted)
+    add(bucket=chunk % buckets, chunk=chunk, names=names.astype("<i8").tobytes(), sizes=np.stack((least, count)).astype("<i8").tobytes())
+    types = [pa.int32(), pa.int64()] + [pa.binary()] * 5
     yield record_batch({k: (v, t) for (k, v), t in zip(rows.items(), types)})
 
 
+def _elsewhere(whole: np.ndarray, plain: pd.DataFrame, owners: list[np.ndarray]) -> np.ndarray:
+    """Which shingles of a bucket another owner has too; parts of one group are one owner."""
+    order = np.argsort(whole, kind="stable")
+    ranked = whole[order]
+    shared = np.zeros(len(whole), bool)
+    if plain["split"].isna().all():  # a chunk has a shingle once
+        same = ranked[1:] == ranked[:-1]
+        shared[order[1:][same]] = True
+        shared[order[:-1][same]] = True
+        return shared
+    pairs = [None if x is None else np.frombuffer(x, "<i8").reshape(2, -1) for x in plain["split"]]
+    groups = np.unique(np.concatenate([p[1] for p in pairs if p is not None]))
+    who = []
+    for k, (own, pair) in enumerate(zip(owners, pairs)):
+        mine = len(groups) + (k << 16) + np.arange(NOBODY + 1)
+        if pair is not None:
+            mine[pair[0]] = np.searchsorted(groups, pair[1])
+        who.append(mine[own])
+    who = np.concatenate(who)[order]
+    first = np.flatnonzero(np.concatenate(([True], ranked[1:] != ranked[:-1])))
+    mixed = np.minimum.reduceat(who, first) != np.maximum.reduceat(who, first)
+    shared[order] = np.repeat(mixed, np.diff(np.concatenate((first, [len(whole)]))))
+    return shared
+
+
 def _answer(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of one bucket: for every chunk, how many of each owner's shingles other chunks have too."""
+    """Of one bucket: for every chunk, how many of each owner's shingles owners of other chunks have too."""
     plain = frame[frame["hashes"].notna()]
-    out = {"chunk": [], "owners": [], "counts": [], "nodes": [], "sizes": []}
+    out = {"chunk": [], "owners": [], "counts": [], "names": [], "sizes": []}
     if len(plain):
         hashes = [_from_planes(x) for x in plain["hashes"]]
         owners = [np.frombuffer(x, "<u2") for x in plain["owners"]]
-        whole = np.concatenate(hashes)
-        order = np.argsort(whole, kind="stable")
-        ranked = whole[order]
-        same = ranked[1:] == ranked[:-1]
-        shared = np.zeros(len(whole), bool)
-        shared[order[1:][same]] = True
-        shared[order[:-1][same]] = True
+        shared = _elsewhere(np.concatenate(hashes), plain, owners)
         at = 0
         for chunk, own in zip(plain["chunk"], owners):
             hit = own[shared[at : at + len(own)] & (own != NOBODY)]
@@ -163,27 +190,43 @@ def _answer(frame: pd.DataFrame) -> pd.DataFrame:
                 who, n = np.unique(hit, return_counts=True)
                 for k, v in zip(out, (chunk, who.astype("<u2").tobytes(), n.astype("<u4").tobytes(), None, None)):
                     out[k].append(v)
-    for row in frame[frame["nodes"].notna()].itertuples():
-        for k, v in zip(out, (row.chunk, None, None, row.nodes, row.sizes)):
+    for row in frame[frame["names"].notna()].itertuples():
+        for k, v in zip(out, (row.chunk, None, None, row.names, row.sizes)):
             out[k].append(v)
     return pd.DataFrame(out)
 
 
 def _passing(frame: pd.DataFrame) -> pd.DataFrame:
-    """Of one chunk: the nodes with 75 % of their shingles in other nodes."""
-    own = frame[frame["nodes"].notna()].iloc[0]
-    nodes = np.frombuffer(own["nodes"], "<i8")
+    """Of one chunk: the owners with 75 % of their least set's shingles in others, and how many they have there."""
+    own = frame[frame["names"].notna()].iloc[0]
+    names = np.frombuffer(own["names"], "<i8").reshape(-1, 2)
     sizes, count = np.frombuffer(own["sizes"], "<i8").reshape(2, -1)
     count = count.copy()
     for who, n in zip(frame["owners"], frame["counts"]):
         if who is not None:
             count[np.frombuffer(who, "<u2")] += np.frombuffer(n, "<u4")
-    return pd.DataFrame({"node": nodes[count * 4 >= sizes * 3]})
+    good = count * 4 >= sizes * 3
+    return pd.DataFrame({"name": names[good, 0], "part": names[good, 1], "seen": count[good]})
+
+
+def _bounded(sent: DataFrame) -> DataFrame:
+    """name, part and seen of the owners that may link."""
+    answers = sent.groupBy("bucket").applyInPandas(_answer, "chunk long, owners binary, counts binary, names binary, sizes binary")
+    return answers.groupBy("chunk").applyInPandas(_passing, "name long, part long, seen long")
+
+
+def _buckets(spark) -> int:
+    return 1 << min(24, (4 * shuffle_partitions(spark)).bit_length())
 
 
 def bounded_nodes(docs: DataFrame, text: str) -> DataFrame:
     """Nodes that may link (a node of several chunks may come more than once)."""
-    buckets = 1 << min(24, (4 * shuffle_partitions(docs.sparkSession)).bit_length())
+    buckets = _buckets(docs.sparkSession)
+
+    def flush(held: dict[int, np.ndarray], chunk: int):
+        sets = list(held.values())
+        names = np.array([list(held), [0] * len(held)], np.int64).T
+        return _exchange(sets, np.arange(len(sets)), names, np.array([len(s) for s in sets]), np.zeros(len(sets), bool), chunk, buckets)
 
     def run(batches):
         part, number = TaskContext.get().partitionId(), 0
@@ -199,14 +242,58 @@ def bounded_nodes(docs: DataFrame, text: str) -> DataFrame:
                 held[node] = tokens
                 size += tokens.nbytes
                 if size >= CHUNK_BYTES or len(held) >= CHUNK_ROWS:
-                    yield from _exchange(list(held.values()), list(held), part << 24 | number, buckets)
+                    yield from flush(held, part << 24 | number)
                     held, size, number = {}, 0, number + 1
         if held:
-            yield from _exchange(list(held.values()), list(held), part << 24 | number, buckets)
+            yield from flush(held, part << 24 | number)
 
     sent = docs.select(F.col(text).cast("string").alias("t")).mapInArrow(run, EXCHANGE)
-    answers = sent.groupBy("bucket").applyInPandas(_answer, "chunk long, owners binary, counts binary, nodes binary, sizes binary")
-    return answers.groupBy("chunk").applyInPandas(_passing, "node long")
+    return _bounded(sent).select(F.col("name").alias("node"))
+
+
+def bounded_members(sets: DataFrame, groups: DataFrame) -> DataFrame:
+    """node, g, m0, n and tokens of the sets whose group shares so much with others that they may link there.
+
+    Groups are exchanged as nodes were: the union of a group's tokens in a chunk, or of one of the
+    parts that a large group is dealt over.  A set that shares 75 % of its tokens with
+    other groups is in a part whose union does, so no set that could link is lost."""
+    buckets = _buckets(sets.sparkSession)
+    slim = sets.select("node", "n").join(groups.withColumnRenamed("comp", "g"), "node", "left").withColumn("g", F.coalesce("g", "node"))
+    slim = written(slim, "ngram-grouped")
+    sums = slim.groupBy("g").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts")).where("parts > 1")
+    placed = salted_left_join(slim, sums, ["g"], F.col("node"))
+    split = F.coalesce(F.col("parts"), F.lit(1)) > 1
+    part = F.when(split, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(F.lit(0)).cast("long")
+    placed = written(placed.select("node", "n", "g", part.alias("part"), split.alias("split")), "ngram-placed")
+    dealt = sets.select("node", "tokens").join(placed.select("node", "g", "part", "split"), "node")
+    dealt = dealt.select("g", "part", "split", "tokens").repartition("g", "part").sortWithinPartitions("g", "part")
+
+    def run(batches):
+        task, number = TaskContext.get().partitionId(), 0
+        held: list[np.ndarray] = []
+        owner, names, least, parted = [], [], [], []
+        size = 0
+        for batch in batches:
+            for g, part, split, tokens in zip(*(c.to_pylist() for c in batch.columns)):
+                if not names or names[-1] != (g, part):
+                    if size >= CHUNK_BYTES or len(names) >= CHUNK_ROWS:  # never within a part
+                        yield from _exchange(held, np.array(owner), np.array(names, np.int64), np.array(least), np.array(parted), task << 24 | number, buckets)
+                        held, owner, names, least, parted, size, number = [], [], [], [], [], 0, number + 1
+                    names.append((g, part))
+                    least.append(len(tokens) // 8)
+                    parted.append(split)
+                held.append(np.frombuffer(tokens, "<u8"))
+                owner.append(len(names) - 1)
+                least[-1] = min(least[-1], len(tokens) // 8)
+                size += len(tokens)
+        if held:
+            yield from _exchange(held, np.array(owner), np.array(names, np.int64), np.array(least), np.array(parted), task << 24 | number, buckets)
+
+    passing = _bounded(dealt.mapInArrow(run, EXCHANGE)).withColumnRenamed("name", "g")
+    chosen = placed.join(passing, ["g", "part"]).where("seen * 4 >= n * 3").select("node", "g")
+    found = written(sets.select("node", "n", "m0", "tokens").join(chosen, "node").select("node", "g", "n", "m0", "tokens"), "ngram-bounded")
+    discard(slim, placed)
+    return found
 
 
 # ---------------------------------------------------------------------------
@@ -279,9 +366,8 @@ def _round_links(sets: DataFrame, k: int) -> DataFrame:
 
 def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     """Links between different groups: every one that there is."""
-    owned = sets.join(groups.withColumnRenamed("comp", "g"), "node", "left").withColumn("g", F.coalesce("g", "node"))
-    owned = owned.select("node", "g", "n", "tokens").repartitionByRange(shuffle_partitions(sets.sparkSession), "g", "node")
-    owned = written(owned, "ngram-owned")  # a group's members lie together, so their unions are taken in the tasks
+    bounded = bounded_members(sets, groups)
+    owned = bounded.select("node", "g", "n", "tokens")
 
     def unions(batches):
         for batch in batches:
@@ -309,13 +395,12 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
 
     union = owned.select("g", "tokens").mapInArrow(unions, "t long, low long, high long")
     wide = union.groupBy("t").agg(F.min("low").alias("low"), F.max("high").alias("high")).where("low < high").select("t")
-    wide = broadcast_if_small(written(wide, "ngram-wide"), max_rows=MAX_BROADCAST_TOKENS)
     cells = owned.mapInArrow(exploded, "node long, g long, n long, t long")
     elsewhere = cells.join(wide, "t", "left_semi")
     # 75 % for a set to be linked at all, 6/7 for the smaller one of two
     seen = elsewhere.groupBy("node", "n").agg(F.count(F.lit(1)).alias("seen")).where("seen * 4 >= n * 3").select("node", "seen")
     shared = written(elsewhere.join(seen, "node"), "ngram-shared")
-    members = owned.join(seen, "node", "left_semi").join(sets.select("node", "m0"), "node")
+    members = bounded.join(seen, "node", "left_semi")
     blocks = max(1, -(-int(members.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS))
     # sets of one min-hash lie together; those of a hot one are dealt over several groups
     sums = members.groupBy("m0").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts"))
@@ -336,7 +421,10 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     shares = max(1, -(-most // QUERIES_PER_BLOCK))
     asked = opened.join(owned.select("node", "g", "tokens"), "node").withColumn("share", F.pmod(F.xxhash64("node"), F.lit(shares)).cast("int"))
     held = members.withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    return asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(_open, "a long, b long")
+    links = asked.groupBy("block", "share").cogroup(held.groupBy("block", "share")).applyInPandas(_open, "a long, b long")
+    links = written(links, "ngram-matrix-links")
+    discard(bounded, shared, members, matrix, opened)
+    return links
 
 
 def _open(asked: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
@@ -372,8 +460,8 @@ def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     )
     wanted = first.join(passing, "node").select(F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "node", *[f"m{k}" for k in range(ROUNDS)])
     source = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("kh"), F.col(text).cast("string").alias("t"))
-    wanted = broadcast_if_small(written(wanted, "ngram-wanted"), max_rows=MAX_BROADCAST_NODES)
-    texts = source.join(wanted, F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("kh") == F.col("h")))
+    wanted = written(wanted, "ngram-wanted")
+    texts = source.join(broadcast_if_small(wanted, max_rows=MAX_BROADCAST_NODES), F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("kh") == F.col("h")))
 
     def tokens(batches):
         for batch in batches:
@@ -392,8 +480,10 @@ def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
         links = more if links is None else links.unionByName(more)
     links = written(links, "ngram-links")
     groups = components(links, "a", "b")
-    links = written(links.unionByName(_matrix_links(sets, groups)), "ngram-links")
-    return found, first, components(links, "a", "b")
+    more = _matrix_links(sets, groups)
+    whole = components(links.unionByName(more), "a", "b")
+    discard(wanted, sets, links, more)
+    return found, first, whole
 
 
 def jaccard_components(docs: DataFrame, **names) -> DataFrame:
