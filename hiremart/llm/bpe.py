@@ -9,10 +9,14 @@ can create a pair of lower or equal rank, only the leftmost place of each
 piece is merged at a time, so every piece sees its merges exactly in the order
 that a piece-by-piece encoder uses.
 
-Scale: documents are only mapped.  A task keeps the ids of pieces it has met,
-up to ``KEPT_PIECES``, and replays merges for the new pieces of about
-``BLOCK_BYTES`` of text at a time, so memory is bounded whatever the
-partition holds; a very long text is cut into blocks of pieces too.
+A piece longer than ``LONG_PIECE`` is replayed alone, with its places in one heap by rank and
+position, so that a long run without a break costs n log n too.
+
+Scale: documents are only mapped.  Texts are cut into words at single blanks and line ends, which no piece
+of the pattern reaches across (``WORD_PATTERNS``; other patterns and white space give pieces at once).  A worker
+numbers the words it meets and keeps their ids in one packed array; beyond ``KEPT_WORDS`` it drops those not
+met for longest.  Merges are replayed for the new words of up to ``BLOCK_BYTES`` of text at a time, so memory is
+bounded whatever the partition holds; a very long text is cut into blocks of pieces too.
 
 Defined results: null and empty texts give no ids; the ids of a text depend on
 that text alone, so repeated rows, ties and the way rows are dealt out do not
@@ -24,6 +28,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import heapq
+import re
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -34,8 +39,15 @@ from pyspark.sql import functions as F
 
 from hiremart.llm.common import record_batch
 
-BLOCK_BYTES = 4 << 20
-KEPT_PIECES = 250_000
+BLOCK_BYTES = 16 << 20
+KEPT_WORDS = 600_000
+LONG_PIECE = 1024
+DECODED_AT_ONCE = 1 << 20
+
+#: Fixed value: the pattern of byte-level tokenizers whose pieces begin with a blank or hold none.
+WORD_PATTERNS = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+",)
+#: White space and controls other than blank and line end, and the mark that cuts words.
+OTHER_SPACE = re.compile(r"[^\S \n]|[\x01\x1c-\x1f\u200b\u180e\ufeff]")
 
 
 def load_ranks(path: str) -> dict[bytes, int]:
@@ -51,7 +63,9 @@ class MergeReplay:
         self.ranks = ranks
         self.pattern = regex.compile(pattern)
         self.token = {rank: token for token, rank in ranks.items()}
-        self.known: dict[str, tuple[int, ...]] = {}
+        self.tokens = np.array([*map(self.token.get, range(max(self.token) + 1)), None], object)[:-1]
+        self.by_word = pattern in WORD_PATTERNS
+        self.words = Words()
         self.byte = np.array([ranks[bytes([b])] for b in range(256)], np.int64)
         # every way to make a token of two others: left and right rank, packed, and the rank made
         pairs = sorted(
@@ -72,7 +86,7 @@ class MergeReplay:
 
     def replay(self, pieces: list[bytes]) -> list[tuple[int, ...]]:
         """Ids of each piece; all merges of the block in rank order."""
-        out: list[tuple[int, ...]] = [(self.ranks[p],) if p in self.ranks else () for p in pieces]
+        out: list[tuple[int, ...]] = [(self.ranks[p],) if p in self.ranks else self.replay_long(p) if len(p) > LONG_PIECE else () for p in pieces]
         open_ = [k for k, ids in enumerate(out) if not ids and pieces[k]]
         if not open_:
             return out
@@ -133,11 +147,48 @@ class MergeReplay:
             start = end
         return out
 
+    def replay_long(self, piece: bytes) -> tuple[int, ...]:
+        """Ids of one long piece: its places wait in a heap by rank, then position."""
+        symbol = self.byte[np.frombuffer(piece, np.uint8)]
+        made = self._ranks(symbol[:-1], symbol[1:])
+        n, shift = len(symbol), len(piece).bit_length()
+        heap = ((made << shift) | np.arange(n - 1))[made >= 0].tolist()
+        heapq.heapify(heap)
+        symbol, due = symbol.tolist(), [*made.tolist(), -1]  # due: rank that a place and its right neighbour make
+        before, after = list(range(-1, n - 1)), [*range(1, n), -1]
+        mask, find, token = (1 << shift) - 1, self.ranks.get, self.token
+        while heap:
+            entry = heapq.heappop(heap)
+            rank, at = entry >> shift, entry & mask
+            if due[at] != rank:  # a neighbour is gone
+                continue
+            right = after[at]
+            follow = after[right]
+            symbol[at], after[at], due[right] = rank, follow, -1
+            if follow >= 0:
+                before[follow] = at
+            for place, other in ((before[at], at), (at, follow)):
+                if place < 0:
+                    continue
+                due[place] = find(token[symbol[place]] + token[symbol[other]], -1) if other >= 0 else -1
+                if due[place] >= 0:
+                    heapq.heappush(heap, due[place] << shift | place)
+        ids, at = [], 0
+        while at >= 0:
+            ids.append(symbol[at])
+            at = after[at]
+        return tuple(ids)
+
+    def _cut(self, text: str) -> list[str]:
+        """Words of a text, each of whole pieces; the pieces themselves where it cannot be cut at blanks."""
+        if self.by_word and not OTHER_SPACE.search(text):
+            words = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
+            if " " not in words and "" not in words:  # else white space stands together, or at an end
+                return words
+        return self.pattern.findall(text)
+
     def _blocks(self, text: str) -> Iterator[list[str]]:
-        """Pieces of a text, cut so that a long text never becomes one list."""
-        if len(text) <= BLOCK_BYTES:
-            yield self.pattern.findall(text)
-            return
+        """Pieces of a long text, some at a time."""
         block: list[str] = []
         used = 0
         for match in self.pattern.finditer(text):
@@ -150,7 +201,7 @@ class MergeReplay:
 
     def encode_all(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Ids (unsigned 32-bit) of each text, in order."""
-        held: list[list[list[str]]] = []
+        held: list[np.ndarray] = []
         used = 0
         for text in texts:
             if text and len(text) > BLOCK_BYTES:
@@ -158,37 +209,98 @@ class MergeReplay:
                 held, used = [], 0
                 parts = []
                 for block in self._blocks(text):
-                    parts.extend(self._emit([[block]]))
+                    parts.extend(self._emit([self.words.numbers(block)]))
                 yield np.concatenate(parts)
                 continue
-            held.append(list(self._blocks(text)) if text else [])
+            held.append(self.words.numbers(self._cut(text) if text else []))
             used += len(text or "")
-            if used >= BLOCK_BYTES:
+            if used >= BLOCK_BYTES or len(self.words.fresh) >= KEPT_WORDS:
                 yield from self._emit(held)
                 held, used = [], 0
         yield from self._emit(held)
 
-    def _emit(self, held: list[list[list[str]]]) -> Iterator[np.ndarray]:
-        seen: set[str] = set()
-        for blocks in held:
-            for block in blocks:
-                seen.update(block)
-        missing = seen.difference(self.known)
-        if len(self.known) + len(missing) > KEPT_PIECES:
-            self.known.clear()
-            missing = seen
-        fresh = list(missing)
-        self.known.update(zip(fresh, self.replay([p.encode() for p in fresh])))
-        known = self.known
-        for blocks in held:
-            ids: list[int] = []
-            for block in blocks:
-                for piece in block:
-                    ids += known[piece]
-            yield np.array(ids, np.uint32)
+    def _emit(self, held: list[np.ndarray]) -> Iterator[np.ndarray]:
+        fresh = self.words.fresh
+        if fresh:
+            pieces = [self.pattern.findall(w) for w in fresh] if self.by_word else [[w] for w in fresh]
+            distinct = list(set().union(*pieces))
+            ids = dict(zip(distinct, (np.array(x, "<u4").tobytes() for x in self.replay([p.encode() for p in distinct]))))
+            self.words.learn([b"".join(map(ids.__getitem__, x)) for x in pieces])
+        for numbers in held:
+            yield self.words.ids(numbers)
+        self.words.forget(held, KEPT_WORDS)
 
     def decode(self, ids: np.ndarray) -> bytes:
-        return b"".join(map(self.token.__getitem__, ids.tolist()))
+        """Bytes of the ids, joined from the tokens."""
+        return b"".join([b"".join(self.tokens[ids[at : at + DECODED_AT_ONCE]].tolist()) for at in range(0, len(ids), DECODED_AT_ONCE)])
+
+
+class _Index(dict):
+    """Number of each word; new ones are listed in ``fresh``."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, word: str) -> int:
+        number = self[word] = len(self)
+        self.fresh.append(word)
+        return number
+
+
+class Words:
+    """Words met, by number, and their ids in one packed array."""
+
+    def __init__(self):
+        self.index = _Index()
+        self.flat = np.zeros(1 << 16, np.uint32)
+        self.bounds = np.zeros(1, np.int64)
+        self.met = np.zeros(0, np.int64)  # round in which a word was last met
+        self.round = 0
+
+    @property
+    def fresh(self) -> list[str]:
+        return self.index.fresh
+
+    def numbers(self, words: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.index.__getitem__, words), np.int32, len(words))
+
+    def learn(self, ids: list[bytes]) -> None:
+        """Ids of the fresh words, little-endian unsigned 32-bit."""
+        new = np.frombuffer(b"".join(ids), "<u4")
+        used = int(self.bounds[-1])
+        if used + len(new) > len(self.flat):
+            self.flat = np.concatenate((self.flat[:used], np.zeros(max(len(new), used) + len(new), np.uint32)))
+        self.flat[used : used + len(new)] = new
+        self.bounds = np.concatenate((self.bounds, used + np.cumsum([len(x) // 4 for x in ids])))
+        self.index.fresh = []
+
+    def ids(self, numbers: np.ndarray) -> np.ndarray:
+        start, size = self.bounds[numbers], self.bounds[numbers + 1] - self.bounds[numbers]
+        end = np.cumsum(size)
+        if not len(end):
+            return np.zeros(0, np.uint32)
+        return self.flat[np.repeat(start - (end - size), size) + np.arange(end[-1])]
+
+    def forget(self, held: list[np.ndarray], most: int) -> None:
+        """Beyond ``most`` words, keep half as many: those met last."""
+        self.round += 1
+        n = len(self.index)
+        self.met = np.concatenate((self.met, np.zeros(n - len(self.met), np.int64)))
+        for numbers in held:
+            self.met[numbers] = self.round
+        if n <= most:
+            return
+        keep = np.sort(np.argsort(-self.met, kind="stable")[: most // 2])
+        kept = np.zeros(n, bool)
+        kept[keep] = True
+        index = _Index()
+        for word, k in zip(self.index, kept.tolist()):
+            if k:
+                index[word] = len(index)
+        self.flat = np.append(self.ids(keep), np.zeros(1 << 16, np.uint32))
+        self.bounds = np.concatenate(([0], np.cumsum(self.bounds[keep + 1] - self.bounds[keep])))
+        self.met, self.index = self.met[keep], index
 
 
 _encoders: dict[tuple, MergeReplay] = {}
