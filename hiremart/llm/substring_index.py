@@ -1,6 +1,6 @@
 """Repeated fixed-length byte strings within a block, by a Burrows-Wheeler transform.
 
-``repeat_classes`` sorts the suffixes of a block by their first ``length`` bytes,
+``repeat_classes`` sorts the suffixes of a block, drops the ranks of the sorting,
 takes the transform, and finds where neighbouring suffixes share fewer than
 ``length`` bytes: starting from the empty string, every interval of suffixes with
 a common prefix is extended backward by each byte that precedes it.  The right
@@ -14,40 +14,49 @@ from __future__ import annotations
 import numpy as np
 
 
-def _ranked(major: np.ndarray, minor: np.ndarray) -> np.ndarray:
-    """Dense ranks of pairs of ranks (-1 or more, below the number of pairs)."""
-    pair = major * (len(major) + 1) + minor + 1
-    order = np.argsort(pair)
-    ranked = pair[order]
-    out = np.empty(len(order), np.int64)
-    out[order] = np.cumsum(np.concatenate(([False], ranked[1:] != ranked[:-1])))
-    return out
-
-
-def _shifted(rank: np.ndarray, by: int) -> np.ndarray:
-    return np.concatenate((rank[by:], np.full(min(by, len(rank)), -1, rank.dtype)))[: len(rank)]
-
-
 SEPARATOR = 1
 BYTE = 2  # a byte b is the symbol b + BYTE; 0 ends the block
 SYMBOL_BITS = 9
 PACKED = 7
 
 
-def bounded_suffix_order(text: np.ndarray, length: int) -> np.ndarray:
-    """Suffixes of ``text`` sorted by their first ``length`` symbols; its last symbol is the only 0."""
-    rank, have = text.astype(np.int64), 1
-    if length >= PACKED:
-        padded = np.concatenate((rank, np.zeros(PACKED, np.int64)))
-        rank = np.zeros(len(text), np.int64)
-        for k in range(PACKED):
-            rank = rank << SYMBOL_BITS | padded[k : k + len(text)]
-        rank, have = np.unique(rank, return_inverse=True)[1], PACKED
-    while have < length:
-        step = min(have, length - have)
-        rank = _ranked(rank, _shifted(rank, step))
-        have += step
-    return np.argsort(rank)
+def suffix_order(text: np.ndarray) -> np.ndarray:
+    """All suffixes of ``text`` in order; its last symbol is the only 0.
+
+    Prefix doubling from packed symbols; only suffixes that still share a rank are sorted again."""
+    n = len(text)
+    padded = np.concatenate((text.astype(np.int64), np.zeros(PACKED, np.int64)))
+    key = np.zeros(n, np.int64)
+    for k in range(PACKED):
+        key = key << SYMBOL_BITS | padded[k : k + n]
+    order = np.argsort(key)
+    first = _group_starts(key[order])
+    rank = np.full(n + 1, -1, np.int64)
+    rank[order] = first
+    open_at = np.flatnonzero(_shared(first))
+    have = PACKED
+    while len(open_at):
+        at = order[open_at]
+        key = rank[at] * (n + 1) + rank[np.minimum(at + have, n)] + 1
+        turn = np.argsort(key)
+        order[open_at] = at = at[turn]
+        first = open_at[_group_starts(key[turn])]
+        rank[at] = first
+        open_at = open_at[_shared(first)]
+        have *= 2
+    return order
+
+
+def _group_starts(ranked: np.ndarray) -> np.ndarray:
+    """For sorted values the place of the first equal one."""
+    new = np.concatenate(([True], ranked[1:] != ranked[:-1]))
+    return np.maximum.accumulate(np.where(new, np.arange(len(ranked)), 0))
+
+
+def _shared(first: np.ndarray) -> np.ndarray:
+    """Which places hold a value that their group shares with another place."""
+    same = first[1:] == first[:-1]
+    return np.concatenate((same, [False])) | np.concatenate(([False], same))
 
 
 def short_prefix_borders(text: np.ndarray, order: np.ndarray, length: int) -> np.ndarray:
@@ -83,7 +92,7 @@ def repeat_classes(text: np.ndarray, starts: np.ndarray, length: int) -> np.ndar
     ``text`` holds symbols (bytes plus ``BYTE``, and ``SEPARATOR`` between
     pieces); ``starts`` are places from which ``length`` bytes can be read."""
     text = np.append(text, 0)
-    order = bounded_suffix_order(text, length)
+    order = suffix_order(text)
     number = np.empty(len(text), np.int64)
     number[order] = np.cumsum(short_prefix_borders(text, order, length))
     return number[starts]

@@ -18,7 +18,9 @@ with one minimizer travels as one piece of text.
 4. A minimizer that occurs more than ``HOT`` times, or ``HOT_IN_CHUNK`` times within one
    chunk, would make a group without bound: its windows travel one by one as 96-bit
    fingerprints, pre-aggregated in each task, and are dealt by fingerprint.
-5. The repeated windows of a document are united and cut from its bytes.
+5. The repeated windows of a document are united and cut from its bytes.  Documents with
+   repeated minimizers are written once, in buckets by their key, so that spans come
+   to the texts without a second shuffle of these.
 
 Defined results: null and empty texts have 0 bytes; texts shorter than ``length``
 lose nothing; a null doc_id counts as smaller than all others; a row that
@@ -35,11 +37,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from hiremart.llm.common import record_batch, salted_left_join, shuffle_partitions, utf8, written
+from hiremart.llm.common import bucketed, discard, record_batch, salted_left_join, shuffle_partitions, utf8, written
 from hiremart.llm.shingles import mix
 from hiremart.llm.substring_index import BYTE, SEPARATOR, repeat_classes
 
@@ -300,6 +304,15 @@ def _numbered(bodies: list[bytes], keys: np.ndarray) -> np.ndarray:
     return np.fromiter((known.setdefault((k, b), len(known)) for k, b in zip(keys.tolist(), bodies)), np.int64, len(bodies))
 
 
+def _pair_numbers(key: np.ndarray, check: np.ndarray) -> np.ndarray:
+    """A number for each pair, equal for equal pairs."""
+    order = np.lexsort((check, key))
+    k, c = key[order], check[order]
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(np.concatenate(([False], (k[1:] != k[:-1]) | (c[1:] != c[:-1])))[: len(order)])
+    return number
+
+
 def _window_fingerprints(hashes: np.ndarray, at: np.ndarray, length: int, core: int) -> tuple[np.ndarray, np.ndarray]:
     """64 and 32 bits of the windows that start at ``at``, from the hashes of cores that cover them."""
     a, b = np.zeros(len(at), np.uint64), np.ones(len(at), np.uint64)
@@ -338,8 +351,7 @@ def _travelling(batches, length: int, core: int, buckets: int) -> Iterator[pa.Re
                                  count[k].astype("<u2").tobytes(), b"".join([held["body"][i] for i in k])))
         if held["hot"]:
             key, check, ids, start = (np.concatenate(held[k]) for k in ("hot", "check", "hot_ids", "hot_start"))
-            number = np.unique(np.rec.fromarrays([key, check]), return_inverse=True)[1]
-            later = _later(number, ids, start)
+            later = _later(_pair_numbers(key, check), ids, start)
             spans.add(ids[later], start[later], start[later] + length)
             kept = np.flatnonzero(~later)  # one for each, but for rows that share an id
             kept = kept[np.argsort(key[kept], kind="stable")]
@@ -450,7 +462,7 @@ def _meeting(length: int):
             check = np.concatenate([np.frombuffer(x, "<u4") for x in part["body"]])
             ids = np.concatenate([np.frombuffer(x, "<i8").reshape(-1, 2) for x in part["ids"]])
             start = np.concatenate([np.frombuffer(x, "<u4") for x in part["starts"]]).astype(np.int64)
-            later = _later(np.unique(np.rec.fromarrays([key, check]), return_inverse=True)[1], ids, start)
+            later = _later(_pair_numbers(key, check), ids, start)
             spans.add(ids[later], start[later], start[later] + length)
         for row in frame[frame["kind"] == "span"].itertuples():
             s, e = np.frombuffer(row.starts, "<u4").astype(np.int64), np.frombuffer(row.counts, "<u4").astype(np.int64)
@@ -487,8 +499,8 @@ def _core(length: int) -> int:
     return core
 
 
-def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame]:
-    """(one slim row for each document, with ``copy`` for later documents of an equal text;
+def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(copy of one slim row for each document; the same with ``copy`` for later documents of an equal text;
     d, h, places and states of the repeated minimizers of the others)."""
     d, h, t = _keyed(key, text)
     base = docs.select(
@@ -500,46 +512,45 @@ def _marked(docs: DataFrame, key: str, text: str, length: int) -> tuple[DataFram
     flagged = salted_left_join(base, least, ["h", "h2"], F.col("d"))
     flagged = flagged.withColumn("copy", F.coalesce((F.col("d") > F.col("least")) & (F.col("n_bytes") >= length), F.lit(False)))
     places = repeated_minimizers(docs.select(d, h, t.alias("text")), length, _core(length)).dropDuplicates(["d", "h"])
-    return flagged, places.join(flagged.where("copy").select("d", "h").distinct(), ["d", "h"], "left_anti")
+    return base, flagged, places.join(flagged.where("copy").select("d", "h").distinct(), ["d", "h"], "left_anti")
 
 
-def _cut(touched: DataFrame, length: int, with_text: bool) -> DataFrame:
-    """d, h, removed, runs, left (SHA-256 of what is kept) and kept of the touched documents that lose bytes."""
+def _spans(touched: DataFrame, length: int) -> DataFrame:
+    """d, h and spans (starts and ends of removed bytes) of the documents that lose some; touched: d, h, text, places, states."""
     core = _core(length)
     buckets = 1 << min(24, (4 * shuffle_partitions(touched.sparkSession)).bit_length())
-    sent = touched.mapInArrow(lambda batches: _travelling(batches, length, core, buckets), PIECES)
+    sent = touched.select("d", "h", "text", "places", "states").mapInArrow(lambda batches: _travelling(batches, length, core, buckets), PIECES)
     spans = sent.groupBy("bucket").applyInPandas(_meeting(length), "d long, h long, starts binary, ends binary")
-    spans = spans.groupBy("d", "h").agg(F.collect_list(F.struct("starts", "ends")).alias("spans"))
+    return spans.groupBy("d", "h").agg(F.collect_list(F.struct("starts", "ends")).alias("spans"))
 
-    def cut(batches):
-        for batch in batches:
-            removed, runs, sha, kept = [], [], [], []
-            for text, found in zip(utf8(batch.column(2)), batch.column(3).to_pylist()):
-                a, b = _united_spans([s["starts"] for s in found], [s["ends"] for s in found])
-                parts, at = [], 0
-                for x, y in zip(a.tolist(), b.tolist()):
-                    parts.append(text[at:x])
-                    at = y
-                left = b"".join([*parts, text[at:]])
-                removed.append(len(text) - len(left))
-                runs.append(len(a))
-                sha.append(hashlib.sha256(left).hexdigest())
-                kept.append(left.decode("utf-8", "ignore") if with_text else None)
-            yield record_batch({
-                "d": (batch.column(0), None), "h": (batch.column(1), None), "removed": (removed, pa.int64()), "runs": (runs, pa.int64()),
-                "left": (sha, pa.string()), "kept": (kept, pa.string()),
-            })
 
-    joined = touched.select("d", "h", "text").join(spans, ["d", "h"])
-    return joined.mapInArrow(cut, "d long, h long, removed long, runs long, left string, kept string")
+def _cut_bytes(text: bytes, found: list[dict]) -> tuple[bytes, int]:
+    """What is left without the spans, and how many runs they make."""
+    a, b = _united_spans([s["starts"] for s in found], [s["ends"] for s in found])
+    parts, at = [], 0
+    for x, y in zip(a.tolist(), b.tolist()):
+        parts.append(text[at:x])
+        at = y
+    return b"".join([*parts, text[at:]]), len(a)
 
 
 def remove_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans and kept_sha256 of every document."""
     d, h, t = _keyed(key, text)
-    flagged, places = _marked(docs, key, text, length)
+    base, flagged, places = _marked(docs, key, text, length)
     touched = docs.select(d, h, t.alias("text")).join(places, ["d", "h"]).dropDuplicates(["d", "h"])
-    result = _cut(written(touched.select("d", "h", "text", "places", "states"), "suffix-touched"), length, False)
+    touched = bucketed(touched.select("d", "h", "text", "places", "states"), "suffix-touched", ["d", "h"])
+
+    def digests(batches):
+        for batch in batches:
+            cut = [(t, *_cut_bytes(t, found)) for t, found in zip(utf8(batch.column(2)), batch.column(3).to_pylist())]
+            yield record_batch({
+                "d": (batch.column(0), None), "h": (batch.column(1), None), "removed": ([len(t) - len(left) for t, left, _ in cut], pa.int64()),
+                "runs": ([n for *_, n in cut], pa.int64()), "left": ([hashlib.sha256(left).hexdigest() for _, left, _ in cut], pa.string()),
+            })
+
+    joined = touched.select("d", "h", "text").join(_spans(touched, length), ["d", "h"])
+    result = joined.mapInArrow(digests, "d long, h long, removed long, runs long, left string")
     joined = flagged.join(result, ["d", "h"], "left")
     zero = F.lit(0).cast("long")
     nothing = hashlib.sha256(b"").hexdigest()
@@ -556,19 +567,31 @@ def without_repeats(docs: DataFrame, *, key: str = "doc_id", text: str = "text",
     The rest of a character that is cut in two goes too.  Documents of which
     nothing is left go; those that had no text stay."""
     d, h, t = _keyed(key, text)
-    flagged, places = _marked(docs, key, text, length)
+    base, flagged, places = _marked(docs, key, text, length)
     copies = flagged.where("copy").select("d", "h").distinct()
     marks = places.withColumn("copy", F.lit(False)).unionByName(copies.withColumn("copy", F.lit(True)), allowMissingColumns=True)
     rows = docs.select(F.struct("*").alias("row"), d, h).join(marks, ["d", "h"], "left").where(~F.coalesce("copy", F.lit(False)))
-    rows = written(rows.select("row", "d", "h", "places", "states"), "suffix-rows")
-    some = F.col("places").isNotNull()
+    rows = bucketed(rows.select("row", "d", "h", "places", "states"), "suffix-rows", ["d", "h"])
+    discard(base)
     own = F.coalesce(F.col("row")[text].cast("string"), F.lit(""))
-    touched = rows.where(some).select("d", "h", own.alias("text"), "places", "states").dropDuplicates(["d", "h"])
-    result = _cut(touched, length, True).select("d", "h", "kept")
-    cut = rows.where(some).select("row", "d", "h").join(result, ["d", "h"], "left").where("kept is null or kept <> ''")
-    changed = F.col("row").withField(f"`{text}`", F.col("kept"))
-    if size is not None:
-        kind = docs.schema[size].dataType
-        changed = changed.withField(f"`{size}`", F.length("kept").cast(kind))
-    cut = cut.select(F.when(F.col("kept").isNull(), F.col("row")).otherwise(changed).alias("row"))
-    return rows.where(~some).select("row").unionByName(cut).select("row.*")
+    # a row that repeats another one is the same document; the buckets hold both, so nothing is shuffled
+    touched = rows.where("places is not null").select("d", "h", own.alias("text"), "places", "states").dropDuplicates(["d", "h"])
+    spans = _spans(touched, length)
+    names = [f"c{k}" for k in range(len(docs.columns))]
+    columns = [F.col("row")[c].alias(n) for c, n in zip(docs.columns, names)]
+    joined = rows.select("row", "d", "h").join(spans, ["d", "h"], "left").select(*columns, own.alias("text"), "spans")
+    schema = T.StructType([T.StructField(n, f.dataType) for n, f in zip(names, docs.schema.fields)])
+    at_text, at_size = docs.columns.index(text), None if size is None else docs.columns.index(size)
+
+    def cut(batches):
+        for batch in batches:
+            columns = batch.columns[: len(names)]
+            left = [None if found is None else _cut_bytes(t, found)[0].decode("utf-8", "ignore") for t, found in zip(utf8(batch.column(len(names))), batch.column(len(names) + 1).to_pylist())]
+            changed = pa.array([x is not None for x in left], pa.bool_())
+            columns[at_text] = pc.if_else(changed, pa.array(left, pa.string()).cast(columns[at_text].type), columns[at_text])
+            if at_size is not None:
+                sizes = pa.array([None if x is None else len(x) for x in left], pa.int64())
+                columns[at_size] = pc.if_else(changed, sizes.cast(columns[at_size].type), columns[at_size])
+            yield pa.RecordBatch.from_arrays(columns, names=names).filter(pa.array([x != "" for x in left], pa.bool_()))
+
+    return joined.mapInArrow(cut, schema).toDF(*docs.columns)
