@@ -12,6 +12,7 @@ join (with AQE's skew splitting) instead.
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -29,9 +30,11 @@ _FIXED_WIDTH = {
 
 
 def shared_dir(spark) -> str:
-    """The folder all executors share; a scratch one is set only where none is."""
+    """The folder all executors share; a scratch one is set where none is and the executors are this machine's."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="hiremart-shared-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", base)
     return base.rstrip("/")
