@@ -37,7 +37,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch
+from hiremart.llm.common import record_batch, worker_cache
 
 BLOCK_BYTES = 16 << 20
 KEPT_WORDS = 600_000
@@ -272,7 +272,7 @@ class Words:
         if used + len(new) > len(self.flat):
             self.flat = np.concatenate((self.flat[:used], np.zeros(max(len(new), used) + len(new), np.uint32)))
         self.flat[used : used + len(new)] = new
-        self.bounds = np.concatenate((self.bounds, used + np.cumsum([len(x) // 4 for x in ids])))
+        self.bounds = np.concatenate((self.bounds, used + np.cumsum([len(x) // 4 for x in ids], dtype=np.int64)))
         self.index.fresh = []
 
     def ids(self, numbers: np.ndarray) -> np.ndarray:
@@ -303,15 +303,12 @@ class Words:
         self.met, self.index = self.met[keep], index
 
 
-_encoders: dict[tuple, MergeReplay] = {}
-
-
 def encoder(path: str, pattern: str) -> MergeReplay:
     """The worker's encoder for a rank file that every machine has at ``path``."""
-    key = (path, pattern)
-    if key not in _encoders:
-        _encoders[key] = MergeReplay(load_ranks(path), pattern)
-    return _encoders[key]
+    kept, key = worker_cache("bpe"), (path, pattern)
+    if key not in kept:
+        kept[key] = MergeReplay(load_ranks(path), pattern)
+    return kept[key]
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, key: str = "doc_id", text: str = "text") -> DataFrame:

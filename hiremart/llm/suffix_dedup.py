@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from hiremart.llm.common import bucketed, discard, record_batch, salted_left_join, shuffle_partitions, utf8, written
+from hiremart.llm.common import bucketed, discard, record_batch, salted_left_join, shuffle_partitions, utf8, worker_cache, written
 from hiremart.llm.shingles import mix
 from hiremart.llm.substring_index import BYTE, SEPARATOR, repeat_classes
 
@@ -216,6 +216,7 @@ def repeated_minimizers(source: DataFrame, length: int, core: int) -> DataFrame:
     buckets = 1 << min(24, (4 * shuffle_partitions(source.sparkSession)).bit_length())
 
     def run(batches):
+        worker_cache("suffix-dedup")
         part, number = TaskContext.get().partitionId(), 0
         found, ids, size = [], [], 0
         for batch in batches:
