@@ -36,7 +36,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch, shuffle_partitions
+from hiremart.llm.common import record_batch, shuffle_partitions, written
 
 MIN_REVISIT_BYTES = 1000
 SALTS = 32
@@ -248,14 +248,14 @@ def assemble(found: DataFrame) -> DataFrame:
     own = F.struct("record_id", "target", "body")
     named = others.where(F.col("concurrent_to").isNotNull()).select(F.col("concurrent_to").alias("capture"), "type", own.alias("r"))
     naming = answers.where(F.col("names").isNotNull()).select(F.col("record_id").alias("capture"), F.col("names").alias("record_id"))
-    by_name = others.join(naming, "record_id").select("capture", "type", own.alias("r"))
+    by_name = others.join(naming.hint("merge"), "record_id").select("capture", "type", own.alias("r"))
     request, metadata = F.col("type") == "request", F.col("type") == "metadata"
     joined = named.unionByName(by_name).groupBy("capture").agg(
         F.min_by("r", F.when(request, F.col("r.record_id"))).alias("request"),
         F.min_by("r", F.when(metadata, F.col("r.record_id"))).alias("metadata"),
         F.count_if(request).alias("n_requests"), F.count_if(metadata).alias("n_metadata"),
     )
-    whole = answers.join(joined, F.col("record_id") == F.col("capture"), "left")
+    whole = answers.join(joined.hint("merge"), F.col("record_id") == F.col("capture"), "left")
     zero = F.lit(0).cast("long")
     return whole.select(
         "record_id", "response", "request", "metadata",
@@ -266,7 +266,9 @@ def assemble(found: DataFrame) -> DataFrame:
 def warc_digest(pages: DataFrame, path: str, **options) -> DataFrame:
     """The contract's columns, one row per capture, from archives written to ``path`` and read back."""
     write_archives(pages, path, **options)
-    captures = assemble(read_records(pages.sparkSession, path, bodies=False))
+    # written once: the archives are read a single time, and Spark sees the records' size and not the manifest's
+    found = written(read_records(pages.sparkSession, path, bodies=False), "warc-records")
+    captures = assemble(found)
 
     def page_of(urn):
         return F.expr(f"try_cast(split({urn}, ':')[2] AS long)")

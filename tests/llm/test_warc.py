@@ -73,3 +73,13 @@ def test_assembly_in_both_directions(spark):
     found = spark.createDataFrame([(i, k, t, c, None, 1, "d", b"") for i, k, t, c in rows], W.RECORD)
     got = {r.record_id: (r.request and r.request.record_id, r.metadata and r.metadata.record_id, r.n_requests, r.n_metadata) for r in W.assemble(found).collect()}
     assert got == {"r1": ("q1", None, 1, 0), "r2": ("q2", "m2", 1, 2), "r3": (None, None, 0, 0)}
+
+
+def test_records_are_not_broadcast(spark):
+    """Spark must not take the records for as small as the manifest they are read from."""
+    path = work_dir(spark, "w")
+    W.write_archives(frame(spark, [(k, "http://a/", "x" * 2000) for k in range(20)]), path)
+    plan = W.assemble(W.read_records(spark, path, bodies=False))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "SortMergeJoin" in plan
+    plan = W.warc_digest(frame(spark, [(1, "u", "x")]), work_dir(spark, "w"))._jdf.queryExecution().executedPlan().toString()
+    assert "Broadcast" not in plan and "MapInArrow" not in plan
