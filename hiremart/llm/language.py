@@ -9,12 +9,12 @@ whose best cosine lies below what the language's own texts reach (a quantile
 of the sample) is marked as rejected.
 
 Document frequencies are counted over all learnable documents.  The sample is
-bounded: ``MAX_PER_LANGUAGE`` texts a language, ``MAX_SAMPLE`` in all, taken by
-a hash of doc_id.
+bounded: ``MAX_PER_LANGUAGE`` texts a language and ``MAX_SAMPLE`` in all, but one text of each
+language at least, taken by a hash of doc_id.
 
 Scale: three passes that only map the texts; a task sends one vector of
-``BINS`` counts, k-means runs in one small group a language, and the model
-broadcast has at most ``MAX_LANGUAGES * CENTROIDS`` rows of ``BINS`` numbers.
+``BINS`` counts, k-means runs in one small group a language, and the model that is
+broadcast has ``CENTROIDS`` rows of ``BINS`` numbers (131 KB) a language, however many there are.
 
 Defined results: null texts and texts without a letter are ``und`` with score
 0; so is everything when nothing can be learned; null languages teach
@@ -31,12 +31,12 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch
+from hiremart.llm.common import record_batch, written
+from hiremart.operators.materialize import broadcast_if_small
 
 BINS = 1 << 13
 MAX_PER_LANGUAGE = 400
 MAX_SAMPLE = 6_000
-MAX_LANGUAGES = 500
 CENTROIDS = 4
 REJECT_QUANTILE = 0.01
 UNKNOWN = "und"
@@ -126,9 +126,9 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", language:
     spark = docs.sparkSession
     source = docs.select(F.col(key).alias("k"), F.col(text).cast("string").alias("text"), F.col(language).cast("string").alias("lang"))
     source = source.where(learnable("k") & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    sizes = {r["lang"]: r["n"] for r in source.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).limit(MAX_LANGUAGES + 1).collect()}
-    if len(sizes) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages in {language}")
+    draw = F.pmod(F.xxhash64(F.col("k"), F.lit(7)), F.lit(1_000_003))
+    sizes = written(source.groupBy("lang").agg(F.count(F.lit(1)).alias("n"), F.min(draw).alias("first")), "languages")
+    total, languages = sizes.agg(F.sum("n"), F.count(F.lit(1))).first()
 
     def count(batches):
         seen, rows = np.zeros(BINS, np.int64), 0
@@ -144,12 +144,12 @@ def train(docs: DataFrame, *, key: str = "doc_id", text: str = "text", language:
     seen = np.zeros(BINS)  # BINS sums come to the driver
     for r in sent.select(F.posexplode("seen").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect():
         seen[r["bin"]] = r["n"]
-    idf = np.log((1 + sum(sizes.values())) / (1 + seen)) + 1
-    if not sizes:
+    idf = np.log((1 + (total or 0)) / (1 + seen)) + 1
+    if not total:
         return Model(idf, np.zeros((0, BINS), np.float32), [], {})
-    each = max(1, min(MAX_PER_LANGUAGE, MAX_SAMPLE // len(sizes)))
-    share = F.create_map(*[F.lit(v) for lang, n in sizes.items() for v in (lang, min(1.0, each / n))])
-    drawn = source.where(F.pmod(F.xxhash64(F.col("k"), F.lit(7)), F.lit(1_000_003)) < share[F.col("lang")] * 1_000_003)
+    each = max(1, min(MAX_PER_LANGUAGE, MAX_SAMPLE // languages))
+    limits = sizes.select("lang", F.greatest(F.least(F.lit(1.0), each / F.col("n")) * 1_000_003, F.col("first") + 1).alias("below"))
+    drawn = source.join(broadcast_if_small(limits), "lang").where(draw < F.col("below"))
     shared = spark.sparkContext.broadcast(idf)
 
     def grams(batches):
