@@ -1,7 +1,7 @@
 """Toxicity scores by non-negative positive-unlabelled learning.
 
 Confirmed toxic documents are the positives; all texts that may be learned from
-are the unlabelled ones, with the share of toxic texts among the labels as class prior.  A logistic model (numpy) is trained on the
+are the unlabelled ones.  A logistic model (numpy) is trained on the
 class-prior-corrected risk  pi * E_p[l(f)] + max(0, E_u[l(-f)] - pi * E_p[l(-f)]),
 whose second part is kept from going negative.
 
@@ -13,13 +13,18 @@ bins that positives have significantly more often than unlabelled text,
 The weights are fitted on a bounded sample: ``MAX_POSITIVES`` confirmed and
 ``MAX_UNLABELLED`` unlabelled documents, taken by a hash of doc_id.
 
+The class prior pi is that of the unlabelled texts, which those who chose what to label need not have met:
+wherever a feature has share p among the positives and u among all texts, pi * p <= u, so pi is
+the least u / p over features that many positives have (``estimated_prior``), or the share of toxic texts
+among the labels if that is less.  It is kept between ``LEAST_PRIOR`` and ``MOST_PRIOR``.
+
 Scale: three passes that only map the texts.  A task sends one vector of
 counts for each class, the driver sees ``BINS`` sums, the model broadcast has
 ``MAX_FEATURES`` weights, and the ids of all positives are broadcast only within
 the measured limits of ``broadcast_if_small``; above them they join by shuffle.
 
-Defined results: null and empty texts have no features and get the score of
-the bias; null labels and labels of unknown documents teach nothing; a
+Defined results: null and empty texts, and texts without known features, get the score of
+the bias, which is at most the prior; null labels and labels of unknown documents teach nothing; a
 document with several labels is positive if one of them is; repeated rows get
 equal scores.  Without positives the score is 0 for all.
 """
@@ -35,7 +40,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch, written
+from hiremart.llm.common import record_batch, worker_cache, written
 from hiremart.operators.materialize import broadcast_if_small
 
 BINS = 1 << 18
@@ -43,6 +48,8 @@ MAX_FEATURES = 4096
 MAX_POSITIVES = 8_000
 MAX_UNLABELLED = 24_000
 THRESHOLD = 0.7
+LEAST_PRIOR, MOST_PRIOR = 1e-4, 0.99
+PRIOR_SHARE = 0.1
 BEGINNINGS = (3, 4, 5)
 KEPT_WORDS = 300_000
 BLOCKS = 64
@@ -80,6 +87,7 @@ def _counts(texts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     """Documents with each bin, and documents: of all texts (0) and of the positives (1)."""
 
     def count(batches) -> Iterator[pa.RecordBatch]:
+        worker_cache("toxicity")
         bins = WordBins()
         seen, rows = np.zeros((2, BINS), np.int64), np.zeros(2, np.int64)
         for batch in batches:
@@ -129,6 +137,17 @@ def chosen_bins(counts: np.ndarray, rows: np.ndarray, most: int = MAX_FEATURES)
     return np.sort(order[strength[order] > 0])
 
 
+def estimated_prior(counts: np.ndarray, rows: np.ndarray) -> float:
+    """Upper bound of the share of positives among all texts: the least ratio of a bin's shares, u / p, over the
+    bins that at least ``PRIOR_SHARE`` of the positives have, each with two standard errors of doubt."""
+    p, u = counts[1] / max(1, rows[1]), counts[0] / max(1, rows[0])
+    wide = np.flatnonzero(p >= PRIOR_SHARE)
+    p, u = p[wide], u[wide]
+    low = p - 2 * np.sqrt(p * (1 - p) / max(1, rows[1]))
+    high = u + 2 * np.sqrt(u * (1 - u) / max(1, rows[0]))
+    return float((high[low > 0] / low[low > 0]).min(initial=1.0))
+
+
 class Rows:
     """Rows of present features, as column numbers."""
 
@@ -190,7 +209,7 @@ def train(
     total = told.agg(F.count(F.lit(1)).alias("n"), F.sum(F.when(F.col("y") == 1, 1).otherwise(0)).alias("p")).first()
     if not total["p"]:
         return Model(np.zeros(0, np.int64), np.zeros(0), -np.inf)
-    prior = min(0.5, total["p"] / total["n"])
+    share_told = total["p"] / total["n"]
     ids = told.where("y = 1").select("k")
     chosen = ids.orderBy(F.xxhash64("k"), "k").limit(max_positives).withColumn("s", F.lit(True))  # for the weights only
     ids = written(ids.join(F.broadcast(chosen), "k", "left").select("k", F.coalesce("s", F.lit(False)).alias("s")), "toxicity-positives")
@@ -198,6 +217,7 @@ def train(
     marked = source.join(broadcast_if_small(ids), "k", "left")
     marked = marked.select("k", "text", F.col("s").isNotNull().alias("positive"), F.coalesce("s", F.lit(False)).alias("sampled"))
     counts, rows = _counts(marked)
+    prior = min(MOST_PRIOR, max(LEAST_PRIOR, min(share_told, estimated_prior(counts, rows))))
     bins = chosen_bins(counts, rows)
     if not len(bins) or not rows.all():
         return Model(np.zeros(0, np.int64), np.zeros(0), float(np.log(prior / (1 - prior))))
@@ -223,7 +243,13 @@ def train(
             matrix[False].append(found)
 
     weights, bias = fit(Rows(matrix[True], len(bins)), Rows(matrix[False], len(bins)), prior)
-    return Model(bins, weights, bias)
+    return Model(bins, weights, min(bias, float(np.log(prior / (1 - prior)))))
+
+
+def _probability(z: np.ndarray) -> np.ndarray:
+    """0 for a bias of minus infinity, which a model without positives has."""
+    with np.errstate(over="ignore"):
+        return 1 / (1 + np.exp(-z))
 
 
 def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "text", threshold: float = THRESHOLD) -> DataFrame:
@@ -233,10 +259,11 @@ def score(docs: DataFrame, model: Model, *, key: str = "doc_id", text: str = "te
     def run(batches):
         found = shared.value
         table, bias = found.open(), found.bias
+        worker_cache("toxicity")
         bins = WordBins()
         for batch in batches:
             z = np.array([bias + table[bins.of(t)].sum() for t in batch.column(1).to_pylist()])
-            p = 1 / (1 + np.exp(np.clip(-z, -50, 700)))
+            p = _probability(z)
             yield record_batch({"doc_id": (batch.column(0), None), "score": (p, pa.float64()), "predicted": ((p >= threshold).astype(np.int32), pa.int32())})
 
     source = docs.select(F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"))
@@ -254,7 +281,7 @@ def without_toxic(docs: DataFrame, model: Model, *, text: str = "text", threshol
         bins = WordBins()
         for batch in batches:
             z = np.array([bias + table[bins.of(t)].sum() for t in batch.column(at).to_pylist()])
-            yield batch.filter(pa.array(1 / (1 + np.exp(np.clip(-z, -50, 700))) < threshold, pa.bool_()))
+            yield batch.filter(pa.array(_probability(z) < threshold, pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
 
