@@ -6,10 +6,11 @@ word by word; the state and the longest matching length tell which windows of
 which items end at every word.  A window is ``window`` consecutive words of an
 item; a shorter item, if it has words, is one window.
 
-Scale: documents are only mapped, never shuffled.  The automaton is built from
-at most ``MAX_BLOCK_BYTES`` of item text; a larger benchmark is cut into
+Scale: documents are only mapped, never shuffled, where the items fit one automaton.  It is built from
+at most ``MAX_BLOCK_BYTES`` of item text (about 130 MB of memory); a larger benchmark is cut into
 blocks of items with an automaton each, and every block streams over all
-documents, so nothing unbounded is broadcast.  The driver reads the items and
+documents, so nothing unbounded is broadcast.  Then only the ids, spans and items of documents with hits are
+written for each block, and are joined to the documents once, at the end.  The driver reads the items and
 builds the automata, and holds one block and its automaton at a time.
 
 Defined results: null or word-less text has no words and no hits; null or
@@ -28,11 +29,13 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from hiremart.llm.common import record_batch, utf8, written
+from hiremart.operators.materialize import broadcast_if_small
 
 WINDOW = 13
-MAX_BLOCK_BYTES = 16 << 20
+MAX_BLOCK_BYTES = 1 << 20
 
 #: ASCII letters lower-cased, digits and all non-ASCII bytes kept, the rest blank.
 WORD_BYTES = bytes(
@@ -192,41 +195,86 @@ def match_items(
 ) -> DataFrame:
     """One row per document: doc_id, text, n_words, spans (maximal hit spans in words), items (sorted ids);
     with ``carry`` also row, the whole input row as a struct."""
-    row = [F.struct("*").alias("row")] if carry else []
-    frame = docs.select(
-        F.col(key).alias("doc_id"), F.col(text).cast("string").alias("text"), F.lit(0).cast("long").alias("n_words"),
-        F.expr("cast(array() as array<struct<start:int,end:int>>)").alias("spans"),
-        F.expr("cast(array() as array<string>)").alias("items"), *row,
-    )
     spark = docs.sparkSession
-    span_type = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
-    shared = None
-    for block in _blocks(benchmark, item, item_text, max_block_bytes):
-        if shared is not None:  # the blocks before are done, and their automaton with them
-            frame = written(frame, "decontaminate")
-            shared.unpersist()
+    blocks = _blocks(benchmark, item, item_text, max_block_bytes)
+
+    def automaton_of(block: list):
         shared = spark.sparkContext.broadcast(SuffixAutomaton(block, window))
         block.clear()
+        return shared
+
+    # rows that share id and text have the same hits
+    name = [F.col(key).alias("doc_id"), F.xxhash64(F.col(text).cast("string")).alias("h")]
+    source = docs.select(*name, F.col(text).cast("string").alias("text"), *([F.struct("*").alias("row")] if carry else []))
+    shared = automaton_of(next(blocks))
+    block = next(blocks, None)
+    if block is None:
+        return _with_hits(source, shared)
+    hits = None
+    while True:
+        found = written(_hits(source.select("doc_id", "h", "text"), shared), "decontaminate-hits")
+        hits = found if hits is None else hits.unionByName(found)
+        shared.unpersist()
+        if block is None:
+            break
+        shared = automaton_of(block)
+        block = next(blocks, None)
+    each = hits.distinct().groupBy("doc_id", "h").agg(F.flatten(F.collect_list("spans")).alias("spans"), F.flatten(F.collect_list("items")).alias("items"))
+    each = broadcast_if_small(written(each, "decontaminate-found").select(F.col("doc_id").alias("_d"), F.col("h").alias("_h"), "spans", "items"))
+    joined = source.join(each, F.col("doc_id").eqNullSafe(F.col("_d")) & (F.col("h") == F.col("_h")), "left")
+    return _with_hits(joined.select(*source.columns, "spans", "items"), None)
+
+
+SPAN = pa.list_(pa.struct([("start", pa.int32()), ("end", pa.int32())]))
+
+
+def _spans(found: list[tuple[int, int]]) -> list[dict]:
+    return [{"start": a, "end": b} for a, b in found]
+
 
-        def run(batches, shared=shared):
-            automaton = shared.value
-            for batch in batches:
-                counts, spans, items = [], [], []
-                for t, old_spans, old_items in zip(utf8(batch.column(1)), batch.column(3).to_pylist(), batch.column(4).to_pylist()):
-                    ws = words(t)
-                    new, found = automaton.scan(ws)
-                    if old_spans:
-                        new = merged(new + [(s["start"], s["end"]) for s in old_spans])
-                    counts.append(len(ws))
-                    spans.append([{"start": a, "end": b} for a, b in new])
-                    items.append(sorted({x for x in found if x is not None} | set(old_items)))
-                yield record_batch({
-                    "doc_id": (batch.column(0), None), "text": (batch.column(1), None), "n_words": (counts, pa.int64()),
-                    "spans": (spans, span_type), "items": (items, pa.list_(pa.string())),
-                } | ({"row": (batch.column(5), None)} if carry else {}))
-
-        frame = frame.mapInArrow(run, frame.schema)
-    return frame
+def _hits(source: DataFrame, shared) -> DataFrame:
+    """doc_id, h, spans and items of the documents that one automaton hits."""
+
+    def run(batches):
+        for batch in batches:
+            found = [shared.value.scan(words(t)) for t in utf8(batch.column(2))]
+            hit = pa.array([bool(spans) for spans, _ in found], pa.bool_())
+            rows = {
+                "doc_id": (batch.column(0), None), "h": (batch.column(1), None), "spans": ([_spans(spans) for spans, _ in found], SPAN),
+                "items": ([sorted(x for x in items if x is not None) for _, items in found], pa.list_(pa.string())),
+            }
+            yield record_batch(rows).filter(hit)
+
+    kind = source.schema["doc_id"].dataType.simpleString()
+    return source.mapInArrow(run, f"doc_id {kind}, h long, spans array<struct<start:int,end:int>>, items array<string>")
+
+
+def _with_hits(source: DataFrame, shared) -> DataFrame:
+    """``match_items``'s rows: scanned by the automaton ``shared``, or, where that is None, from the spans and items that the rows bring."""
+    carried = ["row"] if "row" in source.columns else []
+
+    def run(batches):
+        for batch in batches:
+            column = {n: batch.column(k) for k, n in enumerate(batch.schema.names)}
+            counts, spans, items = [], [], []
+            known = zip(column["spans"].to_pylist(), column["items"].to_pylist()) if shared is None else repeat(None)
+            for t, found in zip(utf8(column["text"]), known):
+                ws = words(t)
+                if shared is not None:
+                    hit, ids = shared.value.scan(ws)
+                else:
+                    hit, ids = merged([(s["start"], s["end"]) for s in found[0] or ()]), set(found[1] or ())
+                counts.append(len(ws))
+                spans.append(_spans(hit))
+                items.append(sorted(x for x in ids if x is not None))
+            yield record_batch({
+                "doc_id": (column["doc_id"], None), "text": (column["text"], None), "n_words": (counts, pa.int64()),
+                "spans": (spans, SPAN), "items": (items, pa.list_(pa.string())), **{c: (column[c], None) for c in carried},
+            })
+
+    schema = source.select("doc_id", "text", *carried).schema
+    out = T.StructType([*schema.fields[:2], *T.StructType.fromDDL("n_words long, spans array<struct<start:int,end:int>>, items array<string>").fields, *schema.fields[2:]])
+    return source.mapInArrow(run, out)
 
 
 def remove_spans(text: bytes, spans: list[tuple[int, int]]) -> bytes:
