@@ -65,7 +65,7 @@ def found(docs):
     return sorted(map(tuple, M.manifest_digest(docs).select("doc_id", "leaf", "subroot", "root", "proof_sha256", "folded_root", "verified").collect()), key=str)
 
 
-@pytest.mark.parametrize("n, sources", [(1, 1), (3, 1), (4, 1), (10, 3), (60, 11), (300, 4)])
+@pytest.mark.parametrize("n, sources", [(1, 1), (4, 1), (60, 11), (300, 4)])
 def test_equals_the_plain_loop(spark, n, sources):
     rng = random.Random(n)
     rows = [(k, f"s{min(rng.randrange(sources), rng.randrange(sources))}", rng.choice(["en", None, ""]), k * 3, "é\n" * rng.randint(0, 3)) for k in range(n)]

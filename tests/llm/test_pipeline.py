@@ -18,7 +18,7 @@ def test_stages_in_order():
 
 
 def test_queries_are_registered():
-    assert [int(n[2:].split("_")[0]) for n in queries()] == list(range(1, 11))
+    assert [int(n[2:].split("_")[0]) for n in queries()] == list(range(1, 14))
     assert set(oracle_sql()) <= set(queries())
 
 

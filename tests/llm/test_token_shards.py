@@ -15,7 +15,6 @@ PATH = P.path("byte_bpe_50k.json")
 
 def expected(rows):
     t = Tokenizer.from_file(PATH)
-    t.encode_special_tokens = True
     out, start = [], 0
     for doc_id, text in rows:
         ids = np.array([*t.encode(text or "", add_special_tokens=False).ids, 2], "<u4")
@@ -67,3 +66,15 @@ def test_perfect_hash_is_minimal_and_tells_strangers():
         assert sorted(table.slots(keys).tolist()) == list(range(len(keys)))
         strangers = rng.integers(1 << 62, 1 << 63, 100).astype(np.uint64)
         assert (table.slots(strangers) < max(1, len(keys))).all()
+
+
+def test_added_tokens_in_a_text_equal_the_plain_library():
+    end = "<|endoftext|>"
+    texts = [f"a {end} b", end, f" {end}", f"{end} ", f"  {end}  x", f"a{end}b {end}{end}", f"a\n{end}\n b", f"x  {end} {end}  y", "<|endoftext |>", f"{end}\u00a0{end}", "", f"w {end} " * 3000]
+    plain = Tokenizer.from_file(PATH)
+    words = S.WordIds(PATH)
+    assert words.by_word
+    for _ in range(2):  # new words, then remembered ones
+        got = [ids.tolist() for ids in S.encoded(texts, words, 2)]
+        assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+    assert 50256 in got[0]
