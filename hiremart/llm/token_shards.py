@@ -36,7 +36,8 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from hiremart.llm.common import record_batch, shuffle_partitions
+from hiremart.llm.bpe import OTHER_SPACE, Words
+from hiremart.llm.common import record_batch, shuffle_partitions, worker_cache
 from hiremart.llm.perfect_hash import MinimalPerfectHash, fingerprints, packed, unpacked
 
 END_ID = 2
@@ -48,40 +49,40 @@ _tokenizers: dict[str, object] = {}
 
 
 def tokenizer(path: str):
-    """The worker's tokenizer; strings of special tokens in a text are ordinary text."""
+    """The worker's tokenizer, as its file has it: strings of added tokens in a text are those tokens."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        found = Tokenizer.from_file(path)
-        found.encode_special_tokens = True
-        _tokenizers[path] = found
+        _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
 
 #: Before a single blank between words no piece of a byte-level tokenizer's pattern reaches across.
 WORD_EDGE = re.compile(r"(?<=\S)(?= \S)")
-#: A blank beside other white space, where a split at blanks would cut a piece.
-WIDE_BLANK = re.compile(r" \s|\s ")
 ONE_WORD = re.compile(r" ?\S+")
 
 
 class WordIds:
-    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered.
+    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered;
+    of more than ``KEPT_WORDS`` those not met for longest are dropped.
 
-    For byte-level tokenizers without a normalizer; others get whole texts."""
+    For byte-level tokenizers without a normalizer, whose added tokens neither hold white space
+    nor take it from beside them; others get whole texts."""
 
     def __init__(self, path: str):
         found = tokenizer(path)
         self.encode = found.encode_batch_fast
-        self.by_word = str(found.pre_tokenizer).startswith("ByteLevel") and found.normalizer is None
-        self.known: dict[str, bytes] = {}
-        self.kept = KEPT_WORDS
+        added = found.get_added_tokens_decoder().values()
+        plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in added)
+        self.by_word = str(found.pre_tokenizer).startswith("ByteLevel") and found.normalizer is None and plain
+        self.words = Words()
         line_end = found.encode("\n", add_special_tokens=False).ids
         self.line_end = line_end[0] if len(line_end) == 1 else None
 
-    def _learn(self, words: set[str]) -> None:
-        """Remember the ids of new words, which are encoded a few thousand at a time with line ends between."""
+    def _ids(self, words: list[str]) -> list[bytes]:
+        """Ids of new words, which are encoded a few thousand at a time with line ends between."""
+        found: dict[str, bytes] = {}
         plain = [w for w in words if ONE_WORD.fullmatch(w)] if self.line_end is not None else []
         for at in range(0, len(plain), 5_000):
             some = plain[at : at + 5_000]
@@ -90,40 +91,39 @@ class WordIds:
             if len(ends) != len(some):
                 continue
             raw, ends = ids.tobytes(), (ends * 4).tolist()
-            self.known.update((w, raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
-        rest = [w for w in words if w not in self.known]
+            found.update((w, raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
+        rest = [w for w in words if w not in found]
         for at in range(0, len(rest), 5_000):
             some = rest[at : at + 5_000]
-            self.known.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(some, self.encode(some, add_special_tokens=False)))
+            found.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(some, self.encode(some, add_special_tokens=False)))
+        return [found[w] for w in words]
+
+    @staticmethod
+    def _cut(text: str) -> list[str]:
+        """Words at single blanks and line ends, which no piece reaches across; at word edges where white space stands together."""
+        if not OTHER_SPACE.search(text):
+            words = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
+            if " " not in words and "" not in words:
+                return words
+        return WORD_EDGE.split(text)
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
         if not self.by_word:
             yield from (np.array(e.ids, np.uint32) for e in self.encode(texts, add_special_tokens=False))
             return
-        split = []
-        for text in texts:
-            if WIDE_BLANK.search(text):
-                split.append(WORD_EDGE.split(text))
-            else:
-                first, *rest = text.split(" ")
-                split.append([first, *[" " + w for w in rest]])
-        new = set().union(*split).difference(self.known)
-        if len(self.known) + len(new) > self.kept:
-            self.known.clear()
-            new = set().union(*split)
-        self._learn(new)
-        for words in split:
-            yield np.frombuffer(b"".join(map(self.known.__getitem__, words)), np.uint32)
-
-
-_word_ids: dict[str, WordIds] = {}
+        numbers = [self.words.numbers(self._cut(text)) for text in texts]
+        self.words.learn(self._ids(self.words.fresh))
+        for n in numbers:
+            yield self.words.ids(n)
+        self.words.forget(numbers, KEPT_WORDS)
 
 
 def word_ids(path: str) -> WordIds:
     """The worker's words, kept from task to task."""
-    if path not in _word_ids:
-        _word_ids[path] = WordIds(path)
-    return _word_ids[path]
+    kept = worker_cache("token-shards")
+    if path not in kept:
+        kept[path] = WordIds(path)
+    return kept[path]
 
 
 def encoded(texts: Iterable[str | None], words: WordIds, end_id: int) -> Iterator[np.ndarray]:

@@ -1,5 +1,6 @@
 """Token shards: files read back against the tokenizer itself; perfect hash; keyed reads."""
 
+import random
 import zlib
 
 import numpy as np
@@ -78,3 +79,12 @@ def test_added_tokens_in_a_text_equal_the_plain_library():
         got = [ids.tolist() for ids in S.encoded(texts, words, 2)]
         assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
     assert 50256 in got[0]
+
+
+def test_line_ends_and_white_space_together_equal_the_plain_library():
+    rng = random.Random(1)
+    parts = ["a", "The", "é", " ", " ", "\n", "\n", "\t", "\r\n", "  ", "\u00a0", "\x1c", "\x01", "'s", "12", "!", "\u200b", "<|endoftext|>"]
+    texts = ["".join(rng.choices(parts, k=rng.randint(0, 15))) for _ in range(2000)]
+    plain, words = Tokenizer.from_file(PATH), S.WordIds(PATH)
+    got = [ids.tolist() for ids in S.encoded(texts, words, 2)]
+    assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
