@@ -48,9 +48,24 @@ def _delete(spark: SparkSession, path: str, table: str | None) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
-    """``df`` computed once into the shared folder, read back with its schema."""
+#: Copies of known size go in files of so many bytes, and in so many at least.
+FILE_BYTES = 8 << 20
+LEAST_FILES = 12
+
+
+def files_for(size: int) -> int:
+    return max(LEAST_FILES, -(-size // FILE_BYTES))
+
+
+def written(df: DataFrame, name: str, size: int | None = None, spread: bool = False) -> DataFrame:
+    """``df`` computed once into the shared folder, read back with its schema.
+
+    With ``size``, which its bytes do not exceed, it goes in as many files as that needs and not in one
+    for each shuffle partition: for each file the local file system starts processes that set its rights.  ``spread``: the
+    work before is heavy, so its rows are dealt to the files after it instead of its tasks being joined."""
     path = work_dir(df.sparkSession, name)
+    if size is not None:
+        df = df.repartition(files_for(size)) if spread else df.coalesce(files_for(size))
     df.write.option("compression", "zstd").parquet(path)
     return _noted(df.sparkSession.read.schema(df.schema).parquet(path), path)
 

@@ -57,6 +57,7 @@ QUERIES_PER_BLOCK = 5_000
 NOBODY = 0xFFFF
 MAX_BROADCAST_NODES = 300_000
 ROWS_AT_ONCE = 256
+ROW_BYTES = 64  # at most, of a row of numbers
 
 
 def _set_id(tokens: np.ndarray) -> int:
@@ -251,7 +252,7 @@ def bounded_nodes(docs: DataFrame, text: str) -> DataFrame:
     return _bounded(sent).select(F.col("name").alias("node"))
 
 
-def bounded_members(sets: DataFrame, groups: DataFrame) -> DataFrame:
+def bounded_members(sets: DataFrame, groups: DataFrame, nodes: int, tokens: int) -> DataFrame:
     """node, g, m0, n and tokens of the sets whose group shares so much with others that they may link there.
 
     Groups are exchanged as nodes were: the union of a group's tokens in a chunk, or of one of the
@@ -259,12 +260,12 @@ def bounded_members(sets: DataFrame, groups: DataFrame) -> DataFrame:
     other groups is in a part whose union does, so no set that could link is lost."""
     buckets = _buckets(sets.sparkSession)
     slim = sets.select("node", "n").join(groups.withColumnRenamed("comp", "g"), "node", "left").withColumn("g", F.coalesce("g", "node"))
-    slim = written(slim, "ngram-grouped")
+    slim = written(slim, "ngram-grouped", ROW_BYTES * nodes)
     sums = slim.groupBy("g").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts")).where("parts > 1")
     placed = salted_left_join(slim, sums, ["g"], F.col("node"))
     split = F.coalesce(F.col("parts"), F.lit(1)) > 1
     part = F.when(split, F.pmod(F.xxhash64("node"), F.col("parts"))).otherwise(F.lit(0)).cast("long")
-    placed = written(placed.select("node", "n", "g", part.alias("part"), split.alias("split")), "ngram-placed")
+    placed = written(placed.select("node", "n", "g", part.alias("part"), split.alias("split")), "ngram-placed", ROW_BYTES * nodes)
     dealt = sets.select("node", "tokens").join(placed.select("node", "g", "part", "split"), "node")
     dealt = dealt.select("g", "part", "split", "tokens").repartition("g", "part").sortWithinPartitions("g", "part")
 
@@ -291,7 +292,7 @@ def bounded_members(sets: DataFrame, groups: DataFrame) -> DataFrame:
 
     passing = _bounded(dealt.mapInArrow(run, EXCHANGE)).withColumnRenamed("name", "g")
     chosen = placed.join(passing, ["g", "part"]).where("seen * 4 >= n * 3").select("node", "g")
-    found = written(sets.select("node", "n", "m0", "tokens").join(chosen, "node").select("node", "g", "n", "m0", "tokens"), "ngram-bounded")
+    found = written(sets.select("node", "n", "m0", "tokens").join(chosen, "node").select("node", "g", "n", "m0", "tokens"), "ngram-bounded", ROW_BYTES * nodes + 8 * tokens)
     discard(slim, placed)
     return found
 
@@ -364,9 +365,9 @@ def _round_links(sets: DataFrame, k: int) -> DataFrame:
 # 4. the token-group matrix
 # ---------------------------------------------------------------------------
 
-def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
-    """Links between different groups: every one that there is."""
-    bounded = bounded_members(sets, groups)
+def _matrix_links(sets: DataFrame, groups: DataFrame, nodes: int, tokens: int) -> DataFrame:
+    """Links between different groups: every one that there is (``nodes`` and ``tokens``: how many ``sets`` holds)."""
+    bounded = bounded_members(sets, groups, nodes, tokens)
     owned = bounded.select("node", "g", "n", "tokens")
 
     def unions(batches):
@@ -399,15 +400,17 @@ def _matrix_links(sets: DataFrame, groups: DataFrame) -> DataFrame:
     elsewhere = cells.join(wide, "t", "left_semi")
     # 75 % for a set to be linked at all, 6/7 for the smaller one of two
     seen = elsewhere.groupBy("node", "n").agg(F.count(F.lit(1)).alias("seen")).where("seen * 4 >= n * 3").select("node", "seen")
-    shared = written(elsewhere.join(seen, "node"), "ngram-shared")
+    most_cells = int(bounded.agg(F.sum("n")).first()[0] or 0)
+    shared = written(elsewhere.join(seen, "node"), "ngram-shared", ROW_BYTES * most_cells)
     members = bounded.join(seen, "node", "left_semi")
-    blocks = max(1, -(-int(members.agg(F.sum("n")).first()[0] or 0) // BLOCK_TOKENS))
+    most_cells = int(members.agg(F.sum("n")).first()[0] or 0)
+    blocks = max(1, -(-most_cells // BLOCK_TOKENS))
     # sets of one min-hash lie together; those of a hot one are dealt over several groups
     sums = members.groupBy("m0").agg(F.ceil(F.sum("n") / BLOCK_TOKENS).cast("int").alias("parts"))
     placed = salted_left_join(members.select("node", "m0"), sums, ["m0"], F.col("node"))
     block = F.pmod(F.xxhash64("m0", F.pmod(F.xxhash64("node"), F.col("parts"))), F.lit(blocks)).cast("int")
-    members = written(members.join(placed.select("node", block.alias("block")), "node").select("block", "node", "g", "tokens"), "ngram-members")
-    matrix = written(shared.select("node", "t").join(members.select("node", "block"), "node").select("t", "block").distinct(), "ngram-matrix")
+    members = written(members.join(placed.select("node", block.alias("block")), "node").select("block", "node", "g", "tokens"), "ngram-members", ROW_BYTES * nodes + 8 * most_cells)
+    matrix = written(shared.select("node", "t").join(members.select("node", "block"), "node").select("t", "block").distinct(), "ngram-matrix", ROW_BYTES * most_cells)
     need = F.ceil(F.col("n") * 6 / 7)
     queries = shared.where(F.col("seen") >= need)
     width = matrix.groupBy("t").agg(F.count(F.lit(1)).alias("width"))
@@ -455,12 +458,13 @@ def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
     found = written(document_sets(docs, key, text), "ngram-documents")
     passing = bounded_nodes(docs, text).distinct()
     first = found.where("n > 0").groupBy("node").agg(
-        F.min(F.struct("doc_id", "h")).alias("r"), F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("copies"),
+        F.min(F.struct("doc_id", "h")).alias("r"), F.min("doc_id").alias("own"), F.count(F.lit(1)).alias("copies"), F.first("n").alias("n"),
         *[F.first(f"m{k}").alias(f"m{k}") for k in range(ROUNDS)],
     )
-    wanted = first.join(passing, "node").select(F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "node", *[f"m{k}" for k in range(ROUNDS)])
+    wanted = first.join(passing, "node").select(F.col("r.doc_id").alias("doc_id"), F.col("r.h").alias("h"), "node", "n", *[f"m{k}" for k in range(ROUNDS)])
     source = docs.select(F.col(key).cast("long").alias("k"), F.xxhash64(F.col(text)).alias("kh"), F.col(text).cast("string").alias("t"))
-    wanted = written(wanted, "ngram-wanted")
+    wanted = written(wanted, "ngram-wanted", ROW_BYTES * found.count())
+    nodes, shingles = wanted.agg(F.count(F.lit(1)), F.coalesce(F.sum("n"), F.lit(0))).first()
     texts = source.join(broadcast_if_small(wanted, max_rows=MAX_BROADCAST_NODES), F.col("k").eqNullSafe(F.col("doc_id")) & (F.col("kh") == F.col("h")))
 
     def tokens(batches):
@@ -473,14 +477,15 @@ def linked_nodes(docs: DataFrame, *, key: str = "doc_id", text: str = "text") ->
             })
 
     schema = "node long, n long, " + ", ".join(f"m{k} long" for k in range(ROUNDS)) + ", tokens binary"
-    sets = written(texts.select("t", "node", *[f"m{k}" for k in range(ROUNDS)]).mapInArrow(tokens, schema).dropDuplicates(["node"]), "ngram-sets")
+    sets = texts.select("t", "node", *[f"m{k}" for k in range(ROUNDS)]).mapInArrow(tokens, schema).dropDuplicates(["node"])
+    sets = written(sets, "ngram-sets", ROW_BYTES * nodes + 8 * shingles)
     links = None
     for k in range(ROUNDS):
         more = _round_links(sets, k)
         links = more if links is None else links.unionByName(more)
-    links = written(links, "ngram-links")
+    links = written(links, "ngram-links", ROUNDS * ROW_BYTES * nodes, spread=True)
     groups = components(links, "a", "b")
-    more = _matrix_links(sets, groups)
+    more = _matrix_links(sets, groups, nodes, shingles)
     whole = components(links.unionByName(more), "a", "b")
     discard(wanted, sets, links, more)
     return found, first, whole
