@@ -22,11 +22,13 @@ empty table gives an empty dataset.  Other columns are not read.
 
 from __future__ import annotations
 
+import json
 import os
 import re
 import uuid
 import zlib
 from collections.abc import Iterable, Iterator
+from operator import add
 
 import numpy as np
 import pandas as pd
@@ -35,8 +37,10 @@ from pyarrow import fs as pafs
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
+from tokenizers.models import BPE
 
-from hiremart.llm.bpe import OTHER_SPACE, Words
+from hiremart.llm.bpe import OTHER_SPACE
 from hiremart.llm.common import record_batch, shuffle_partitions, worker_cache
 from hiremart.llm.perfect_hash import MinimalPerfectHash, fingerprints, packed, unpacked
 
@@ -52,8 +56,6 @@ def tokenizer(path: str):
     """The worker's tokenizer, as its file has it: strings of added tokens in a text are those tokens."""
     if path not in _tokenizers:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
         _tokenizers[path] = Tokenizer.from_file(path)
     return _tokenizers[path]
 
@@ -61,11 +63,66 @@ def tokenizer(path: str):
 #: Before a single blank between words no piece of a byte-level tokenizer's pattern reaches across.
 WORD_EDGE = re.compile(r"(?<=\S)(?= \S)")
 ONE_WORD = re.compile(r" ?\S+")
+#: Of a word of Latin letters and then marks, a byte-level pattern makes two pieces: the letters, with the blank before them, and the marks.
+#: (In UTF-8: A-Z, a-z, U+00C0 to U+02AF without the signs of multiplication and division.)
+LETTERS = re.compile(rb" ?(?:[A-Za-z]|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf]|[\xc4-\xc9][\x80-\xbf]|\xca[\x80-\xaf])+")
+MARKS = b"!\"#$%&()*+,-./:;<=>?@[\\]^_`{|}~"
+MARK_THEN_LETTER = re.compile(f"[{re.escape(MARKS.decode())}][A-Za-z]")
+DOUBLE_SPACE = ("  ", " \n", "\n ", "\n\n")
+PIECES_AT_ONCE = 2_000
+BYTE_VALUES, PLACE_VALUES = (np.random.default_rng(k).integers(1, 1 << 63, n, dtype=np.uint64) * np.uint64(2) + np.uint64(1) for k, n in ((3, 256), (4, 4096)))
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter by which byte-level vocabularies write each byte."""
+    own = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in own]
+    return {b: chr(b) for b in own} | {b: chr(256 + k) for k, b in enumerate(others)}
+
+
+class Pieces:
+    """Ids of pieces that are cut as the tokenizer's pattern cuts them: its model gets them many at a time,
+    and a piece ends where the lengths of the tokens add up to its own."""
+
+    def __init__(self, found):
+        model = json.loads(found.to_str())["model"]
+        merges = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        plain = BPE(model["vocab"], merges, cache_capacity=0, ignore_merges=bool(model.get("ignore_merges")))  # each piece comes once
+        self.encode = Tokenizer(plain).encode_batch_fast
+        self.letters = np.array([ord(c) for _, c in sorted(_byte_letters().items())], "<u4")
+        self.letters[ord("\n")] = ord("\n")
+        self.size = np.zeros(max(model["vocab"].values()) + 1, np.int64)
+        self.size[list(model["vocab"].values())] = [len(token) for token in model["vocab"]]
+
+    @staticmethod
+    def fits(found) -> bool:
+        """Whether the tokenizer is plain byte-level BPE, of whose added tokens none lies in letters and marks after them."""
+        model, vocab = found.model, found.get_vocab(with_added_tokens=False)
+        return (
+            isinstance(model, BPE) and not (model.dropout or model.continuing_subword_prefix or model.end_of_word_suffix)
+            and vocab.keys() >= set(_byte_letters().values())
+            and str(found.pre_tokenizer) == "ByteLevel(add_prefix_space=False, trim_offsets=True, use_regex=True)"
+            and all(MARK_THEN_LETTER.search(t.content) for t in found.get_added_tokens_decoder().values())
+        )
+
+    def of(self, pieces: list[bytes]) -> Iterator[bytes]:
+        """Ids of each piece (none holds a line end)."""
+        for at in range(0, len(pieces), PIECES_AT_ONCE):
+            letters = self.letters[np.frombuffer(b"\n".join([*pieces[at : at + PIECES_AT_ONCE], b""]), np.uint8)]
+            spelt = letters.tobytes().decode("utf-32-le").split("\n")[:-1]
+            ids = np.array(self.encode([spelt], is_pretokenized=True, add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(letters == ord("\n")) - np.arange(len(spelt))
+            reach = np.cumsum(self.size[ids])
+            last = np.searchsorted(reach, ends)
+            if reach[-1] != ends[-1] or (reach[last] != ends).any():
+                raise ValueError("the ids do not spell the pieces")
+            raw, bounds = ids.tobytes(), ((last + 1) * 4).tolist()
+            yield from (raw[a:b] for a, b in zip([0, *bounds], bounds))
 
 
 class WordIds:
-    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered;
-    of more than ``KEPT_WORDS`` those not met for longest are dropped.
+    """Ids of texts, word by word: each distinct word goes through the tokenizer once while it is remembered.
+    At most ``KEPT_WORDS`` are: when half as many have been met, those not met since the time before are dropped.
 
     For byte-level tokenizers without a normalizer, whose added tokens neither hold white space
     nor take it from beside them; others get whole texts."""
@@ -76,14 +133,36 @@ class WordIds:
         added = found.get_added_tokens_decoder().values()
         plain = all(not (t.lstrip or t.rstrip or t.single_word or re.search(r"\s", t.content)) for t in added)
         self.by_word = str(found.pre_tokenizer).startswith("ByteLevel") and found.normalizer is None and plain
-        self.words = Words()
+        self.known: dict[bytes, bytes] = {}  # ids of words, little-endian unsigned 32-bit
+        self.before: dict[bytes, bytes] = {}
         line_end = found.encode("\n", add_special_tokens=False).ids
         self.line_end = line_end[0] if len(line_end) == 1 else None
-
-    def _ids(self, words: list[str]) -> list[bytes]:
-        """Ids of new words, which are encoded a few thousand at a time with line ends between."""
-        found: dict[str, bytes] = {}
-        plain = [w for w in words if ONE_WORD.fullmatch(w)] if self.line_end is not None else []
+        self.pieces = Pieces(found) if self.by_word and Pieces.fits(found) else None
+
+    def _learn_pieces(self, words: list[bytes]) -> list[bytes]:
+        """Learn the words of letters and marks by their pieces, of which many are known words; the other words."""
+        cores = [w.rstrip(MARKS) for w in words]
+        good = set(filter(LETTERS.fullmatch, set(cores)))
+        others = [w for w, c in zip(words, cores) if c not in good]
+        if others:
+            words = [w for w, c in zip(words, cores) if c in good]
+            cores = [c for c in cores if c in good]
+        tails = [w[len(c) :] for w, c in zip(words, cores)]
+        pieces = good.union(tails)
+        pieces.discard(b"")
+        ids = {p: x for p in pieces if (x := self.known.get(p)) is not None}
+        fresh = list(pieces.difference(ids))
+        ids.update(zip(fresh, self.pieces.of(fresh)))
+        ids[b""] = b""
+        self.known.update(zip(words, map(add, map(ids.__getitem__, cores), map(ids.__getitem__, tails))))
+        return others
+
+    def _learn(self, words: list[bytes]) -> None:
+        """Learn new words: by piece, or a few thousand at a time with line ends between."""
+        if self.pieces is not None:
+            words = self._learn_pieces(words)
+        texts = [w.decode() for w in words]
+        plain = [w for w in texts if ONE_WORD.fullmatch(w)] if self.line_end is not None else []
         for at in range(0, len(plain), 5_000):
             some = plain[at : at + 5_000]
             ids = np.array(self.encode(["\n".join([*some, ""])], add_special_tokens=False)[0].ids, np.uint32)
@@ -91,31 +170,89 @@ class WordIds:
             if len(ends) != len(some):
                 continue
             raw, ends = ids.tobytes(), (ends * 4).tolist()
-            found.update((w, raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
-        rest = [w for w in words if w not in found]
+            self.known.update((w.encode(), raw[a:b]) for w, a, b in zip(some, [0, *(e + 4 for e in ends)], ends))
+        rest = [t for w, t in zip(words, texts) if w not in self.known]
         for at in range(0, len(rest), 5_000):
             some = rest[at : at + 5_000]
-            found.update((w, np.array(e.ids, np.uint32).tobytes()) for w, e in zip(some, self.encode(some, add_special_tokens=False)))
-        return [found[w] for w in words]
+            self.known.update((w.encode(), np.array(e.ids, np.uint32).tobytes()) for w, e in zip(some, self.encode(some, add_special_tokens=False)))
+
+    def _ids_of(self, words: list[bytes]) -> list[bytes]:
+        """Ids of each word; the words are distinct."""
+        ids = [*map(self.known.get, words)]
+        fresh = [w for w, x in zip(words, ids) if x is None]
+        if self.before:
+            again = {w: x for w in fresh if (x := self.before.get(w)) is not None}
+            self.known.update(again)
+            fresh = [w for w in fresh if w not in again]
+        self._learn(fresh)
+        return [self.known[w] if x is None else x for w, x in zip(words, ids)]
 
     @staticmethod
-    def _cut(text: str) -> list[str]:
-        """Words at single blanks and line ends, which no piece reaches across; at word edges where white space stands together."""
-        if not OTHER_SPACE.search(text):
-            words = text.replace(" ", "\x01 ").replace("\n", "\x01\n\x01").split("\x01")
-            if " " not in words and "" not in words:
-                return words
-        return WORD_EDGE.split(text)
+    def _single_spaced(texts: list[str]) -> np.ndarray:
+        """Of which texts the white space is single blanks and line ends between words; no piece reaches across these."""
+        codes = np.frombuffer("\n".join(["", *texts, ""]).encode(), np.uint8)
+        ends = np.cumsum([len(t.encode()) + 1 for t in texts])  # places of the line ends after the texts
+        space = (codes == 32) | (codes == 10)
+        double = np.flatnonzero(space[1:] & space[:-1])
+        good = np.ones(len(texts) + 1, bool)
+        good[np.searchsorted(ends, double)] = False
+        good[np.searchsorted(ends, double + 1)] = False
+        # first bytes of other white space, and of much else
+        some = np.flatnonzero(((codes < 32) & (codes != 10)) | (codes == 0xC2) | (codes == 0xE1) | (codes == 0xE2) | (codes == 0xE3) | (codes == 0xEF))
+        for k in np.unique(np.searchsorted(ends, some)).tolist():
+            good[k] = good[k] and not OTHER_SPACE.search(texts[k])
+        return good[:-1]
+
+    def _at_once(self, texts: list[str]) -> Iterator[np.ndarray]:
+        """Ids of single-spaced texts: their words are numbered by a hash of their bytes, and then compared byte by byte."""
+        whole = "\n".join(texts).encode()
+        codes = np.frombuffer(whole, np.uint8)
+        line_end = codes == 10
+        first = line_end | (codes == 32)
+        first[1:] |= line_end[:-1]
+        first[0] = True
+        start = np.flatnonzero(first)
+        size = np.diff(start, append=len(codes))
+        place = np.arange(len(codes)) - np.repeat(start, size)
+        hashes = np.add.reduceat(BYTE_VALUES[codes] * PLACE_VALUES[np.minimum(place, len(PLACE_VALUES) - 1)], start)
+        number, distinct = pd.factorize(hashes)
+        own = np.empty(len(distinct), np.int64)
+        own[number[::-1]] = np.arange(len(number))[::-1]
+        shift = np.repeat(start[own[number]] - start, size)
+        shift += np.arange(len(codes))
+        if (size[own[number]] != size).any() or (codes[np.minimum(shift, len(codes) - 1)] != codes).any():  # two words with one hash
+            yield from map(self._by_edges, texts)
+            return
+        words = [whole[a:b] for a, b in zip(start[own].tolist(), (start + size)[own].tolist())]
+        ids = self._ids_of(words)
+        flat = np.frombuffer(b"".join(ids), np.uint32)
+        n = np.array([len(x) // 4 for x in ids])
+        begin = np.cumsum(n) - n
+        count = n[number]
+        end = np.cumsum(count)
+        out = flat[np.repeat(begin[number] - (end - count), count) + np.arange(end[-1])]
+        at = 0
+        for word in np.searchsorted(start, np.cumsum([len(t.encode()) + 1 for t in texts]) - 1).tolist():  # the line end after each text
+            upto = int(end[word - 1])
+            yield out[at:upto]
+            at = int(end[word]) if word < len(end) else upto
+
+    def _by_edges(self, text: str) -> np.ndarray:
+        words = [w.encode() for w in WORD_EDGE.split(text)]
+        distinct = [*dict.fromkeys(words)]
+        ids = dict(zip(distinct, self._ids_of(distinct)))
+        return np.frombuffer(b"".join(map(ids.__getitem__, words)), np.uint32)
 
     def of(self, texts: list[str]) -> Iterator[np.ndarray]:
-        if not self.by_word:
+        if not self.by_word or not texts:
             yield from (np.array(e.ids, np.uint32) for e in self.encode(texts, add_special_tokens=False))
             return
-        numbers = [self.words.numbers(self._cut(text)) for text in texts]
-        self.words.learn(self._ids(self.words.fresh))
-        for n in numbers:
-            yield self.words.ids(n)
-        self.words.forget(numbers, KEPT_WORDS)
+        single = self._single_spaced(texts).tolist()
+        at_once = self._at_once([t for t, s in zip(texts, single) if s]) if any(single) else iter(())
+        for text, s in zip(texts, single):
+            yield next(at_once) if s else self._by_edges(text)
+        if len(self.known) > KEPT_WORDS // 2:
+            self.known, self.before = {}, self.known
 
 
 def word_ids(path: str) -> WordIds:

@@ -88,3 +88,33 @@ def test_line_ends_and_white_space_together_equal_the_plain_library():
     plain, words = Tokenizer.from_file(PATH), S.WordIds(PATH)
     got = [ids.tolist() for ids in S.encoded(texts, words, 2)]
     assert got == [[*plain.encode(t, add_special_tokens=False).ids, 2] for t in texts]
+
+
+def test_words_with_one_hash_are_told_apart(monkeypatch):
+    monkeypatch.setattr(S, "BYTE_VALUES", np.zeros(256, np.uint64))
+    plain, words = Tokenizer.from_file(PATH), S.WordIds(PATH)
+    texts = ["ab cd ef", "cd ab gh\nij", "x"]
+    assert [ids.tolist() for ids in words.of(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_new_words_reach_the_library_by_their_pieces():
+    """Letters met before do not go through the library again, whatever marks follow them."""
+    words = S.WordIds(PATH)
+    sent = []
+    plain_of = words.pieces.of
+    words.pieces.of = lambda pieces: (sent.extend(pieces), plain_of(pieces))[1]
+    texts = ["one übrigens seven", "one übrigens, seven!!", "x one; übrigens... (seven) seven's éÀß!? 4.5"]
+    plain = Tokenizer.from_file(PATH)
+    for text in texts:
+        assert [ids.tolist() for ids in words.of([text])] == [plain.encode(text, add_special_tokens=False).ids]
+    assert sorted(sent) == sorted(set(sent)) and " übrigens".encode() in sent
+
+
+def test_dropped_words_are_learned_again(monkeypatch):
+    monkeypatch.setattr(S, "KEPT_WORDS", 40)
+    rng = random.Random(2)
+    plain, words = Tokenizer.from_file(PATH), S.WordIds(PATH)
+    for _ in range(60):
+        texts = [" ".join("".join(rng.choices("abéß,.'́я", k=3)) for _ in range(rng.randint(1, 12))) for _ in range(3)]
+        assert [ids.tolist() for ids in words.of(texts)] == [plain.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(words.known) + len(words.before) < 40 + 2 * 36
